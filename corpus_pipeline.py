@@ -1,12 +1,69 @@
-"""The corpus pipeline: filter, deduplicate, mix and pack documents."""
+"""The corpus pipeline: filter, deduplicate, mix and pack documents.
+
+Each stage takes (spark, docs, sf_dir), works on all documents its predecessor kept and returns a DataFrame; all
+but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
-from reeltide.llm import ngram_join  # noqa: F401
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from reeltide.llm import kneser_ney, mixing, ngram_join, packing, span_dedup
+from reeltide.llm.scratch import Scratch
 
-STAGES: list = []
+#: Not expressible in SQL: learned scores, hashed sampling and tokens are tested against brute force instead.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the class-conditional models reject go."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    scored = kneser_ney.toxicity(docs, labels)
+    rejected = scored.where("predicted = 1").select(F.col("doc_id").alias("__rejected")).distinct()
+    return docs.join(rejected, F.col("doc_id") == F.col("__rejected"), "left_anti")
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents connected by similar five-word shingles, the one with the smallest id stays."""
+    groups = ngram_join.ngram_components(docs, words=5, num=80)
+    surplus = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("__surplus")).distinct()
+    return docs.join(surplus, F.col("doc_id") == F.col("__surplus"), "left_anti")
+
+
+def cut_repeated_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sentences of repeated runs go from all documents but the first that has them."""
+    cut = span_dedup.remove_repeated_spans(docs)
+    changed = F.col("sentences_removed") > 0
+    return cut.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(docs.columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each source's documents as often as its target weight wants them."""
+    mixed = mixing.mixed_documents(docs)
+    return mixed.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of full sequences of neighbouring documents."""
+    pieces = packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("n-gram Jaccard join", one_of_each_group),
+    ("substring dedup", cut_repeated_spans),
+    ("mixing sources to target weights", mix_sources),
+    ("packing", pack_sequences),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``, each written and read again as the next one's input."""
+    scratch = Scratch(spark, "pipeline")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for _, stage in STAGES:
+        docs = scratch.table(stage(spark, docs, sf_dir), "stage")
+    return docs

@@ -2,18 +2,42 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from reeltide.llm import ngram_join
+from reeltide.llm import kneser_ney, mixing, ngram_join, packing, span_dedup
+
+TOKENIZER = "word_bpe_49k.json"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op6_span_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = span_dedup.remove_repeated_spans(_table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "text", "sentences_removed", "words_removed")
+
+
+def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    plan = mixing.plan_mix(_table(spark, sf_dir, "documents"))
+    return plan.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
+def op9_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = kneser_ney.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_components(_table(spark, sf_dir, "documents"), words=4, num=85)
 
 
-QUERIES = {f.__name__: f for f in (op10_ngram_join,)}
+QUERIES = {f.__name__: f for f in (op3_curve_packing, op6_span_dedup, op8_source_mixing, op9_kneser_ney, op10_ngram_join)}
 ORACLE_SQL: dict[str, str] = {}

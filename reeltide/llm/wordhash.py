@@ -129,3 +129,10 @@ def shingle_sets(column: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
     keep = np.ones(len(h), bool)
     keep[1:] = (h[1:] != h[:-1]) | (at[1:] != at[:-1])
     return h[keep], at[keep]
+
+
+def sequence_hashes(items: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each range of ``items`` (64-bit hashes themselves)."""
+    total = np.zeros(len(items) + 1, np.uint64)
+    np.cumsum(items * _power(_BASE, len(items)), out=total[1:])
+    return mix((total[end] - total[start]) * _power(_BASE_INVERSE, len(items) + 1)[start] + (end - start).astype(np.uint64))
