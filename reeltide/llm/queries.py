@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reeltide.llm import kneser_ney, mixing, ngram_join, packing, span_dedup
+from reeltide.llm import bin_packing, bit_sliced, kneser_ney, mixing, ngram_join, packing, pivot_index, span_dedup, warc
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -15,6 +15,24 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.round_trip(_table(spark, sf_dir, "pages"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op2_bit_sliced_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bit_sliced.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def op4_bin_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = bin_packing.shard(_table(spark, sf_dir, "documents"))
+    return placed.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
+
+
+def op5_pivot_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivot_index.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op3_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
@@ -39,5 +57,5 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_components(_table(spark, sf_dir, "documents"), words=4, num=85)
 
 
-QUERIES = {f.__name__: f for f in (op3_curve_packing, op6_span_dedup, op8_source_mixing, op9_kneser_ney, op10_ngram_join)}
+QUERIES = {f.__name__: f for f in (op1_warc, op2_bit_sliced_topk, op3_curve_packing, op4_bin_packing, op5_pivot_index, op6_span_dedup, op8_source_mixing, op9_kneser_ney, op10_ngram_join)}
 ORACLE_SQL: dict[str, str] = {}
