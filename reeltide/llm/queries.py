@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reeltide.llm import bin_packing, bit_sliced, kneser_ney, mixing, ngram_join, packing, pivot_index, span_dedup, warc
+from reeltide.llm import bin_packing, bit_sliced, kneser_ney, mixing, ngram_join, packing, pivot_index, span_dedup, tag_paths, warc
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -43,6 +43,10 @@ def op6_span_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "text", "sentences_removed", "words_removed")
 
 
+def op7_tag_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tag_paths.extract(_table(spark, sf_dir, "pages"))
+
+
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.plan_mix(_table(spark, sf_dir, "documents"))
     return plan.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
@@ -57,5 +61,5 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_components(_table(spark, sf_dir, "documents"), words=4, num=85)
 
 
-QUERIES = {f.__name__: f for f in (op1_warc, op2_bit_sliced_topk, op3_curve_packing, op4_bin_packing, op5_pivot_index, op6_span_dedup, op8_source_mixing, op9_kneser_ney, op10_ngram_join)}
+QUERIES = {f.__name__: f for f in (op1_warc, op2_bit_sliced_topk, op3_curve_packing, op4_bin_packing, op5_pivot_index, op6_span_dedup, op7_tag_paths, op8_source_mixing, op9_kneser_ney, op10_ngram_join)}
 ORACLE_SQL: dict[str, str] = {}
