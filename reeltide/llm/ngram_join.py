@@ -15,10 +15,11 @@ How it runs:
    frequency; tokens of one document only go no further, as they can't be shared;
 3. the tokens that return meet by block of documents, where prefixes and index entries are made. Equal
    sets have the same signature and so are one node from here on;
-4. in each entry's posting list the members are compared with the list's least node, their best such
-   partner first; what links is contracted to components, and only pairs of a list that still lie in
-   different components are compared after that. No pair between different sets that reaches the
-   threshold is lost, while groups of copies never become all their pairs.
+4. in each entry's posting list the members have a hub, the member with the longest lists; every node is compared
+   with the hub that it shares most entries with, and what links is contracted to components. Lists whose members
+   still lie in different components are joined to families, and within a family the sets of different components
+   are compared block by block. No link between different sets that connects anything is lost, while no group ever
+   becomes rows for all its pairs.
 
 Defined cases: null or wordless text is an empty set, linked with nothing and its own component; a text of
 fewer words than the shingle has one token; rows that share an id are one node; ids may not be null (such
@@ -32,7 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reeltide.llm import wordhash as W
@@ -259,8 +260,14 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     indexed = scratch.table(asked.where("bucket < 0").unionByName(told).groupBy("block").applyInArrow(_index(num, den), "sig long, node long, n long, tokens array<long>"), "index")
     sets = indexed.where("sig is null").select("node", "n", "tokens")
     posts = indexed.where("sig is not null").select("sig", "node", "n").distinct()
-    lists = posts.groupBy("sig").agg(F.count("*").alias("c"), F.min(F.struct("node", "n")).alias("rep")).where("c > 1").select("sig", "rep")
-    posts = scratch.table(salted_lookup(posts, lists, "sig", ["node"], "inner"), "posts")
+    posts = scratch.table(posts, "posts")
+    sizes = posts.groupBy("sig").agg(F.count("*").alias("c")).where("c > 1")
+    posts = scratch.table(salted_lookup(posts, sizes, "sig", ["node"], "inner"), "lists")
+    # the member whose lists are the longest has most of what its group shares: the likeliest to link with the others
+    central = posts.groupBy("node").agg(F.sum("c").alias("central"))
+    posts = scratch.table(posts.join(central, "node").select("sig", "node", "n", "central"), "ranked")
+    hubs = posts.groupBy("sig").agg(F.max(F.struct("central", "node", "n")).alias("rep"))
+    posts = salted_lookup(posts, hubs, "sig", ["node"], "inner")
 
     def fits(a: str, b: str) -> str:
         return f"{den} * least({a}, {b}) >= {num} * greatest({a}, {b})"
@@ -281,17 +288,96 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     part = salted_lookup(posts.select("sig", "node", "n"), connected_components(links, scratch), "node", ["sig"]).select("sig", "node", "n", F.coalesce("component", "node").alias("part"))
     part = scratch.table(part, "part")
-    open_lists = part.groupBy("sig").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo < hi").select("sig")
-    part = salted_lookup(part, open_lists, "sig", ["node"], "inner")
-    right = part.select("sig", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("part").alias("part_b"))
-    split = part.select("sig", F.col("node").alias("a"), F.col("n").alias("na"), F.col("part").alias("part_a"), F.pmod(F.xxhash64("node"), F.lit(8)).cast("int").alias("s"))
-    right = right.withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(7))))
-    rest = split.join(right, ["sig", "s"]).where("part_a < part_b").where(fits("na", "nb")).select("a", "na", "b", "nb").distinct()
-    rest = rest.join(first.select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y")).distinct(), F.expr("least(a, b) = x and greatest(a, b) = y"), "left_anti")
-    more = verified(scratch.table(rest, "rest"))
+    open_lists = part.groupBy("sig").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.min("node").alias("hub")).where("lo < hi").select("sig", "hub")
+    part = scratch.table(salted_lookup(part, open_lists, "sig", ["node"], "inner"), "open")
+    # lists that share members make one family; all candidates that are left lie within families
+    family = connected_components(part.select(F.col("hub").alias("u"), F.col("node").alias("v")), scratch)
+    nodes = salted_lookup(part.select("node", "n", "part").distinct(), family.withColumnRenamed("component", "family"), "node", ["n"], "inner")
+    nodes = scratch.table(nodes.withColumn("bucket", F.floor(F.log("n") / float(np.log(den / num)) + 1e-9).cast("int")), "families")
+    more = _within_families(nodes, sets, num, den, scratch)
     return members, scratch.table(links.unionByName(more), "links")
 
 
+def _within_families(nodes: DataFrame, sets: DataFrame, num: int, den: int, scratch: Scratch) -> DataFrame:
+    """Links (u, v) between different parts of each family, by pairs of bounded blocks of its nodes.
+
+    Sizes that can be similar lie in the same or in neighbouring buckets, so only such blocks meet. A node is sent
+    once for each block it meets, never once for each node.
+    """
+    counts = nodes.groupBy("family", "bucket").agg(F.greatest(F.ceil(F.count("*") / _FAMILY_BLOCK), F.ceil(F.sum("n") / _BLOCK_TOKENS)).cast("int").alias("blocks"))
+    above = counts.select("family", (F.col("bucket") - 1).alias("bucket"), F.col("blocks").alias("blocks_above"))
+    below = counts.select("family", (F.col("bucket") + 1).alias("bucket"), F.col("blocks").alias("blocks_below"))
+    plan = counts.join(above, ["family", "bucket"], "left").join(below, ["family", "bucket"], "left").na.fill(0)
+    plan = plan.select(F.struct("family", "bucket").alias("k"), "blocks", "blocks_above", "blocks_below")
+    sent = salted_lookup(nodes.withColumn("k", F.struct("family", "bucket")), plan, "k", ["node"], "inner")
+    sent = sent.withColumn("i", F.pmod(F.xxhash64("node", F.lit(1)), F.col("blocks")).cast("int"))
+
+    def others(count: str, left: str, right: str, step: int) -> Column:
+        at = "x" if left == "i" else "i"
+        low = "bucket" if step >= 0 else "bucket - 1"
+        side = "0" if left == "i" else "1"
+        return F.expr(f"transform(sequence(0, greatest({count}, 1) - 1), x -> struct({low} as low, {abs(step)} as up, {left} as i, {right} as j, {side} as side, {count} > 0 and ({abs(step)} = 1 or {'x >= i' if at == 'x' else 'x <= i'}) as used))")
+
+    meets = F.concat(others("blocks", "i", "x", 0), others("blocks", "x", "i", 0), others("blocks_above", "i", "x", 1), others("blocks_below", "x", "i", -1))
+    sent = sent.withColumn("m", F.explode(F.filter(meets, lambda m: m["used"]))).select("family", "m.low", "m.up", "m.i", "m.j", "m.side", "node", "n", "part")
+    mixed = sent.groupBy("family", "low", "up", "i", "j").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.min("side").alias("s0"), F.max("side").alias("s1")).where("lo < hi and s0 < s1").select(F.struct("family", "low", "up", "i", "j").alias("block"))
+    sent = salted_lookup(sent.withColumn("block", F.struct("family", "low", "up", "i", "j")), mixed, "block", ["node"], "left_semi").select("block", "side", "node", "n", "part")
+    own = sets.join(nodes.select("node"), "node", "left_semi").groupBy("node").agg(F.first("tokens").alias("tokens"))
+    full = sent.join(own, "node").select("block", "side", "node", "n", "part", "tokens")
+    return full.groupBy("block").applyInArrow(_compare_blocks(num, den), "u long, v long")
+
+
+#: Nodes of one block of a family, their tokens, and the tokens that a comparison holds as a matrix at once.
+_FAMILY_BLOCK, _BLOCK_TOKENS, _COLUMNS = 512, 1_000_000, 4096
+
+
+def _compare_blocks(num: int, den: int):
+    """Links between two blocks of sets that connect what all their similar pairs across parts connect."""
+
+    def run(table):
+        table = table.combine_chunks()
+        side = table.column("side").to_numpy()
+        rows = [np.flatnonzero(side == k) for k in (0, 1)]
+        n, node, part = (table.column(c).to_numpy() for c in ("n", "node", "part"))
+        lists = table.column("tokens").combine_chunks()
+        tokens, ends = lists.values.to_numpy(), lists.offsets.to_numpy()
+        size = np.diff(ends)
+        flat = [np.concatenate([tokens[ends[r] : ends[r + 1]] for r in rr]) if len(rr) else tokens[:0] for rr in rows]
+        owner = [np.repeat(np.arange(len(rr)), size[rr]) for rr in rows]
+        common = np.intersect1d(*flat)
+        both = np.zeros([len(r) for r in rows], np.float32)
+        at = [np.searchsorted(common, f) for f in flat]
+        known = [(a < len(common)) & (common[np.minimum(a, len(common) - 1)] == f) if len(common) else a < 0 for a, f in zip(at, flat, strict=True)]
+        for c in range(0, len(common), _COLUMNS):
+            held = []
+            for k in (0, 1):
+                use = known[k] & (at[k] >= c) & (at[k] < c + _COLUMNS)
+                m = np.zeros((len(rows[k]), min(_COLUMNS, len(common) - c)), np.float32)
+                m[owner[k][use], at[k][use] - c] = 1
+                held.append(m)
+            both += held[0] @ held[1].T
+        both = both.astype(np.int64)
+        x, y = rows
+        similar = (den * both >= num * (n[x][:, None] + n[y][None, :] - both)) & (part[x][:, None] != part[y][None, :])
+        root: dict[int, int] = {}
+
+        def find(p: int) -> int:
+            while root.get(p, p) != p:
+                p = root[p]
+            return p
+
+        u, v = [], []
+        for a, b in zip(*np.nonzero(similar), strict=True):
+            p, q = find(int(part[x[a]])), find(int(part[y[b]]))
+            if p != q:
+                root[p] = q
+                u.append(int(node[x[a]]))
+                v.append(int(node[y[b]]))
+        return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
+
+    return run
+
+
 def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id (the smallest id reachable over similar pairs)."""
     members, links = similar_sets(docs, id_col, text_col, words, num, den)
