@@ -1,6 +1,281 @@
-"""The registered queries of the media timeline engine and their SQL twins."""
+"""The registered queries of the media timeline engine; their SQL twins are in ``oracles``."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from reeltide.functions import text as X
+from reeltide.operators import assemble, frames, segment
+from reeltide.plans.oracles import ORACLE_SQL  # noqa: F401
+from reeltide.sources import parsers, timeline
+from reeltide.sources.timeline import table
+
+
+def fx_transcript(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return timeline.transcript(spark, sf_dir).drop("end_ms")
+
+
+def fx_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return timeline.signals(spark, sf_dir)
+
+
+def silence_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parsers.pair_silences(timeline.silence_marks(spark, sf_dir))
+
+
+def silence_log_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log lines made from the signals, parsed line by line and paired."""
+    s = timeline.signals(spark, sf_dir)
+    ms = F.round(F.col("at_sec") * 1000).cast("bigint")
+    seconds = F.concat(F.floor(ms / 1000).cast("string"), F.lit("."), F.format_string("%03d", ms % 1000))
+    line = F.when(F.col("event_type") == "click", F.concat(F.lit("[silencedetect @ 0x1] silence_start: "), seconds)).when(F.col("event_type") == "purchase", F.concat(F.lit("[silencedetect @ 0x1] silence_end: "), seconds, F.lit(" | silence_duration: 1"))).otherwise(F.concat(F.lit("size=N/A silence_start: -"), seconds))
+    start, end = parsers.silence_line(F.col("line"))
+    marks = s.select("video_id", F.struct("at_sec", "event_id").alias("ord"), line.alias("line")).select("video_id", "ord", start.alias("a"), end.alias("b")).where("a is not null or b is not null")
+    return parsers.pair_silences(marks.select("video_id", "ord", F.col("a").isNotNull().alias("is_start"), F.coalesce("a", "b").alias("at_sec")))
+
+
+def scene_log_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One log per video with both ways to write times; errors have a bad timecode, which drops the line."""
+    s = timeline.signals(spark, sf_dir).where("event_type in ('view', 'signup', 'error')")
+    ms = F.round(F.col("at_sec") * 1000).cast("bigint")
+    pts = F.concat(F.lit("pts_time:"), F.floor(ms / 1000).cast("string"), F.lit("."), F.format_string("%03d", ms % 1000))
+    line = F.when(F.col("event_type") == "view", F.concat(F.lit("n: 1 "), pts)).when(F.col("event_type") == "signup", F.concat(pts, F.lit(" time="), X.timecode(F.col("at_sec")))).otherwise(F.concat(pts, F.lit(" time=12:34")))
+    logs = s.groupBy("video_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at_sec", "event_id", line.alias("line")))), lambda x: x["line"]), "\n").alias("log"))
+    return logs.select("video_id", F.posexplode(parsers.scene_times(F.col("log"))).alias("pos", "at_sec"))
+
+
+def timecode_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = timeline.signals(spark, sf_dir).select("event_id", X.timecode(F.col("at_sec")).alias("tc"))
+    return s.select("event_id", "tc", X.parse_timecode(F.col("tc")).alias("seconds"))
+
+
+def probe_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Probe output made from orders: two streams of video, the second without a height for some, and audio for some."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey")
+    k = F.col("o_orderkey").cast("string")
+    odd = F.col("o_orderkey") % 2 == 1
+    text = F.concat(
+        F.lit('{"format":'), F.when(F.col("o_orderkey") % 5 == 0, "{}").otherwise(F.concat(F.lit('{"duration":"'), k, F.lit('.5"}'))),
+        F.lit(',"streams":[{"codec_type":"video","width":640,"height":480,"r_frame_rate":"30000/1001"}'), F.when(odd, F.concat(F.lit(',{"codec_type":"video","width":'), k, F.lit(',"r_frame_rate":"'), k, F.lit('/2"}'))).otherwise(""),
+        F.when(F.col("o_orderkey") % 3 == 0, '],"x":1}').otherwise(',{"codec_type":"audio"}]}'),
+    )
+    return parsers.probe(o.withColumn("json", text), "json").drop("json")
+
+
+def fraction_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events").select("event_id", F.when(F.col("event_id") % 11 == 0, "bad").when(F.col("event_id") % 13 == 0, "1/2/3").otherwise(F.concat((F.col("event_id") * 1000).cast("string"), F.lit("/"), (F.col("event_id") % 97 + 1).cast("string"))).alias("fraction"))
+    return e.select("event_id", X.parse_fraction(F.col("fraction")).alias("value"))
+
+
+def asr_json_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Recognised speech as JSON, in seconds for even media and in milliseconds for odd ones, parsed again."""
+    t = timeline.transcript(spark, sf_dir)
+    ms0, ms1 = F.round(F.col("start_sec") * 1000).cast("bigint"), F.col("end_ms")
+    rows = t.groupBy("video_id").agg(F.array_sort(F.collect_list(F.struct("seg_idx", "start_sec", "end_sec", ms0.alias("m0"), ms1.alias("m1"), "text"))).alias("s"))
+    seconds = F.to_json(F.struct(F.transform("s", lambda x: F.struct(x["start_sec"].alias("start"), x["end_sec"].alias("end"), x["text"].alias("text"))).alias("result")))
+    millis = F.to_json(F.struct(F.transform("s", lambda x: F.struct(F.struct(x["m0"].alias("from"), x["m1"].alias("to")).alias("offsets"), x["text"].alias("text"))).alias("transcription")))
+    return parsers.speech_segments(rows.select("video_id", F.when(F.col("video_id") % 2 == 0, seconds).otherwise(millis).alias("json")), "json")
+
+
+def jsonl_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Valid and invalid lines among the events' properties, every seventh cut short."""
+    e = table(spark, sf_dir, "events").select(F.when(F.col("event_id") % 7 == 0, F.expr("left(props, length(props) - 1)")).otherwise(F.col("props")).alias("line"))
+    ok = parsers.valid_json(F.col("line"))
+    return e.where(X.trim_ws(F.col("line")) != "").agg(F.count_if(ok).alias("valid"), F.count_if(~ok).alias("invalid"))
+
+
+def _candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    silences = silence_intervals(spark, sf_dir)
+    starts, ends = silences.select("video_id", F.col("start_sec").alias("at_sec")), silences.select("video_id", F.col("end_sec").alias("at_sec"))
+    return starts.union(ends).union(timeline.scenes(spark, sf_dir))
+
+
+def coarse_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return segment.coarse_segments(timeline.media(spark, sf_dir), _candidates(spark, sf_dir))
+
+
+def coarse_transcript(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return segment.overlap_text(coarse_segments(spark, sf_dir), timeline.transcript(spark, sf_dir), ["video_id", "seg_index"], trimmed=False)
+
+
+def segment_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return segment.check_segments(coarse_segments(spark, sf_dir), timeline.media(spark, sf_dir))
+
+
+def semantic_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return segment.semantic_chunks(coarse_segments(spark, sf_dir), timeline.transcript(spark, sf_dir))
+
+
+def equal_division(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return segment.equal_division(coarse_transcript(spark, sf_dir))
+
+
+def merged_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return segment.merge_short(semantic_chunks(spark, sf_dir))
+
+
+def split_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Splitting is applied to coarse segments, as merged chunks are never long enough here."""
+    rows = coarse_transcript(spark, sf_dir).select("video_id", F.col("seg_index").alias("ord"), "start_sec", "end_sec", "transcript_text", F.lit("coarse").alias("rationale"))
+    return segment.split_long(rows)
+
+
+def normalized_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return segment.normalize(semantic_chunks(spark, sf_dir))
+
+
+def frame_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return frames.frame_timestamps(timeline.media(spark, sf_dir), timeline.scenes(spark, sf_dir))
+
+
+def frame_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return frames.frame_kinds(frame_timestamps(spark, sf_dir), timeline.scenes(spark, sf_dir))
+
+
+def dhash_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return timeline.frame_hashes(spark, sf_dir)
+
+
+def dhash_hamming(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distance of each hash to the one before it in its group."""
+    before = F.lag("hash").over(Window.partitionBy("grp").orderBy("seq"))
+    return timeline.frame_hashes(spark, sf_dir).withColumn("before", before).where("before is not null").select("grp", "seq", X.hamming(F.col("hash"), F.col("before")).alias("distance"))
+
+
+def frame_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return frames.dedupe_frames(timeline.frame_hashes(spark, sf_dir), "grp", "seq", "hash", threshold=24)
+
+
+def alt_frame_timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return frames.alternative_timestamps(timeline.media(spark, sf_dir), timeline.scenes(spark, sf_dir))
+
+
+def _frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frames with kind, path and hash (an embedding's), near-duplicates dropped."""
+    kinds = frame_kinds(spark, sf_dir)
+    ids = F.pmod(F.col("video_id") * 8 + F.col("frame_idx"), table(spark, sf_dir, "embeddings").agg(F.count("*")).scalar())
+    f = kinds.withColumn("path", F.concat(F.lit("images/"), F.col("video_id").cast("string"), F.lit("/frame_"), F.format_string("%03d", "frame_idx"), F.lit(".jpg"))).withColumn("seq", ids.cast("bigint"))
+    f = f.join(timeline.frame_hashes(spark, sf_dir).select("seq", "hash"), "seq", "left")
+    return f.join(frames.dedupe_frames(f, "video_id", "frame_idx", "hash"), ["video_id", "frame_idx"]).select("video_id", "frame_idx", "at_sec", "kind", "path")
+
+
+def caption_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return frames.caption_frames(_frames(spark, sf_dir), normalized_chunks(spark, sf_dir), 2)
+
+
+def even_k_of_n(spark: SparkSession, sf_dir: str) -> DataFrame:
+    inside = frames.frames_in_chunks(alt_frame_timeline(spark, sf_dir), normalized_chunks(spark, sf_dir), half_open=True)
+    return frames.evenly_spaced(inside, ["video_id", "idx"]).select("video_id", "idx", "frame_idx", "at_sec")
+
+
+def _enriched(spark: SparkSession, sf_dir: str, chunks: DataFrame) -> DataFrame:
+    """Frames with recognised text (a document's) and, for chosen ones, the stub's caption."""
+    f = _frames(spark, sf_dir).withColumn("doc_id", F.pmod(F.col("video_id") * 8 + F.col("frame_idx"), table(spark, sf_dir, "documents").agg(F.count("*")).scalar()).cast("bigint"))
+    f = f.join(table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("ocr_text")), "doc_id", "left")
+    chosen = frames.caption_frames(f, chunks).withColumn("chosen", F.lit(True))
+    caption = F.when(F.col("chosen"), F.concat(F.lit("Visual caption for "), F.element_at(F.split("path", "/"), -1)))
+    return f.join(chosen, ["video_id", "frame_idx"], "left").select("video_id", "frame_idx", "at_sec", "kind", "path", "ocr_text", caption.alias("visual_caption"))
+
+
+def chunk_visual(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chunks = normalized_chunks(spark, sf_dir)
+    return assemble.visual_text(_enriched(spark, sf_dir, chunks), chunks)
+
+
+def chunk_image_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    refs = assemble.image_refs(_frames(spark, sf_dir), normalized_chunks(spark, sf_dir))
+    return refs.select("video_id", "idx", F.posexplode("image_refs").alias("pos", "r")).select("video_id", "idx", "pos", "r.path", "r.at_sec", "r.kind", "r.analyzed")
+
+
+def summarize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", X.summarize(F.col("text")).alias("summary"))
+
+
+def keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = table(spark, sf_dir, "documents")
+    return d.select("doc_id", F.array_join(X.keywords(X.title(X.trim_ws(F.col("text"))), F.col("text")), ",").alias("keywords"))
+
+
+def fallback_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = table(spark, sf_dir, "documents")
+    return d.select("doc_id", X.title(F.col("text")).alias("title"), X.short_title(F.col("text"), F.col("doc_id").cast("string")).alias("short_title"))
+
+
+def embedding_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = table(spark, sf_dir, "documents")
+    return d.select("doc_id", X.source_hash(X.embedding_text(X.title(F.col("text")), X.summarize(F.col("text")), F.col("text"), F.nullif(F.col("lang"), F.lit("fr")), F.col("source")).cast("binary")).alias("text_hash"))
+
+
+def timecodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = timeline.signals(spark, sf_dir)
+    return s.select("event_id", X.timecode(F.col("at_sec")).alias("tc"), X.time_range(F.col("at_sec"), F.col("at_sec") + 61.5).alias("span"), X.clock(F.col("at_sec") * 9).alias("clock"))
+
+
+def source_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "pages").select("page_id", X.source_hash(F.col("html").cast("binary")).alias("source_hash"))
+
+
+def llm_reply_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each coarse segment's own chunks as a reply; a later segment doesn't start at 0 and so is rejected."""
+    c = semantic_chunks(spark, sf_dir).withColumn("seg_index", F.expr("ord div 1000000"))
+    s = coarse_segments(spark, sf_dir).select("video_id", "seg_index", F.col("end_sec").alias("segment_end"))
+    rows = c.join(s, ["video_id", "seg_index"]).select((F.col("video_id") * 1000 + F.col("seg_index")).alias("key"), "ord", "start_sec", "end_sec", "segment_end")
+    return segment.check_reply(rows)
+
+
+def annotated_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return assemble.annotate(normalized_chunks(spark, sf_dir)).withColumn("keywords", F.array_join("keywords", ","))
+
+
+def markdown_doc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return assemble.markdown(assemble.annotate(normalized_chunks(spark, sf_dir)))
+
+
+def chunk_jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chunks written as JSON lines, read back by path."""
+    a = assemble.annotate(normalized_chunks(spark, sf_dir))
+    line = assemble.json_line(a.drop("start_sec", "end_sec"))
+    get = lambda path: F.get_json_object("line", f"$.{path}")
+    return a.select(line.alias("line")).select(get("chunk_id").alias("chunk_id"), get("title").alias("title"), get("summary").alias("summary"), get("keywords[0]").alias("first_keyword"), get("transcript_text").alias("transcript_text"), get("parent_segment_id").alias("parent_segment_id"))
+
+
+def output_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return assemble.output_index(normalized_chunks(spark, sf_dir), timeline.media(spark, sf_dir))
+
+
+def manifest_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stages of media that have no finished record with the same input."""
+    from reeltide.plans.manifest import STAGES, pending
+
+    wanted = timeline.media(spark, sf_dir).select("video_id", F.explode(F.array(*[F.lit(s) for s in STAGES])).alias("stage"), F.concat(F.lit("h"), F.col("dur_ms").cast("string")).alias("input_hash"))
+    n = F.abs(F.col("event_id"))
+    records = timeline.signals(spark, sf_dir).join(timeline.media(spark, sf_dir), "video_id").select("video_id", F.element_at(F.array(*[F.lit(s) for s in STAGES]), (n % len(STAGES) + 1).cast("int")).alias("stage"), F.concat(F.lit("h"), (F.col("dur_ms") + F.when(n % 3 == 0, 1).otherwise(0)).cast("string")).alias("input_hash"), F.when(n % 2 == 0, "done").otherwise("failed").alias("status"))
+    return pending(wanted, records)
+
+
+def estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = table(spark, sf_dir, "documents").select("doc_id", (F.col("n_chars") * 100000).alias("bytes"))
+    return d.select("doc_id", *[c.alias(k) for k, c in X.estimate(F.col("bytes")).items()])
+
+
+def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole pipeline; nested fields flattened, and without the time of the run."""
+    normal = normalized_chunks(spark, sf_dir)
+    annotated = assemble.annotate(normal)
+    path = F.concat(F.lit("media/"), F.col("video_id").cast("string"), F.lit(".mp4"))
+    sources = timeline.media(spark, sf_dir).select("video_id", path.alias("source_path"), X.source_hash(F.col("dur_ms").cast("string").cast("binary")).alias("source_hash"), F.lit(True).alias("has_audio"))
+    c = assemble.build_chunks(annotated, _enriched(spark, sf_dir, normal), sources)
+    flags = [F.col(f"modality_flags.{f}").alias(f) for f in ("has_speech", "has_ocr", "has_visual")]
+    flat = ["schema_version", "video_id", "source_type", "source_path", "source_hash", "chunk_id", "parent_segment_id", "start_sec", "end_sec", "start_tc", "end_tc", "duration_sec", "content_type", "title", "summary", "transcript", "ocr_text", "visual_caption"]
+    return c.select(*flat, F.array_join("keywords", ",").alias("keywords"), F.sha2(F.col("embedding_text").cast("binary"), 256).alias("embedding_hash"), F.size("image_refs").alias("n_images"), F.col("source_jump_ref.type").alias("jump_type"), *flags, F.col("processing_meta.segmentation_rationale").alias("segmentation_rationale"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        fx_transcript, fx_signals, silence_intervals, silence_log_parse, scene_log_parse, timecode_parse, probe_parse, fraction_parse, asr_json_parse, jsonl_validate, coarse_segments, coarse_transcript, segment_invariants, semantic_chunks, equal_division,
+        merged_chunks, split_chunks, normalized_chunks, frame_timestamps, frame_kinds, dhash_pack, dhash_hamming, frame_dedupe, alt_frame_timeline, caption_topk, even_k_of_n, chunk_visual, chunk_image_refs, summarize, keywords, fallback_titles, embedding_text,
+        timecodes, source_hashes, llm_reply_validate, annotated_chunks, markdown_doc, chunk_jsonl, output_index, manifest_pending, estimate, chunks,
+    )
+}
