@@ -15,6 +15,7 @@ columns are ignored.
 
 from __future__ import annotations
 
+import gc
 import re
 from functools import lru_cache
 
@@ -37,11 +38,12 @@ WIDTH, DIMENSIONS, BITS = 256, 4, 15
 _PLAIN = re.compile("[\t\n\r\x20-\x7e¡-įı-ɏ]*")
 #: Fixed value: the word pattern of the tokenizer file.
 _PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-_CACHED_WORDS = 400_000
+#: Pieces of words that a worker remembers in each of two generations, and bytes of text tokenised at once.
+_REMEMBERED, _CHUNK_BYTES = 500_000, 4 << 20
 
 
 class WordTokenizer:
-    """The ids of a word-level BPE tokenizer file, remembered by word: no token spans white space."""
+    """The ids of a word-level BPE tokenizer file. No token spans white space, so texts are tokenised by their distinct words, and these by pieces that are remembered."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -49,36 +51,69 @@ class WordTokenizer:
         self.whole = Tokenizer.from_file(path)
         self.kind = np.dtype("<u2") if self.whole.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         self.known: dict[str, bytes] = {}
-
-    def _learn(self, words: list[str]) -> None:
-        for i in range(0, len(words), 2000):
-            some = words[i : i + 2000]
-            pieces = [_PIECE.findall(w) for w in some]
-            coded = self.whole.encode(" ".join(p for w in pieces for p in w), add_special_tokens=False)
-            ids = np.array(coded.ids, self.kind)
-            per_piece = np.bincount(np.array(coded.word_ids, np.int64), minlength=sum(map(len, pieces)))
-            ends = np.concatenate([[0], np.cumsum(per_piece)])[np.cumsum([0, *map(len, pieces)])]
-            for w, a, b in zip(some, ends, ends[1:]):
-                self.known[w] = ids[a:b].tobytes()
-
-    def encode(self, text: str) -> bytes:
-        if not _PLAIN.fullmatch(text) or "<|" in text:
-            return np.array(self.whole.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
-        words = text.lower().split()
-        try:
-            return b"".join(map(self.known.__getitem__, words))
-        except KeyError:
-            if len(self.known) > _CACHED_WORDS:
-                self.known.clear()
-            self._learn(list(set(words) - self.known.keys()))
-            return b"".join(map(self.known.__getitem__, words))
-
-    def learn_all(self, texts: list[str]) -> None:
-        """Learn the new words of many texts at once."""
-        words = {w for t in texts if _PLAIN.fullmatch(t) for w in t.lower().split()}
-        if len(self.known) + len(words) > _CACHED_WORDS:
-            self.known.clear()
-        self._learn(list(words - self.known.keys()))
+        self.older: dict[str, bytes] = {}
+
+    def _remembered(self, keys: list[str]) -> tuple[list[bytes | None], list[str]]:
+        """What is known of each key, and the keys that aren't known."""
+        found = list(map(self.known.get, keys))
+        if None not in found:
+            return found, []
+        older = self.older.get
+        at = [i for i, x in enumerate(found) if x is None]
+        missing = []
+        for i in at:
+            k = keys[i]
+            x = older(k)
+            if x is None:
+                missing.append(k)
+            else:
+                self.known[k] = found[i] = x
+        return found, missing
+
+    def _encode_pieces(self, pieces: list[str]) -> None:
+        for i in range(0, len(pieces), 2000):
+            some = pieces[i : i + 2000]
+            coded = self.whole.encode(" ".join(some), add_special_tokens=False)
+            ids = np.array(coded.ids, self.kind).tobytes()
+            ends = np.cumsum(np.bincount(np.array(coded.word_ids, np.int64), minlength=len(some))) * self.kind.itemsize
+            at = 0
+            for p, end in zip(some, ends.tolist(), strict=True):
+                self.known[p] = ids[at:end]
+                at = end
+
+    def _words(self, words: list[str]) -> list[bytes]:
+        if len(self.known) > _REMEMBERED:
+            self.known, self.older = {}, self.known
+        found, missing = self._remembered(words)
+        if missing:
+            single = [w for w in missing if w.isalpha()]
+            compound = [w for w in missing if not w.isalpha()]
+            parts = [(w[:-1], w[-1]) if w[-1] in ".,!?" and w[:-1].isalpha() else _PIECE.findall(w) for w in compound]
+            pieces = {p for ps in parts for p in ps}
+            pieces.difference_update(single)
+            self._encode_pieces(self._remembered(list(pieces))[1] + single)
+            known = self.known
+            for w, ps in zip(compound, parts, strict=True):
+                known[w] = b"".join([known[p] for p in ps])
+            found = [known[w] if x is None else x for w, x in zip(words, found, strict=True)]
+        return found
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text."""
+        plain = [_PLAIN.fullmatch(t) is not None and "<|" not in t for t in texts]
+        data, rows = W.text_bytes(pa.array([t.lower() if p else "" for t, p in zip(texts, plain, strict=True)], pa.string()))
+        start, end, row = W.word_spans(data, rows)
+        _, first, which = np.unique(W.span_hashes(data, start, end), return_index=True, return_inverse=True)
+        raw = data.tobytes()
+        coded = self._words([raw[a:b].decode() for a, b in zip(start[first].tolist(), end[first].tolist(), strict=True)])
+        size = np.array([len(c) for c in coded], np.int64) // self.kind.itemsize
+        ids = np.frombuffer(b"".join(coded), self.kind)
+        n = size[which] if len(which) else np.zeros(0, np.int64)
+        ends = np.cumsum(n)
+        at = np.arange(int(n.sum())) + np.repeat((np.cumsum(size) - size)[which] - (ends - n), n) if len(which) else np.zeros(0, np.int64)
+        cuts = np.concatenate([[0], np.cumsum(np.bincount(row, n, len(texts)).astype(np.int64))])
+        flat = ids[at]
+        return [flat[a:b] if p else np.array(self.whole.encode(t, add_special_tokens=False).ids, self.kind) for t, p, a, b in zip(texts, plain, cuts.tolist(), cuts[1:].tolist())]
 
 
 @lru_cache(1)
@@ -115,31 +150,38 @@ def hilbert_keys(x: np.ndarray, bits: int) -> np.ndarray:
     return key
 
 
+@lru_cache(1)
+def _features(seed: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Place and sign of every id in the hashed vector."""
+    h = W.mix(np.arange(size, dtype=np.uint64) + np.uint64(seed + 1))
+    return (h % np.uint64(WIDTH)).astype(np.int64), np.where(h >> np.uint64(63), 1.0, -1.0)
+
+
 def curve_places(ids: np.ndarray, row: np.ndarray, rows: int, seed: int) -> np.ndarray:
     """Hilbert keys of the hashed, normalised and projected token counts of each row."""
-    h = W.mix(ids.astype(np.uint64) + np.uint64(seed + 1))
-    sign = np.where(h >> np.uint64(63), 1.0, -1.0)
-    v = np.bincount(row * WIDTH + (h % np.uint64(WIDTH)).astype(np.int64), sign, rows * WIDTH).reshape(rows, WIDTH)
+    place, sign = _features(seed, 1 << 16) if not len(ids) or ids.max() < 1 << 16 else _features(seed, 1 << int(ids.max()).bit_length())
+    v = np.bincount(row * WIDTH + place[ids], sign[ids], rows * WIDTH).reshape(rows, WIDTH)
     v = (v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)).astype(np.float32)
-    place = np.clip((v @ _projection(seed) / 6 + 0.5) * (1 << BITS), 0, (1 << BITS) - 1)
-    return hilbert_keys(place, BITS)
+    at = np.clip((v @ _projection(seed) / 6 + 0.5) * (1 << BITS), 0, (1 << BITS) - 1)
+    return hilbert_keys(at, BITS)
 
 
 def _tokenise(path: str, end: int, seed: int):
     def run(batches):
         tokens = _tokenizer(path)
         packer = zstandard.ZstdCompressor(level=1)
-        last = np.array([end], tokens.kind).tobytes()
+        last = np.array([end], tokens.kind)
         for batch in batches:
             text = W.as_strings(batch.column(1))
-            for a, b in W.chunks(text):
+            for a, b in W.chunks(text, _CHUNK_BYTES):
                 texts = text[a:b].to_pylist()
-                tokens.learn_all(texts)
-                coded = [tokens.encode(t) + last for t in texts]
-                n = np.array([len(c) for c in coded]) // tokens.kind.itemsize
-                flat = np.frombuffer(b"".join(coded), tokens.kind)
+                gc.disable()  # millions of strings and no cycles
+                coded = [np.append(c, last) for c in tokens.encode(texts)]
+                gc.enable()
+                n = np.array([len(c) for c in coded])
+                flat = np.concatenate(coded)
                 key = curve_places(flat, np.repeat(np.arange(len(n)), n), len(n), seed)
-                yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], pa.array(n), pa.array(key), pa.array([packer.compress(c) for c in coded], pa.binary())], ["id", "n", "key", "packed"])
+                yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], pa.array(n), pa.array(key), pa.array([packer.compress(c.tobytes()) for c in coded], pa.binary())], ["id", "n", "key", "packed"])
 
     return run
 
