@@ -149,7 +149,7 @@ def main_text(html: str | None) -> str:
         near = [(w, line[j + k][1]) for k, w in zip(reach, kernel, strict=True) if 0 <= j + k < len(line)]
         smooth[nodes[i][1]].append(sum(w * x for w, x in near) / sum(w for w, _ in near))
     least = (MARKED_THRESHOLD if only else THRESHOLD) * sum(x for _, x in line) / max(1, len(line))
-    chosen = {k for k, x in smooth.items() if sum(x) / len(x) >= least}
+    chosen = {k for k, x in smooth.items() if sum(x) / len(x) >= least and (only or value[k] > 0)}
     blocks: dict[int, list[str]] = defaultdict(list)
     for block, path, text, _, out, article in nodes:
         if text == " " and out:  # a line break
