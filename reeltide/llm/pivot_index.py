@@ -8,7 +8,8 @@ Equal vectors of a label are one class from the start and count by their number.
 pairs of bounded blocks, and a pair of vectors is looked at only in the list of the first pivot they share, so
 that links are counted once and leave a task as sums per vector and a spanning forest, never as pairs.
 
-The pivots are a bounded sample of each label (PIVOTS vectors of smallest hash); every vector is indexed. Measured
+The pivots are chosen from a bounded sample of each label (SAMPLED vectors of smallest hash, of which PIVOTS that aren't
+close to each other); every vector is indexed. Measured
 recall against brute force is in the README and in the tests.
 
 Defined cases: vectors that are null, zero, or hold null or non-finite components, and vectors without a
@@ -28,6 +29,8 @@ from reeltide.llm.scratch import Scratch, salted_lookup
 
 #: Pivots of a label at most, pivots that describe a vector, and how many of them candidates share.
 PIVOTS, NEAREST, SHARED = 64, 8, 2
+#: Vectors that a label's pivots are chosen from, and the cosine that pivots have to each other at most.
+SAMPLED, APART = 512, 0.7
 #: Vectors of one block of a list, and of one that is described at once.
 BLOCK, DESCRIBED = 1024, 16_384
 
@@ -108,17 +111,23 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
 
 
 def _pivots(classes: DataFrame) -> DataFrame:
-    """(part, pivots): the unit vectors of up to PIVOTS classes of each part, packed as doubles."""
+    """(part, pivots): the unit vectors of up to PIVOTS of SAMPLED classes of each part, packed as doubles."""
     # the few smallest hashes of each part: first within 32 slices, then of those
     slices = Window.partitionBy("part", "slice").orderBy("h", "node")
     some = classes.select("part", "node", "v", F.xxhash64("node", F.lit(7)).alias("h")).withColumn("slice", F.pmod("h", F.lit(32)))
-    some = some.withColumn("r", F.row_number().over(slices)).where(F.col("r") <= PIVOTS)
-    some = some.withColumn("r", F.row_number().over(Window.partitionBy("part").orderBy("h", "node"))).where(F.col("r") <= PIVOTS)
+    some = some.withColumn("r", F.row_number().over(slices)).where(F.col("r") <= SAMPLED)
+    some = some.withColumn("r", F.row_number().over(Window.partitionBy("part").orderBy("h", "node"))).where(F.col("r") <= SAMPLED)
 
     def gather(table):
         table = table.sort_by("r")
         p = np.array([np.asarray(x.as_py(), float) for x in table.column("v")])
         p /= np.linalg.norm(p, axis=1, keepdims=True)
+        chosen: list[int] = []  # apart from each other, so that a large group of near copies isn't described by its own members
+        close = p @ p.T > APART
+        for i in range(len(p)):
+            if len(chosen) < PIVOTS and not close[i, chosen].any():
+                chosen.append(i)
+        p = p[chosen]
         return pa.Table.from_arrays([table.column("part")[:1], pa.array([p.tobytes()], pa.binary())], names=["part", "pivots"])
 
     return some.select("part", "r", "v").groupBy("part").applyInArrow(gather, f"part {classes.schema['part'].dataType.simpleString()}, pivots binary")
