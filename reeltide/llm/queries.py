@@ -62,4 +62,45 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_warc, op2_bit_sliced_topk, op3_curve_packing, op4_bin_packing, op5_pivot_index, op6_span_dedup, op7_tag_paths, op8_source_mixing, op9_kneser_ney, op10_ngram_join)}
-ORACLE_SQL: dict[str, str] = {}
+# Where SQL can express an operator; the others are tested against plain versions.
+_BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+
+_LINKED = """
+reach AS (SELECT id AS a, id AS b FROM nodes UNION SELECT r.a, l.v FROM reach r JOIN links l ON l.u = r.b),
+parts AS (SELECT a AS id, min(b) AS component_id FROM reach GROUP BY a)
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op1_warc": f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, strlen(html) AS payload_bytes, sha1(html) AS digest FROM p),
+g AS (SELECT *, max(page_id) OVER (PARTITION BY digest) AS last, list_transform(range(1, 41), lambda i: strpos('0123456789abcdef', substring(digest, CAST(i AS INT), 1)) - 1) AS h FROM d)
+SELECT page_id, payload_bytes,
+    array_to_string(list_transform(range(0, 32), lambda k: substring('{_BASE32}', CAST(1 + list_sum(list_transform(range(0, 5), lambda j: (h[CAST((5 * k + j) // 4 + 1 AS INT)] // CAST(power(2, 3 - (5 * k + j) % 4) AS BIGINT) % 2) * CAST(power(2, 4 - j) AS BIGINT))) AS INT), 1)), '') AS payload_digest,
+    CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id < last THEN last END AS refers_to FROM g""",
+    "op2_bit_sliced_topk": """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS query_id, b.vec_id, CAST(list_sum(list_transform(list_zip(a.q, b.q), lambda z: z[1] * z[2])) AS BIGINT) AS score FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5""",
+    "op5_pivot_index": """
+WITH RECURSIVE nodes AS (SELECT vec_id AS id FROM embeddings),
+v AS (SELECT vec_id AS id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+w AS (SELECT id, label, e, sqrt(list_sum(list_transform(e, lambda x: x * x))) AS norm FROM v),
+links AS (SELECT a.id AS u, b.id AS v FROM w a JOIN w b ON a.label = b.label AND a.id <> b.id AND len(a.e) = len(b.e) WHERE a.norm > 0 AND b.norm > 0 AND list_sum(list_transform(list_zip(a.e, b.e), lambda z: z[1] * z[2])) / (a.norm * b.norm) >= 0.93),
+"""
+    + _LINKED
+    + """
+SELECT p.id AS vec_id, (SELECT count(*) FROM links l WHERE l.u = p.id) AS n_links, p.component_id, p.id = p.component_id AS kept FROM parts p""",
+    "op10_ngram_join": r"""
+WITH RECURSIVE nodes AS (SELECT doc_id AS id FROM documents),
+w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i : i + 3], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM w WHERE len(w) > 0) q),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+both_ AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS c FROM s a JOIN s b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id),
+links AS (SELECT u, v FROM both_ JOIN n a ON a.doc_id = u JOIN n b ON b.doc_id = v WHERE 100 * c >= 85 * (a.n + b.n - c)),
+"""
+    + _LINKED
+    + """
+SELECT p.id AS doc_id, coalesce(n.n, 0) AS n_shingles, p.component_id FROM parts p LEFT JOIN n ON n.doc_id = p.id""",
+}
