@@ -248,10 +248,11 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     marked = labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("y")).where("id is not null and y is not null").groupBy("id").agg(F.max(F.col("y").cast("int")).alias("y"))
     marked = marked.withColumn("fold", fold).where(F.col("fold") != held_out)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    labelled = rows.join(marked, "id")
+    # texts of the training folds only meet their labels, by a shuffle at every size
+    trained = rows.where(~fold.isin(held_out, calibration)).join(marked.hint("merge"), "id")
     sample = F.xxhash64("id")
     picked = marked.where(F.col("fold") == calibration).orderBy(sample, "id").limit(CALIBRATION_ROWS).select("id")
-    model = fit(labelled.where(F.col("fold") != calibration), "text", "y", scratch)
+    model = fit(trained, "text", "y", scratch)
     entries = model.count()
     known = scratch.table(features(docs.select(id_col, text_col), id_col, text_col, model, entries), "features")
     fitted = known.join(marked.join(picked, "id", "left_semi").select("id", "y"), "id").select(*FEATURES, "y").toPandas()

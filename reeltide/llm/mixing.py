@@ -44,7 +44,8 @@ def plan_mix(
     text = F.col(text_col).cast("string")
     q = cleanness(text) if quality is None else quality
     q = F.when(q > _LEAST_QUALITY, q).otherwise(_LEAST_QUALITY)
-    u = (F.shiftrightunsigned(F.xxhash64(F.col(id_col), F.lit(seed)), 11) + 0.5) / float(1 << 53)
+    digest = F.md5(F.concat_ws("-", F.coalesce(F.col(id_col).cast("string"), F.lit("null")), F.lit(str(seed))).cast("binary"))
+    u = (F.conv(F.substring(digest, 1, 12), 16, 10).cast("long") + 0.5) / float(1 << 48)
     rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long").alias("size"), (-F.log(u) / q).alias("key"))
     rows = scratch.table(rows, "sizes")
 

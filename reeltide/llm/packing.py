@@ -39,7 +39,7 @@ _PLAIN = re.compile("[\t\n\r\x20-\x7e¡-įı-ɏ]*")
 #: Fixed value: the word pattern of the tokenizer file.
 _PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 #: Pieces of words that a worker remembers in each of two generations, and bytes of text tokenised at once.
-_REMEMBERED, _CHUNK_BYTES = 500_000, 4 << 20
+_REMEMBERED, _CHUNK_BYTES = 300_000, 3 << 20
 
 
 class WordTokenizer:

@@ -92,9 +92,23 @@ links AS (SELECT a.id AS u, b.id AS v FROM w a JOIN w b ON a.label = b.label AND
     + _LINKED
     + """
 SELECT p.id AS vec_id, (SELECT count(*) FROM links l WHERE l.u = p.id) AS n_links, p.component_id, p.id = p.component_id AS kept FROM parts p""",
+    "op8_source_mixing": r"""
+WITH d AS (SELECT doc_id, text, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size, (CAST('0x' || substring(md5(CAST(doc_id AS VARCHAR) || '-0'), 1, 12) AS BIGINT) + 0.5::DOUBLE) / 281474976710656.0::DOUBLE AS u,
+    CASE WHEN length(text) > 0 THEN CAST(length(translate(text, '#$%&*|<>{}[]=_~^\', '')) AS DOUBLE) / length(text) END AS clean FROM documents),
+k AS (SELECT doc_id, source, size, -ln(u) / CASE WHEN clean > 0.001 THEN clean ELSE 0.001::DOUBLE END AS key FROM d),
+s0 AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, ([3.0::DOUBLE, 1.0::DOUBLE, 2.0::DOUBLE])[(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS w FROM k GROUP BY source),
+s1 AS (SELECT *, 2.0::DOUBLE * source_size AS full_, 2.0::DOUBLE * source_size / w AS full_at FROM s0),
+s2 AS (SELECT *, 1.5::DOUBLE * (SELECT sum(source_size) FROM s0) AS budget, coalesce(sum(full_) OVER (ORDER BY full_at, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS spent, sum(w) OVER (ORDER BY full_at, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS left_w FROM s1),
+s3 AS (SELECT *, max(CASE WHEN (budget - spent) / left_w <= full_at THEN (budget - spent) / left_w END) OVER () AS level FROM s2),
+s4 AS (SELECT source, source_size, coalesce(least(full_, level * w), full_) AS target FROM s3),
+s5 AS (SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS epochs FROM s4),
+r AS (SELECT k.doc_id, k.size, s.source_size, s.target, s.epochs, CAST(greatest(round(s.target - s.epochs * s.source_size), 0) AS BIGINT) AS rest, coalesce(sum(k.size) OVER (PARTITION BY k.source ORDER BY k.key, k.doc_id, k.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS prior
+    FROM k JOIN s5 s ON s.source IS NOT DISTINCT FROM k.source)
+SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target, CAST(epochs * size + least(greatest(rest - prior, 0), size) AS BIGINT) AS taken FROM r""",
     "op10_ngram_join": r"""
 WITH RECURSIVE nodes AS (SELECT doc_id AS id FROM documents),
-w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-]+') AS w FROM documents),
+w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-
+]+') AS w FROM documents),
 s AS (SELECT DISTINCT doc_id, array_to_string(w[i : i + 3], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM w WHERE len(w) > 0) q),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
 both_ AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS c FROM s a JOIN s b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id),
