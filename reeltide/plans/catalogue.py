@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from reeltide.functions import text as X
 from reeltide.operators import assemble, frames, segment
 from reeltide.plans.oracles import ORACLE_SQL  # noqa: F401
-from reeltide.sources import parsers, timeline
+from reeltide.sources import parsers, timeline, tools
 from reeltide.sources.timeline import table
 
 
@@ -259,6 +259,13 @@ def estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", *[c.alias(k) for k, c in X.estimate(F.col("bytes")).items()])
 
 
+def media_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names and frame paths from pages' addresses, and the encoder's scale for qualities of 0 to 100."""
+    p = table(spark, sf_dir, "pages").withColumn("name", F.concat(F.regexp_replace("url", r"\?.*$", ""), F.when(F.col("page_id") % 3 == 0, ".tar.gz").when(F.col("page_id") % 3 == 1, "/").otherwise("")))
+    v = tools.video_id(F.col("name"))
+    return p.select("page_id", v.alias("video_id"), tools.frame_path(v, F.col("page_id")).alias("frame_path"), tools.jpeg_quality((F.col("page_id") % 101).cast("int")).alias("quality"))
+
+
 def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole pipeline; nested fields flattened, and without the time of the run."""
     normal = normalized_chunks(spark, sf_dir)
@@ -276,6 +283,6 @@ QUERIES = {
     for f in (
         fx_transcript, fx_signals, silence_intervals, silence_log_parse, scene_log_parse, timecode_parse, probe_parse, fraction_parse, asr_json_parse, jsonl_validate, coarse_segments, coarse_transcript, segment_invariants, semantic_chunks, equal_division,
         merged_chunks, split_chunks, normalized_chunks, frame_timestamps, frame_kinds, dhash_pack, dhash_hamming, frame_dedupe, alt_frame_timeline, caption_topk, even_k_of_n, chunk_visual, chunk_image_refs, summarize, keywords, fallback_titles, embedding_text,
-        timecodes, source_hashes, llm_reply_validate, annotated_chunks, markdown_doc, chunk_jsonl, output_index, manifest_pending, estimate, chunks,
+        timecodes, source_hashes, llm_reply_validate, annotated_chunks, markdown_doc, chunk_jsonl, output_index, manifest_pending, estimate, media_names, chunks,
     )
 }

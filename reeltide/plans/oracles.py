@@ -289,6 +289,10 @@ ORACLE_SQL: dict[str, str] = {
     + f"""SELECT w.video_id, w.stage, w.input_hash FROM (SELECT video_id, unnest({_STAGES}) AS stage, 'h' || CAST(dur_ms AS VARCHAR) AS input_hash FROM media) w
         WHERE NOT EXISTS (SELECT 1 FROM signals s JOIN media m ON m.video_id = s.video_id WHERE s.video_id = w.video_id AND {_STAGES}[abs(s.event_id) % 10 + 1] = w.stage AND abs(s.event_id) % 3 <> 0 AND abs(s.event_id) % 2 = 0)""",
     "estimate": "SELECT doc_id, CAST(trunc(greatest(n_chars * 100000 / 1048576.0::DOUBLE / 10, 5)) AS BIGINT) AS chunks, CAST(ceil(n_chars * 100000 / 1048576.0::DOUBLE * 0.5::DOUBLE) AS BIGINT) AS output_mb, CAST(ceil(n_chars * 100000 / 1048576.0::DOUBLE / 50) AS BIGINT) AS minutes FROM documents",
+    "media_names": r"""
+WITH p AS (SELECT page_id, list_last(string_split(regexp_replace(url, '\?.*$', '') || CASE page_id % 3 WHEN 0 THEN '.tar.gz' WHEN 1 THEN '/' ELSE '' END, '/')) AS name FROM pages),
+q AS (SELECT page_id, CASE WHEN regexp_extract(name, '^(.+?)(\.[^.]*)?$', 1) = '' THEN 'video' ELSE regexp_extract(name, '^(.+?)(\.[^.]*)?$', 1) END AS video_id FROM p)
+SELECT page_id, video_id, video_id || '/' || printf('frame_%03d.jpg', page_id) AS frame_path, CAST(least(greatest(32 - (page_id % 101) // 4, 1), 31) AS INTEGER) AS quality FROM q""",
     "chunks": _ANNOTATED
     + ","
     + _VISUAL

@@ -162,3 +162,27 @@ def test_adapters_fail_softly(spark):
     assert adapters.annotate_with(chunk, adapters.FixedModel('{"title":"T","summary":"S","keywords":["k"]}')).first().title == "T"
     r = adapters.annotate_with(chunk, adapters.FixedModel('{"title":"T"}')).first()
     assert (r.title, r.keywords) == ("some words", ["content"])
+
+
+def test_image_hashes(spark):
+    import numpy as np
+
+    from reeltide.operators.images import hash_of, image_hash
+
+    ramp = np.tile(np.linspace(255, 0, 90).astype(np.uint8), (80, 1))
+    assert hash_of(ramp) == -1 and hash_of(ramp[:, ::-1]) == 0
+    hash_of(np.zeros((1000, 1), np.uint8))  # a tall image is no problem
+    rows = [(b"P5\n90 80\n255\n" + ramp.tobytes(),), (b"P6 broken",), (None,), (b"P5 9 9 255 short",)]
+    got = [r.h for r in spark.createDataFrame(rows, "content binary").select(image_hash(F.col("content")).alias("h")).collect()]
+    assert got == [-1, None, None, None]
+
+
+def test_names(spark):
+    from reeltide.sources import tools
+
+    rows = [("/a/b/clip.one.mp4", 1), (".mp4", 100), ("noext", 0), ("a/", 4)]
+    got = spark.createDataFrame(rows, "p string, q int").select(tools.video_id(F.col("p")).alias("v"), tools.jpeg_quality(F.col("q")).alias("j")).collect()
+    assert [r.v for r in got] == ["clip.one", ".mp4", "noext", "video"] and [r.j for r in got] == [31, 7, 31, 31]
+    ran = tools.run_tool(spark.createDataFrame([("x",)], "path string"), ("echo", "{path}"), "out").first()
+    gone = tools.run_tool(spark.createDataFrame([("x",)], "path string"), ("no-such-tool-here", "{path}"), "out").first()
+    assert ran.out == "x\n" and gone.out is None
