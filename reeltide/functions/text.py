@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -10,6 +12,11 @@ STOP_WORDS = ("this", "that", "with", "from", "chunk", "segment")
 KEYWORD_BYTES, KEYWORDS = 4, 8
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once a row, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def trim_ws(text: Column) -> Column:
     """Without Unicode white space at either end."""
     return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
@@ -26,14 +33,17 @@ def compact(text: Column) -> Column:
 
 def summarize(text: Column, limit: int = 180) -> Column:
     """White space collapsed; beyond ``limit`` characters cut, with dots."""
-    c = compact(text)
-    return F.when(F.length(c) <= limit, c).otherwise(F.concat(F.substring(c, 1, max(limit - 3, 0)), F.lit("...")))
+    return once(compact(text), lambda c: F.when(F.length(c) <= limit, c).otherwise(F.concat(F.substring(c, 1, max(limit - 3, 0)), F.lit("..."))))
 
 
 def byte_prefix(text: Column, limit: int) -> Column:
     """The longest prefix of whole characters of at most ``limit`` bytes."""
-    ends = F.filter(F.sequence(F.lit(0), F.least(F.length(text), F.lit(limit))), lambda i: F.octet_length(F.substring(text, F.lit(1), i)) <= limit)
-    return F.when(F.octet_length(text) <= limit, text).otherwise(F.substring(text, F.lit(1), F.array_max(ends)))
+
+    def cut(t: Column) -> Column:
+        ends = F.filter(F.sequence(F.lit(0), F.least(F.length(t), F.lit(limit))), lambda i: F.octet_length(F.substring(t, F.lit(1), i)) <= limit)
+        return F.when(F.octet_length(t) <= limit, t).otherwise(F.substring(t, F.lit(1), F.array_max(ends)))
+
+    return once(text, cut)
 
 
 def title(text: Column, count: int = 8, limit: int = 60) -> Column:
@@ -44,8 +54,8 @@ def title(text: Column, count: int = 8, limit: int = 60) -> Column:
 def short_title(text: Column, chunk_id: Column) -> Column:
     """The first ten words or the chunk's name; over 50 bytes, the first 47 and dots."""
     first = F.array_join(F.slice(words(text), 1, 10), " ")
-    full = F.when(first == "", F.concat(F.lit("Segment "), chunk_id)).otherwise(first)
-    return F.when(F.octet_length(full) > 50, F.concat(byte_prefix(full, 47), F.lit("..."))).otherwise(full)
+    full = once(first, lambda f: F.when(f == "", F.concat(F.lit("Segment "), chunk_id)).otherwise(f))
+    return once(full, lambda f: F.when(F.octet_length(f) > 50, F.concat(byte_prefix(f, 47), F.lit("..."))).otherwise(f))
 
 
 def tokens(text: Column) -> Column:
@@ -57,7 +67,7 @@ def keywords(title_text: Column, text: Column) -> Column:
     """The alphabetically first distinct tokens of title and text that may be keywords; ``video`` where there are none."""
     kept = F.filter(F.concat(tokens(title_text), tokens(text)), lambda t: (F.octet_length(t) >= KEYWORD_BYTES) & ~t.isin(*STOP_WORDS))
     best = F.slice(F.array_sort(F.array_distinct(kept)), 1, KEYWORDS)
-    return F.when(F.size(best) > 0, best).otherwise(F.array(F.lit("video")))
+    return once(best, lambda b: F.when(F.size(b) > 0, b).otherwise(F.array(F.lit("video"))))
 
 
 def timecode(seconds: Column) -> Column:

@@ -15,30 +15,44 @@ SCHEMA_VERSION, SOURCE_TYPE, CONTENT_TYPE, RATIONALE = "1.0", "local_mp4", "scre
 
 def annotate(chunks: DataFrame) -> DataFrame:
     """Adds title, summary and keywords, all from the transcript (or, without one, from the chunk's time)."""
-    t = X.trim_ws(F.col("transcript_text"))
     blank = F.concat(F.lit("Segment "), F.col("chunk_id"), F.lit(" ("), X.time_range(F.col("start_sec"), F.col("end_sec")), F.lit(")"))
-    rows = chunks.withColumn("title", F.when(t == "", blank).otherwise(X.title(t)))
-    return rows.withColumns({"summary": F.when(t == "", NO_TEXT).otherwise(X.summarize(t)), "keywords": X.keywords(F.col("title"), t)})
+    title = lambda t: F.when(t == "", blank).otherwise(X.title(t))
+    summary = lambda t: F.when(t == "", F.lit(NO_TEXT)).otherwise(X.summarize(t))
+    made = X.once(X.trim_ws(F.col("transcript_text")), lambda t: X.once(title(t), lambda n: F.struct(n.alias("title"), summary(t).alias("summary"), X.keywords(n, t).alias("keywords"))))
+    return chunks.select("*", F.inline(F.array(made)))
+
+
+def _ordered_texts(column: str, by: str) -> Column:
+    """The distinct texts of a group's frames in their order, joined; null where there are none."""
+    text = X.trim_ws(F.col(column))
+    rows = F.array_sort(F.collect_list(F.when(text != "", F.struct("frame_idx", text.alias("t")))))
+    return F.nullif(F.array_join(F.array_distinct(F.transform(rows, lambda x: x["t"])), by), F.lit("")).alias(column)
+
+
+def _refs() -> Column:
+    rows = F.array_sort(F.collect_list(F.struct("frame_idx", F.struct("path", "at_sec", "kind", F.lit(True).alias("analyzed")).alias("ref"))))
+    return F.transform(rows, lambda x: x["ref"]).alias("image_refs")
 
 
 def visual_text(frames: DataFrame, chunks: DataFrame) -> DataFrame:
     """(video_id, idx, ocr_text, visual_caption): each chunk's distinct texts in order of their frames."""
-    inside = frames_in_chunks(frames, chunks)
-    ordered = lambda c: F.transform(F.array_sort(F.collect_list(F.when(X.trim_ws(F.col(c)) != "", F.struct("frame_idx", X.trim_ws(F.col(c)).alias("t"))))), lambda x: x["t"])
-    joined = lambda c, by: F.nullif(F.array_join(F.array_distinct(ordered(c)), by), F.lit(""))
-    return inside.groupBy("video_id", "idx").agg(joined("ocr_text", "\n").alias("ocr_text"), joined("visual_caption", " ").alias("visual_caption"))
+    return frames_in_chunks(frames, chunks).groupBy("video_id", "idx").agg(_ordered_texts("ocr_text", "\n"), _ordered_texts("visual_caption", " "))
 
 
 def image_refs(frames: DataFrame, chunks: DataFrame) -> DataFrame:
     """(video_id, idx, image_refs): each chunk's frames in order."""
-    refs = F.array_sort(F.collect_list(F.struct("frame_idx", F.struct("path", "at_sec", "kind", F.lit(True).alias("analyzed")).alias("ref"))))
-    return frames_in_chunks(frames, chunks).groupBy("video_id", "idx").agg(F.transform(refs, lambda x: x["ref"]).alias("image_refs"))
+    return frames_in_chunks(frames, chunks).groupBy("video_id", "idx").agg(_refs())
+
+
+def evidence(frames: DataFrame, chunks: DataFrame) -> DataFrame:
+    """What ``visual_text`` and ``image_refs`` give, by one join and one aggregation."""
+    return frames_in_chunks(frames, chunks).groupBy("video_id", "idx").agg(_ordered_texts("ocr_text", "\n"), _ordered_texts("visual_caption", " "), _refs())
 
 
 def build_chunks(annotated: DataFrame, frames: DataFrame, sources: DataFrame, asr: str = "whisper_cpp", vlm: str = "stub", generated_at: Column | None = None) -> DataFrame:
     """The finished chunks. ``sources``: (video_id, source_path, source_hash, has_audio)."""
     refs = "array<struct<path:string,at_sec:double,kind:string,analyzed:boolean>>"
-    rows = annotated.join(visual_text(frames, annotated), ["video_id", "idx"], "left").join(image_refs(frames, annotated), ["video_id", "idx"], "left").join(sources, "video_id")
+    rows = annotated.join(evidence(frames, annotated.select("video_id", "idx", "start_sec", "end_sec")), ["video_id", "idx"], "left").join(sources, "video_id")
     rows = rows.withColumn("image_refs", F.coalesce("image_refs", F.array().cast(refs)))
     spoken = F.col("has_audio") & (X.trim_ws(F.col("transcript_text")) != "")
     return rows.select(
