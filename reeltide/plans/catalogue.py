@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from reeltide.functions import text as X
 from reeltide.operators import assemble, frames, segment
 from reeltide.plans.oracles import ORACLE_SQL  # noqa: F401
-from reeltide.sources import parsers, timeline, tools
+from reeltide.sources import parsers, sinks, timeline, tools
 from reeltide.sources.timeline import table
 
 
@@ -171,7 +171,7 @@ def even_k_of_n(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _enriched(spark: SparkSession, sf_dir: str, chunks: DataFrame) -> DataFrame:
     """Frames with recognised text (a document's) and, for chosen ones, the stub's caption."""
-    f = _frames(spark, sf_dir).withColumn("doc_id", F.pmod(F.col("video_id") * 8 + F.col("frame_idx"), table(spark, sf_dir, "documents").agg(F.count("*")).scalar()).cast("bigint"))
+    f = sinks.keep(_frames(spark, sf_dir), "frames").withColumn("doc_id", F.pmod(F.col("video_id") * 8 + F.col("frame_idx"), table(spark, sf_dir, "documents").agg(F.count("*")).scalar()).cast("bigint"))
     f = f.join(table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("ocr_text")), "doc_id", "left")
     chosen = frames.caption_frames(f, chunks).withColumn("chosen", F.lit(True))
     caption = F.when(F.col("chosen"), F.concat(F.lit("Visual caption for "), F.element_at(F.split("path", "/"), -1)))
@@ -179,7 +179,7 @@ def _enriched(spark: SparkSession, sf_dir: str, chunks: DataFrame) -> DataFrame:
 
 
 def chunk_visual(spark: SparkSession, sf_dir: str) -> DataFrame:
-    chunks = normalized_chunks(spark, sf_dir)
+    chunks = sinks.keep(normalized_chunks(spark, sf_dir), "normalized")
     return assemble.visual_text(_enriched(spark, sf_dir, chunks), chunks)
 
 
@@ -268,7 +268,7 @@ def media_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole pipeline; nested fields flattened, and without the time of the run."""
-    normal = normalized_chunks(spark, sf_dir)
+    normal = sinks.keep(normalized_chunks(spark, sf_dir), "normalized")
     annotated = assemble.annotate(normal)
     path = F.concat(F.lit("media/"), F.col("video_id").cast("string"), F.lit(".mp4"))
     sources = timeline.media(spark, sf_dir).select("video_id", path.alias("source_path"), X.source_hash(F.col("dur_ms").cast("string").cast("binary")).alias("source_hash"), F.lit(True).alias("has_audio"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,3 +27,15 @@ def write_stage(df: DataFrame, folder: str, stage: str) -> DataFrame:
     path = f"{folder}/stages/{stage}"
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def keep(df: DataFrame, name: str) -> DataFrame:
+    """Rows that several branches of a plan read, written once to the folder that all executors share (``spark.checkpoint.dir``)."""
+    spark = df.sparkSession
+    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        shared = "file:///tmp/checkpoints"
+        spark.conf.set("spark.checkpoint.dir", shared)
+    path = f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -10,17 +10,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("video_id"), F.col("turn").alias("seg_idx"), "text", F.col("role").alias("speaker"))
+    return turns.withColumn("ms", F.greatest(F.lit(500), 120 * F.length("text")).cast("bigint"))
+
+
 def transcript(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(video_id, seg_idx, start_sec, end_sec, text, speaker): turns laid end to end, 120 ms a character, 500 ms at least."""
-    turns = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("video_id"), F.col("turn").alias("seg_idx"), "text", F.col("role").alias("speaker"))
-    turns = turns.withColumn("ms", F.greatest(F.lit(500), 120 * F.length("text")).cast("bigint"))
+    turns = _turns(spark, sf_dir)
     end = F.sum("ms").over(Window.partitionBy("video_id").orderBy("seg_idx"))
     return turns.withColumn("end_ms", end).select("video_id", "seg_idx", ((F.col("end_ms") - F.col("ms")) / 1000.0).alias("start_sec"), (F.col("end_ms") / 1000.0).alias("end_sec"), "text", "speaker", "end_ms")
 
 
 def media(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(video_id, dur_ms, duration_sec)"""
-    return transcript(spark, sf_dir).groupBy("video_id").agg(F.max("end_ms").alias("dur_ms")).withColumn("duration_sec", F.col("dur_ms") / 1000.0)
+    return _turns(spark, sf_dir).groupBy("video_id").agg(F.sum("ms").alias("dur_ms")).withColumn("duration_sec", F.col("dur_ms") / 1000.0)
 
 
 def signals(spark: SparkSession, sf_dir: str) -> DataFrame:
