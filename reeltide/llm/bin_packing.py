@@ -75,6 +75,7 @@ def shard(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col: st
     placed = packed.groupBy("pack").applyInArrow(_place(shards), "group long, frag int, shard int")
     bucket = F.pmod(F.xxhash64("id", "group"), F.lit(max(1, -(-total[1] // SLOT_ROWS)))).cast("int")
     rows = scratch.table(rows.join(scratch.table(placed, "placed"), ["group", "frag"]).withColumn("bucket", bucket), "sharded")
+    scratch.keep_only(rows)
     before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = rows.groupBy("shard", "bucket").agg(F.count("*").alias("n")).select(F.struct("shard", "bucket").alias("k"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
     within = Window.partitionBy("shard", "bucket").orderBy("id", "group")

@@ -25,14 +25,17 @@ def connected_components(edges: DataFrame, scratch: Scratch) -> DataFrame:
         hooked = both.groupBy("u").agg(F.min(rank("v")).alias("best")).select("u", F.when(F.col("best") < rank("u"), F.col("best.id")).otherwise(F.col("u")).alias("p"))
         hooked = scratch.table(hooked, "hook")
         rounds.append(hooked)
+        last = e
         e = salted_lookup(e, hooked, "u", ["v"], "inner").select(F.col("p").alias("a"), F.col("v").alias("u"))
         e = salted_lookup(e, hooked, "u", ["a"], "inner").select(F.least("a", "p").alias("u"), F.greatest("a", "p").alias("v")).where("u <> v").distinct()
         e = scratch.table(e, "edges")
+        scratch.release(last)
     if not rounds:
         return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).limit(0)
     label = rounds[0].select(F.col("u").alias("node"), F.col("p").alias("u"))
     for hooked in rounds[1:]:
         label = salted_lookup(label, hooked, "u", ["node"]).select("node", F.coalesce("p", "u").alias("u"))
     label = scratch.table(label, "label")
+    scratch.release(e, *rounds)
     least = label.groupBy("u").agg(F.min("node").alias("component"))
     return salted_lookup(label, least, "u", ["node"], "inner").select("node", "component")

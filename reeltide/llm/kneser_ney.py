@@ -32,12 +32,12 @@ BROADCAST_ENTRIES = 6_000_000
 #: Labelled rows that calibrate the score.
 CALIBRATION_ROWS = 20_000
 #: Distinct n-grams that a task holds before it passes its counts on.
-_HELD = 1_000_000
+_HELD = 300_000
 _MASK = (1 << 8 * ORDER) - 1
 #: Added to a context's key, to keep it apart from n-grams.
 _CONTEXT = 1 << 60
-#: Number of highest-scoring distinct expressions that are features.
-TOP = 3
+#: Number of highest-scoring distinct expressions that are features, and the powers of their length that normalise their scores.
+TOP, POWERS = 5, (1.0, 0.5)
 
 
 def _grams(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -161,22 +161,21 @@ def _lookup(keys: np.ndarray, values: np.ndarray, gram: np.ndarray) -> np.ndarra
 
 
 def _summaries(score: np.ndarray, size: np.ndarray, row: np.ndarray, rows: int) -> list[pa.Array]:
-    """Per row: its TOP highest length-normalised expression scores and the mean over all its bytes."""
-    order = np.lexsort((-score / size, row))
-    row, score, size = row[order], score[order], size[order]
+    """Per row: its TOP highest expression scores by each normalisation, the mean over all its bytes, and the logarithm of its number of words."""
     n = np.bincount(row, minlength=rows)
     begin = np.cumsum(n) - n
     out = []
-    for k in range(TOP):
-        best = np.zeros(rows)
-        has = n > k
-        best[has] = (score / size)[begin[has] + k]
-        out.append(pa.array(best))
-    out.append(pa.array(np.bincount(row, score, rows) / np.maximum(np.bincount(row, size, rows), 1)))
-    return out
+    for power in POWERS:
+        normal = score / size**power
+        ranked = normal[np.lexsort((-normal, row))]
+        for k in range(TOP):
+            best = np.zeros(rows)
+            best[n > k] = ranked[begin[n > k] + k]
+            out.append(pa.array(best))
+    return [*out, pa.array(np.bincount(row, score, rows) / np.maximum(np.bincount(row, size, rows), 1)), pa.array(np.log1p(n))]
 
 
-FEATURES = [f"top{k}" for k in range(TOP)] + ["mean"]
+FEATURES = [*(f"top{p}_{k}" for p in range(len(POWERS)) for k in range(TOP)), "mean", "words"]
 
 
 def _features(shared):
@@ -205,7 +204,7 @@ def _explode(batches):
 
 
 def features(docs: DataFrame, id_col: str, text_col: str, model: DataFrame, entries: int) -> DataFrame:
-    """(id, top0.., mean) of every row; ids should be unique where the model is too large to broadcast."""
+    """(id, *FEATURES) of every row; ids should be unique where the model is too large to broadcast."""
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     kinds = f"id {docs.schema[id_col].dataType.simpleString()}"
     if entries <= BROADCAST_ENTRIES:
@@ -217,9 +216,10 @@ def features(docs: DataFrame, id_col: str, text_col: str, model: DataFrame, entr
     context = model.select((F.col("key") - F.lit(_CONTEXT)).alias("context"), F.col("llr").alias("other"))
     known = known.withColumn("context", F.shiftright("gram", 8)).join(context, "context", "left")
     words = known.groupBy("id", "word").agg(F.sum(F.coalesce("llr", "other", F.lit(0.0))).alias("score"), F.count("*").alias("size"))
-    best = words.groupBy("id").agg(F.sort_array(F.collect_list(F.col("score") / F.col("size")), False).alias("x"), (F.sum("score") / F.sum("size")).alias("mean"))
-    tops = [F.coalesce(F.get("x", k), F.lit(0.0)).alias(f"top{k}") for k in range(TOP)]
-    return source.select("id").join(best.select("id", *tops, "mean"), "id", "left").na.fill(0.0, FEATURES)
+    ranked = [F.sort_array(F.collect_list(F.col("score") / F.pow("size", F.lit(p))), False).alias(f"x{i}") for i, p in enumerate(POWERS)]
+    best = words.groupBy("id").agg(*ranked, (F.sum("score") / F.sum("size")).alias("mean"), F.log1p(F.count("*").cast("double")).alias("words"))
+    tops = [F.coalesce(F.get(f"x{i}", k), F.lit(0.0)).alias(f"top{i}_{k}") for i in range(len(POWERS)) for k in range(TOP)]
+    return source.select("id").join(best.select("id", *tops, "mean", "words"), "id", "left").na.fill(0.0, FEATURES)
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
@@ -255,6 +255,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     model = fit(trained, "text", "y", scratch)
     entries = model.count()
     known = scratch.table(features(docs.select(id_col, text_col), id_col, text_col, model, entries), "features")
+    scratch.keep_only(known)
     fitted = known.join(marked.join(picked, "id", "left_semi").select("id", "y"), "id").select(*FEATURES, "y").toPandas()
     y = fitted["y"].to_numpy(float)
     if len(y) and 0 < y.sum() < len(y):

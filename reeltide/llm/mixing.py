@@ -53,6 +53,7 @@ def plan_mix(
     parts = max(1, -(-(targets.agg(F.sum("rows")).first()[0] or 0) // _RANGE_ROWS))
     order = [F.col("source").asc_nulls_last(), "key", "id", "size"]
     ranged = scratch.table(rows.repartitionByRange(parts, *order).withColumn("part", F.spark_partition_id()), "ranged")
+    scratch.keep_only(targets, ranged)
     before = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = ranged.groupBy("source", "part").agg(F.sum("size").alias("s")).select("source", "part", F.coalesce(F.sum("s").over(before), F.lit(0)).alias("offset"))
     within = Window.partitionBy("part", "source").orderBy("key", "id", "size").rowsBetween(Window.unboundedPreceding, -1)

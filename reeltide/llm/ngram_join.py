@@ -258,6 +258,7 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     asked = scratch.table(source.mapInArrow(_ask(words, buckets, hot), _ASKED), "asked")
     told = asked.where("bucket >= 0").groupBy("bucket").applyInArrow(_count, _ASKED)
     indexed = scratch.table(asked.where("bucket < 0").unionByName(told).groupBy("block").applyInArrow(_index(num, den), "sig long, node long, n long, tokens array<long>"), "index")
+    scratch.release(asked)
     sets = indexed.where("sig is null").select("node", "n", "tokens")
     posts = indexed.where("sig is not null").select("sig", "node", "n").distinct()
     posts = scratch.table(posts, "posts")
@@ -295,7 +296,9 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     nodes = salted_lookup(part.select("node", "n", "part").distinct(), family.withColumnRenamed("component", "family"), "node", ["n"], "inner")
     nodes = scratch.table(nodes.withColumn("bucket", F.floor(F.log("n") / float(np.log(den / num)) + 1e-9).cast("int")), "families")
     more = _within_families(nodes, sets, num, den, scratch)
-    return members, scratch.table(links.unionByName(more), "links")
+    links = scratch.table(links.unionByName(more), "links")
+    scratch.keep_only(seen, links)
+    return members, links
 
 
 def _within_families(nodes: DataFrame, sets: DataFrame, num: int, den: int, scratch: Scratch) -> DataFrame:
@@ -388,6 +391,7 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     tied = salted_lookup(alike, twice.select("doc_id", "u"), "doc_id", ["node"], "inner").where("node <> u").select("u", F.col("node").alias("v"))
     part = connected_components(links.unionByName(tied), scratch)
     named = scratch.table(salted_lookup(alike.select("doc_id", "node").distinct(), part, "node", ["doc_id"]).select("doc_id", "node", F.coalesce("component", "node").alias("part")), "named")
+    scratch.keep_only(named)
     least = named.groupBy("part").agg(F.min("doc_id").alias("component_id"))
     by_node = salted_lookup(named.groupBy("node").agg(F.min("part").alias("part")), least, "part", ["node"], "inner").select("node", "component_id")
     out = salted_lookup(members, by_node, "node", ["doc_id"])

@@ -153,6 +153,7 @@ def _linked(rows: DataFrame, classed: DataFrame, classes: DataFrame, least: floa
     named = salted_lookup(named, degrees.withColumnRenamed("u", "node"), "node", ["id"])
     named = salted_lookup(named, part, "node", ["id"]).select("id", "node", F.coalesce("component", "node").alias("component"), (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
     named = scratch.table(named, "linked")
+    scratch.keep_only(named, rows)
     least_id = named.groupBy("component").agg(F.min("id").alias("component_id"))
     named = salted_lookup(named, least_id, "component", ["id", "node"], "inner").select("id", "n_links", "component_id")
     alone = rows.where("not sound").select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))

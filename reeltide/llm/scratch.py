@@ -24,13 +24,21 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+#: Rows of one Arrow batch at most: documents come to Python tasks in batches of a few MB.
+BATCH_ROWS = 1000
+
+
 class Scratch:
     """A fresh folder below the shared one, for the tables of one operator call."""
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
+        setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+        if not 0 < int(spark.conf.get(setting)) <= BATCH_ROWS:
+            spark.conf.set(setting, BATCH_ROWS)
         self.root = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
         self._n = 0
+        self._tables: dict[str, DataFrame] = {}
 
     def folder(self, name: str) -> str:
         self._n += 1
@@ -40,7 +48,20 @@ class Scratch:
         """Write ``df`` and return it as read back, with its lineage cut."""
         path = self.folder(name)
         df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        self._tables[path] = self.spark.read.schema(df.schema).parquet(path)
+        return self._tables[path]
+
+    def release(self, *tables: DataFrame) -> None:
+        """Delete tables that nothing reads any more."""
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        for path in [p for p, t in self._tables.items() if any(t is x for x in tables)]:
+            place = jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(conf).delete(place, True)
+            del self._tables[path]
+
+    def keep_only(self, *tables: DataFrame) -> None:
+        """Delete all tables but those that the result still reads."""
+        self.release(*[t for t in self._tables.values() if not any(t is x for x in tables)])
 
 
 #: Copies of each row of the unique side in a salted lookup: a key that holds a third of the other side is read by this many tasks.

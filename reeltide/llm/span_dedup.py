@@ -120,6 +120,7 @@ def remove_repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str
     firsts = scratch.table(firsts, "firsts")
     later = salted_lookup(spans, firsts, "hash", ["id", "a"], "inner").where(~F.struct("id", "a").eqNullSafe(F.col("first")))
     cuts = scratch.table(later.groupBy("id").agg(F.collect_set(F.struct("a", "b")).alias(_CUTS)), "cuts")
+    scratch.keep_only(cuts)
     joined = docs.join(cuts.withColumnRenamed("id", "__span_id"), F.col(id_col).cast("long").eqNullSafe(F.col("__span_id")), "left").select(*docs.columns, _CUTS)
     schema = T.StructType([*docs.schema.fields, T.StructField("sentences_removed", T.LongType()), T.StructField("words_removed", T.LongType())])
     at = [c.lower() for c in docs.columns].index(text_col.lower())

@@ -16,7 +16,7 @@ _BASE = 0x9E3779B97F4A7C15
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 #: Bytes of text worked on at once (a longer document is a chunk of its own).
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True

@@ -208,3 +208,16 @@ def test_empty_tables(spark, documents):
     assert packing.pack(none, PATH).isEmpty()
     assert bin_packing.shard(none).isEmpty()
     assert kneser_ney.toxicity(none, spark.createDataFrame([], "doc_id long, toxic int")).isEmpty()
+
+
+def test_scratch_keeps_what_is_read(spark):
+    from py4j.protocol import Py4JJavaError
+    from pyspark.errors import PySparkException
+
+    scratch = Scratch(spark, "test")
+    a = scratch.table(spark.range(5).toDF("x"))
+    b = scratch.table(a.selectExpr("x + 1 as x"))
+    scratch.keep_only(b)
+    assert b.count() == 5
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        a.count()
