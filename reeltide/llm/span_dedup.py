@@ -2,14 +2,15 @@
 
 Every run of several consecutive sentences is hashed: from each sentence on, and back from each sentence,
 the shortest run that has ``sentences`` sentences and ``least_words`` words, or ``many_words`` words in
-however many sentences. Runs meet globally by hash; of equal runs that with the smallest (id, position) is
-the first, and every sentence that any other one covers is removed.
+however many sentences. Runs meet globally by hash; of equal runs that with the smallest (id, hash of its text, position)
+is the first, and every sentence that any other one covers is removed.
 
 A sentence ends after a word that ends in ``.``, ``!`` or ``?``, and at a line's end. Runs compare by their
 words (A-Z folded), so white space between them doesn't matter.
 
 Defined cases: null text stays null and empty text empty; documents shorter than any run are left alone; rows
-that share id and text are one document and are treated alike; a null id orders before all others; a
+that share id and text are one document and are treated alike; rows that share only the id, be it null, are
+documents of their own; a null id orders before all others; a
 document that only repeats others keeps its row, with what is left of its text. Other columns pass through.
 """
 
@@ -74,8 +75,8 @@ def _hash_runs(sizes: tuple[int, int, int]):
                 bounds = np.append(first, len(start))
                 h = W.sequence_hashes(word, bounds[a], bounds[b + 1])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(h.view(np.int64)), batch.column(0)[x:y].take(pa.array(where[a])), pa.array(number[a].astype(np.int32)), pa.array(number[b].astype(np.int32))],
-                    ["hash", "id", "a", "b"],
+                    [pa.array(h.view(np.int64)), *(batch.column(i)[x:y].take(pa.array(where[a])) for i in (0, 2)), pa.array(number[a].astype(np.int32)), pa.array(number[b].astype(np.int32))],
+                    ["hash", "id", "of", "a", "b"],
                 )
 
     return run
@@ -114,14 +115,15 @@ def _cut(batches, text_at: int, cuts_at: int):
 def remove_repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sentences: int = 3, least_words: int = 25, many_words: int = 50) -> DataFrame:
     """``docs`` with the text cut, and ``sentences_removed`` and ``words_removed`` added."""
     scratch = Scratch(docs.sparkSession, "span-dedup")
-    source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    spans = scratch.table(source.mapInArrow(_hash_runs((sentences, least_words, many_words)), "hash long, id long, a int, b int"), "spans")
-    firsts = spans.groupBy("hash").agg(F.count("*").alias("n"), F.min(F.struct("id", "a")).alias("first")).where("n > 1").select("hash", "first")
+    id_, text = F.col(id_col).cast("long"), F.col(text_col).cast("string")
+    source = docs.select(id_.alias("id"), text.alias("text"), F.xxhash64(text).alias("of"))  # a document is an id and a text
+    spans = scratch.table(source.mapInArrow(_hash_runs((sentences, least_words, many_words)), "hash long, id long, of long, a int, b int"), "spans")
+    firsts = spans.groupBy("hash").agg(F.count("*").alias("n"), F.min(F.struct("id", "of", "a")).alias("first")).where("n > 1").select("hash", "first")
     firsts = scratch.table(firsts, "firsts")
-    later = salted_lookup(spans, firsts, "hash", ["id", "a"], "inner").where(~F.struct("id", "a").eqNullSafe(F.col("first")))
-    cuts = scratch.table(later.groupBy("id").agg(F.collect_set(F.struct("a", "b")).alias(_CUTS)), "cuts")
+    later = salted_lookup(spans, firsts, "hash", ["id", "of", "a"], "inner").where(~F.struct("id", "of", "a").eqNullSafe(F.col("first")))
+    cuts = scratch.table(later.groupBy("id", "of").agg(F.collect_set(F.struct("a", "b")).alias(_CUTS)), "cuts")
     scratch.keep_only(cuts)
-    joined = docs.join(cuts.withColumnRenamed("id", "__span_id"), F.col(id_col).cast("long").eqNullSafe(F.col("__span_id")), "left").select(*docs.columns, _CUTS)
+    joined = docs.join(cuts.withColumnsRenamed({"id": "__span_id", "of": "__span_of"}), id_.eqNullSafe(F.col("__span_id")) & (F.xxhash64(text) == F.col("__span_of")), "left").select(*docs.columns, _CUTS)
     schema = T.StructType([*docs.schema.fields, T.StructField("sentences_removed", T.LongType()), T.StructField("words_removed", T.LongType())])
     at = [c.lower() for c in docs.columns].index(text_col.lower())
     n = len(docs.columns)

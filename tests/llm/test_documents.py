@@ -65,6 +65,20 @@ def test_spans_keep_other_columns_and_clean_documents(spark, documents):
     assert out.where("sentences_removed = 0").select(documents.columns).exceptAll(documents).isEmpty()
 
 
+def test_spans_of_null_and_repeated_ids(spark):
+    passage = " ".join(f"shared{i} of every one of them is here." for i in range(8))
+    own = [" ".join(f"own{k} sentence{j} differs from all the others in here." for j in range(1 + k % 3)) for k in range(9)]
+    ids = [None, None, None, None, 5, 5, 5, 5, 9]
+    rows = [(i, f"{o}\n{passage}" if k % 4 else o) for k, (i, o) in enumerate(zip(ids, own, strict=True))]
+    rows += [(7, f"{passage}\nleft{k} alone."[: None if k else len(passage)]) for k in range(3)]  # the same run at the same place
+    got = [(r.doc_id, r.text) for r in span_dedup.remove_repeated_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert len(got) == len(rows)
+    assert [i for i, t in got if passage in t] == [None] and sum("shared" in t for _, t in got) == 1
+    bare = lambda t: t.replace(passage, "").strip()
+    key = lambda r: (r[0] is None, r[0] or 0, r[1])
+    assert sorted(((i, bare(t)) for i, t in got), key=key) == sorted(((i, bare(t)) for i, t in rows), key=key)
+
+
 def test_mixing(documents, corpus):
     plan = mixing.plan_mix(documents).collect()
     size = {i: len(WORD.findall(t or "")) for i, t in corpus}
