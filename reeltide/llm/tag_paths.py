@@ -3,9 +3,10 @@
 A page's text nodes are grouped by their tag path from root to leaf (tags with their classes). Each path has its
 text length, its punctuation and its link text for each node; the ratios are fused (length times punctuation,
 damped by links), smoothed over the page's order of nodes with a Gaussian, and a threshold on the smoothed value
-selects the paths of content. Paths through elements that are never main text (menus, headers and footers
-of the page, asides, forms, adverts, notices, comments, scripts, styles) have ratio zero, and where the
-page marks its article or main element with enough of the remaining text, only paths through it compete.
+selects the paths of content. Elements that are never main text (menus, headers and footers of the page, asides,
+forms, scripts, styles, what is hidden) are left out, and so are those whose class, id or role has a word for adverts,
+notices, comments and the like, unless such an element holds most of the page's text or of its article and main elements.
+Where the page marks its article or main element with enough of the remaining text, only paths through it compete.
 
 A page is one bounded document and is worked on by itself; the pages are spread by Spark.
 
@@ -35,35 +36,48 @@ SIBLINGS = {"li": ("li", ("ul", "ol", "menu")), "dt": ("dt dd", ("dl",)), "dd":
 #: Words of class, id and role that mark what isn't main text.
 NOISE = frozenset("ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promotion cookie cookies consent gdpr notice notices alert popup modal overlay sidebar side aside rail menu nav navbar navigation breadcrumb breadcrumbs pagination pager header masthead footer comment comments reply replies respond disqus discussion share sharing social related recommended newsletter subscribe signup login widget toolbar skip complementary contentinfo search".split())
 
+#: Those that are no noise within an article, and those of what readers wrote.
+HEADING, READERS = frozenset("header masthead".split()), frozenset("comment comments reply replies respond disqus discussion".split())
+
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-_MARKS = re.compile(r"""(class|id|role|aria-hidden|hidden|style)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s/>=]+)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
 _WORDS = re.compile(r"[a-z]+")
+#: Classes that say what an element has or is filed under, not what it is.
+_MODIFIER = re.compile(r"(?:has|no|not|with|without|is|category|cat|tag|tags|topic)[-_]")
 _SPACE = re.compile(r"\s+")
 _PUNCTUATION = re.compile(r"[.,;:!?…。、，！？]")
 #: Standard deviation of the smoothing in nodes, and the share of the page's mean from which a path is content; within a marked article.
 SIGMA, THRESHOLD, MARKED_THRESHOLD = 1.0, 0.15, 0.001
 #: Share of the text left after exclusions that marked articles must hold to be the only candidates.
 MARKED = 0.3
+#: Share of the page's text, or of its article and main elements', from which an element is no noise whatever its class; of the page's, for readers' comments and beside an article.
+MOST, NEARLY_ALL = 0.5, 0.9
+
+
+def _attributes(text: str) -> dict[str, str]:
+    """Names and values of an element's attributes in lower case; the first of a name counts."""
+    found: dict[str, str] = {}
+    for name, value in _ATTRIBUTE.findall(text):
+        found.setdefault(name.lower(), (value[1:-1] if value[:1] in ("'", '"') else value).lower())
+    return found
+
+
+def _hidden(attributes: dict[str, str]) -> bool:
+    return "hidden" in attributes or attributes.get("aria-hidden") == "true" or "display:none" in attributes.get("style", "").replace(" ", "")
 
 
-def _hidden(attributes: str) -> tuple[bool, str]:
-    """Whether an element's attributes mark it as noise or hidden, and its classes."""
-    classes = ""
-    for name, value in _MARKS.findall(attributes):
-        name, value = name.lower(), value.strip("\"'").lower()
-        if name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and "display:none" in value.replace(" ", "")):
-            return True, classes
-        if name in ("class", "id", "role"):
-            if NOISE & set(_WORDS.findall(value)):
-                return True, classes
-            classes = value if name == "class" else classes
-    return False, classes
+def _noise(attributes: dict[str, str]) -> set[str]:
+    """The words of class, id and role that mark what isn't main text."""
+    names = (x for k in ("class", "id", "role") if k in attributes for x in attributes[k].split())
+    return {w for x in names if not _MODIFIER.match(x) for w in _WORDS.findall(x)} & NOISE
 
 
 def text_nodes(html: str) -> list[tuple[int, str, str, bool, bool, bool]]:
     """(block, path, text, link, excluded, in article) of each text node; text with its references decoded."""
     nodes = []
-    stack: list[tuple[str, str, bool, bool, bool]] = [("", "", False, False, False)]  # tag, path, link, excluded, article
+    # tag, path, link, excluded, article; elements with words of noise around it, and those of them that hold an article around it
+    stack: list[tuple[str, str, bool, bool, bool, tuple, tuple]] = [("", "", False, False, False, (), ())]
+    suspects: list[tuple[set[str], bool]] = []
     block = at = 0
 
     def pop(depth: int) -> None:
@@ -77,8 +91,7 @@ def text_nodes(html: str) -> list[tuple[int, str, str, bool, bool, bool]]:
         m = _TOKEN.search(html, at)
         text = html[at : m.start() if m else end]
         if text:
-            _, path, link, excluded, article = stack[-1]
-            nodes.append((block, path, unescape(text), link, excluded, article))
+            nodes.append((block, stack[-1][1], unescape(text), *stack[-1][2:]))
         if not m:
             break
         at = m.end()
@@ -93,7 +106,7 @@ def text_nodes(html: str) -> list[tuple[int, str, str, bool, bool, bool]]:
                 block += 1
             continue
         if tag == "br":
-            nodes.append((block, stack[-1][1], " ", False, True, False))
+            nodes.append((block, stack[-1][1], " ", False, True, False, (), ()))
             continue
         if tag not in INLINE:
             block += 1
@@ -111,16 +124,41 @@ def text_nodes(html: str) -> list[tuple[int, str, str, bool, bool, bool]]:
                         break
         if tag in VOID or m[3].endswith("/") and tag in RAW:
             continue
-        _, path, link, excluded, article = stack[-1]
-        noise, classes = _hidden(m[3]) if m[3].strip() and tag not in ("html", "body") else (False, "")
+        _, path, link, excluded, article, within, holding = stack[-1]
+        attributes = _attributes(m[3]) if m[3].strip() else {}
+        classes = attributes.get("class", "")
         header = tag == "header" and not article
         own = path if tag in INLINE else f"{path}/{tag}.{classes}" if classes else f"{path}/{tag}"  # words in bold or links belong to their block's path
         if tag in RAW:
             close = re.compile(rf"</{tag}\s*>", re.I).search(html, at)
             at = close.end() if close else end
             continue
-        stack.append((tag, own, link or tag == "a", excluded or noise or header or tag in NEVER, article or (tag in ("article", "main") or 'role="main"' in m[3]) and not excluded))
-    return nodes
+        excluded = excluded or header or tag in NEVER
+        if attributes and tag not in ("html", "body"):
+            excluded = excluded or _hidden(attributes)
+            words = _noise(attributes) - (HEADING if article else set())
+            if words and not excluded:
+                within = (*within, len(suspects))
+                suspects.append((words, article))
+        if (tag in ("article", "main") or attributes.get("role") == "main") and not excluded:
+            article, holding = True, within
+        outward = tag == "a" and not attributes.get("href", "").startswith("#")
+        stack.append((tag, own, link or outward, excluded, article, within, holding))
+    if not suspects:
+        return [x[:6] for x in nodes]
+    whole = marked = 0
+    held, held_marked = [0] * len(suspects), [0] * len(suspects)
+    for _, _, text, _, excluded, article, within, holding in nodes:
+        if not excluded and not text.isspace():
+            whole += len(text)
+            marked += len(text) * article
+            for i in within:
+                held[i] += len(text)
+            for i in holding:
+                held_marked[i] += len(text)
+    share = [NEARLY_ALL if words & READERS or marked and not inside else MOST for words, inside in suspects]
+    noise = {i for i in range(len(suspects)) if not (held[i] > share[i] * whole or 0 < marked * MOST <= held_marked[i])}
+    return [(*x[:4], x[4] or not noise.isdisjoint(x[6]), x[5]) for x in nodes]
 
 
 def main_text(html: str | None) -> str:

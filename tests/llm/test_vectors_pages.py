@@ -157,6 +157,30 @@ def test_main_text_without_marks():
     assert [tag_paths.main_text(x) for x in (None, "", "just  text", "<p>a<p>b", "<nav>x</nav>", "<script>x", "a < b", "<p>" * 500 + "deep")] == ["", "", "just text", "a\nb", "", "", "a < b", "deep"]
 
 
+LONG = [f"Paragraph {i} tells a part of the story, with commas, and it ends. " * 5 for i in range(3)]
+BODY = "".join(f"<p>{x}</p>" for x in LONG)
+TOLD = "\n".join(x.strip() for x in LONG)
+
+
+@pytest.mark.parametrize("page", [f"<div class='content has-sidebar'>{BODY}</div>", f"<div class='page sidebar-left'><article>{BODY}</article></div>", f"<article class='post category-social'>{BODY}</article>", f"<article class='widget'>{BODY}</article>", f"<main><div id='related'><article>{BODY}</article></div></main>", f"<article><div class='social'>{BODY}</div></article>"])
+def test_a_class_word_does_not_drop_the_main_text(page):
+    around = f"<body><div class='sidebar'><p>Popular now, and more of it.</p></div>{page}<div class='related'><p>Read this, too.</p></div></body>"
+    assert tag_paths.main_text(around) == TOLD
+
+
+def test_an_advert_longer_than_a_short_article_goes():
+    assert tag_paths.main_text("<div class='ad'>Buy it now, while it is cheap, and tell all your friends of it, too.</div><article><h1>The title</h1><p>A short one.</article>") == "The title\nA short one."
+
+
+def test_headings_and_links_of_an_article_stay():
+    assert tag_paths.main_text(f"<article><div class='entry-header'><h1><a href='/x'>The title</a></h1></div>{BODY}</article>") == f"The title\n{TOLD}"
+    marks = ["href='/wiki/hidden-valley'", "href=/wiki/hidden", "href='/p?id=search'", "title='the hidden coast' href='/x'", "data-hidden='false' href='/x'", "data-style='display:none' href='/x'", "data-class='ad' href='/x'", "aria-hidden='false' href='/x'"]
+    for mark in marks:
+        assert tag_paths.main_text(f"<article>{BODY}<p>Words, and <a {mark}>a link</a>, more words.</p></article>") == f"{TOLD}\nWords, and a link, more words."
+    for mark in ("hidden", "HIDDEN=''", "aria-hidden=true", "style='color:red; display: none'"):
+        assert tag_paths.main_text(f"<article>{BODY}<p {mark}>Not to be seen, ever.</p></article>") == TOLD
+
+
 def test_extraction_of_the_given_pages(spark, small):
     pages = spark.read.parquet(f"{small}/pages.parquet")
     got = {r.page_id: r for r in tag_paths.extract(pages.withColumn("text", F.lit("x"))).collect()}
