@@ -6,7 +6,8 @@ damped by links), smoothed over the page's order of nodes with a Gaussian, and a
 selects the paths of content. Elements that are never main text (menus, headers and footers of the page, asides,
 forms, scripts, styles, what is hidden) are left out, and so are those whose class, id or role has a word for adverts,
 notices, comments and the like, unless such an element holds most of the page's text or of its article and main elements.
-Where the page marks its article or main element with enough of the remaining text, only paths through it compete.
+Where the page marks its article or main element with enough of the remaining text, only paths through it compete;
+they weigh more against the threshold. A path of links alone is never content, but for the page's own title (h1).
 
 A page is one bounded document and is worked on by itself; the pages are spread by Spark.
 
@@ -42,12 +43,13 @@ HEADING, READERS = frozenset("header masthead".split()), frozenset("comment comm
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 _ATTRIBUTE = re.compile(r"""([^\s/>=]+)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
 _WORDS = re.compile(r"[a-z]+")
+_TITLE = re.compile(r"/h1(?![^./])")
 #: Classes that say what an element has or is filed under, not what it is.
 _MODIFIER = re.compile(r"(?:has|no|not|with|without|is|category|cat|tag|tags|topic)[-_]")
 _SPACE = re.compile(r"\s+")
 _PUNCTUATION = re.compile(r"[.,;:!?…。、，！？]")
-#: Standard deviation of the smoothing in nodes, and the share of the page's mean from which a path is content; within a marked article.
-SIGMA, THRESHOLD, MARKED_THRESHOLD = 1.0, 0.15, 0.001
+#: Standard deviation of the smoothing in nodes, the share of the page's mean from which a path is content, and what a path within a marked article weighs.
+SIGMA, THRESHOLD, MARK_WEIGHT = 1.0, 0.15, 3.0
 #: Share of the text left after exclusions that marked articles must hold to be the only candidates.
 MARKED = 0.3
 #: Share of the page's text, or of its article and main elements', from which an element is no noise whatever its class; of the page's, for readers' comments and beside an article.
@@ -186,8 +188,8 @@ def main_text(html: str | None) -> str:
     for j, (i, _) in enumerate(line):
         near = [(w, line[j + k][1]) for k, w in zip(reach, kernel, strict=True) if 0 <= j + k < len(line)]
         smooth[nodes[i][1]].append(sum(w * x for w, x in near) / sum(w for w, _ in near))
-    least = (MARKED_THRESHOLD if only else THRESHOLD) * sum(x for _, x in line) / max(1, len(line))
-    chosen = {k for k, x in smooth.items() if sum(x) / len(x) >= least and (only or value[k] > 0)}
+    least = THRESHOLD / (MARK_WEIGHT if only else 1) * sum(x for _, x in line) / max(1, len(line))
+    chosen = {k for k, x in smooth.items() if sum(x) / len(x) >= least and (value[k] > 0 or only and _TITLE.search(k))}
     blocks: dict[int, list[str]] = defaultdict(list)
     for block, path, text, _, out, article in nodes:
         if text == " " and out:  # a line break

@@ -181,6 +181,22 @@ def test_headings_and_links_of_an_article_stay():
         assert tag_paths.main_text(f"<article>{BODY}<p {mark}>Not to be seen, ever.</p></article>") == TOLD
 
 
+@pytest.mark.parametrize(
+    "extra",
+    [
+        "<ul class='more-stories'>" + "".join(f"<li><a href='/{i}'>Another story of the day</a></li>" for i in range(10)) + "</ul>",
+        "<div class='mpu'><a href='/buy'>Buy it now, while it is cheap!</a></div>",
+        "<div class='ad-slot'><p>Buy it now, while it is cheap!</p></div>",
+        "<div class='comments'>" + "".join(f"<p>Reader {i} says something long, and then even more of it, to the end.</p>" for i in range(9)) + "</div>",
+    ],
+    ids=["links", "linked advert", "advert", "comments"],
+)
+def test_what_is_not_main_text_within_an_article(extra):
+    assert tag_paths.main_text(f"<body><article>{BODY}{extra}</article></body>") == TOLD
+    items = "<ul><li>Short one</li><li>Short two</li><li>Short three</li><li>Short four</li></ul>"
+    assert tag_paths.main_text(f"<article>{BODY}{items}{extra}</article>") == f"{TOLD}\nShort one\nShort two\nShort three\nShort four"
+
+
 def test_extraction_of_the_given_pages(spark, small):
     pages = spark.read.parquet(f"{small}/pages.parquet")
     got = {r.page_id: r for r in tag_paths.extract(pages.withColumn("text", F.lit("x"))).collect()}
