@@ -179,6 +179,15 @@ def test_sharding(spark, documents, corpus):
     assert len(b) == 8 and (max(b) - min(b)) / (sum(b) / 8) < 0.005
 
 
+def test_sharding_in_hundreds_of_packs(spark, monkeypatch):
+    monkeypatch.setattr(bin_packing, "PACK_GROUPS", 100)
+    k = F.pmod(F.xxhash64("id"), F.lit(50)).cast("int")
+    many = spark.range(30000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, F.repeat(F.lit("the same text "), 6)).otherwise(F.concat(F.lit("t "), F.repeat(F.lit("xy "), k), F.col("id").cast("string"))).alias("text"))
+    size = bin_packing.shard(many).groupBy("shard").agg(F.sum("size").alias("b"), F.count("*").alias("n")).collect()
+    for x in ([r.b for r in size], [r.n for r in size]):
+        assert len(x) == 8 and (max(x) - min(x)) / (sum(x) / 8) < 0.02
+
+
 def test_toxicity_held_out(spark, tmp_path, monkeypatch):
     import random
 
