@@ -188,6 +188,18 @@ def test_sharding_in_hundreds_of_packs(spark, monkeypatch):
         assert len(x) == 8 and (max(x) - min(x)) / (sum(x) / 8) < 0.02
 
 
+def test_sharding_keeps_groups_that_fit_whole(spark):
+    text = F.when(F.col("id") < 1000, F.concat(F.lit("copied "), (F.col("id") % 50).cast("string"))).when(F.col("id") < 1800, F.lit("tenth of all rows")).otherwise(F.concat(F.lit("a text alone "), F.col("id").cast("string")))
+    rows = bin_packing.shard(spark.range(8000).select(F.col("id").alias("doc_id"), text.alias("text"))).collect()
+    homes, size = defaultdict(set), defaultdict(int)
+    for r in rows:
+        size[r.shard] += r["size"]
+        if r.doc_id < 1800:
+            homes[r.text_crc32].add(r.shard)
+    assert len(homes) == 51 and all(len(s) == 1 for s in homes.values())
+    assert len(size) == 8 and max(size.values()) - min(size.values()) < 0.01 * sum(size.values()) / 8
+
+
 def test_toxicity_held_out(spark, tmp_path, monkeypatch):
     import random
 
