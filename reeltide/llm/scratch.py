@@ -64,6 +64,14 @@ class Scratch:
         self.release(*[t for t in self._tables.values() if not any(t is x for x in tables)])
 
 
+def free_name(name: str, taken: list[str]) -> str:
+    """``name``, or with as many underscores before it as keep it apart from the columns ``taken``."""
+    used = {c.lower() for c in taken}
+    while name.lower() in used:
+        name = f"_{name}"
+    return name
+
+
 #: Copies of each row of the unique side in a salted lookup: a key that holds a third of the other side is read by this many tasks.
 SALTS = 8
 

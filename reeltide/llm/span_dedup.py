@@ -1,17 +1,21 @@
 """Substring deduplication over sliding runs of sentences.
 
-Every run of several consecutive sentences is hashed: from each sentence on, and back from each sentence,
-the shortest run that has ``sentences`` sentences and ``least_words`` words, or ``many_words`` words in
-however many sentences. Runs meet globally by hash; of equal runs that with the smallest (id, hash of its text, position)
-is the first, and every sentence that any other one covers is removed.
-
-A sentence ends after a word that ends in ``.``, ``!`` or ``?``, and at a line's end. Runs compare by their
-words (A-Z folded), so white space between them doesn't matter.
-
-Defined cases: null text stays null and empty text empty; documents shorter than any run are left alone; rows
+Every run of ``sentences`` consecutive sentences with ``least_words`` words or more is hashed, and the runs meet globally by
+hash. A run that only exact copies of one text share says no more than that the text repeats; any other repeated run
+may lie in a passage that repeats, whose ends needn't fall on sentences. So the stretches of ``many_words`` words around
+each of its occurrences are hashed and meet globally in turn; of equal stretches that with the smallest
+(id, hash of its text, position) is the first, and every sentence that the others cover is removed. Of exact copies all but that
+with the smallest id lose what such stretches cover, without meeting anyone word by word.
+
+A sentence ends after a word that ends in ``.``, ``!`` or ``?``, and at a line's end. One of more than LONG words, as in
+text without punctuation, ends also after each word whose hash is the least among its NEAR neighbours on either side,
+so that all copies are cut alike, and at the latest after MOST words. Words compare with A-Z folded; white space between them
+doesn't matter.
+
+Defined cases: null text stays null and empty text empty; documents shorter than a stretch are left alone; rows
 that share id and text are one document and are treated alike; rows that share only the id, be it null, are
-documents of their own; a null id orders before all others; a
-document that only repeats others keeps its row, with what is left of its text. Other columns pass through.
+documents of their own; a null id orders before all others; a document that only repeats others keeps its row, with what
+is left of its text. Other columns pass through, whatever they are called.
 """
 
 from __future__ import annotations
@@ -24,107 +28,193 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reeltide.llm import wordhash as W
-from reeltide.llm.scratch import Scratch, salted_lookup
+from reeltide.llm.scratch import Scratch, free_name, salted_lookup
+
+#: Words of a sentence that ends only where it says so, reach of the comparison that ends a longer one, and words of any.
+LONG, NEAR, MOST = 16, 3, 20
 
 _STOPS = np.zeros(256, bool)
 _STOPS[[0x21, 0x2E, 0x3F]] = True
-_CUTS = "__span_cuts"
-
-
-def sentences(data: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Words (start, end), and of each sentence its first word, its row and its number within the row."""
-    start, end, row = W.word_spans(data, rows)
-    if not len(start):
-        none = np.zeros(0, np.int64)
-        return start, end, none, none, none
-    lines = np.cumsum(data == 0x0A)
-    stop = _STOPS[data[end - 1]]
-    stop[:-1] |= (lines[start[1:]] > lines[end[:-1] - 1]) | (row[1:] != row[:-1])
-    first = np.flatnonzero(np.concatenate([[True], stop[:-1]]))
-    where = row[first]
-    begin = np.searchsorted(where, where)
-    return start, end, first, where, np.arange(len(first)) - begin
-
-
-def runs(first: np.ndarray, where: np.ndarray, words: int, sizes: tuple[int, int, int]) -> tuple[np.ndarray, np.ndarray]:
-    """First and last sentence of every run, ordered by them."""
-    least, few, many = sizes
-    n = len(first)
-    c = np.append(first, words)
-    i = np.arange(n)
-    ahead = np.minimum(np.maximum(i + least - 1, np.searchsorted(c, c[:-1] + few) - 1), np.searchsorted(c, c[:-1] + many) - 1)
-    back = np.maximum(np.minimum(i - least + 1, np.searchsorted(c, c[1:] - few, "right") - 1), np.searchsorted(c, c[1:] - many, "right") - 1)
-    a, b = np.concatenate([i, back]), np.concatenate([ahead, i])
-    fit = (a >= 0) & (b < n)
-    a, b = a[fit], b[fit]
-    same = where[a] == where[b]
-    both = np.unique(a[same] * np.int64(n) + b[same])
-    return both // max(n, 1), both % max(n, 1)
-
-
-def _hash_runs(sizes: tuple[int, int, int]):
+
+
+class Words:
+    """The words of some texts: where they lie, their row, their hashes, and the first word of each sentence."""
+
+    def __init__(self, text: pa.Array):
+        self.data, self.rows = W.text_bytes(text)
+        folded = W._FOLD[self.data]
+        self.start, self.end, self.row = W.word_spans(folded, self.rows)
+        self.hash = W.span_hashes(folded, self.start, self.end)
+        #: Number of the first word of each row, and of all words at the end.
+        self.begin = np.searchsorted(self.row, np.arange(len(self.rows)))
+        self.first = self._sentences()
+
+    def _sentences(self) -> np.ndarray:
+        n = len(self.start)
+        if not n:
+            return np.zeros(0, np.int64)
+        lines = np.cumsum(self.data == 0x0A)
+        stop = _STOPS[self.data[self.end - 1]]
+        stop[:-1] |= (lines[self.start[1:]] > lines[self.end[:-1] - 1]) | (self.row[1:] != self.row[:-1])
+        first = np.flatnonzero(np.concatenate([[True], stop[:-1]]))
+        size = np.diff(np.append(first, n))
+        ends = np.repeat(size > LONG, size)
+        within = np.repeat(np.arange(len(first)), size)
+        rank = W.mix(self.hash)
+        for k in range(1, NEAR + 1):
+            apart = within[k:] != within[:-k]
+            ends[k:] &= (rank[k:] < rank[:-k]) | apart
+            ends[:-k] &= (rank[:-k] < rank[k:]) | apart
+        cuts = np.flatnonzero(ends) + 1
+        first = np.union1d(first, cuts[cuts < n])
+        size = np.diff(np.append(first, n))
+        more = -(-size // MOST) - 1
+        steps = np.arange(int(more.sum())) - np.repeat(np.cumsum(more) - more, more) + 1
+        return np.union1d(first, np.repeat(first, more) + steps * MOST)
+
+    def runs(self, sentences: int, least_words: int) -> tuple[np.ndarray, np.ndarray]:
+        """First word and end of every run of that many sentences of one row with that many words."""
+        bounds = np.append(self.first, len(self.start))
+        a, b = bounds[: max(0, len(bounds) - sentences)], bounds[sentences:]
+        fit = b - a >= least_words
+        fit[fit] = self.row[a[fit]] == self.row[b[fit] - 1]
+        return a[fit], b[fit]
+
+    def stretches(self, a: np.ndarray, b: np.ndarray, words: int) -> np.ndarray:
+        """First words of all stretches of that many words of one row that hold one of the ranges a to b."""
+        row = self.row[a]
+        low = np.maximum(self.begin[row], b - words)
+        high = np.minimum(a, self.begin[row + 1] - words)
+        some = low <= high
+        marks = np.zeros(len(self.start) + 1, np.int64)
+        np.add.at(marks, low[some], 1)
+        np.add.at(marks, high[some] + 1, -1)
+        return np.flatnonzero(np.cumsum(marks)[:-1] > 0)
+
+
+def _hash_runs(sentences: int, least_words: int):
     def run(batches):
         for batch in batches:
             text = W.as_strings(batch.column(1))
             for x, y in W.chunks(text):
-                data, rows = W.text_bytes(text[x:y])
-                data = W._FOLD[data]
-                start, end, first, where, number = sentences(data, rows)
-                a, b = runs(first, where, len(start), sizes)
-                word = W.span_hashes(data, start, end)
-                bounds = np.append(first, len(start))
-                h = W.sequence_hashes(word, bounds[a], bounds[b + 1])
+                words = Words(text[x:y])
+                a, b = words.runs(sentences, least_words)
+                h, row, own = W.sequence_hashes(words.hash, a, b), words.row[a], words.begin[words.row[a]]
+                order = np.lexsort((row, h))
+                again = np.zeros(len(h), bool)
+                same = (h[order][1:] == h[order][:-1]) & (row[order][1:] == row[order][:-1])
+                again[order[1:]] |= same
+                again[order[:-1]] |= same
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(h.view(np.int64)), *(batch.column(i)[x:y].take(pa.array(where[a])) for i in (0, 2)), pa.array(number[a].astype(np.int32)), pa.array(number[b].astype(np.int32))],
-                    ["hash", "id", "of", "a", "b"],
+                    [pa.array(h.view(np.int64)), *(batch.column(i)[x:y].take(pa.array(row)) for i in (0, 2)), pa.array((a - own).astype(np.int32)), pa.array((b - own).astype(np.int32)), pa.array(again)],
+                    ["hash", "id", "of", "a", "b", "again"],
                 )
 
     return run
 
 
-def _cut(batches, text_at: int, cuts_at: int):
-    """Drop the listed sentence ranges from each text; adds how many sentences and words went."""
-    for batch in batches:
-        columns = list(batch.columns)
-        cuts = columns.pop(cuts_at)
-        old = columns[text_at]
-        sentences_gone, words_gone = np.zeros(len(old), np.int64), np.zeros(len(old), np.int64)
-        touched = np.flatnonzero(pc.is_valid(cuts).to_numpy(zero_copy_only=False))
-        new = {}
-        for r in touched:
-            text = W.as_strings(old[int(r) : int(r) + 1])
-            data, rows = W.text_bytes(text)
-            start, _, first, _, _ = sentences(data, rows)
-            gone = np.zeros(len(first) + 1, np.int64)
-            for c in cuts[int(r)].as_py():
-                gone[c["a"]] += 1
-                gone[c["b"] + 1] -= 1
-            gone = np.cumsum(gone)[:-1] > 0
-            edges = np.append(start[first], len(data))
-            edges[0] = 0
-            kept = b"".join(data[edges[i] : edges[i + 1]].tobytes() for i in np.flatnonzero(~gone))
-            new[r] = kept.decode()
-            sentences_gone[r], words_gone[r] = gone.sum(), np.diff(np.append(first, len(start)))[gone].sum()
-        if len(touched):
-            mask = np.zeros(len(old), bool)
-            mask[touched] = True
-            columns[text_at] = pc.replace_with_mask(old, pa.array(mask), pa.array([new[r] for r in touched], old.type))
-        yield pa.RecordBatch.from_arrays([*columns, pa.array(sentences_gone), pa.array(words_gone)], [f"c{i}" for i in range(len(columns) + 2)])
-
-
-def remove_repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sentences: int = 3, least_words: int = 25, many_words: int = 50) -> DataFrame:
+def _ranges(words: Words, lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The (a, b) of each row's list, counted over all rows."""
+    flat = lists.flatten()
+    own = words.begin[np.repeat(np.arange(len(lists)), pc.fill_null(pc.list_value_length(lists), 0).to_numpy())]
+    return flat.field("a").to_numpy() + own, flat.field("b").to_numpy() + own
+
+
+def _hash_stretches(length: int):
+    def run(batches):
+        for batch in batches:
+            text = W.as_strings(batch.column(1))
+            for x, y in W.chunks(text):
+                words = Words(text[x:y])
+                at = words.stretches(*_ranges(words, batch.column(3)[x:y]), length)
+                row = words.row[at]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(W.sequence_hashes(words.hash, at, at + length).view(np.int64)), *(batch.column(i)[x:y].take(pa.array(row)) for i in (0, 2)), pa.array((at - words.begin[row]).astype(np.int32))],
+                    ["hash", "id", "of", "at"],
+                )
+
+    return run
+
+
+def _cut(text_at: int, columns: int, sentences: int, least_words: int, length: int):
+    """Drop the sentences that the listed stretches cover, in copies all stretches; adds how many sentences and words went."""
+
+    def run(batches):
+        for batch in batches:
+            held, (copy, starts) = list(batch.columns[:columns]), batch.columns[columns:]
+            old = held[text_at]
+            sentences_gone, words_gone = np.zeros(len(old), np.int64), np.zeros(len(old), np.int64)
+            touched = pc.or_(pc.fill_null(copy, False), pc.is_valid(starts))
+            rows = np.flatnonzero(touched.to_numpy(zero_copy_only=False))
+            new: list[str] = []
+            text = W.as_strings(old.take(pa.array(rows)))
+            for x, y in W.chunks(text):
+                some = rows[x:y]
+                words = Words(text[x:y])
+                is_copy = pc.fill_null(copy.take(pa.array(some)), False).to_numpy(zero_copy_only=False)
+                a, b = words.runs(sentences, least_words)
+                mine = is_copy[words.row[a]]
+                lists = starts.take(pa.array(some))
+                own = words.begin[np.repeat(np.arange(len(some)), pc.fill_null(pc.list_value_length(lists), 0).to_numpy())]
+                at = np.concatenate([words.stretches(a[mine], b[mine], length), lists.flatten().to_numpy() + own])
+                marks = np.zeros(len(words.start) + 1, np.int64)
+                np.add.at(marks, at, 1)
+                np.add.at(marks, at + length, -1)
+                covered = np.concatenate([[0], np.cumsum(np.cumsum(marks)[:-1] > 0)])
+                bounds = np.append(words.first, len(words.start))
+                gone = covered[bounds[1:]] - covered[bounds[:-1]] == np.diff(bounds)
+                where = words.row[words.first]
+                sentences_gone[some] = np.bincount(where[gone], minlength=len(some))
+                words_gone[some] = np.bincount(where[gone], np.diff(bounds)[gone], len(some))
+                # a sentence reaches from its first word to the next one's; a row's first also holds what stands before it
+                edges = np.append(words.start[words.first], len(words.data))
+                lead = np.searchsorted(where, np.arange(len(some)))
+                for r in range(len(some)):
+                    i, j = int(lead[r]), int(np.searchsorted(where, r, "right"))
+                    cuts = np.append(edges[i:j], words.rows[r + 1])
+                    cuts[0] = words.rows[r]
+                    new.append(b"".join(words.data[cuts[k] : cuts[k + 1]].tobytes() for k in np.flatnonzero(~gone[i:j])).decode() if j > i else words.data[words.rows[r] : words.rows[r + 1]].tobytes().decode())
+            if len(rows):
+                held[text_at] = pc.replace_with_mask(old, touched, pa.array(new, old.type))
+            yield pa.RecordBatch.from_arrays([*held, pa.array(sentences_gone), pa.array(words_gone)], [f"c{i}" for i in range(columns + 2)])
+
+    return run
+
+
+def remove_repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sentences: int = 2, least_words: int = 10, many_words: int = 50) -> DataFrame:
     """``docs`` with the text cut, and ``sentences_removed`` and ``words_removed`` added."""
     scratch = Scratch(docs.sparkSession, "span-dedup")
     id_, text = F.col(id_col).cast("long"), F.col(text_col).cast("string")
-    source = docs.select(id_.alias("id"), text.alias("text"), F.xxhash64(text).alias("of"))  # a document is an id and a text
-    spans = scratch.table(source.mapInArrow(_hash_runs((sentences, least_words, many_words)), "hash long, id long, of long, a int, b int"), "spans")
-    firsts = spans.groupBy("hash").agg(F.count("*").alias("n"), F.min(F.struct("id", "of", "a")).alias("first")).where("n > 1").select("hash", "first")
-    firsts = scratch.table(firsts, "firsts")
-    later = salted_lookup(spans, firsts, "hash", ["id", "of", "a"], "inner").where(~F.struct("id", "of", "a").eqNullSafe(F.col("first")))
-    cuts = scratch.table(later.groupBy("id", "of").agg(F.collect_set(F.struct("a", "b")).alias(_CUTS)), "cuts")
-    scratch.keep_only(cuts)
-    joined = docs.join(cuts.withColumnsRenamed({"id": "__span_id", "of": "__span_of"}), id_.eqNullSafe(F.col("__span_id")) & (F.xxhash64(text) == F.col("__span_of")), "left").select(*docs.columns, _CUTS)
-    schema = T.StructType([*docs.schema.fields, T.StructField("sentences_removed", T.LongType()), T.StructField("words_removed", T.LongType())])
+    of = F.xxhash64(text)
+    source = docs.select(id_.alias("id"), text.alias("text"), of.alias("of"))  # a document is an id and a text
+    spans = scratch.table(source.mapInArrow(_hash_runs(sentences, least_words), "hash long, id long, of long, a int, b int, again boolean"), "spans")
+    shared = spans.groupBy("hash").agg(F.min("of").alias("lo"), F.max("of").alias("hi"), F.max("again").alias("again")).where("lo <> hi or again").select("hash")
+    hits = salted_lookup(spans, scratch.table(shared, "shared"), "hash", ["id", "of", "a"], "left_semi")
+    marks = scratch.table(hits.groupBy("id", "of").agg(F.collect_set(F.struct("a", "b")).alias("runs")), "marks")
+
+    # of equal texts the one with the smallest id stands for all
+    texts = docs.select(id_.alias("id"), of.alias("of"))
+    least = texts.groupBy("of").agg(F.min(F.struct("id")).alias("least"), F.max(F.struct("id")).alias("most")).where("least <> most").select("of", "least")
+    copies = salted_lookup(texts, least, "of", ["id"], "inner").where(F.struct("id") != F.col("least")).select("id", "of").distinct()
+    copies = scratch.table(copies.withColumn("copy", F.lit(True)), "copies")
+    scratch.release(spans)
+
+    def same_text(a: DataFrame, b: DataFrame, how: str) -> DataFrame:
+        b = b.withColumnsRenamed({"id": "_id", "of": "_of"})
+        return a.join(b, F.col("id").eqNullSafe(F.col("_id")) & (F.col("of") == F.col("_of")), how).drop("_id", "_of")
+
+    asked = same_text(source, same_text(marks, copies.drop("copy"), "left_anti"), "inner").select("id", "text", "of", "runs")
+    stretches = scratch.table(asked.mapInArrow(_hash_stretches(many_words), "hash long, id long, of long, at int"), "stretches")
+    firsts = stretches.groupBy("hash").agg(F.count("*").alias("n"), F.min(F.struct("id", "of", "at")).alias("first")).where("n > 1").select("hash", "first")
+    later = salted_lookup(stretches, scratch.table(firsts, "firsts"), "hash", ["id", "of", "at"], "inner").where(~F.struct("id", "of", "at").eqNullSafe(F.col("first")))
+    cuts = later.groupBy("id", "of").agg(F.collect_set("at").alias("starts"))
+    verdicts = scratch.table(copies.withColumn("starts", F.lit(None).cast("array<int>")).unionByName(cuts.withColumn("copy", F.lit(False))), "verdicts")
+    scratch.keep_only(verdicts)
+
+    names = [free_name(n, docs.columns) for n in ("span_id", "span_of", "span_copy", "span_starts")]
+    verdicts = verdicts.select(*(F.col(c).alias(n) for c, n in zip(("id", "of", "copy", "starts"), names, strict=True)))
+    joined = docs.join(verdicts, id_.eqNullSafe(F.col(names[0])) & (of == F.col(names[1])), "left").select(*(docs[c] for c in docs.columns), *names[2:])
+    fields = [*docs.schema.fields, T.StructField("sentences_removed", T.LongType()), T.StructField("words_removed", T.LongType())]
     at = [c.lower() for c in docs.columns].index(text_col.lower())
-    n = len(docs.columns)
-    return joined.mapInArrow(lambda batches: _cut(batches, at, n), T.StructType([T.StructField(f"c{i}", f.dataType) for i, f in enumerate(schema.fields)])).toDF(*schema.names)
+    numbered = T.StructType([T.StructField(f"c{i}", f.dataType) for i, f in enumerate(fields)])
+    return joined.mapInArrow(_cut(at, len(docs.columns), sentences, least_words, many_words), numbered).toDF(*(f.name for f in fields))

@@ -42,43 +42,62 @@ def similar_groups(rows, k, num, den=100):
     return {i: union.find(i) for i in sets}
 
 
-def sentences(text):
-    data = text.encode()
-    words = list(re.finditer(rb"[^\x20\x09-\x0D]+", data))
-    out, now = [], []
-    for k, m in enumerate(words):
-        now.append(m)
-        if m.group()[-1:] in b".!?" or k + 1 == len(words) or b"\n" in data[m.end() : words[k + 1].start()]:
-            out.append(now)
-            now = []
-    return data, out
-
-
-def without_repeats(rows, least=3, few=25, many=50):
-    """{id: (text, sentences gone)} for distinct ids."""
+def without_repeats(rows, bounds, least=10, length=50):
+    """{id: (text, sentences gone)} for distinct ids; ``bounds``: the first word of each sentence of a text."""
+    rows = sorted((i, t or "") for i, t in rows)
+    words = {i: [m.group().translate(FOLD) for m in WORD.finditer(t)] for i, t in rows}
+    starts = {i: [*bounds(t), len(words[i])] for i, t in rows}
+    first_of = {}
+    for i, t in rows:
+        first_of.setdefault(t, i)
+    runs, owners = defaultdict(list), defaultdict(list)
+    for i, t in rows:
+        for a, b in zip(starts[i], starts[i][2:]):
+            if b - a >= least:
+                runs[i].append((a, b))
+                owners[tuple(words[i][a:b])].append(t)
+    shared = {k for k, own in owners.items() if len(set(own)) > 1 or any(runs_of > 1 for runs_of in _within(own, first_of, rows))}
+
+    def stretches(i, some):
+        return sorted({s for a, b in some for s in range(max(0, b - length), min(a, len(words[i]) - length) + 1)})
+
     seen, cut = defaultdict(list), {}
-    for i, text in sorted(rows):
-        data, s = sentences(text or "")
-        cut[i] = (data, s, set())
-        n = [len(x) for x in s]
-        runs = set()
-        for a in range(len(s)):
-            for step in (1, -1):
-                z, total = a, 0
-                while 0 <= z < len(s):
-                    total += n[z]
-                    if abs(z - a) + 1 >= least and total >= few or total >= many:
-                        runs.add((min(a, z), max(a, z)))
-                        break
-                    z += step
-        for a, z in sorted(runs):
-            seen[tuple(m.group().lower() for x in s[a : z + 1] for m in x)].append((i, a, z))
-    for spans in seen.values():
-        for i, a, z in sorted(spans)[1:]:
-            cut[i][2].update(range(a, z + 1))
+    for i, t in rows:
+        if first_of[t] == i:
+            for s in stretches(i, [r for r in runs[i] if tuple(words[i][slice(*r)]) in shared]):
+                seen[tuple(words[i][s : s + length])].append((i, s))
+            cut[i] = set()
+        else:
+            cut[i] = set(stretches(i, runs[i]))
+    for places in seen.values():
+        for i, s in sorted(places)[1:]:
+            cut[i].add(s)
     out = {}
-    for i, (data, s, gone) in cut.items():
-        edges = [x[0].start() for x in s] + [len(data)]
-        edges[0] = 0
-        out[i] = (b"".join(data[edges[k] : edges[k + 1]] for k in range(len(s)) if k not in gone) if s else data, len(gone))
-    return {i: (t.decode(), n) for i, (t, n) in out.items()}
+    for i, t in rows:
+        covered = {w for s in cut[i] for w in range(s, s + length)}
+        gone = [set(range(a, b)) <= covered for a, b in zip(starts[i], starts[i][1:])] if words[i] else []
+        at = [m.start() for m in WORD.finditer(t)]
+        edges = [0, *(at[a] for a in starts[i][1:-1]), len(t)]
+        out[i] = ("".join(t[edges[k] : edges[k + 1]] for k in range(len(gone)) if not gone[k]) if words[i] else t, sum(gone))
+    return out
+
+
+def _within(own, first_of, rows):
+    """How often each text has a run, copies counted once."""
+    copies = defaultdict(int)
+    for _, t in rows:
+        copies[t] += 1
+    return [own.count(t) // copies[t] for t in set(own)]
+
+
+def repeated_words(rows, length=50):
+    """{id: numbers of its words that lie in a stretch of words that an earlier row, or an earlier place of this one, has}"""
+    seen, out = set(), defaultdict(set)
+    for i, t in sorted(rows):
+        words = [m.group().translate(FOLD) for m in WORD.finditer(t or "")]
+        for s in range(len(words) - length + 1):
+            k = tuple(words[s : s + length])
+            if k in seen:
+                out[i].update(range(s, s + length))
+            seen.add(k)
+    return out

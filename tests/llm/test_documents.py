@@ -5,9 +5,10 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
-from tests.llm.brute import WORD, Union, shingles, similar_groups, without_repeats
+from tests.llm.brute import WORD, Union, repeated_words, shingles, similar_groups, without_repeats
 from tokenizers import Tokenizer
 
 from reeltide.llm import bin_packing, graph, kneser_ney, mixing, ngram_join, packing, span_dedup
@@ -50,15 +51,50 @@ def test_components_of_a_long_path(spark):
     assert got == {**{i: 0 for i in range(301)}, 900: 900, 901: 900}
 
 
+def _bounds(text):
+    return span_dedup.Words(pa.array([text])).first.tolist()
+
+
 def test_spans(documents, corpus):
     got = {r.doc_id: (r.text, r.sentences_removed) for r in span_dedup.remove_repeated_spans(documents).collect()}
-    want = without_repeats(corpus)
+    want = without_repeats(corpus, _bounds)
     assert got.pop(310) == (None, 0)
     want.pop(310)
     assert got == want
     assert sum(n > 0 for _, n in want.values()) > 20
 
 
+def test_spans_against_all_repeated_words(spark):
+    """Passages that begin and end within sentences, some without punctuation, among clean texts: all found, and nothing else touched."""
+    rng = np.random.default_rng(3)
+    word = lambda n: [f"w{x}" for x in rng.integers(0, 3000, n)]
+
+    def prose(n, stops):
+        w = word(n)
+        for k in np.cumsum(rng.integers(5, 25, n)):
+            if stops and k < n:
+                w[k] += "."
+        return w
+
+    rows = []
+    for k in range(12):
+        stops = k % 3 > 0
+        passage = prose(int(rng.integers(60, 90)), stops)
+        for j in range(3):
+            rows.append((100 * k + j, " ".join(prose(int(rng.integers(3, 120)), stops) + passage + prose(int(rng.integers(3, 120)), stops))))
+    rows += [(5000 + k, " ".join(prose(300, k % 2 == 0))) for k in range(30)]
+    out = {r.doc_id: r for r in span_dedup.remove_repeated_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    covered = repeated_words(rows)
+    assert {i for i, r in out.items() if r.sentences_removed} == set(covered)
+    assert all(r.words_removed <= len(covered[i]) for i, r in out.items() if i in covered)
+
+
+def test_spans_of_one_word(spark):
+    rows = [(1, "and " * 400), (2, "and " * 300), (3, "x")]
+    got = {r.doc_id: r.words_removed for r in span_dedup.remove_repeated_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[2] == 300 and got[3] == 0
+
+
 def test_spans_keep_other_columns_and_clean_documents(spark, documents):
     out = span_dedup.remove_repeated_spans(documents)
     assert out.columns == [*documents.columns, "sentences_removed", "words_removed"]
