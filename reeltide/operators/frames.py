@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from reeltide.operators.segment import stretch, stretches
+from reeltide.sources.sinks import Kept
+
 #: Seconds within which stamps are one, in both timelines, and within which a frame belongs to a scene change.
 SAME_STAMP, SAME_STAMP_ALT, SCENE_NEAR = 0.25, 0.1, 0.25
 #: Fixed value: seconds before the end from which no frame is taken.
@@ -48,25 +53,69 @@ def alternative_timestamps(media: DataFrame, scenes: DataFrame, interval: float
 
 def frame_kinds(frames: DataFrame, scenes: DataFrame) -> DataFrame:
     """``frames`` with kind: scene_change within a quarter second of a scene change, else periodic."""
-    near = frames.select("video_id", "frame_idx", "at_sec").join(scenes.withColumnRenamed("at_sec", "scene_sec"), "video_id").where(F.abs(F.col("scene_sec") - F.col("at_sec")) < SCENE_NEAR)
+    second = lambda at: F.floor(at).cast("bigint")
+    f = frames.select("video_id", "frame_idx", "at_sec").withColumn("second", F.explode(F.sequence(second(F.col("at_sec") - SCENE_NEAR), second(F.col("at_sec") + SCENE_NEAR))))
+    near = f.join(scenes.select("video_id", F.col("at_sec").alias("scene_sec"), second(F.col("at_sec")).alias("second")), ["video_id", "second"]).where(F.abs(F.col("scene_sec") - F.col("at_sec")) < SCENE_NEAR)
     near = near.select("video_id", "frame_idx").distinct().withColumn("is_scene", F.lit(True))
     return frames.join(near, ["video_id", "frame_idx"], "left").withColumn("kind", F.when(F.col("is_scene"), "scene_change").otherwise("periodic")).drop("is_scene")
 
 
+#: Frames that are compared in one task, and tasks that share a large group's kept frames.
+DEDUPE_ROWS, DEDUPE_SALTS = 50_000, 16
+
+
+def _first_of_alike(threshold: int):
+    """Of one group's hashes in order, the places of those that no kept one is near to."""
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by("o")
+        hashes = table.column("h").to_numpy().view(np.uint64)
+        kept, at = np.empty(len(hashes), np.uint64), []
+        for i, h in enumerate(hashes):
+            if not len(at) or np.bitwise_count(kept[: len(at)] ^ h).min() > threshold:
+                kept[len(at)] = h
+                at.append(i)
+        return table.take(pa.array(at, pa.int64()))
+
+    return run
+
+
 def dedupe_frames(frames: DataFrame, key: str, order: str, hash_col: str, threshold: int = 10) -> DataFrame:
-    """(key, order): in order, frames whose hash isn't within ``threshold`` bits of a kept one; frames without a hash stay."""
-    item = f"struct<o:{frames.schema[order].dataType.simpleString()},h:bigint>"
-    rows = frames.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(hash_col).alias("h")))).alias("all"))
-    near = lambda kept, x: F.exists(kept, lambda y: F.coalesce(F.bit_count(y["h"].bitwiseXOR(x["h"])) <= threshold, F.lit(False)))
-    kept = F.aggregate("all", F.array().cast(f"array<{item}>"), lambda acc, x: F.when(near(acc, x), acc).otherwise(F.concat(acc, F.array(x.cast(item)))))
-    return rows.select(key, F.explode(kept).alias("k")).select(key, F.col("k.o").alias(order))
+    """(key, order): in order, frames whose hash isn't within ``threshold`` bits of a kept one; frames without a hash stay.
+
+    The order is dealt to ranges of DEDUPE_ROWS frames. A group within one range is decided there; one that reaches over
+    several is decided range by range, each against what the ranges before it kept, so that no task holds a whole group.
+    """
+    kinds = f"g {frames.schema[key].dataType.simpleString()}, o {frames.schema[order].dataType.simpleString()}, h bigint"
+    rows = frames.select(F.col(key).alias("g"), F.col(order).alias("o"), F.col(hash_col).alias("h"))
+    without, rows = rows.where("h is null").select("g", "o"), rows.where("h is not null")
+    tables = Kept(frames.sparkSession)
+    rows = tables.table(rows, "hashes")
+    parts = -(-rows.count() // DEDUPE_ROWS)
+    greedy = lambda x: x.groupBy("g").applyInArrow(_first_of_alike(threshold), kinds)
+    if parts <= 1:
+        return greedy(rows).select("g", "o").union(without).toDF(key, order)
+    rows = tables.table(rows.repartitionByRange(parts, "g", "o").withColumn("part", F.spark_partition_id()), "ranges")
+    turns = rows.select("g", "part").distinct().withColumn("turn", F.row_number().over(Window.partitionBy("g").orderBy("part")))
+    turns = tables.table(turns.select(F.col("g").alias("g2"), F.col("part").alias("part2"), "turn"), "turns")
+    kept: DataFrame | None = None
+    for turn in range(1, turns.agg(F.max("turn")).first()[0] + 1):
+        now = rows.join(turns.where(F.col("turn") == turn), F.col("g").eqNullSafe(F.col("g2")) & (F.col("part") == F.col("part2"))).select("g", "o", "h")
+        if kept is not None:
+            many = now.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(DEDUPE_SALTS - 1))))
+            old = kept.select(F.col("g").alias("g2"), F.col("h").alias("h2"), F.pmod(F.xxhash64("h"), F.lit(DEDUPE_SALTS)).cast("int").alias("salt2"))
+            near = many.join(old, F.col("g").eqNullSafe(F.col("g2")) & (F.col("salt") == F.col("salt2")) & (F.bit_count(F.col("h").bitwiseXOR(F.col("h2"))) <= threshold), "left_semi").select(F.col("g").alias("g3"), F.col("o").alias("o3")).distinct()
+            now = now.join(near, F.col("g").eqNullSafe(F.col("g3")) & (F.col("o") == F.col("o3")), "left_anti")
+        new = tables.table(greedy(now), "kept")
+        kept = new if kept is None else kept.unionByName(new)
+    return kept.select("g", "o").union(without).toDF(key, order)
 
 
 def frames_in_chunks(frames: DataFrame, chunks: DataFrame, half_open: bool = False) -> DataFrame:
     """Frames joined to the chunks whose time they lie in; both ends belong to a chunk unless ``half_open``."""
-    c = chunks.select("video_id", "idx", F.col("start_sec").alias("c0"), F.col("end_sec").alias("c1"))
+    c = chunks.select("video_id", "idx", F.col("start_sec").alias("c0"), F.col("end_sec").alias("c1")).withColumn("_stretch", stretches(F.col("c0"), F.col("c1")))
     inside = (F.col("at_sec") >= F.col("c0")) & ((F.col("at_sec") < F.col("c1")) if half_open else (F.col("at_sec") <= F.col("c1")))
-    return frames.join(c, "video_id").where(inside).drop("c0", "c1")
+    return frames.withColumn("_stretch", stretch(F.col("at_sec"))).join(c, ["video_id", "_stretch"]).where(inside).drop("_stretch", "c0", "c1")
 
 
 def caption_frames(frames: DataFrame, chunks: DataFrame, most: int = 3) -> DataFrame:

@@ -1,6 +1,6 @@
 """Perceptual hashes of decoded images.
 
-Pixels come as 8-bit grey values row by row (binary PGM files are decoded here); the resize to 9 x 8 is a Lanczos-3
+Spark's own image reader decodes JPEG, PNG, BMP and GIF files; binary PGM files are decoded here. Pixels are 8-bit grey values row by row; the resize to 9 x 8 is a Lanczos-3
 filter over NumPy arrays in Arrow batches, and bit y * 8 + x is set where a pixel is brighter than the one to its right.
 """
 
@@ -11,9 +11,11 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reeltide.sources.sinks import exists
+
 
 @lru_cache(256)
 def _weights(size: int, to: int) -> np.ndarray:
@@ -59,3 +61,29 @@ def _hash(content: pd.Series) -> pd.Series:
 def image_hash(content: Column) -> Column:
     """The hash of each image's bytes; null where they can't be decoded."""
     return F.pandas_udf(_hash, "long")(content)
+
+
+#: What red, green and blue weigh in a grey value, in ten-thousandths.
+LUMA = (2126, 7152, 722)
+
+
+def _hash_pixels(data: pd.Series, height: pd.Series, width: pd.Series, channels: pd.Series) -> pd.Series:
+    def one(pixels: bytes, h: int, w: int, c: int) -> int | None:
+        if h <= 0 or w <= 0 or len(pixels) != h * w * c:
+            return None
+        x = np.frombuffer(pixels, np.uint8).reshape(h, w, c)
+        if c < 3:
+            return hash_of(x[:, :, 0])
+        blue, green, red = (x[:, :, i].astype(np.uint32) for i in range(3))  # the reader's order
+        return hash_of(((red * LUMA[0] + green * LUMA[1] + blue * LUMA[2]) // sum(LUMA)).astype(np.uint8))
+
+    return pd.Series([one(*x) for x in zip(data, height, width, channels, strict=True)], dtype="Int64")
+
+
+def file_hashes(spark: SparkSession, folder: str) -> DataFrame:
+    """(path, hash) of all images below a folder that can be decoded."""
+    if not exists(spark, folder):
+        return spark.createDataFrame([], "path string, hash long")
+    i = spark.read.format("image").option("recursiveFileLookup", "true").option("dropInvalid", "true").load(folder).select("image.*")
+    path = F.url_decode(F.regexp_replace(F.regexp_replace("origin", "^file:/*", "/"), r"\+", "%2B"))
+    return i.select(path.alias("path"), F.pandas_udf(_hash_pixels, "long")("data", "height", "width", "nChannels").alias("hash"))

@@ -1,10 +1,14 @@
 """Segmentation of timelines: coarse segments, semantic chunks, merging, splitting, ids and checks.
 
-Everything is keyed by video and needs one shuffle by it; order-dependent steps are folds over a video's own rows.
+Everything is keyed by video and needs one shuffle by it; order-dependent steps are folds over a video's own rows. Texts
+meet spans by video and stretch of time, so that a long medium is joined in many small groups.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_right
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,39 +16,55 @@ from reeltide.functions.text import trim_ws
 
 #: The hard limits of chunk length and the length that long chunks are split to, in seconds.
 LEAST, MOST, SPLIT = 15.0, 120.0, 60.0
+# Rationales of results.
 WITH_TEXT, WITHOUT_TEXT = "time-based split within coarse segment", "time-based split without transcript"
 
 
-def nearest_candidate(candidates: Column, low: Column, high: Column, target: Column) -> Column:
-    """The candidate within [low, high] that is nearest to the target, the later of two; null if there is none."""
-    near = F.transform(F.filter(candidates, lambda c: (c >= low) & (c <= high)), lambda c: F.struct(F.abs(c - target).alias("d"), (-c).alias("n")))
-    return -F.array_min(near)["n"]
+#: Seconds of the stretches of time by which spans and what lies in them meet.
+STRETCH = 300.0
+
+
+def stretch(at: Column) -> Column:
+    return F.floor(at / STRETCH).cast("bigint")
+
+
+def stretches(start: Column, end: Column) -> Column:
+    """All stretches that a span touches."""
+    return F.explode(F.sequence(stretch(start), F.greatest(stretch(end), stretch(start))))
+
+
+def segment_ends(duration: float, candidates: list[float], most: float, snap: float, symmetric: bool) -> list[float]:
+    """The ends of one medium's segments; ``candidates`` in order."""
+    ends, start = [], 0.0
+    while start < duration:
+        target = min(start + most, duration)
+        low = max(start, target - snap) if symmetric else start
+        high = min(start + most + snap, duration)
+        at = bisect_right(candidates, target)
+        near = [candidates[k] for k in (at - 1, at) if 0 <= k < len(candidates) and low <= candidates[k] <= high]
+        end = min(near, key=lambda c: (abs(c - target), -c)) if near else target
+        start = min(start + 1.0, duration) if end <= start else end
+        ends.append(start)
+    return ends
 
 
 def coarse_segments(media: DataFrame, candidates: DataFrame, most: float = 300.0, snap: float = 30.0, symmetric: bool = False) -> DataFrame:
     """(video_id, duration_sec), (video_id, at_sec) -> (video_id, seg_index, start_sec, end_sec).
 
     A segment ends at the candidate nearest to ``start + most`` among those from its start (or, if ``symmetric``,
-    from ``snap`` before the target) to ``snap`` past the target; where that isn't past its start, a second later.
-    Media without positive duration have no segments.
+    from ``snap`` before the target) to ``snap`` past the target, the later of two; where that isn't past its start, a second
+    later. Media without positive duration have no segments.
     """
     grouped = candidates.groupBy("video_id").agg(F.array_sort(F.collect_set("at_sec")).alias("cands"))
-    m = media.where("duration_sec > 0").join(grouped, "video_id", "left").withColumn("cands", F.coalesce("cands", F.array().cast("array<double>")))
-    dur = F.col("duration_sec")
-    # each step takes a candidate, follows one by a second, or takes the full length
-    bound = 2 * F.size("cands") + F.ceil(dur / most) + 2
-
-    def step(acc: Column, _: Column) -> Column:
-        start = acc["at"]
-        target = F.least(start + most, dur)
-        low = F.greatest(start, target - snap) if symmetric else start
-        pick = F.coalesce(nearest_candidate(F.col("cands"), low, F.least(start + most + snap, dur), target), target)
-        end = F.when(pick <= start, F.least(start + 1.0, dur)).otherwise(pick)
-        return F.when(start < dur, F.struct(F.concat(acc["ends"], F.array(end)).alias("ends"), end.alias("at"))).otherwise(acc)
-
-    begin = F.struct(F.array().cast("array<double>").alias("ends"), F.lit(0.0).alias("at"))
-    ends = F.aggregate(F.sequence(F.lit(1), bound.cast("int")), begin, step, lambda acc: acc["ends"])
-    rows = m.select("video_id", ends.alias("ends")).select("video_id", "ends", F.posexplode("ends").alias("i", "end_sec"))
+    m = media.where("duration_sec > 0").select("video_id", F.col("duration_sec").cast("double").alias("duration_sec")).join(grouped, "video_id", "left")
+
+    def run(batches):
+        for batch in batches:
+            found = [segment_ends(d, c or [], most, snap, symmetric) for d, c in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.float64()))], ["video_id", "ends"])
+
+    rows = m.mapInArrow(run, f"video_id {media.schema['video_id'].dataType.simpleString()}, ends array<double>")
+    rows = rows.select("video_id", "ends", F.posexplode("ends").alias("i", "end_sec"))
     return rows.select("video_id", F.col("i").cast("bigint").alias("seg_index"), F.when(F.col("i") == 0, 0.0).otherwise(F.get("ends", F.col("i") - 1)).alias("start_sec"), "end_sec")
 
 
@@ -53,8 +73,11 @@ def overlap_text(spans: DataFrame, transcript: DataFrame, keys: list[str], trimm
     text = trim_ws(F.col("text")) if trimmed else F.col("text")
     t = transcript.select("video_id", "seg_idx", F.col("start_sec").alias("t0"), F.col("end_sec").alias("t1"), text.alias("tx"))
     t = t.where("tx <> ''") if trimmed else t
-    on = (spans["video_id"] == t["video_id"]) & (t["t0"] < spans["end_sec"]) & (t["t1"] > spans["start_sec"])
-    hits = spans.join(t, on).groupBy(*[spans[k] for k in keys]).agg(F.array_sort(F.collect_list(F.struct("seg_idx", "tx"))).alias("l"))
+    t = t.withColumn("stretch", stretches(F.col("t0"), F.col("t1")))
+    s = spans.select(*keys, F.col("start_sec").alias("s0"), F.col("end_sec").alias("s1")).withColumn("stretch", stretches(F.col("s0"), F.col("s1")))
+    # of the stretches that both touch, they meet in the first
+    met = s.join(t, ["video_id", "stretch"]).where((F.col("t0") < F.col("s1")) & (F.col("t1") > F.col("s0")) & (F.col("stretch") == F.greatest(stretch(F.col("t0")), stretch(F.col("s0")))))
+    hits = met.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("seg_idx", "tx"))).alias("l"))
     hits = hits.select(*keys, F.array_join(F.transform("l", lambda x: x["tx"]), " ").alias("transcript_text"))
     return spans.join(hits, keys, "left").withColumn("transcript_text", F.coalesce("transcript_text", F.lit("")))
 

@@ -2,16 +2,90 @@
 
 from __future__ import annotations
 
+import json
+import re
+from functools import cached_property
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from reeltide.functions import text as X
 from reeltide.operators import assemble, frames, segment
+from reeltide.plans.manifest import STAGES, cache_key, pending
 from reeltide.plans.oracles import ORACLE_SQL  # noqa: F401
-from reeltide.sources import parsers, sinks, timeline, tools
+from reeltide.sources import adapters, parsers, sinks, timeline, tools
+from reeltide.sources.adapters import STUB_CAPTION
 from reeltide.sources.timeline import table
 
 
+class Facts:
+    """The timeline of one folder of tables. Media and signals, which most of a query's branches read, are written once; the rest is plans over them."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir, self.kept = spark, sf_dir, sinks.Kept(spark)
+
+    @cached_property
+    def media(self) -> DataFrame:
+        return self.kept.table(timeline.media(self.spark, self.sf_dir), "media")
+
+    @cached_property
+    def signals(self) -> DataFrame:
+        return self.kept.table(timeline.signals(self.spark, self.sf_dir, self.media), "signals")
+
+    @cached_property
+    def transcript(self) -> DataFrame:
+        return timeline.transcript(self.spark, self.sf_dir)
+
+    @property
+    def scenes(self) -> DataFrame:
+        return timeline.scenes(self.signals)
+
+    @property
+    def silences(self) -> DataFrame:
+        return parsers.pair_silences(timeline.silence_marks(self.signals))
+
+    @property
+    def coarse(self) -> DataFrame:
+        s = self.silences.select("video_id", F.explode(F.array("start_sec", "end_sec")).alias("at_sec"))
+        return segment.coarse_segments(self.media, s.union(self.scenes))
+
+    @property
+    def semantic(self) -> DataFrame:
+        return segment.semantic_chunks(self.coarse, self.transcript)
+
+    @property
+    def normalized(self) -> DataFrame:
+        return segment.normalize(self.semantic)
+
+    @cached_property
+    def chunks(self) -> DataFrame:
+        """The normalised chunks, for queries that read them several times."""
+        return self.kept.table(self.normalized, "normalized")
+
+    @property
+    def stamps(self) -> DataFrame:
+        return frames.frame_timestamps(self.media, self.scenes)
+
+    @cached_property
+    def frames(self) -> DataFrame:
+        """Frames with kind, path and hash (an embedding's), near-duplicates dropped."""
+        kinds = frames.frame_kinds(self.kept.table(self.stamps, "stamps"), self.scenes)
+        ids = F.pmod(F.col("video_id") * 8 + F.col("frame_idx"), table(self.spark, self.sf_dir, "embeddings").agg(F.count("*")).scalar())
+        f = kinds.withColumn("path", F.concat(F.lit("images/"), F.col("video_id").cast("string"), F.lit("/frame_"), F.format_string("%03d", "frame_idx"), F.lit(".jpg"))).withColumn("seq", ids.cast("bigint"))
+        f = self.kept.table(f.join(timeline.frame_hashes(self.spark, self.sf_dir).select("seq", "hash"), "seq", "left"), "frames")
+        return f.join(frames.dedupe_frames(f, "video_id", "frame_idx", "hash"), ["video_id", "frame_idx"]).select("video_id", "frame_idx", "at_sec", "kind", "path")
+
+    @property
+    def enriched(self) -> DataFrame:
+        """Frames with recognised text (a document's) and, for chosen ones, the stub's caption."""
+        docs = table(self.spark, self.sf_dir, "documents")
+        f = self.kept.table(self.frames, "unique").withColumn("doc_id", F.pmod(F.col("video_id") * 8 + F.col("frame_idx"), docs.agg(F.count("*")).scalar()).cast("bigint"))
+        f = f.join(docs.select("doc_id", F.col("text").alias("ocr_text")), "doc_id", "left")
+        chosen = frames.caption_frames(f, self.chunks).withColumn("chosen", F.lit(True))
+        caption = F.when(F.col("chosen"), F.concat(F.lit(STUB_CAPTION), F.element_at(F.split("path", "/"), -1)))
+        return f.join(chosen, ["video_id", "frame_idx"], "left").select("video_id", "frame_idx", "at_sec", "kind", "path", "ocr_text", caption.alias("visual_caption"))
+
+
 def fx_transcript(spark: SparkSession, sf_dir: str) -> DataFrame:
     return timeline.transcript(spark, sf_dir).drop("end_ms")
 
@@ -21,7 +95,7 @@ def fx_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silence_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parsers.pair_silences(timeline.silence_marks(spark, sf_dir))
+    return parsers.pair_silences(timeline.silence_marks(timeline.signals(spark, sf_dir)))
 
 
 def silence_log_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,32 +159,51 @@ def jsonl_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.where(X.trim_ws(F.col("line")) != "").agg(F.count_if(ok).alias("valid"), F.count_if(~ok).alias("invalid"))
 
 
-def _candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    silences = silence_intervals(spark, sf_dir)
-    starts, ends = silences.select("video_id", F.col("start_sec").alias("at_sec")), silences.select("video_id", F.col("end_sec").alias("at_sec"))
-    return starts.union(ends).union(timeline.scenes(spark, sf_dir))
+def coarse_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Facts(spark, sf_dir).coarse
 
 
-def coarse_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return segment.coarse_segments(timeline.media(spark, sf_dir), _candidates(spark, sf_dir))
+def _coarse_text(facts: Facts) -> DataFrame:
+    return segment.overlap_text(facts.coarse, facts.transcript, ["video_id", "seg_index"], trimmed=False)
 
 
 def coarse_transcript(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return segment.overlap_text(coarse_segments(spark, sf_dir), timeline.transcript(spark, sf_dir), ["video_id", "seg_index"], trimmed=False)
+    return _coarse_text(Facts(spark, sf_dir))
 
 
 def segment_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return segment.check_segments(coarse_segments(spark, sf_dir), timeline.media(spark, sf_dir))
+    facts = Facts(spark, sf_dir)
+    return segment.check_segments(facts.coarse, facts.media)
 
 
 def semantic_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return segment.semantic_chunks(coarse_segments(spark, sf_dir), timeline.transcript(spark, sf_dir))
+    return Facts(spark, sf_dir).semantic
 
 
 def equal_division(spark: SparkSession, sf_dir: str) -> DataFrame:
     return segment.equal_division(coarse_transcript(spark, sf_dir))
 
 
+class HalvesModel:
+    """A model for tests of the path to it: two halves of what the prompt says, for every third length only at the second time of asking, for every other third never."""
+
+    def __init__(self):
+        self.asked: dict[str, int] = {}
+
+    def complete_json(self, prompt: str) -> str:
+        seconds = float(re.search(r"of ([\d.]+) seconds", prompt)[1])
+        kind = round(seconds * 1000) % 3
+        times = self.asked[prompt] = self.asked.get(prompt, 0) + 1
+        if kind == 2 or kind == 1 and times % 2:
+            return json.dumps({"chunks": [{"start_sec": 1.0, "end_sec": seconds, "rationale": "late"}]})
+        return json.dumps({"chunks": [{"start_sec": 0.0, "end_sec": seconds / 2, "rationale": "first"}, {"start_sec": seconds / 2, "end_sec": seconds, "rationale": "second"}]})
+
+
+def model_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Coarse segments as a model cuts them: some at once, some when asked again, the others into equal pieces."""
+    return adapters.semantic_with(_coarse_text(Facts(spark, sf_dir)), HalvesModel(), at_once=1)
+
+
 def merged_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return segment.merge_short(semantic_chunks(spark, sf_dir))
 
@@ -122,15 +215,16 @@ def split_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def normalized_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return segment.normalize(semantic_chunks(spark, sf_dir))
+    return Facts(spark, sf_dir).normalized
 
 
 def frame_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return frames.frame_timestamps(timeline.media(spark, sf_dir), timeline.scenes(spark, sf_dir))
+    return Facts(spark, sf_dir).stamps
 
 
 def frame_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return frames.frame_kinds(frame_timestamps(spark, sf_dir), timeline.scenes(spark, sf_dir))
+    facts = Facts(spark, sf_dir)
+    return frames.frame_kinds(facts.stamps, facts.scenes)
 
 
 def dhash_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -148,43 +242,29 @@ def frame_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def alt_frame_timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return frames.alternative_timestamps(timeline.media(spark, sf_dir), timeline.scenes(spark, sf_dir))
-
-
-def _frames(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Frames with kind, path and hash (an embedding's), near-duplicates dropped."""
-    kinds = frame_kinds(spark, sf_dir)
-    ids = F.pmod(F.col("video_id") * 8 + F.col("frame_idx"), table(spark, sf_dir, "embeddings").agg(F.count("*")).scalar())
-    f = kinds.withColumn("path", F.concat(F.lit("images/"), F.col("video_id").cast("string"), F.lit("/frame_"), F.format_string("%03d", "frame_idx"), F.lit(".jpg"))).withColumn("seq", ids.cast("bigint"))
-    f = f.join(timeline.frame_hashes(spark, sf_dir).select("seq", "hash"), "seq", "left")
-    return f.join(frames.dedupe_frames(f, "video_id", "frame_idx", "hash"), ["video_id", "frame_idx"]).select("video_id", "frame_idx", "at_sec", "kind", "path")
+    facts = Facts(spark, sf_dir)
+    return frames.alternative_timestamps(facts.media, facts.scenes)
 
 
 def caption_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return frames.caption_frames(_frames(spark, sf_dir), normalized_chunks(spark, sf_dir), 2)
+    facts = Facts(spark, sf_dir)
+    return frames.caption_frames(facts.frames, facts.normalized, 2)
 
 
 def even_k_of_n(spark: SparkSession, sf_dir: str) -> DataFrame:
-    inside = frames.frames_in_chunks(alt_frame_timeline(spark, sf_dir), normalized_chunks(spark, sf_dir), half_open=True)
+    facts = Facts(spark, sf_dir)
+    inside = frames.frames_in_chunks(frames.alternative_timestamps(facts.media, facts.scenes), facts.normalized, half_open=True)
     return frames.evenly_spaced(inside, ["video_id", "idx"]).select("video_id", "idx", "frame_idx", "at_sec")
 
 
-def _enriched(spark: SparkSession, sf_dir: str, chunks: DataFrame) -> DataFrame:
-    """Frames with recognised text (a document's) and, for chosen ones, the stub's caption."""
-    f = sinks.keep(_frames(spark, sf_dir), "frames").withColumn("doc_id", F.pmod(F.col("video_id") * 8 + F.col("frame_idx"), table(spark, sf_dir, "documents").agg(F.count("*")).scalar()).cast("bigint"))
-    f = f.join(table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("ocr_text")), "doc_id", "left")
-    chosen = frames.caption_frames(f, chunks).withColumn("chosen", F.lit(True))
-    caption = F.when(F.col("chosen"), F.concat(F.lit("Visual caption for "), F.element_at(F.split("path", "/"), -1)))
-    return f.join(chosen, ["video_id", "frame_idx"], "left").select("video_id", "frame_idx", "at_sec", "kind", "path", "ocr_text", caption.alias("visual_caption"))
-
-
 def chunk_visual(spark: SparkSession, sf_dir: str) -> DataFrame:
-    chunks = sinks.keep(normalized_chunks(spark, sf_dir), "normalized")
-    return assemble.visual_text(_enriched(spark, sf_dir, chunks), chunks)
+    facts = Facts(spark, sf_dir)
+    return assemble.visual_text(facts.enriched, facts.chunks)
 
 
 def chunk_image_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    refs = assemble.image_refs(_frames(spark, sf_dir), normalized_chunks(spark, sf_dir))
+    facts = Facts(spark, sf_dir)
+    refs = assemble.image_refs(facts.frames, facts.normalized)
     return refs.select("video_id", "idx", F.posexplode("image_refs").alias("pos", "r")).select("video_id", "idx", "pos", "r.path", "r.at_sec", "r.kind", "r.analyzed")
 
 
@@ -218,8 +298,10 @@ def source_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def llm_reply_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each coarse segment's own chunks as a reply; a later segment doesn't start at 0 and so is rejected."""
-    c = semantic_chunks(spark, sf_dir).withColumn("seg_index", F.expr("ord div 1000000"))
-    s = coarse_segments(spark, sf_dir).select("video_id", "seg_index", F.col("end_sec").alias("segment_end"))
+    facts = Facts(spark, sf_dir)
+    coarse = facts.kept.table(facts.coarse, "coarse")
+    c = segment.semantic_chunks(coarse, facts.transcript).withColumn("seg_index", F.expr("ord div 1000000"))
+    s = coarse.select("video_id", "seg_index", F.col("end_sec").alias("segment_end"))
     rows = c.join(s, ["video_id", "seg_index"]).select((F.col("video_id") * 1000 + F.col("seg_index")).alias("key"), "ord", "start_sec", "end_sec", "segment_end")
     return segment.check_reply(rows)
 
@@ -241,19 +323,26 @@ def chunk_jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def output_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return assemble.output_index(normalized_chunks(spark, sf_dir), timeline.media(spark, sf_dir))
+    facts = Facts(spark, sf_dir)
+    return assemble.output_index(facts.normalized, facts.media)
 
 
 def manifest_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stages of media that have no finished record with the same input."""
-    from reeltide.plans.manifest import STAGES, pending
-
-    wanted = timeline.media(spark, sf_dir).select("video_id", F.explode(F.array(*[F.lit(s) for s in STAGES])).alias("stage"), F.concat(F.lit("h"), F.col("dur_ms").cast("string")).alias("input_hash"))
+    facts = Facts(spark, sf_dir)
+    wanted = facts.media.select("video_id", F.explode(F.array(*[F.lit(s) for s in STAGES])).alias("stage"), F.concat(F.lit("h"), F.col("dur_ms").cast("string")).alias("input_hash"))
     n = F.abs(F.col("event_id"))
-    records = timeline.signals(spark, sf_dir).join(timeline.media(spark, sf_dir), "video_id").select("video_id", F.element_at(F.array(*[F.lit(s) for s in STAGES]), (n % len(STAGES) + 1).cast("int")).alias("stage"), F.concat(F.lit("h"), (F.col("dur_ms") + F.when(n % 3 == 0, 1).otherwise(0)).cast("string")).alias("input_hash"), F.when(n % 2 == 0, "done").otherwise("failed").alias("status"))
+    records = facts.signals.join(facts.media, "video_id").select("video_id", F.element_at(F.array(*[F.lit(s) for s in STAGES]), (n % len(STAGES) + 1).cast("int")).alias("stage"), F.concat(F.lit("h"), (F.col("dur_ms") + F.when(n % 3 == 0, 1).otherwise(0)).cast("string")).alias("input_hash"), F.when(n % 2 == 0, "done").otherwise("failed").alias("status"))
     return pending(wanted, records)
 
 
+def stage_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each media's key of the stage that cuts it, made of what that stage reads, and whether it changes with the duration alone."""
+    facts = Facts(spark, sf_dir)
+    key = lambda dur: cache_key(F.col("video_id"), dur.alias("dur_ms"), F.lit(STAGES[6]).alias("stage"), F.lit(None).cast("string").alias("note"))
+    return facts.media.select("video_id", key(F.col("dur_ms")).alias("cache_key"), (key(F.col("dur_ms")) != key(F.col("dur_ms") + 1)).alias("changes"))
+
+
 def estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents").select("doc_id", (F.col("n_chars") * 100000).alias("bytes"))
     return d.select("doc_id", *[c.alias(k) for k, c in X.estimate(F.col("bytes")).items()])
@@ -268,11 +357,11 @@ def media_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole pipeline; nested fields flattened, and without the time of the run."""
-    normal = sinks.keep(normalized_chunks(spark, sf_dir), "normalized")
-    annotated = assemble.annotate(normal)
+    facts = Facts(spark, sf_dir)
+    annotated = assemble.annotate(facts.chunks)
     path = F.concat(F.lit("media/"), F.col("video_id").cast("string"), F.lit(".mp4"))
-    sources = timeline.media(spark, sf_dir).select("video_id", path.alias("source_path"), X.source_hash(F.col("dur_ms").cast("string").cast("binary")).alias("source_hash"), F.lit(True).alias("has_audio"))
-    c = assemble.build_chunks(annotated, _enriched(spark, sf_dir, normal), sources)
+    sources = facts.media.select("video_id", path.alias("source_path"), X.source_hash(F.col("dur_ms").cast("string").cast("binary")).alias("source_hash"), F.lit(True).alias("has_audio"))
+    c = assemble.build_chunks(annotated, facts.enriched, sources)
     flags = [F.col(f"modality_flags.{f}").alias(f) for f in ("has_speech", "has_ocr", "has_visual")]
     flat = ["schema_version", "video_id", "source_type", "source_path", "source_hash", "chunk_id", "parent_segment_id", "start_sec", "end_sec", "start_tc", "end_tc", "duration_sec", "content_type", "title", "summary", "transcript", "ocr_text", "visual_caption"]
     return c.select(*flat, F.array_join("keywords", ",").alias("keywords"), F.sha2(F.col("embedding_text").cast("binary"), 256).alias("embedding_hash"), F.size("image_refs").alias("n_images"), F.col("source_jump_ref.type").alias("jump_type"), *flags, F.col("processing_meta.segmentation_rationale").alias("segmentation_rationale"))
@@ -281,8 +370,8 @@ def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        fx_transcript, fx_signals, silence_intervals, silence_log_parse, scene_log_parse, timecode_parse, probe_parse, fraction_parse, asr_json_parse, jsonl_validate, coarse_segments, coarse_transcript, segment_invariants, semantic_chunks, equal_division,
+        fx_transcript, fx_signals, silence_intervals, silence_log_parse, scene_log_parse, timecode_parse, probe_parse, fraction_parse, asr_json_parse, jsonl_validate, coarse_segments, coarse_transcript, segment_invariants, semantic_chunks, equal_division, model_chunks,
         merged_chunks, split_chunks, normalized_chunks, frame_timestamps, frame_kinds, dhash_pack, dhash_hamming, frame_dedupe, alt_frame_timeline, caption_topk, even_k_of_n, chunk_visual, chunk_image_refs, summarize, keywords, fallback_titles, embedding_text,
-        timecodes, source_hashes, llm_reply_validate, annotated_chunks, markdown_doc, chunk_jsonl, output_index, manifest_pending, estimate, media_names, chunks,
+        timecodes, source_hashes, llm_reply_validate, annotated_chunks, markdown_doc, chunk_jsonl, output_index, manifest_pending, stage_cache, estimate, media_names, chunks,
     )
 }

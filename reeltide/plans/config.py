@@ -46,6 +46,8 @@ class Speech:
     adapter: str = "whisper_cpp"
     model: str = "large-v3"
     language: str = "auto"
+    #: The recogniser's command line, to which a file's path is added; it prints JSON.
+    command: tuple[str, ...] = ()
 
 
 @dataclass(frozen=True)

@@ -1,14 +1,30 @@
-"""Stage bookkeeping as a table: records of runs, their transitions, and what is still to be done."""
+"""Stage bookkeeping as a table: records of runs, their transitions, and what is still to be done.
+
+Records are only ever added, so that runs of different media can write side by side; the newest record of a media's stage
+says where it stands.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reeltide.sources.sinks import exists
+
 #: The stages of the pipeline in order, and the states of a record.
 STAGES = ("probe", "audio", "asr", "silence", "scene", "frames", "coarse", "semantic", "normalize", "annotate")
 STATES = ("pending", "running", "done", "failed")
-RECORD = "video_id bigint, stage string, input_hash string, status string, output_path string, completed_at timestamp, version bigint"
+RECORD = "video_id string, stage string, input_hash string, status string, output_path string, completed_at timestamp, version bigint"
+
+
+def input_hash(source_hash: Column, config_hash: str) -> Column:
+    """What all stages of a media depend on: its source and the settings."""
+    return F.concat(F.coalesce(source_hash, F.lit("")), F.lit(":"), F.lit(config_hash))
+
+
+def cache_key(*inputs: Column | str) -> Column:
+    """A digest of a stage's input columns as JSON, nulls included."""
+    return F.concat(F.lit("sha256:"), F.sha2(F.to_json(F.struct(*inputs), {"ignoreNullFields": "false"}), 256))
 
 
 def latest(records: DataFrame) -> DataFrame:
@@ -17,19 +33,44 @@ def latest(records: DataFrame) -> DataFrame:
     return records.groupBy("video_id", "stage").agg(F.max_by(F.struct(*rest), "version").alias("r")).select("video_id", "stage", "r.*")
 
 
-def mark(records: DataFrame, stages: DataFrame, status: str, output_path: str | None = None) -> DataFrame:
-    """Adds a newer record in ``status`` for each of ``stages`` (video_id, stage, input_hash); a run in progress has no output yet."""
+def transition(records: DataFrame, stages: DataFrame, status: str, output_path: str | None = None) -> DataFrame:
+    """The next record, in ``status``, of each of ``stages`` (video_id, stage, input_hash); a run in progress has no output yet."""
     if status not in STATES:
         raise ValueError(f"no such state: {status}")
     done = status == "done"
     before = records.groupBy("video_id", "stage").agg(F.max("version").alias("v"))
-    new = stages.join(before, ["video_id", "stage"], "left").select(
+    return stages.join(before, ["video_id", "stage"], "left").select(
         "video_id", "stage", "input_hash", F.lit(status).alias("status"), F.lit(output_path if done else None).cast("string").alias("output_path"), (F.current_timestamp() if done else F.lit(None).cast("timestamp")).alias("completed_at"), (F.coalesce("v", F.lit(-1)) + 1).alias("version")
     )
-    return records.unionByName(new)
+
+
+def mark(records: DataFrame, stages: DataFrame, status: str, output_path: str | None = None) -> DataFrame:
+    """``records`` and their next ones."""
+    return records.unionByName(transition(records, stages, status, output_path))
+
+
+def finished(wanted: DataFrame, records: DataFrame) -> DataFrame:
+    """The wanted (video_id, stage, input_hash) whose newest record is done with the same input, with its output_path."""
+    done = latest(records).where("status = 'done'").select("video_id", "stage", "input_hash", "output_path")
+    return wanted.join(done, ["video_id", "stage", "input_hash"])
 
 
 def pending(wanted: DataFrame, records: DataFrame) -> DataFrame:
     """The wanted (video_id, stage, input_hash) without a finished record of the same input."""
     done = records.where("status = 'done'").select("video_id", "stage", "input_hash").distinct()
     return wanted.join(done, ["video_id", "stage", "input_hash"], "left_anti")
+
+
+class Manifest:
+    """The records of one output folder, below ``folder/manifest``."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.path = spark, f"{folder}/manifest"
+
+    def records(self) -> DataFrame:
+        if not exists(self.spark, self.path):
+            return self.spark.createDataFrame([], RECORD)
+        return self.spark.read.schema(RECORD).parquet(self.path)
+
+    def add(self, stages: DataFrame, status: str, output_path: str | None = None) -> None:
+        transition(self.records(), stages, status, output_path).write.mode("append").parquet(self.path)

@@ -252,6 +252,9 @@ ORACLE_SQL: dict[str, str] = {
         FROM (SELECT *, lead(start_sec) OVER (PARTITION BY video_id ORDER BY seg_index) AS nxt FROM coarse) s JOIN media m ON m.video_id = s.video_id GROUP BY s.video_id, m.duration_sec""",
     "semantic_chunks": _SEMANTIC + "SELECT * FROM semantic",
     "equal_division": _SEMANTIC + "SELECT p.video_id, p.seg_index, p.j AS part, p.start_sec, p.end_sec, c.transcript_text FROM piece p JOIN coarse_text c ON c.video_id = p.video_id AND c.seg_index = p.seg_index",
+    "model_chunks": _SEMANTIC + """, halves AS (SELECT *, CASE j WHEN 0 THEN 0.0::DOUBLE ELSE end_sec / 2 END AS a, CASE j WHEN 0 THEN end_sec / 2 ELSE end_sec END AS b FROM (SELECT *, unnest([0, 1]) AS j FROM coarse_text) q WHERE round(end_sec * 1000) % 3 <> 2)
+SELECT video_id, seg_index * 1000000 + j AS ord, a AS start_sec, b AS end_sec, 'Segment from ' || printf('%.1f', a) || 's to ' || printf('%.1f', b) || 's' AS transcript_text, CASE j WHEN 0 THEN 'first' ELSE 'second' END AS rationale FROM halves
+UNION ALL SELECT p.video_id, p.seg_index * 1000000 + p.j, p.start_sec, p.end_sec, c.transcript_text, 'Fallback equal division' FROM piece p JOIN coarse_text c ON c.video_id = p.video_id AND c.seg_index = p.seg_index WHERE round(c.end_sec * 1000) % 3 = 2""",
     "merged_chunks": _MERGED + "SELECT * FROM merged",
     "split_chunks": _SEMANTIC + _split("SELECT video_id, seg_index AS ord, start_sec, end_sec, transcript_text, 'coarse' AS rationale FROM coarse_text"),
     "normalized_chunks": _NORMAL + "SELECT * FROM normal",
@@ -288,6 +291,7 @@ ORACLE_SQL: dict[str, str] = {
     "manifest_pending": _FX
     + f"""SELECT w.video_id, w.stage, w.input_hash FROM (SELECT video_id, unnest({_STAGES}) AS stage, 'h' || CAST(dur_ms AS VARCHAR) AS input_hash FROM media) w
         WHERE NOT EXISTS (SELECT 1 FROM signals s JOIN media m ON m.video_id = s.video_id WHERE s.video_id = w.video_id AND {_STAGES}[abs(s.event_id) % 10 + 1] = w.stage AND abs(s.event_id) % 3 <> 0 AND abs(s.event_id) % 2 = 0)""",
+    "stage_cache": "SELECT conv_id AS video_id, 'sha256:' || sha256('{\"video_id\":' || conv_id || ',\"dur_ms\":' || CAST(sum(greatest(500, 120 * length(text))) AS BIGINT) || ',\"stage\":\"coarse\",\"note\":null}') AS cache_key, true AS changes FROM conversations GROUP BY conv_id",
     "estimate": "SELECT doc_id, CAST(trunc(greatest(n_chars * 100000 / 1048576.0::DOUBLE / 10, 5)) AS BIGINT) AS chunks, CAST(ceil(n_chars * 100000 / 1048576.0::DOUBLE * 0.5::DOUBLE) AS BIGINT) AS output_mb, CAST(ceil(n_chars * 100000 / 1048576.0::DOUBLE / 50) AS BIGINT) AS minutes FROM documents",
     "media_names": r"""
 WITH p AS (SELECT page_id, list_last(string_split(regexp_replace(url, '\?.*$', '') || CASE page_id % 3 WHEN 0 THEN '.tar.gz' WHEN 1 THEN '/' ELSE '' END, '/')) AS name FROM pages),

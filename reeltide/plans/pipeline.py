@@ -2,54 +2,100 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reeltide.operators import assemble, frames, segment
 from reeltide.plans.config import Config
-from reeltide.sources import sinks
+from reeltide.plans.manifest import Manifest, finished, input_hash
+
+
+class Ended(Exception):
+    """The last stage that was asked for is done."""
 
 
 class Stages:
-    """Runs stages by name. With a folder each is written and, from ``resume``, read where it is already there."""
+    """Runs stages by name. With a folder each is written, and its records kept in the folder's manifest.
+
+    With ``resume`` a media's rows of a stage are read where its newest record is done with the same input hash (source and
+    settings) and made anew otherwise; a run that broke off leaves records that aren't done. Stages before ``first`` must be
+    there; the one after ``last`` raises Ended.
+    """
 
-    def __init__(self, spark, folder: str | None = None, resume: bool = False):
-        self.spark, self.folder, self.resume = spark, folder, resume
+    def __init__(self, media: DataFrame, config: Config, folder: str | None = None, resume: bool = False, first: str | None = None, last: str | None = None):
+        self.spark, self.folder, self.resume, self.first, self.last = media.sparkSession, folder, resume, first, last
+        source = F.col("source_hash") if "source_hash" in media.columns else F.lit("").cast("string")
+        self.media = media.select(F.col("video_id").cast("string").alias("video_id"), input_hash(source, config.hash()).alias("input_hash"))
+        self.begun, self.over = first is None, False
+        self.manifest = Manifest(self.spark, folder) if folder else None
 
     def run(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
-        if not self.folder:
+        """The stage's rows, all of them keyed by video_id."""
+        if not self.manifest:
             return make()
-        if self.resume:
+        if self.over:
+            raise Ended(name)
+        self.begun, self.over = self.begun or name == self.first, name == self.last
+        wanted = self.media.withColumn("stage", F.lit(name))
+        done = finished(wanted, self.manifest.records()).select("video_id", "output_path") if self.resume or not self.begun else None
+        # one path for each run that wrote this stage
+        paths = sorted(r.output_path for r in done.select("output_path").distinct().collect()) if done is not None else []
+        todo = wanted.join(done, "video_id", "left_anti") if paths else wanted
+        of = lambda rows, ids: rows.join(ids.select(F.col("video_id").alias("_id")), F.col("video_id").cast("string") == F.col("_id"), "left_semi")
+        parts = [of(self.spark.read.parquet(p), done.where(F.col("output_path") == p)) for p in paths]
+        if self.begun and (not paths or not todo.isEmpty()):
+            path = f"{self.folder}/stages/{name}/{uuid.uuid4().hex}"
+            self.manifest.add(todo, "running")
             try:
-                return self.spark.read.parquet(f"{self.folder}/stages/{name}")
-            except Exception as e:  # nothing there yet
-                if "PATH_NOT_FOUND" not in str(e):
-                    raise
-        return sinks.write_stage(make(), self.folder, name)
+                made = make()
+                (of(made, todo) if paths else made).write.parquet(path)
+            except Exception:
+                self.manifest.add(todo, "failed")
+                raise
+            self.manifest.add(todo, "done", path)
+            parts.append(self.spark.read.parquet(path))
+        if not parts:
+            raise FileNotFoundError(f"stage {name} isn't there and lies before {self.first}")
+        return reduce(DataFrame.unionByName, parts)
 
 
-def build(media: DataFrame, transcript: DataFrame, silences: DataFrame, scenes: DataFrame, hashes: DataFrame | None = None, config: Config | None = None, folder: str | None = None, resume: bool = False, enrich: Callable[[DataFrame, DataFrame], DataFrame] | None = None) -> tuple[DataFrame, DataFrame]:
+def build(
+    media: DataFrame, transcript: DataFrame, silences: DataFrame, scenes: DataFrame, hashes: DataFrame | None = None, config: Config | None = None, folder: str | None = None, resume: bool = False, enrich: Callable[[DataFrame, DataFrame], DataFrame] | None = None, annotate: Callable[[DataFrame], DataFrame] | None = None, split: Callable[[DataFrame], DataFrame] | None = None, first: str | None = None, last: str | None = None,
+) -> tuple[DataFrame, DataFrame]:
     """(annotated chunks, frames with kind and texts).
 
-    media: (video_id, duration_sec); transcript: (video_id, seg_idx, start_sec, end_sec, text); silences: (video_id, start_sec,
-    end_sec); scenes: (video_id, at_sec); hashes: (video_id, frame_idx, hash); enrich: adds ocr_text and visual_caption to frames.
+    media: (video_id, duration_sec and, if known, source_hash); transcript: (video_id, seg_idx, start_sec, end_sec, text); silences:
+    (video_id, start_sec, end_sec); scenes: (video_id, at_sec); hashes: (video_id, frame_idx, hash); enrich: adds ocr_text and
+    visual_caption to frames; annotate: adds title, summary and keywords to chunks, as a model would, instead of what the
+    chunks' own words give; split: makes semantic chunks of coarse segments with their text, instead of equal pieces.
     """
     config = config or Config()
-    stages = Stages(media.sparkSession, folder, resume)
+    stages = Stages(media, config, folder, resume, first, last)
     c, s, f = config.coarse, config.semantic, config.frames
     starts, ends = silences.select("video_id", F.col("start_sec").alias("at_sec")), silences.select("video_id", F.col("end_sec").alias("at_sec"))
     candidates = starts.unionByName(ends).unionByName(scenes.select("video_id", "at_sec"))
-    shots = frames.frame_kinds(frames.frame_timestamps(media, scenes, f.periodic_interval_sec, max(f.max_analyzed, 8)), scenes)
-    shots = shots.withColumn("path", F.concat(F.lit("images/"), F.col("video_id").cast("string"), F.lit("/frame_"), F.format_string("%03d", "frame_idx"), F.lit(".jpg")))
-    if hashes is not None:
-        hashed = shots.join(hashes, ["video_id", "frame_idx"], "left")
-        shots = shots.join(frames.dedupe_frames(hashed, "video_id", "frame_idx", "hash", f.dhash_distance_threshold), ["video_id", "frame_idx"])
-    shots = stages.run("frames", lambda: shots)
+
+    def shots() -> DataFrame:
+        taken = frames.frame_kinds(frames.frame_timestamps(media, scenes, f.periodic_interval_sec, max(f.max_analyzed, 8)), scenes)
+        taken = taken.withColumn("path", F.concat(F.lit("images/"), F.col("video_id").cast("string"), F.lit("/frame_"), F.format_string("%03d", "frame_idx"), F.lit(".jpg")))
+        if hashes is None:
+            return taken
+        hashed = taken.join(hashes, ["video_id", "frame_idx"], "left")
+        return taken.join(frames.dedupe_frames(hashed, "video_id", "frame_idx", "hash", f.dhash_distance_threshold), ["video_id", "frame_idx"])
+
+    def semantic() -> DataFrame:
+        if split is None:
+            return segment.semantic_chunks(coarse, transcript, s.target_min_sec, s.target_max_sec)
+        return split(segment.overlap_text(coarse, transcript, ["video_id", "seg_index"], trimmed=False))
+
+    seen = stages.run("frames", shots)
     coarse = stages.run("coarse", lambda: segment.coarse_segments(media, candidates, c.max_duration_sec, c.snap_window_sec, c.symmetric_snap))
-    semantic = stages.run("semantic", lambda: segment.semantic_chunks(coarse, transcript, s.target_min_sec, s.target_max_sec))
-    normal = stages.run("normalize", lambda: segment.normalize(semantic, s.hard_min_sec, s.hard_max_sec))
-    annotated = stages.run("annotate", lambda: assemble.annotate(normal))
+    chunks = stages.run("semantic", semantic)
+    normal = stages.run("normalize", lambda: segment.normalize(chunks, s.hard_min_sec, s.hard_max_sec))
+    annotated = stages.run("annotate", lambda: (annotate or assemble.annotate)(normal))
     none = F.lit(None).cast("string")
-    return annotated, enrich(shots, normal) if enrich else shots.withColumns({"ocr_text": none, "visual_caption": none})
+    return annotated, enrich(seen, normal) if enrich else seen.withColumns({"ocr_text": none, "visual_caption": none})

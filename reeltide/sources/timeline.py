@@ -27,22 +27,22 @@ def media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _turns(spark, sf_dir).groupBy("video_id").agg(F.sum("ms").alias("dur_ms")).withColumn("duration_sec", F.col("dur_ms") / 1000.0)
 
 
-def signals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(video_id, event_id, event_type, at_sec): each event falls somewhere in its user's media."""
+def signals(spark: SparkSession, sf_dir: str, of: DataFrame | None = None) -> DataFrame:
+    """(video_id, event_id, event_type, at_sec): each event falls somewhere in its user's media (``of``, where they are made already)."""
     events = table(spark, sf_dir, "events").select(F.col("user_id").alias("video_id"), "event_id", "event_type", F.unix_micros(F.col("ts").cast("timestamp")).alias("us"))
-    joined = events.join(media(spark, sf_dir), "video_id")
+    joined = events.join(media(spark, sf_dir) if of is None else of, "video_id")
     return joined.select("video_id", "event_id", "event_type", (F.expr("us div 1000 % dur_ms") / 1000.0).alias("at_sec"))
 
 
-def silence_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
+def silence_marks(signals: DataFrame) -> DataFrame:
     """(video_id, ord, is_start, at_sec): starts and ends of silence in log order."""
-    marks = signals(spark, sf_dir).where("event_type in ('click', 'purchase')")
+    marks = signals.where("event_type in ('click', 'purchase')")
     return marks.select("video_id", F.struct("at_sec", "event_id").alias("ord"), (F.col("event_type") == "click").alias("is_start"), "at_sec")
 
 
-def scenes(spark: SparkSession, sf_dir: str) -> DataFrame:
+def scenes(signals: DataFrame) -> DataFrame:
     """(video_id, at_sec)"""
-    return signals(spark, sf_dir).where("event_type = 'view'").select("video_id", "at_sec")
+    return signals.where("event_type = 'view'").select("video_id", "at_sec")
 
 
 def frame_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:

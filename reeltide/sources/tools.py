@@ -2,30 +2,71 @@
 
 from __future__ import annotations
 
+import hashlib
+import os
 import subprocess
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reeltide.sources.adapters import map_text
+from reeltide.sources.adapters import TOOL_TIMEOUT, map_text
 
-# The commands; {path} is the row's file.
+# The commands; {path} is the row's file, {out} the file to be written.
 PROBE = ("ffprobe", "-v", "error", "-print_format", "json", "-show_format", "-show_streams", "{path}")
 SILENCE = ("ffmpeg", "-i", "{path}", "-af", "silencedetect=noise=-35dB:d=0.5", "-f", "null", "-")
 SCENES = ("ffmpeg", "-i", "{path}", "-vf", "select='gt(scene,0.4)',showinfo", "-f", "null", "-")
 AUDIO = ("ffmpeg", "-y", "-i", "{path}", "-vn", "-ac", "1", "-ar", "16000", "{out}")
+FRAME = ("ffmpeg", "-y", "-ss", "{at_sec}", "-i", "{path}", "-frames:v", "1", "-q:v", "{quality}", "{out}")
 
 
-def run_tool(files: DataFrame, command: tuple[str, ...], output: str, path_col: str = "path", from_log: bool = False, must_succeed: bool = True) -> DataFrame:
-    """Adds what the tool prints (or logs) for each file; null where it fails."""
+@dataclass(frozen=True)
+class Tools:
+    """The commands that media files are worked on with."""
 
-    def call(path: str) -> str:
-        done = subprocess.run([part.format(path=path, out=f"{path}.wav") for part in command], capture_output=True, text=True)
+    probe: tuple[str, ...] = PROBE
+    silence: tuple[str, ...] = SILENCE
+    scenes: tuple[str, ...] = SCENES
+    audio: tuple[str, ...] = AUDIO
+    frame: tuple[str, ...] = FRAME
+
+
+def media_files(spark: SparkSession, folder: str, pattern: str = "*.mp4") -> DataFrame:
+    """(video_id, path, bytes) of the files of a folder; their contents aren't read."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(folder)
+    path = F.url_decode(F.regexp_replace(F.regexp_replace("path", "^file:/*", "/"), r"\+", "%2B"))
+    return files.select(path.alias("path"), F.col("length").alias("bytes")).select(video_id(F.col("path")).alias("video_id"), "path", "bytes")
+
+
+def with_source_hash(files: DataFrame) -> DataFrame:
+    """Adds source_hash, a digest of each file's contents, read piece by piece."""
+
+    def digest(path: str) -> str:
+        with open(path, "rb") as f:
+            return "sha256:" + hashlib.file_digest(f, "sha256").hexdigest()
+
+    return map_text(files, ["path"], "source_hash", digest)
+
+
+def run_tool(files: DataFrame, command: tuple[str, ...], output: str, path_col: str = "path", from_log: bool = False, must_succeed: bool = True, values: tuple[str, ...] = (), out_col: str | None = None, timeout: float = TOOL_TIMEOUT) -> DataFrame:
+    """Adds what the tool prints (or logs) for each file; where it fails null, and why in ``<output>_error``.
+
+    ``values``: columns that the command names in braces; ``out_col``: the column of {out}, whose folder is made.
+    """
+    columns = [path_col, *values, *([out_col] if out_col else [])]
+
+    def call(path: str, *more: object) -> str:
+        given = dict(zip(columns[1:], more, strict=True))
+        out = given[out_col] if out_col else f"{path}.wav"
+        if out_col:
+            os.makedirs(os.path.dirname(out), exist_ok=True)
+        given |= {"path": path, "out": out}
+        done = subprocess.run([part.format(**given) for part in command], capture_output=True, text=True, timeout=timeout)
         if must_succeed and done.returncode:
             raise OSError(done.stderr[-200:])
         return done.stderr if from_log else done.stdout
 
-    return map_text(files, [path_col], output, call)
+    return map_text(files, columns, output, call)
 
 
 def video_id(path: Column) -> Column:

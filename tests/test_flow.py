@@ -1,9 +1,13 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from reeltide import cli
 from reeltide.plans.config import Config
+from reeltide.plans.manifest import Manifest, latest
+from reeltide.plans.pipeline import Ended, Stages
+from reeltide.sources import tools
 from reeltide.streaming import signals
 
 
@@ -12,9 +16,93 @@ def test_process_validate(spark, small, tmp_path):
     assert cli.validate(spark, str(tmp_path / "out/chunks.jsonl"))[1] == 0
     line = json.loads(spark.read.text(str(tmp_path / "out/chunks.jsonl")).first().value)
     assert "ocr_text" in line and line["schema_version"] == "1.0" and line["source_jump_ref"]["type"] == "local"
-    first = spark.read.parquet(str(tmp_path / "out/stages/normalize")).count()
+    runs = lambda: len(list((tmp_path / "out/stages/normalize").iterdir()))
     cli.process(spark, small, str(tmp_path / "out"), Config(), resume=True)
-    assert spark.read.parquet(str(tmp_path / "out/stages/normalize")).count() == first
+    assert runs() == 1 and {r.status for r in cli.inspect(spark, str(tmp_path / "out")).collect()} == {"done"}
+    cli.process(spark, small, str(tmp_path / "out"), Config.parse("[coarse]\nmax_duration_sec = 200\n"), resume=True)
+    assert runs() == 2
+
+
+class Counted:
+    """Stages over a tiny table, with a record of which were made."""
+
+    def __init__(self, spark, folder):
+        self.spark, self.folder, self.made = spark, str(folder), []
+
+    def run(self, hashes, config=None, stage="coarse", fail=False, **how):
+        media = self.spark.createDataFrame([(i, h) for i, h in enumerate(hashes)], "video_id long, source_hash string")
+
+        def make():
+            self.made.append(stage)
+            if fail:
+                raise ValueError("broken")
+            return media.withColumn("v", F.concat(F.lit(f"{len(self.made)}-"), "source_hash"))
+
+        rows = Stages(media, config or Config(), self.folder, **how).run(stage, make)
+        return {r.video_id: r.v for r in rows.collect()}
+
+
+def test_resume_takes_what_is_done_with_the_same_input(spark, tmp_path):
+    s = Counted(spark, tmp_path)
+    assert s.run("ab", resume=True) == {0: "1-a", 1: "1-b"}
+    assert s.run("ab", resume=True) == {0: "1-a", 1: "1-b"} and len(s.made) == 1  # hit
+    assert s.run("xb", resume=True) == {0: "2-x", 1: "1-b"}  # one source changed: only that medium is made anew
+    assert s.run("xb", Config.parse("[coarse]\nmax_duration_sec = 9\n"), resume=True) == {0: "3-x", 1: "3-b"}  # other settings
+    assert s.run("xb", resume=False) == {0: "4-x", 1: "4-b"}
+
+
+def test_resume_makes_anew_what_is_not_done(spark, tmp_path):
+    s = Counted(spark, tmp_path)
+    with pytest.raises(ValueError):
+        s.run("ab", resume=True, fail=True)
+    assert {r.status for r in latest(Manifest(spark, str(tmp_path)).records()).collect()} == {"failed"}
+    assert s.run("ab", resume=True) == {0: "2-a", 1: "2-b"}
+    media = spark.createDataFrame([("0", "coarse", "h")], "video_id string, stage string, input_hash string")
+    Manifest(spark, str(tmp_path)).add(media, "running")  # a later run began and broke off
+    assert s.run("ab", resume=True) == {0: "3-a", 1: "2-b"}
+
+
+def test_stage_ranges(spark, tmp_path):
+    s = Counted(spark, tmp_path)
+    with pytest.raises(FileNotFoundError):
+        s.run("a", first="semantic")
+    s.run("a", stage="coarse", last="coarse")
+    assert s.run("a", first="semantic") == {0: "1-a"} and len(s.made) == 1
+    stages = Stages(spark.createDataFrame([(0, "a")], "video_id long, source_hash string"), Config(), str(tmp_path / "b"), last="coarse")
+    stages.run("coarse", lambda: spark.range(1).withColumnRenamed("id", "video_id"))
+    with pytest.raises(Ended):
+        stages.run("semantic", lambda: None)
+
+
+def test_process_media_files(spark, tmp_path):
+    """Files stand for media: each tool prints what lies beside the file under another name."""
+    media = tmp_path / "media"
+    media.mkdir()
+    streams = {"one": '{"codec_type":"video","width":64,"height":48,"r_frame_rate":"25/1"},{"codec_type":"audio"}', "mute": '{"codec_type":"video","width":64,"height":48,"r_frame_rate":"25/1"}'}
+    for name, x in streams.items():
+        (media / f"{name}.mp4").write_bytes(name.encode())
+        (media / f"{name}.mp4.probe").write_text('{"format":{"duration":"100.0"},"streams":[%s]}' % x)
+        (media / f"{name}.mp4.silence").write_text("x silence_start: 45.5\nx silence_end: 50.0 | silence_duration: 4.5\n")
+        (media / f"{name}.mp4.scenes").write_text("n:0 pts_time:20.5\n")
+    (media / "broken.mp4").write_bytes(b"?")
+    show = lambda kind: ("sh", "-c", "cat '{path}." + kind + "' >&2")
+    commands = tools.Tools(probe=("cat", "{path}.probe"), silence=show("silence"), scenes=show("scenes"), audio=("cp", "{path}", "{out}"), frame=("sh", "-c", "printf 'P5 1 1 255 x' > '{out}'"))
+
+    class Speech:
+        def transcribe(self, path):
+            return '{"result":[{"start":1.0,"end":30.0,"text":"of %s"}]}' % open(path).read()
+
+    out = str(tmp_path / "out")
+    cli.process(spark, str(media), out, Config(), commands=commands, speech=Speech())
+    lines = [json.loads(r.value) for r in spark.read.text(f"{out}/chunks.jsonl").collect()]
+    assert {x["video_id"] for x in lines} == {"one", "mute"}
+    first = {x["video_id"]: x for x in lines if x["start_sec"] == 0}
+    assert first["one"]["transcript"] == "of one" and first["one"]["modality_flags"]["has_speech"] and first["one"]["source_hash"].startswith("sha256:")
+    assert first["mute"]["transcript"] == "" and not first["mute"]["modality_flags"]["has_speech"] and first["mute"]["image_refs"]
+    errors = spark.read.json(f"{out}/errors.jsonl").collect()
+    assert [(r.video_id, r.step) for r in errors] == [("broken", "probe")]
+    annotated = spark.read.json(f"{out}/annotated.jsonl")
+    assert annotated.count() == len(lines) and "title" in annotated.columns
 
 
 def test_streams_agree_with_batch(spark, small, tmp_path):

@@ -100,10 +100,10 @@ def test_silences(spark):
 
 
 def test_probe_and_scene_log(spark):
-    full = '{"format":{"duration":"60.5"},"streams":[{"codec_type":"video","width":1920,"height":1080,"r_frame_rate":"30000/1001"},{"codec_type":"audio"}]}'
+    full = '{"format":{"duration":"75.25"},"streams":[{"codec_type":"video","width":704,"height":396,"r_frame_rate":"24000/1001"},{"codec_type":"audio"}]}'
     df = spark.createDataFrame([(full,), ('{"format":{},"streams":[]}',), ("no json",)], "j string")
     a, b, c = parsers.probe(df, "j").collect()
-    assert (a.duration_sec, a.width, a.height, a.has_video, a.has_audio) == (60.5, 1920, 1080, True, True) and abs(a.fps - 29.97) < 0.01
+    assert (a.duration_sec, a.width, a.height, a.has_video, a.has_audio) == (75.25, 704, 396, True, True) and abs(a.fps - 23.976) < 0.01
     assert (b.duration_sec, b.fps, b.has_video, b.has_audio) == (0.0, 0.0, False, False) and c.duration_sec == 0.0
     log = "x pts_time:1.234\npts_time:5 time=00:00:06.000\ntime=bad pts_time:2\ntime=7 pts_time:3\nnone\ntime=00:00:20.5"
     row = spark.createDataFrame([(log,)], "l string").select(parsers.scene_times(F.col("l")).alias("t")).first()
@@ -112,10 +112,10 @@ def test_probe_and_scene_log(spark):
 
 def test_speech_layouts(spark):
     a = '{"result":[{"start":0.5,"end":1.0,"text":" hi "},{"start":1,"end":2,"text":"  "}]}'
-    b = '{"transcription":[{"offsets":{"from":0,"to":2060},"text":"日本"},{"offsets":{"from":-5,"to":4000},"text":"x"}]}'
+    b = '{"transcription":[{"offsets":{"from":0,"to":1735},"text":"川辺"},{"offsets":{"from":-5,"to":3210},"text":"x"}]}'
     df = spark.createDataFrame([(0, a), (1, b), (2, "{}"), (3, "bad")], "id int, j string")
     got = [(r.id, r.start_sec, r.end_sec, r.text) for r in parsers.speech_segments(df, "j").orderBy("id", "pos").collect()]
-    assert got == [(0, 0.5, 1.0, "hi"), (1, 0.0, 2.06, "日本"), (1, 0.0, 4.0, "x")]
+    assert got == [(0, 0.5, 1.0, "hi"), (1, 0.0, 1.735, "川辺"), (1, 0.0, 3.21, "x")]
 
 
 def test_annotation_of_blank_chunks(spark):
@@ -126,7 +126,7 @@ def test_annotation_of_blank_chunks(spark):
 
 def test_manifest(spark):
     records = spark.createDataFrame([], manifest.RECORD)
-    one = spark.createDataFrame([(1, "probe", "h")], "video_id long, stage string, input_hash string")
+    one = spark.createDataFrame([("1", "probe", "h")], "video_id string, stage string, input_hash string")
     records = manifest.mark(manifest.mark(records, one, "running"), one, "done", "p")
     last = manifest.latest(records).first()
     assert (last.status, last.output_path, last.version) == ("done", "p", 1)
@@ -148,7 +148,7 @@ def test_adapters_fail_softly(spark):
             return f"see {path}"
 
     df = spark.createDataFrame([("a",), ("b",)], "path string")
-    assert {r.path: r.visual_caption for r in adapters.caption_frames(df, Half()).collect()} == {"a": "see a", "b": None}
+    assert {r.path: (r.visual_caption, r.visual_caption_error) for r in adapters.caption_frames(df, Half()).collect()} == {"a": ("see a", None), "b": (None, "OSError: ")}
     calls = []
 
     def flaky():
@@ -185,4 +185,90 @@ def test_names(spark):
     assert [r.v for r in got] == ["clip.one", ".mp4", "noext", "video"] and [r.j for r in got] == [31, 7, 31, 31]
     ran = tools.run_tool(spark.createDataFrame([("x",)], "path string"), ("echo", "{path}"), "out").first()
     gone = tools.run_tool(spark.createDataFrame([("x",)], "path string"), ("no-such-tool-here", "{path}"), "out").first()
-    assert ran.out == "x\n" and gone.out is None
+    assert ran.out == "x\n" and ran.out_error is None and gone.out is None and "no-such-tool-here" in gone.out_error
+
+
+def test_dedupe_over_several_ranges(spark, monkeypatch):
+    """The same frames are kept however the order is dealt out."""
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    hashes = rng.integers(0, 1 << 20, 400) * (1 << 40)
+    df = spark.createDataFrame([(int(i % 7 > 1), i, int(h)) for i, h in enumerate(hashes)], "g long, seq long, h long")
+    whole = sorted((r.g, r.seq) for r in frames.dedupe_frames(df, "g", "seq", "h", 5).collect())
+    monkeypatch.setattr(frames, "DEDUPE_ROWS", 40)
+    assert sorted((r.g, r.seq) for r in frames.dedupe_frames(df, "g", "seq", "h", 5).collect()) == whole and 10 < len(whole) < 300
+
+
+def test_texts_meet_over_stretches_of_time(spark):
+    turns = [(0, i, 70.0 * i, 70.0 * i + 90.0, f"t{i}") for i in range(30)] + [(0, 99, 10.0, 1900.0, "all")]
+    t = spark.createDataFrame(turns, "video_id long, seg_idx long, start_sec double, end_sec double, text string")
+    spans = [(0, k, a, b) for k, (a, b) in enumerate([(0.0, 60.0), (299.0, 301.0), (300.0, 600.0), (100.0, 1500.0), (5000.0, 5100.0)])]
+    s = spark.createDataFrame(spans, "video_id long, idx long, start_sec double, end_sec double")
+    got = {r.idx: r.transcript_text for r in segment.overlap_text(s, t, ["video_id", "idx"]).collect()}
+    assert got == {k: " ".join(x for _, _, c, d, x in turns if c < b and d > a) for _, k, a, b in spans}
+
+
+def test_chunks_by_a_model(spark):
+    class Says:
+        """A model that gives its answers in turn, the last one for ever."""
+
+        def __init__(self, *answers):
+            self.answers = list(answers)
+
+        def complete_json(self, prompt):
+            answer = self.answers.pop(0) if len(self.answers) > 1 else self.answers[0]
+            if answer is None:
+                raise OSError("unreachable")
+            return answer
+
+    df = spark.createDataFrame([(1, 0, 0.0, 100.0, "said")], "video_id long, seg_index long, start_sec double, end_sec double, transcript_text string")
+    good = '{"chunks":[{"start_sec":0,"end_sec":40.25,"rationale":"a"},{"start_sec":40.255,"end_sec":100,"rationale":"b"}]}'
+    late, gap, back = ('{"chunks":[{"start_sec":%s,"end_sec":50,"rationale":"a"},{"start_sec":%s,"end_sec":%s,"rationale":"b"}]}' % x for x in ((1, 50, 100), (0, 51, 100), (0, 50, 50)))
+    cut = [(0, 0.0, 40.25, "Segment from 0.0s to 40.2s", "a"), (1, 40.255, 100.0, "Segment from 40.3s to 100.0s", "b")]
+    divided = [(0, 0.0, 50.0, "said", "Fallback equal division"), (1, 50.0, 100.0, "said", "Fallback equal division")]
+    for answers, want in (((good,), cut), ((late, good), cut), ((gap, back), divided), (("{}", "[]"), divided), ((None,), divided)):
+        got = adapters.semantic_with(df, Says(*answers), at_once=1).orderBy("ord").collect()
+        assert [(r.ord, r.start_sec, r.end_sec, r.transcript_text, r.rationale) for r in got] == want, answers
+
+
+def test_placeholder_rounds_binary_values(spark):
+    values = [0.25, 0.35, 0.45, 0.05, 2.5, 1e6 + 0.75, 0.0, 12.999, 7.949999]
+    rows = spark.createDataFrame([(v,) for v in values], "x double").select(adapters.placeholder(F.col("x"), F.col("x")).alias("t")).collect()
+    assert [r.t for r in rows] == [f"Segment from {v:.1f}s to {v:.1f}s" for v in values]
+
+
+def test_model_from_environment():
+    assert adapters.model_from_environment({}) is None
+    model = adapters.model_from_environment({"REELTIDE_MODEL_URL": "http://localhost:1/x", "REELTIDE_MODEL_KEY": "secret"})
+    assert model.timeout == adapters.MODEL_TIMEOUT and "secret" not in repr(model)
+
+
+def test_speech_and_text_commands(spark, tmp_path):
+    tool = tmp_path / "tool"
+    tool.write_text('#!/bin/sh\ncase $1 in */bad) exit 3;; esac\necho " {$1} "\n')
+    tool.chmod(0o755)
+    df = spark.createDataFrame([("/x/good",), ("/x/bad",)], "wav_path string")
+    got = {r.wav_path: r for r in adapters.transcribe(df, adapters.CommandSpeech(str(tool))).collect()}
+    assert got["/x/good"].asr_json == " {/x/good} \n" and got["/x/bad"].asr_json is None and "exit status 3" in got["/x/bad"].asr_json_error
+    read = adapters.read_frames(df.withColumnRenamed("wav_path", "path"), adapters.TesseractOcr(str(tool)))
+    assert {r.path: r.ocr_text for r in read.collect()} == {"/x/good": "{/x/good}", "/x/bad": None}
+
+
+def test_image_files(spark, tmp_path):
+    import numpy as np
+
+    from reeltide.operators.images import file_hashes, hash_of
+
+    ramp = np.tile(np.linspace(250, 5, 90).astype(np.uint8), (80, 1))
+    jvm = spark._jvm
+    for name, kind, grey in (("a.png", "png", True), ("b.jpg", "jpg", True), ("c.png", "png", False)):
+        image = jvm.java.awt.image.BufferedImage(90, 80, 10 if grey else 1)
+        for x in range(90):
+            v = int(ramp[0, x])
+            for y in range(80):
+                image.setRGB(x, y, (v << 16 | v << 8 | v) if grey else (v << 8))
+        jvm.javax.imageio.ImageIO.write(image, kind, jvm.java.io.File(str(tmp_path / name)))
+    (tmp_path / "broken.jpg").write_bytes(b"no image")
+    got = {r.path.rsplit("/", 1)[-1]: r.hash for r in file_hashes(spark, str(tmp_path)).collect()}
+    assert got["a.png"] == hash_of(ramp) == -1 and got["c.png"] == -1 and bin(got["b.jpg"] & (1 << 64) - 1).count("1") > 55 and got.get("broken.jpg") is None
