@@ -11,18 +11,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Used only where the session names no shared folder, as in local tests.
-LOCAL_FALLBACK = "file:///tmp/checkpoints"
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder (``spark.checkpoint.dir``); sets a local one only where it is unset."""
-    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = LOCAL_FALLBACK
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
-
+from reeltide.sources.sinks import shared_folder
 
 #: Rows of one Arrow batch at most: documents come to Python tasks in batches of a few MB.
 BATCH_ROWS = 1000
@@ -72,15 +61,26 @@ def free_name(name: str, taken: list[str]) -> str:
     return name
 
 
-#: Copies of each row of the unique side in a salted lookup: a key that holds a third of the other side is read by this many tasks.
-SALTS = 8
+#: Tasks that share a hot key in a lookup, rows from which a key may be hot, and how many keys may be hot at most.
+SALTS, HOT_ROWS, HOT_KEYS = 16, 10_000, 10_000
 
 
-def salted_lookup(left: DataFrame, right: DataFrame, key: str, spread: list[Column | str], how: str = "left", salts: int = SALTS) -> DataFrame:
-    """Join ``left`` to ``right`` (unique in ``key``) so that a hot key is dealt to ``salts`` tasks.
+def lookup(left: DataFrame, right: DataFrame, key: str, spread: list[Column | str], how: str = "left", n: str = "n", total: int | None = None) -> DataFrame:
+    """Join ``left`` to ``right`` (a written table, unique in ``key``), with hot keys dealt to SALTS tasks each.
 
-    ``spread``: columns of ``left`` whose hash tells rows of the same key apart.
+    ``n``: the column of ``right`` that says how many rows of ``left`` have the key (it goes); ``total``: how many there are.
+    Keys of HOT_ROWS rows or more, and a ten-thousandth of all, are hot: HOT_KEYS at most, so that they can be broadcast whatever
+    the size of the tables. ``spread``: columns of ``left`` whose hash tells rows of the same key apart.
     """
+    least = max(HOT_ROWS, -(-(left.count() if total is None else total) // HOT_KEYS))
+    hot = right.where(F.col(n) >= least).select(key).withColumn("_hot", F.lit(True))
+    a = left.join(F.broadcast(hot), key, "left").withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(*spread), F.lit(SALTS))).otherwise(0).cast("int")).drop("_hot")
+    b = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.when(F.col(n) >= least, SALTS - 1).otherwise(0)))).drop(n)
+    return a.join(b, [key, "_salt"], how).drop("_salt")
+
+
+def salted_lookup(left: DataFrame, right: DataFrame, key: str, spread: list[Column | str], how: str = "left", salts: int = 8) -> DataFrame:
+    """Join ``left`` to a small ``right`` (unique in ``key``), every key dealt to ``salts`` tasks, where its rows aren't counted."""
     a = left.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
     b = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return a.join(b, [key, "_salt"], how).drop("_salt")

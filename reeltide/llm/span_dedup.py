@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reeltide.llm import wordhash as W
-from reeltide.llm.scratch import Scratch, free_name, salted_lookup
+from reeltide.llm.scratch import Scratch, free_name, lookup
 
 #: Words of a sentence that ends only where it says so, reach of the comparison that ends a longer one, and words of any.
 LONG, NEAR, MOST = 16, 3, 20
@@ -188,14 +188,14 @@ def remove_repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str
     of = F.xxhash64(text)
     source = docs.select(id_.alias("id"), text.alias("text"), of.alias("of"))  # a document is an id and a text
     spans = scratch.table(source.mapInArrow(_hash_runs(sentences, least_words), "hash long, id long, of long, a int, b int, again boolean"), "spans")
-    shared = spans.groupBy("hash").agg(F.min("of").alias("lo"), F.max("of").alias("hi"), F.max("again").alias("again")).where("lo <> hi or again").select("hash")
-    hits = salted_lookup(spans, scratch.table(shared, "shared"), "hash", ["id", "of", "a"], "left_semi")
+    shared = spans.groupBy("hash").agg(F.min("of").alias("lo"), F.max("of").alias("hi"), F.max("again").alias("again"), F.count("*").alias("n")).where("lo <> hi or again").select("hash", "n")
+    hits = lookup(spans, scratch.table(shared, "shared"), "hash", ["id", "of", "a"], "left_semi")
     marks = scratch.table(hits.groupBy("id", "of").agg(F.collect_set(F.struct("a", "b")).alias("runs")), "marks")
 
     # of equal texts the one with the smallest id stands for all
     texts = docs.select(id_.alias("id"), of.alias("of"))
-    least = texts.groupBy("of").agg(F.min(F.struct("id")).alias("least"), F.max(F.struct("id")).alias("most")).where("least <> most").select("of", "least")
-    copies = salted_lookup(texts, least, "of", ["id"], "inner").where(F.struct("id") != F.col("least")).select("id", "of").distinct()
+    least = texts.groupBy("of").agg(F.min(F.struct("id")).alias("least"), F.max(F.struct("id")).alias("most"), F.count("*").alias("n")).where("least <> most").select("of", "least", "n")
+    copies = lookup(texts, scratch.table(least, "least"), "of", ["id"], "inner").where(F.struct("id") != F.col("least")).select("id", "of").distinct()
     copies = scratch.table(copies.withColumn("copy", F.lit(True)), "copies")
     scratch.release(spans)
 
@@ -205,8 +205,8 @@ def remove_repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
     asked = same_text(source, same_text(marks, copies.drop("copy"), "left_anti"), "inner").select("id", "text", "of", "runs")
     stretches = scratch.table(asked.mapInArrow(_hash_stretches(many_words), "hash long, id long, of long, at int"), "stretches")
-    firsts = stretches.groupBy("hash").agg(F.count("*").alias("n"), F.min(F.struct("id", "of", "at")).alias("first")).where("n > 1").select("hash", "first")
-    later = salted_lookup(stretches, scratch.table(firsts, "firsts"), "hash", ["id", "of", "at"], "inner").where(~F.struct("id", "of", "at").eqNullSafe(F.col("first")))
+    firsts = stretches.groupBy("hash").agg(F.count("*").alias("n"), F.min(F.struct("id", "of", "at")).alias("first")).where("n > 1").select("hash", "first", "n")
+    later = lookup(stretches, scratch.table(firsts, "firsts"), "hash", ["id", "of", "at"], "inner").where(~F.struct("id", "of", "at").eqNullSafe(F.col("first")))
     cuts = later.groupBy("id", "of").agg(F.collect_set("at").alias("starts"))
     verdicts = scratch.table(copies.withColumn("starts", F.lit(None).cast("array<int>")).unionByName(cuts.withColumn("copy", F.lit(False))), "verdicts")
     scratch.keep_only(verdicts)
