@@ -15,11 +15,15 @@ How it runs:
    frequency; tokens of one document only go no further, as they can't be shared;
 3. the tokens that return meet by block of documents, where prefixes and index entries are made. Equal
    sets have the same signature and so are one node from here on;
-4. in each entry's posting list the members have a hub, the member with the longest lists; every node is compared
-   with the hub that it shares most entries with, and what links is contracted to components. Lists whose members
-   still lie in different components are joined to families, and within a family the sets of different components
-   are compared block by block. No link between different sets that connects anything is lost, while no group ever
-   becomes rows for all its pairs.
+4. in each entry's posting list the members have a hub, the one with the most frequent tokens; every node is compared
+   with the hub that it shares most entries with. As hubs rank above those that follow them, these links are a forest, and its trees
+   are parts of components;
+5. in lists whose members still lie in different parts, the members of different parts and like sizes are candidates. They meet
+   by list and block of bounded size with a parity bitmap of their tokens each, whose difference bounds what a pair can share
+   from above; pairs that the bound leaves are verified token by token. No link between different sets that connects anything is lost, while no group
+   ever becomes rows for all its pairs.
+
+A token is 48 bits and a bucket number wide (54 bits or more).
 
 Defined cases: null or wordless text is an empty set, linked with nothing and its own component; a text of
 fewer words than the shingle has one token; rows that share an id are one node; ids may not be null (such
@@ -33,12 +37,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reeltide.llm import wordhash as W
-from reeltide.llm.graph import connected_components
-from reeltide.llm.scratch import Scratch, salted_lookup
+from reeltide.llm.graph import connected_components, forest_roots
+from reeltide.llm.scratch import Scratch, lookup, salted_lookup
 
 #: Counters of the sketch that finds hot tokens, and the share of all documents from which a token is hot.
 SLOTS, HOT_SHARE, HOT_LEAST = 1 << 18, 1 / 64, 16
@@ -49,6 +53,10 @@ RARE = 32
 BUCKET_TOKENS = 2_000_000
 #: Rows of one block at most: their numbers fit 16 bits.
 _BLOCK_ROWS = 60_000
+#: Bits of a parity bitmap; members of a list that meet as one block; rows of lists that one task compares, and pairs that it looks at together.
+BITMAP_BITS, LIST_BLOCK, LIST_ROWS, _PAIRS = 1024, 2048, 30_000, 1 << 20
+#: Sketches that are summed in one task.
+_SKETCHES = 1000
 _HOT_LEVEL = 255
 
 _I64 = np.int64
@@ -91,13 +99,14 @@ def _profile(k: int):
 def _sum_counts(table: pa.Table) -> pa.Table:
     total = np.zeros(SLOTS // _SLOT_ROWS, _I64)
     for x in table.column("counts"):
-        total += np.frombuffer(x.as_py(), np.int32)
+        counts = x.as_py()  # of 4 bytes from a task, of 8 where they are sums
+        total += np.frombuffer(counts, np.int32 if len(counts) == 4 * len(total) else _I64)
     return pa.table({"slots": table.column("slots")[:1], "counts": pa.array([total.tobytes()], pa.binary())})
 
 
-def _token_parts(h: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """A token is known by its bucket and 32 further bits."""
-    return ((h & np.uint64(0xFFFFFFFF)) % np.uint64(buckets)).astype(np.int32), (h >> np.uint64(32)).astype(np.uint32)
+def _token_parts(h: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A token is known by its bucket, the 32 bits that it is counted by, and 16 further bits."""
+    return ((h & np.uint64(0xFFFF)) % np.uint64(buckets) if buckets <= 1 << 10 else (h & np.uint64(0xFFFFFFFF)) % np.uint64(buckets)).astype(np.int32), (h >> np.uint64(32)).astype(np.uint32), ((h >> np.uint64(16)) & np.uint64(0xFFFF)).astype(np.uint16)
 
 
 def _ask(k: int, buckets: int, hot: bytes):
@@ -112,27 +121,27 @@ def _ask(k: int, buckets: int, hot: bytes):
             h, row = W.shingle_sets(text, k)
             n, node = _signatures(h, row, len(text))
             warm = is_hot[(h & np.uint64(SLOTS - 1)).astype(_I64)]
-            bucket, bits = _token_parts(h, buckets)
+            bucket, bits, more = _token_parts(h, buckets)
             bucket[warm] = -1
             row = row.astype(np.uint16)
             order = np.argsort(bucket, kind="stable")
-            bucket, bits, row = bucket[order], bits[order], row[order]
+            bucket, bits, more, row = bucket[order], bits[order], more[order], row[order]
             own = _token_parts(h[order[: int(warm.sum())]], buckets)[0].astype(np.int32)
             at = np.flatnonzero(np.diff(bucket, prepend=-2)) if len(bucket) else np.zeros(0, _I64)
             to = np.append(at[1:], len(bucket))
-            out = [(int(bucket[a]), row[a:b].tobytes(), bits[a:b].tobytes()) for a, b in zip(at, to, strict=True) if bucket[a] >= 0]
+            out = [(int(bucket[a]), row[a:b].tobytes(), bits[a:b].tobytes(), more[a:b].tobytes()) for a, b in zip(at, to, strict=True) if bucket[a] >= 0]
             m = int(warm.sum())
-            out.append((-1, row[:m].tobytes(), bits[:m].tobytes()))
+            out.append((-1, row[:m].tobytes(), bits[:m].tobytes(), more[:m].tobytes()))
             none = [None] * (len(out) - 1)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([block] * len(out), pa.int64()), pa.array([x[0] for x in out], pa.int32()), pa.array([x[1] for x in out], pa.binary()), pa.array([x[2] for x in out], pa.binary()), pa.array([*none, own.tobytes()], pa.binary()), pa.array([*none, n.astype(np.int32).tobytes() + node.tobytes()], pa.binary())],
-                ["block", "bucket", "at", "bits", "extra", "docs"],
+                [pa.array([block] * len(out), pa.int64()), pa.array([x[0] for x in out], pa.int32()), pa.array([x[1] for x in out], pa.binary()), pa.array([x[2] for x in out], pa.binary()), pa.array([x[3] for x in out], pa.binary()), pa.array([*none, own.tobytes()], pa.binary()), pa.array([*none, n.astype(np.int32).tobytes() + node.tobytes()], pa.binary())],
+                ["block", "bucket", "at", "bits", "more", "extra", "docs"],
             )
 
     return run
 
 
-_ASKED = "block long, bucket int, at binary, bits binary, extra binary, docs binary"
+_ASKED = "block long, bucket int, at binary, bits binary, more binary, extra binary, docs binary"
 
 
 def _frequency_level(df: np.ndarray) -> np.ndarray:
@@ -158,13 +167,17 @@ def _count(table: pa.Table) -> pa.Table:
         keep = level[own] >= 2
         if keep.any():
             at = np.frombuffer(table.column("at")[i].as_py(), np.uint16)
-            rows.append((table.column("block")[i].as_py(), table.column("bucket")[i].as_py(), at[keep].tobytes(), bits[own][keep].tobytes(), level[own][keep].tobytes(), None))
-    kinds = [pa.int64(), pa.int32(), *[pa.binary()] * 4]
-    return pa.Table.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], ["block", "bucket", "at", "bits", "extra", "docs"])
+            more = np.frombuffer(table.column("more")[i].as_py(), np.uint16)
+            rows.append((table.column("block")[i].as_py(), table.column("bucket")[i].as_py(), at[keep].tobytes(), bits[own][keep].tobytes(), more[keep].tobytes(), level[own][keep].tobytes(), None))
+    kinds = [pa.int64(), pa.int32(), *[pa.binary()] * 5]
+    return pa.Table.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], ["block", "bucket", "at", "bits", "more", "extra", "docs"])
 
 
 def _index(num: int, den: int):
-    """For one block: index entries (sig, node, n) of its sets, and the shared tokens of the sets that have any."""
+    """For one block: index entries (sig, node, n, central) of its sets, and the shared tokens of the sets that have any, each set once.
+
+    ``central``: how frequent the tokens of a set are, all in all; equal sets have it in common.
+    """
 
     def scheme_of(n: int) -> int:
         return int(np.floor(np.log(n) / np.log(den / num) + 1e-9))
@@ -172,7 +185,7 @@ def _index(num: int, den: int):
     def run(table: pa.Table) -> pa.Table:
         rows, token, level, n, node = [], [], [], np.zeros(0, np.int32), np.zeros(0, _I64)
         for r in table.to_pylist():
-            at, bits = np.frombuffer(r["at"], np.uint16), np.frombuffer(r["bits"], np.uint32).astype(np.uint64)
+            at, bits = np.frombuffer(r["at"], np.uint16), (np.frombuffer(r["bits"], np.uint32).astype(np.uint64) << np.uint64(16)) | np.frombuffer(r["more"], np.uint16)
             if r["docs"] is not None:
                 m = len(r["docs"]) // 12
                 n, node = np.frombuffer(r["docs"], np.int32, m), np.frombuffer(r["docs"], _I64, m, 4 * m) if m % 2 == 0 else np.frombuffer(r["docs"][4 * m :], _I64)
@@ -180,7 +193,7 @@ def _index(num: int, den: int):
             else:
                 bucket, lev = np.uint64(r["bucket"]), np.frombuffer(r["extra"], np.uint8)
             rows.append(at)
-            token.append((bucket << np.uint64(32)) | bits)
+            token.append((bucket << np.uint64(48)) | bits)
             level.append(lev)
         row, token, level = np.concatenate(rows).astype(_I64), np.concatenate(token), np.concatenate(level)
         order = np.lexsort((W.mix(token), level, row))
@@ -224,175 +237,171 @@ def _index(num: int, den: int):
                     sigs.append(np.concatenate(pairs))
                     owners.append(np.full(len(sigs[-1]), d))
         sig, owner = np.concatenate(sigs).view(_I64), np.concatenate(owners).astype(_I64)
+        once = np.zeros(len(n), bool)
+        once[np.unique(node, return_index=True)[1]] = True
+        sig, owner = sig[once[owner]], owner[once[owner]]
+        central = np.bincount(row, level, len(n)).astype(_I64)
         used = np.unique(owner)
         lists = [token[begin[d] : begin[d] + shared[d]].view(_I64) for d in used]
         ends = np.cumsum([0, *map(len, lists)])
         none = pa.ListArray.from_arrays(pa.array([0, *[0] * len(sig)], pa.int32()), pa.array([], pa.int64())) if len(sig) else pa.array([], pa.list_(pa.int64()))
         tokens = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([*lists, np.zeros(0, _I64)])))
+        both = np.concatenate([owner, used])
+        block = pa.array(np.full(len(both), table.column("block")[0].as_py(), _I64))
         return pa.Table.from_arrays(
-            [pa.concat_arrays([pa.array(sig), pa.nulls(len(used), pa.int64())]), pa.array(node[np.concatenate([owner, used])]), pa.array(n[np.concatenate([owner, used])].astype(_I64)), pa.concat_arrays([none, tokens])],
-            ["sig", "node", "n", "tokens"],
+            [block, pa.concat_arrays([pa.array(sig), pa.nulls(len(used), pa.int64())]), pa.array(node[both]), pa.array(n[both].astype(_I64)), pa.array(central[both]), pa.concat_arrays([none, tokens])],
+            ["block", "sig", "node", "n", "central", "tokens"],
         )
 
     return run
 
 
+def _parity(batches):
+    """(node, n, tokens) -> (node, n, shared, bits): the number of tokens and the parity bitmap of each set."""
+    for batch in batches:
+        lists = batch.column(2)
+        size = np.diff(lists.offsets.to_numpy())
+        row = np.repeat(np.arange(len(size)), size)
+        place = (W.mix(lists.flatten().to_numpy().view(np.uint64)) % np.uint64(BITMAP_BITS)).astype(_I64)
+        for a in range(0, len(size), 256):  # so many rows' bits are counted together
+            b = min(a + 256, len(size))
+            use = slice(*np.searchsorted(row, [a, b]))
+            odd = (np.bincount((row[use] - a) * BITMAP_BITS + place[use], minlength=(b - a) * BITMAP_BITS) & 1).astype(np.uint8)
+            bits = np.packbits(odd.reshape(b - a, -1), axis=1)
+            yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], batch.column(1)[a:b], pa.array(size[a:b].astype(_I64)), pa.array([x.tobytes() for x in bits], pa.binary())], ["node", "n", "shared", "bits"])
+
+
+def _near_pairs(num: int, den: int):
+    """Of the rows (block, side, node, n, shared, bits, part) of some lists' blocks, the pairs of nodes of different parts that may be similar."""
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("sig", "ascending"), ("i", "ascending"), ("j", "ascending"), ("side", "ascending")]).combine_chunks()
+        key = np.stack([table.column(c).to_numpy() for c in ("sig", "i", "j")])
+        side, node, n, shared, part = (table.column(c).to_numpy() for c in ("side", "node", "n", "shared", "part"))
+        bits = np.frombuffer(b"".join(table.column("bits").to_pylist()), np.uint64).reshape(len(node), -1)
+        at = np.flatnonzero(np.concatenate([[True], (key[:, 1:] != key[:, :-1]).any(0)]))
+        to = np.append(at[1:], len(node))
+        same = key[1][at] == key[2][at]
+        # each row meets those after it in its block, or all rows of the other block
+        group = np.repeat(np.arange(len(at)), to - at)
+        turn = np.array([a + int(np.searchsorted(side[a:b], 1)) for a, b in zip(at, to, strict=True)], _I64)
+        first = np.where(same[group], np.arange(len(node)) + 1, turn[group])
+        many = np.where(same[group] | (side == 0), to[group] - first, 0)
+        found = []
+        ends = np.cumsum(many)
+        a = 0
+        while a < len(node):
+            b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + _PAIRS, "right")))
+            x = np.repeat(np.arange(a, b), many[a:b])
+            y = np.arange(len(x)) - np.repeat(np.cumsum(many[a:b]) - many[a:b], many[a:b]) + first[x]
+            ok = (part[x] != part[y]) & (den * np.minimum(n[x], n[y]) >= num * np.maximum(n[x], n[y]))
+            x, y = x[ok], y[ok]
+            apart = np.zeros(len(x), _I64)
+            for k in range(bits.shape[1]):
+                apart += np.bitwise_count(bits[x, k] ^ bits[y, k])
+            most = (shared[x] + shared[y] - apart) // 2
+            ok = den * most >= num * (n[x] + n[y] - most)
+            x, y = x[ok], y[ok]
+            swap = node[x] > node[y]
+            x, y = np.where(swap, y, x), np.where(swap, x, y)
+            found.append(np.stack([node[x], node[y], n[x], n[y]]))
+            a = b
+        pairs = np.unique(np.concatenate(found, axis=1), axis=1)
+        return pa.table({c: pa.array(pairs[i], pa.int64()) for i, c in enumerate(("a", "b", "na", "nb"))})
+
+    return run
+
+
 def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, num: int = 80, den: int = 100) -> tuple[DataFrame, DataFrame]:
     """``(members, links)`` of the join of ``docs`` with itself at Jaccard similarity ``num / den`` or more.
 
     ``members``: doc_id, n (set size), node (equal sets share it). ``links``: verified pairs (u, v) of nodes, which
     connect exactly the nodes that all similar pairs connect (pairs that others already connect may be left out).
     """
+    members, roots, links = _similar(docs, id_col, text_col, words, num, den, Scratch(docs.sparkSession, "ngram-join"))
+    return members, roots.select(F.col("up").alias("u"), F.col("node").alias("v")).unionByName(links)
+
+
+def _similar(docs: DataFrame, id_col: str, text_col: str, words: int, num: int, den: int, scratch: Scratch) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """members as above; trees of verified links (node, up, root), the roots left out; further links (u, v, a, b) of nodes and their roots."""
     if not 0 < 2 * num < 2 * den <= 4 * num:
         raise ValueError("the threshold must lie from 1/2 up to, but without, 1")
-    scratch = Scratch(docs.sparkSession, "ngram-join")
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     seen = scratch.table(source.mapInArrow(_profile(words), "doc_id long, n long, node long, slots int, counts binary"), "profile")
     members = seen.where("slots is null").select("doc_id", "n", "node")
-    size = members.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    size = seen.agg(F.count_if(F.col("slots").isNull()), F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("slots") == 0)).first()
     buckets = max(64, -(-size[1] // BUCKET_TOKENS))
-    counts = seen.where("slots is not null").select("slots", "counts").groupBy("slots").applyInArrow(_sum_counts, "slots int, counts binary").collect()  # 64 rows of 32 KB
+    sketches = seen.where("slots is not null").select("slots", "counts")
+    if size[2] > _SKETCHES:  # one for each task: first sums of some, then of all
+        some = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(-(-size[2] // _SKETCHES)))
+        sketches = sketches.withColumn("some", some).groupBy("slots", "some").applyInArrow(_sum_counts, "slots int, counts binary")
+    counts = sketches.groupBy("slots").applyInArrow(_sum_counts, "slots int, counts binary").collect()  # 64 rows of 32 KB
     slots = np.concatenate([np.frombuffer(r.counts, _I64) for r in sorted(counts)]) if counts else np.zeros(SLOTS, _I64)
     hot = np.packbits(slots >= max(HOT_LEAST, HOT_SHARE * size[0])).tobytes()
 
     asked = scratch.table(source.mapInArrow(_ask(words, buckets, hot), _ASKED), "asked")
     told = asked.where("bucket >= 0").groupBy("bucket").applyInArrow(_count, _ASKED)
-    indexed = scratch.table(asked.where("bucket < 0").unionByName(told).groupBy("block").applyInArrow(_index(num, den), "sig long, node long, n long, tokens array<long>"), "index")
+    indexed = scratch.table(asked.where("bucket < 0").unionByName(told).groupBy("block").applyInArrow(_index(num, den), "block long, sig long, node long, n long, central long, tokens array<long>"), "index")
     scratch.release(asked)
-    sets = indexed.where("sig is null").select("node", "n", "tokens")
-    posts = indexed.where("sig is not null").select("sig", "node", "n").distinct()
-    posts = scratch.table(posts, "posts")
-    sizes = posts.groupBy("sig").agg(F.count("*").alias("c")).where("c > 1")
-    posts = scratch.table(salted_lookup(posts, sizes, "sig", ["node"], "inner"), "lists")
-    # the member whose lists are the longest has most of what its group shares: the likeliest to link with the others
-    central = posts.groupBy("node").agg(F.sum("c").alias("central"))
-    posts = scratch.table(posts.join(central, "node").select("sig", "node", "n", "central"), "ranked")
-    hubs = posts.groupBy("sig").agg(F.max(F.struct("central", "node", "n")).alias("rep"))
-    posts = salted_lookup(posts, hubs, "sig", ["node"], "inner")
-
-    def fits(a: str, b: str) -> str:
-        return f"{den} * least({a}, {b}) >= {num} * greatest({a}, {b})"
+    posts = scratch.table(indexed.where("sig is not null").groupBy("sig", "node").agg(F.first("n").alias("n"), F.first("central").alias("central")), "posts")
+    hubs = scratch.table(posts.groupBy("sig").agg(F.count("*").alias("c"), F.max(F.struct("central", "node", "n")).alias("rep")).where("c > 1"), "hubs")
+    lists = scratch.table(lookup(posts, hubs, "sig", ["node"], "inner", "c").select("sig", "node", "n", "rep"), "lists")
+    scratch.release(posts)
+    # each set's tokens once, from the first block that has it
+    sets = indexed.where("sig is null").select("node", "block", "n", "tokens")
+    owners = sets.groupBy("node").agg(F.min("block").alias("block")).join(lists.select("node").distinct(), "node", "left_semi")
+    own = scratch.table(sets.join(owners.hint("merge"), ["node", "block"], "left_semi").select("node", "n", "tokens"), "sets")
+    scratch.release(indexed)
 
     def verified(pairs: DataFrame) -> DataFrame:
-        """(u, v) of those pairs (a, na, b, nb) that reach the threshold; a is the side that may be a hub."""
-        wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        own = scratch.table(sets.join(wanted, "node", "left_semi").groupBy("node").agg(F.first("tokens").alias("tokens")), "sets")
+        """(a, b) of those pairs (a, na, b, nb), a table, that reach the threshold; a is the side that may be a hub."""
+        often = pairs.groupBy("a").agg(F.count("*").alias("c"))
+        hub = scratch.table(own.select(F.col("node").alias("a"), F.col("tokens").alias("ta")).join(often, "a"), "hub-tokens")
         both = pairs.join(own.select(F.col("node").alias("b"), F.col("tokens").alias("tb")), "b")
-        both = salted_lookup(both, own.select(F.col("node").alias("a"), F.col("tokens").alias("ta")), "a", ["b"], "inner")
-        both = both.withColumn("both", F.size(F.array_intersect("ta", "tb")))
-        return both.where(f"{den} * both >= {num} * (na + nb - both)").select(F.col("a").alias("u"), F.col("b").alias("v"))
+        both = lookup(both, hub, "a", ["b"], "inner", "c", pairs.count()).withColumn("both", F.size(F.array_intersect("ta", "tb")))
+        return both.where(f"{den} * both >= {num} * (na + nb - both)").select("a", "b")
 
-    star = posts.where("node <> rep.node").where(fits("n", "rep.n")).groupBy("node", "n", "rep").agg(F.count("*").alias("c"))
+    star = lists.where("node <> rep.node").where(f"{den} * least(n, rep.n) >= {num} * greatest(n, rep.n)").groupBy("node", "n", "rep").agg(F.count("*").alias("c"))
     best = star.groupBy("node", "n").agg(F.max(F.struct("c", "rep")).alias("best"))
     first = scratch.table(best.select(F.col("best.rep.node").alias("a"), F.col("best.rep.n").alias("na"), F.col("node").alias("b"), F.col("n").alias("nb")), "first")
-    links = scratch.table(verified(first), "links")
-
-    part = salted_lookup(posts.select("sig", "node", "n"), connected_components(links, scratch), "node", ["sig"]).select("sig", "node", "n", F.coalesce("component", "node").alias("part"))
-    part = scratch.table(part, "part")
-    open_lists = part.groupBy("sig").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.min("node").alias("hub")).where("lo < hi").select("sig", "hub")
-    part = scratch.table(salted_lookup(part, open_lists, "sig", ["node"], "inner"), "open")
-    # lists that share members make one family; all candidates that are left lie within families
-    family = connected_components(part.select(F.col("hub").alias("u"), F.col("node").alias("v")), scratch)
-    nodes = salted_lookup(part.select("node", "n", "part").distinct(), family.withColumnRenamed("component", "family"), "node", ["n"], "inner")
-    nodes = scratch.table(nodes.withColumn("bucket", F.floor(F.log("n") / float(np.log(den / num)) + 1e-9).cast("int")), "families")
-    more = _within_families(nodes, sets, num, den, scratch)
-    links = scratch.table(links.unionByName(more), "links")
-    scratch.keep_only(seen, links)
-    return members, links
-
-
-def _within_families(nodes: DataFrame, sets: DataFrame, num: int, den: int, scratch: Scratch) -> DataFrame:
-    """Links (u, v) between different parts of each family, by pairs of bounded blocks of its nodes.
-
-    Sizes that can be similar lie in the same or in neighbouring buckets, so only such blocks meet. A node is sent
-    once for each block it meets, never once for each node.
-    """
-    counts = nodes.groupBy("family", "bucket").agg(F.greatest(F.ceil(F.count("*") / _FAMILY_BLOCK), F.ceil(F.sum("n") / _BLOCK_TOKENS)).cast("int").alias("blocks"))
-    above = counts.select("family", (F.col("bucket") - 1).alias("bucket"), F.col("blocks").alias("blocks_above"))
-    below = counts.select("family", (F.col("bucket") + 1).alias("bucket"), F.col("blocks").alias("blocks_below"))
-    plan = counts.join(above, ["family", "bucket"], "left").join(below, ["family", "bucket"], "left").na.fill(0)
-    plan = plan.select(F.struct("family", "bucket").alias("k"), "blocks", "blocks_above", "blocks_below")
-    sent = salted_lookup(nodes.withColumn("k", F.struct("family", "bucket")), plan, "k", ["node"], "inner")
-    sent = sent.withColumn("i", F.pmod(F.xxhash64("node", F.lit(1)), F.col("blocks")).cast("int"))
-
-    def others(count: str, left: str, right: str, step: int) -> Column:
-        at = "x" if left == "i" else "i"
-        low = "bucket" if step >= 0 else "bucket - 1"
-        side = "0" if left == "i" else "1"
-        return F.expr(f"transform(sequence(0, greatest({count}, 1) - 1), x -> struct({low} as low, {abs(step)} as up, {left} as i, {right} as j, {side} as side, {count} > 0 and ({abs(step)} = 1 or {'x >= i' if at == 'x' else 'x <= i'}) as used))")
-
-    meets = F.concat(others("blocks", "i", "x", 0), others("blocks", "x", "i", 0), others("blocks_above", "i", "x", 1), others("blocks_below", "x", "i", -1))
-    sent = sent.withColumn("m", F.explode(F.filter(meets, lambda m: m["used"]))).select("family", "m.low", "m.up", "m.i", "m.j", "m.side", "node", "n", "part")
-    mixed = sent.groupBy("family", "low", "up", "i", "j").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.min("side").alias("s0"), F.max("side").alias("s1")).where("lo < hi and s0 < s1").select(F.struct("family", "low", "up", "i", "j").alias("block"))
-    sent = salted_lookup(sent.withColumn("block", F.struct("family", "low", "up", "i", "j")), mixed, "block", ["node"], "left_semi").select("block", "side", "node", "n", "part")
-    own = sets.join(nodes.select("node"), "node", "left_semi").groupBy("node").agg(F.first("tokens").alias("tokens"))
-    full = sent.join(own, "node").select("block", "side", "node", "n", "part", "tokens")
-    return full.groupBy("block").applyInArrow(_compare_blocks(num, den), "u long, v long")
-
-
-#: Nodes of one block of a family, their tokens, and the tokens that a comparison holds as a matrix at once.
-_FAMILY_BLOCK, _BLOCK_TOKENS, _COLUMNS = 512, 1_000_000, 4096
-
-
-def _compare_blocks(num: int, den: int):
-    """Links between two blocks of sets that connect what all their similar pairs across parts connect."""
-
-    def run(table):
-        table = table.combine_chunks()
-        side = table.column("side").to_numpy()
-        rows = [np.flatnonzero(side == k) for k in (0, 1)]
-        n, node, part = (table.column(c).to_numpy() for c in ("n", "node", "part"))
-        lists = table.column("tokens").combine_chunks()
-        tokens, ends = lists.values.to_numpy(), lists.offsets.to_numpy()
-        size = np.diff(ends)
-        flat = [np.concatenate([tokens[ends[r] : ends[r + 1]] for r in rr]) if len(rr) else tokens[:0] for rr in rows]
-        owner = [np.repeat(np.arange(len(rr)), size[rr]) for rr in rows]
-        common = np.intersect1d(*flat)
-        both = np.zeros([len(r) for r in rows], np.float32)
-        at = [np.searchsorted(common, f) for f in flat]
-        known = [(a < len(common)) & (common[np.minimum(a, len(common) - 1)] == f) if len(common) else a < 0 for a, f in zip(at, flat, strict=True)]
-        for c in range(0, len(common), _COLUMNS):
-            held = []
-            for k in (0, 1):
-                use = known[k] & (at[k] >= c) & (at[k] < c + _COLUMNS)
-                m = np.zeros((len(rows[k]), min(_COLUMNS, len(common) - c)), np.float32)
-                m[owner[k][use], at[k][use] - c] = 1
-                held.append(m)
-            both += held[0] @ held[1].T
-        both = both.astype(np.int64)
-        x, y = rows
-        similar = (den * both >= num * (n[x][:, None] + n[y][None, :] - both)) & (part[x][:, None] != part[y][None, :])
-        root: dict[int, int] = {}
-
-        def find(p: int) -> int:
-            while root.get(p, p) != p:
-                p = root[p]
-            return p
-
-        u, v = [], []
-        for a, b in zip(*np.nonzero(similar), strict=True):
-            p, q = find(int(part[x[a]])), find(int(part[y[b]]))
-            if p != q:
-                root[p] = q
-                u.append(int(node[x[a]]))
-                v.append(int(node[y[b]]))
-        return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
-
-    return run
+    up = scratch.table(verified(first).select(F.col("b").alias("node"), F.col("a").alias("up")), "links")
+    roots = scratch.table(up.join(forest_roots(up, scratch), "node"), "roots")
+
+    part = scratch.table(lists.select("sig", "node").join(roots.select("node", "root"), "node", "left").select("sig", "node", F.coalesce("root", "node").alias("part")), "part")
+    open_lists = part.groupBy("sig").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.count("*").alias("c")).where("lo < hi").select("sig", "c", F.ceil(F.col("c") / LIST_BLOCK).cast("int").alias("blocks"))
+    rows = scratch.table(lookup(part, scratch.table(open_lists, "open-lists"), "sig", ["node"], "inner", "c"), "open")
+    scratch.release(lists, part, first)
+    meet = F.expr("concat(transform(sequence(k, blocks - 1), x -> struct(k as i, x as j, 0 as side)), transform(filter(sequence(0, k), x -> x < k), x -> struct(x as i, k as j, 1 as side)))")
+    sent = rows.withColumn("k", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).select("sig", "node", "part", F.explode(meet).alias("m")).select("sig", "node", "part", "m.*")
+    bitmaps = own.select("node", "n", "tokens").join(rows.select("node").distinct(), "node", "left_semi").mapInArrow(_parity, "node long, n long, shared long, bits binary")
+    tasks = max(1, -(-rows.count() // LIST_ROWS))
+    sent = sent.join(bitmaps, "node").withColumn("task", F.pmod(F.xxhash64("sig", "i", "j"), F.lit(tasks)).cast("int"))
+    near = sent.groupBy("task").applyInArrow(_near_pairs(num, den), "a long, b long, na long, nb long").distinct()
+    more = scratch.table(verified(scratch.table(near, "near")), "more")
+    to_root = lambda rows, c, r: rows.join(roots.select(F.col("node").alias(c), F.col("root").alias("_root")), c, "left").withColumn(r, F.coalesce("_root", c)).drop("_root")
+    links = scratch.table(to_root(to_root(more.select(F.col("a").alias("u"), F.col("b").alias("v")), "u", "a"), "v", "b"), "further")
+    scratch.keep_only(seen, roots, links)
+    return members, roots, links
 
 
 def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id (the smallest id reachable over similar pairs)."""
-    members, links = similar_sets(docs, id_col, text_col, words, num, den)
     scratch = Scratch(docs.sparkSession, "ngram-groups")
-    # a node's least id; ids with several rows connect their nodes
+    members, roots, links = _similar(docs, id_col, text_col, words, num, den, scratch)
     alike = members.where("n > 0 and doc_id is not null")
-    twice = alike.groupBy("doc_id").agg(F.min("node").alias("u"), F.max("node").alias("v")).where("u < v")
-    tied = salted_lookup(alike, twice.select("doc_id", "u"), "doc_id", ["node"], "inner").where("node <> u").select("u", F.col("node").alias("v"))
-    part = connected_components(links.unionByName(tied), scratch)
-    named = scratch.table(salted_lookup(alike.select("doc_id", "node").distinct(), part, "node", ["doc_id"]).select("doc_id", "node", F.coalesce("component", "node").alias("part")), "named")
-    scratch.keep_only(named)
-    least = named.groupBy("part").agg(F.min("doc_id").alias("component_id"))
-    by_node = salted_lookup(named.groupBy("node").agg(F.min("part").alias("part")), least, "part", ["node"], "inner").select("node", "component_id")
-    out = salted_lookup(members, by_node, "node", ["doc_id"])
+    nodes = scratch.table(alike.groupBy("node").agg(F.min("doc_id").alias("least"), F.count("*").alias("c")).join(roots.select("node", "root"), "node", "left").select("node", "least", "c", F.coalesce("root", "node").alias("part")), "nodes")
+    edges = links.select(F.col("a").alias("u"), F.col("b").alias("v"))
+    # ids with several rows connect their nodes
+    twice = scratch.table(alike.groupBy("doc_id").agg(F.min("node").alias("u"), F.max("node").alias("v"), F.count("*").alias("c")).where("u < v").select("doc_id", "u", "c"), "twice")
+    if not twice.isEmpty():
+        tied = lookup(alike, twice, "doc_id", ["node"], "inner", "c").where("node <> u").select("u", "node").distinct()
+        tied = tied.join(nodes.select(F.col("node").alias("u"), F.col("part").alias("a")), "u").join(nodes.select("node", F.col("part").alias("b")), "node")
+        edges = edges.unionByName(tied.select(F.col("a").alias("u"), F.col("b").alias("v")))
+    joined = salted_lookup(nodes, connected_components(edges, scratch).withColumnRenamed("node", "part"), "part", ["node"]).select("node", "least", "c", F.coalesce("component", "part").alias("part"))
+    joined = scratch.table(joined, "joined")
+    least = scratch.table(joined.groupBy("part").agg(F.min("least").alias("component_id"), F.count("*").alias("m")), "least")
+    by_node = scratch.table(lookup(joined, least, "part", ["node"], "inner", "m").select("node", "component_id", "c"), "by-node")
+    seen = [t for t in scratch.tables("profile")]
+    scratch.keep_only(by_node, *seen)
+    out = lookup(members, by_node, "node", ["doc_id"], "left", "c")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce(F.when(F.col("n") > 0, F.col("component_id")), F.col("doc_id")).alias("component_id"))

@@ -40,6 +40,10 @@ class Scratch:
         self._tables[path] = self.spark.read.schema(df.schema).parquet(path)
         return self._tables[path]
 
+    def tables(self, name: str) -> list[DataFrame]:
+        """Those that were written under a name."""
+        return [t for p, t in self._tables.items() if p.endswith(f"-{name}")]
+
     def release(self, *tables: DataFrame) -> None:
         """Delete tables that nothing reads any more."""
         jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()

@@ -25,8 +25,8 @@ def test_ngram_groups(documents, corpus, k, num):
 
 
 def test_ngram_groups_by_combinations(documents, corpus, monkeypatch):
-    """With hardly any rare tokens and small blocks, everything goes by pairs of frequent tokens and by families."""
-    for name, value in (("RARE", 1), ("_FAMILY_BLOCK", 7), ("BUCKET_TOKENS", 500)):
+    """With hardly any rare tokens and small blocks, everything goes by pairs of frequent tokens and by pairs of blocks."""
+    for name, value in (("RARE", 1), ("LIST_BLOCK", 7), ("LIST_ROWS", 300), ("_PAIRS", 50), ("BUCKET_TOKENS", 500), ("_SKETCHES", 1)):
         monkeypatch.setattr(ngram_join, name, value)
     got = {r.doc_id: r.component_id for r in ngram_join.ngram_components(documents, words=4, num=85).collect()}
     assert got == similar_groups(corpus, 4, 85)
