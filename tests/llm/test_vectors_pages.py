@@ -4,6 +4,7 @@ import base64
 import hashlib
 import math
 import re
+import time
 from collections import defaultdict
 from html import unescape
 
@@ -197,6 +198,78 @@ def test_what_is_not_main_text_within_an_article(extra):
     assert tag_paths.main_text(f"<article>{BODY}{items}{extra}</article>") == f"{TOLD}\nShort one\nShort two\nShort three\nShort four"
 
 
+def _bare(html):
+    return re.sub(r"<(/?)article>", r"<\1div>", html)
+
+
+def test_ratios_decide(spark, small, monkeypatch):
+    """Without a threshold most pages keep adverts; without words of noise and marked articles, ratios alone find the article nearly always."""
+    pages = [r.html for r in spark.read.parquet(f"{small.replace('0.001', '0.01')}/pages.parquet").select("html").collect()]
+    want = [tag_paths.main_text(h) for h in pages]
+    assert sum(tag_paths.main_text(h, -1, -1) != w for h, w in zip(pages, want, strict=True)) > 0.5 * len(pages)
+    monkeypatch.setattr(tag_paths, "NOISE", frozenset())
+    assert sum(tag_paths.main_text(_bare(h)) == w for h, w in zip(pages, want, strict=True)) >= 0.95 * len(pages)
+
+
+def test_ratios_against_a_plain_version(spark, small):
+    """The chosen paths of simple pages by the formulas, over nodes that another parser finds."""
+    from html.parser import HTMLParser
+
+    class Nodes(HTMLParser):
+        def __init__(self):
+            super().__init__()
+            self.stack, self.out = [], []
+
+        def handle_starttag(self, tag, attrs):
+            if tag not in tag_paths.VOID:
+                self.stack.append((tag, dict(attrs).get("class")))
+
+        def handle_endtag(self, tag):
+            while self.stack and self.stack.pop()[0] != tag:
+                pass
+
+        def handle_data(self, data):
+            if not data.isspace():
+                self.out.append((tuple(t if c is None else f"{t}.{c}" for t, c in self.stack if t not in tag_paths.INLINE), data, any(t == "a" for t, _ in self.stack)))
+
+    html = "<body><div class='wrap'><div class='top'>Welcome, all.</div><div class='story'><h2>A heading</h2>" + "".join(f"<p>Text number {i} goes on, and on, for <b>some time</b>; then it ends.</p>" for i in range(6)) + "<div class='box'><span>Go</span> <a href='/x'>here</a></div></div><div class='low'><p>Rights, all of them.</p></div></div></body>"
+    parser = Nodes()
+    parser.feed(html)
+    paths = {}
+    for path, text, link in parser.out:
+        p = paths.setdefault(path, [0, 0, 0, 0])
+        for i, x in enumerate((1, len(text), len(re.findall("[.,;:!?]", text)), len(text) * link)):
+            p[i] += x
+    ratio = {k: n / c * np.log2(2 + q / c) * (1 - a / n) ** 2 for k, (c, n, q, a) in paths.items()}
+    order = [p for p, _, _ in parser.out]
+    value = [ratio[next((p for p in order[j:] if p[-1] != "h2"), order[j])] for j in range(len(order))]
+    smooth = {}
+    for j, p in enumerate(order):
+        w = {k: np.exp(-2.0 * k * k) for k in range(-2, 3) if 0 <= j + k < len(order)}
+        smooth.setdefault(p, []).append(sum(w[k] * value[j + k] for k in w) / sum(w.values()))
+    fused = {k: np.mean(v) for k, v in smooth.items()}
+    total = sum(p[1] for p in paths.values())
+    mean = sum(fused[k] * p[1] for k, p in paths.items()) / total
+    story = ("body", "div.wrap", "div.story")
+    want = {k for k in paths if k[:3] == story and fused[k] >= tag_paths.BELOW * mean}
+    around = lambda k: sum(p[1] - p[3] for j, p in paths.items() if j[:-1] == k[:-1]) / (total - sum(p[3] for p in paths.values()))
+    want |= {k for k in paths if fused[k] * around(k) ** 0.5 >= tag_paths.ELSEWHERE * mean}
+    page = tag_paths.Page(html)
+    names = {v: k for k, v in page._known.items()}
+
+    def full(k):
+        return (*full(names[k][0]), names[k][1]) if k else ()
+
+    assert {full(k) for k in tag_paths.chosen_paths(page)} == want and (*story, "h2") in want and ("body", "div.wrap", "div.top") not in want
+
+
+@pytest.mark.parametrize("html", ['<a "' * 250_000, "<a \">\" " * 100_000 + '"', "<div>" * 50_000 + "x" + "</div>" * 50_000, "<div class=ad>" * 50_000 + "x", "<b>" * 50_000 + "<hr>" * 50_000, "<p>" + "x <b>" * 50_000 + "</i>" * 50_000, "<!--" * 250_000, "<x" * 300_000 + ">", "<p>Word, and word. " * 60_000], ids=range(9))
+def test_long_bad_pages_take_seconds(html):
+    began = time.perf_counter()
+    tag_paths.main_text(html)
+    assert time.perf_counter() - began < 20
+
+
 def test_extraction_of_the_given_pages(spark, small):
     pages = spark.read.parquet(f"{small}/pages.parquet")
     got = {r.page_id: r for r in tag_paths.extract(pages.withColumn("text", F.lit("x"))).collect()}
