@@ -7,12 +7,13 @@ bitwise full adders until one slice per weight is left. The k best rows are then
 significant slice downward; rows that tie at the boundary are resolved by id, and the scores that are reported
 are computed from the integers themselves.
 
-Rows are dealt to blocks and queries to chunks, and each block meets each chunk in a task of bounded size; only k rows
-for each block leave it.
+Rows are dealt to blocks, whose slices are made once and written as packed bitmaps, and queries to chunks; each block meets each
+chunk in a task of bounded size, and only k rows for each query and block leave it.
 
 Defined cases: vectors that are null, empty, or hold null or non-finite components take no part, nor does a null id;
-queries compare with vectors of their own width only; a query's own rows are all rows of its id; scores whose
-bound doesn't fit 62 bits are computed with Python's integers and reported within the range of a long.
+queries compare with vectors of their own width only; rows that repeat an id are rows of their own: each asks for itself where
+``queries`` holds, and is a candidate of the others; quantised components stay within the range of a long, and scores whose
+bound doesn't fit 62 bits are computed with Python's integers and reported within that range.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 from reeltide.llm.scratch import Scratch
 
 #: Rows of one block of the index, and queries that meet it in one task.
-BLOCK_ROWS, CHUNK_QUERIES = 8192, 256
+BLOCK_ROWS, CHUNK_QUERIES = 8192, 1024
 _MAX_TASKS = 20_000
 
 
@@ -83,26 +84,39 @@ def _matrix(table: pa.Table) -> np.ndarray:
     return np.concatenate([c.flatten().to_numpy() for c in table.column("x").chunks]).reshape(len(table), -1)
 
 
+_INDEX = "width int, block long, ids binary, rows binary, x binary, up binary, down binary, digits array<int>"
+
+
+def _build(table: pa.Table) -> pa.Table:
+    """One block's row of the index: ids, numbers of its rows, and components, in order of id, and the slices upward and downward."""
+    table = table.sort_by([("id", "ascending"), ("row", "ascending")])
+    x = _matrix(table)
+    span = float(np.abs(x.astype(float)).max()) >= 2.0**61  # differences wouldn't fit
+    up, down = ([], []) if span else (_slices(x - x.min(0)), _slices(x.max(0) - x))
+    packed = [table.column("id").to_numpy(), table.column("row").to_numpy(), x, np.array(up, np.uint64), np.array(down, np.uint64)]
+    return pa.Table.from_arrays([*(table.column(c)[:1] for c in ("width", "block")), *(pa.array([p.tobytes()], pa.binary()) for p in packed), pa.array([[len(up), len(down)]], pa.list_(pa.int32()))], names=["width", "block", "ids", "rows", "x", "up", "down", "digits"])
+
+
 def _search(k: int):
-    def run(rows, queries):
-        names = ["query_id", "vec_id", "score"]
-        if not len(rows) or not len(queries):
+    def run(index, queries):
+        names = ["query_row", "query_id", "vec_id", "score"]
+        if not len(index) or not len(queries):
             return pa.table({n: pa.array([], pa.int64()) for n in names})
-        rows = rows.sort_by("id")
-        ids, x = rows.column("id").to_numpy(), _matrix(rows)
-        qids, q = queries.column("id").to_numpy(), _matrix(queries)
-        wide = float(np.abs(x.astype(float)).max()) * float(np.abs(q.astype(float)).sum(1).max()) >= 2.0**62
-        least, most = x.min(0), x.max(0)
-        up, down = ([], []) if wide else (_slices(x - least), _slices(most - x))
+        held = {c: index.column(c)[0].as_py() for c in ("ids", "rows", "x", "up", "down", "digits")}
+        ids, rows = np.frombuffer(held["ids"], np.int64), np.frombuffer(held["rows"], np.int64)
+        x = np.frombuffer(held["x"], np.int64).reshape(len(ids), -1)
         words = -(-len(x) // 64)
+        up, down = (list(np.frombuffer(held[c], np.uint64).reshape(n, x.shape[1], words)) if n else [] for c, n in zip(("up", "down"), held["digits"], strict=True))
+        q = _matrix(queries)
+        wide = float(np.abs(x.astype(float)).max()) * float(np.abs(q.astype(float)).sum(1).max()) >= 2.0**62
         everyone = np.packbits(np.arange(words * 64) < len(x), bitorder="little").view(np.uint64)
         out = []
-        for query, v in zip(qids, q, strict=True):
-            own = np.searchsorted(ids, query, "left"), np.searchsorted(ids, query, "right")
+        for number, query, v in zip(queries.column("row").to_numpy(), queries.column("id").to_numpy(), q, strict=True):
+            own = [i for i in range(np.searchsorted(ids, query, "left"), np.searchsorted(ids, query, "right")) if rows[i] == number]
             if wide:
                 score = x.astype(object) @ v.astype(object)
-                best = sorted((i for i in range(len(ids)) if not own[0] <= i < own[1]), key=lambda i: (-score[i], i))[:k]
-                out += [(query, ids[i], max(min(score[i], 2**63 - 1), -(2**63))) for i in best]
+                best = sorted((i for i in range(len(ids)) if i not in own), key=lambda i: (-score[i], i))[:k]
+                out += [(number, query, ids[i], max(min(score[i], 2**63 - 1), -(2**63))) for i in best]
                 continue
             terms: dict[int, list[np.ndarray]] = {}
             for digits, factor in ((up, np.maximum(v, 0)), (down, np.maximum(-v, 0))):
@@ -112,30 +126,33 @@ def _search(k: int):
                         for s, digit in enumerate(digits):
                             terms.setdefault(s + t, []).append(digit[has])
             among = everyone.copy()
-            for i in range(*own):
+            for i in own:
                 among[i // 64] &= ~np.uint64(1 << (i % 64))
             best = select_top(add_slices(terms, words), among, k)
-            out += zip([query] * len(best), ids[best], x[best] @ v, strict=True)
+            out += zip([number] * len(best), [query] * len(best), ids[best], x[best] @ v, strict=True)
         return pa.table({n: pa.array([int(r[i]) for r in out], pa.int64()) for i, n in enumerate(names)})
 
     return run
 
 
 def top_k(vectors: DataFrame, queries: Column, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding", scale: int = 256) -> DataFrame:
-    """(query_id, rank, vec_id, score): for each row where ``queries`` holds, the k other rows of the greatest integer inner product."""
+    """(query_id, rank, vec_id, score, query_row): for each row where ``queries`` holds, the k other rows of the greatest integer inner product. ``query_row`` tells rows of one id apart."""
     scratch = Scratch(vectors.sparkSession, "bit-sliced")
     v = F.col(vector_col)
     sound = v.isNotNull() & (F.size(v) > 0) & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.col(id_col).isNotNull()
     x = F.transform(v, lambda c: F.floor(c.cast("double") * float(scale)).cast("long"))
-    rows = scratch.table(vectors.where(sound).select(F.col(id_col).cast("long").alias("id"), x.alias("x"), F.coalesce(queries, F.lit(False)).alias("q")).withColumn("width", F.size("x")), "rows")
+    rows = vectors.where(sound).select(F.col(id_col).cast("long").alias("id"), x.alias("x"), F.coalesce(queries, F.lit(False)).alias("q"))
+    rows = scratch.table(rows.withColumns({"width": F.size("x"), "row": F.monotonically_increasing_id()}), "rows")
     n, m = rows.agg(F.count("*"), F.count_if("q")).first()
     blocks, chunks = max(1, -(-n // BLOCK_ROWS)), max(1, -(-m // CHUNK_QUERIES))
-    block = F.pmod(F.xxhash64("id", F.lit(1)), F.lit(blocks))
-    chunk = F.pmod(F.xxhash64("id", F.lit(2)), F.lit(chunks))
+    block = F.pmod(F.xxhash64("row", F.lit(1)), F.lit(blocks))
+    chunk = F.pmod(F.xxhash64("row", F.lit(2)), F.lit(chunks))
     tasks = min(blocks * chunks, _MAX_TASKS)
     keys = ["width", "block", "chunk"]
-    index = rows.select("width", "id", "x", block.alias("block"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(chunks - 1).cast("long"))).alias("chunk"))
-    asked = rows.where("q").select("width", "id", "x", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"), chunk.alias("chunk"))
-    found = index.repartition(tasks, *keys).groupBy(*keys).cogroup(asked.repartition(tasks, *keys).groupBy(*keys)).applyInArrow(_search(k), "query_id long, vec_id long, score long")
-    best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    numbers = lambda count: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(count - 1).cast("long")))
+    index = scratch.table(rows.select("width", "row", "id", "x", block.alias("block")).groupBy("width", "block").applyInArrow(_build, _INDEX), "index")
+    index = index.withColumn("chunk", numbers(chunks))
+    asked = rows.where("q").select("width", "row", "id", "x", numbers(blocks).alias("block"), chunk.alias("chunk"))
+    found = index.repartition(tasks, *keys).groupBy(*keys).cogroup(asked.repartition(tasks, *keys).groupBy(*keys)).applyInArrow(_search(k), "query_row long, query_id long, vec_id long, score long")
+    best = Window.partitionBy("query_row").orderBy(F.col("score").desc(), "vec_id")
+    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score", "query_row")

@@ -7,13 +7,17 @@ of both classes. An n-gram that neither class knows after a context gets the sam
 from both, so a rare expression is only as suspicious as the parts of it that were seen; inflected forms of
 a toxic stem are caught by the stem.
 
-Counts are taken over all labelled training rows in Spark: a document counts a word once. A
+Counts are taken over all labelled training rows but those that calibrate: a document counts a word once. A
 logistic regression turns a document's highest expression scores and its mean into a probability; it is
-fitted on a bounded sample of labelled rows that the counts leave out.
+fitted on CALIBRATION_ROWS labelled rows of one fold at most, which the counts leave out.
+
+A model of up to BROADCAST_ENTRIES entries is sent to all tasks; with a larger one each distinct word of the corpus is scored once, by
+joins, and joined back to the documents that have it. Scores are the same either way.
 
 Defined cases: null and wordless texts score as documents without any evidence; a null or missing label
 trains nothing; if a document has several labels, it is toxic if one says so; without both classes among the
-training rows every score is the share of toxic rows (0 without any labelled row).
+training rows every score is the share of toxic rows (0 without any labelled row). Each row is scored by its own text:
+rows may share an id, and ids may be null; a label counts for all rows of its id, of which one calibrates.
 """
 
 from __future__ import annotations
@@ -24,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reeltide.llm import wordhash as W
-from reeltide.llm.scratch import Scratch
+from reeltide.llm.scratch import Scratch, lookup
 
 ORDER = 6
 #: Model entries up to which executors get the model as a broadcast (12 bytes each); a larger one is joined.
@@ -182,44 +186,80 @@ def _features(shared):
     def run(batches):
         keys, values = shared.value
         for batch in batches:
-            text = W.as_strings(batch.column(1))
+            text = W.as_strings(batch.column(2))
             for a, b in W.chunks(text):
                 data, start, end, row, h = _distinct_words(text[a:b])
                 _, first, back = np.unique(h, return_index=True, return_inverse=True)
                 gram, word = _grams(data, start[first], end[first])
                 kinds, again = np.unique(gram, return_inverse=True)
                 each = np.bincount(word, _lookup(keys, values, kinds)[again], len(first)) if len(keys) else np.zeros(len(first))
-                yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], *_summaries(each[back], (end - start + 1).astype(float), row, b - a)], ["id", *FEATURES])
+                yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], batch.column(1)[a:b], *_summaries(each[back], (end - start + 1).astype(float), row, b - a)], ["id", "of", *FEATURES])
 
     return run
 
 
-def _explode(batches):
+def _row_words(batches):
+    """(row, word) of the distinct words of each row."""
     for batch in batches:
         text = W.as_strings(batch.column(1))
         for a, b in W.chunks(text):
-            data, start, end, row, h = _distinct_words(text[a:b])
-            gram, word = _grams(data, start, end)
-            yield pa.RecordBatch.from_arrays([batch.column(0)[a:b].take(pa.array(row[word])), pa.array(h.view(np.int64)[word]), pa.array(gram)], ["id", "word", "gram"])
+            _, _, _, row, h = _distinct_words(text[a:b])
+            yield pa.RecordBatch.from_arrays([batch.column(0)[a:b].take(pa.array(row)), pa.array(h.view(np.int64))], ["row", "word"])
 
 
-def features(docs: DataFrame, id_col: str, text_col: str, model: DataFrame, entries: int) -> DataFrame:
-    """(id, *FEATURES) of every row; ids should be unique where the model is too large to broadcast."""
-    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    kinds = f"id {docs.schema[id_col].dataType.simpleString()}"
+def _word_bytes(batches):
+    """(word, bytes) of the distinct words of each batch of texts."""
+    for batch in batches:
+        text = W.as_strings(batch.column(0))
+        for a, b in W.chunks(text):
+            data, start, end, _, h = _distinct_words(text[a:b])
+            h, first = np.unique(h, return_index=True)
+            raw = data.tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array([raw[x:y] for x, y in zip(start[first].tolist(), end[first].tolist(), strict=True)], pa.binary())], ["word", "bytes"])
+
+
+def _word_grams(batches):
+    for batch in batches:
+        data, rows = W.text_bytes(batch.column(1))
+        if len(data):
+            gram, word = _grams(data, rows[:-1], rows[1:])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(word)), pa.array(gram)], ["word", "gram"])
+
+
+def _word_scores(source: DataFrame, model: DataFrame, scratch: Scratch) -> DataFrame:
+    """(word, score, size, n): each distinct word's log-likelihood ratio and number of n-grams, and how many rows have it, at least."""
+    words = source.select("text").mapInArrow(_word_bytes, "word long, bytes binary").groupBy("word").agg(F.first("bytes").alias("bytes"))
+    grams = scratch.table(words, "words").mapInArrow(_word_grams, "word long, gram long").withColumn("context", F.shiftright("gram", 8))
+    # hot n-grams are few: the words are distinct
+    known = grams.join(model.select(F.col("key").alias("gram"), "llr"), "gram", "left")
+    known = known.join(model.select((F.col("key") - F.lit(_CONTEXT)).alias("context"), F.col("llr").alias("other")), "context", "left")
+    return known.groupBy("word").agg(F.sum(F.coalesce("llr", "other", F.lit(0.0)).cast("double")).alias("score"), F.count("*").alias("size"))
+
+
+def features(docs: DataFrame, id_col: str, text_col: str, model: DataFrame, entries: int, scratch: Scratch) -> DataFrame:
+    """(id, of, *FEATURES) of every row; ``of`` is a hash of its text."""
+    text = F.col(text_col).cast("string")
+    source = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("of"), text.alias("text"))
+    kind = docs.schema[id_col].dataType.simpleString()
     if entries <= BROADCAST_ENTRIES:
         rows = model.toArrow().sort_by("key")
         shared = docs.sparkSession.sparkContext.broadcast((rows.column("key").to_numpy(), rows.column("llr").to_numpy()))
-        return source.mapInArrow(_features(shared), ", ".join([kinds, *(f"{f} double" for f in FEATURES)]))
-    grams = source.mapInArrow(_explode, f"{kinds}, word long, gram long")
-    known = grams.join(model.select(F.col("key").alias("gram"), "llr"), "gram", "left")
-    context = model.select((F.col("key") - F.lit(_CONTEXT)).alias("context"), F.col("llr").alias("other"))
-    known = known.withColumn("context", F.shiftright("gram", 8)).join(context, "context", "left")
-    words = known.groupBy("id", "word").agg(F.sum(F.coalesce("llr", "other", F.lit(0.0))).alias("score"), F.count("*").alias("size"))
-    ranked = [F.sort_array(F.collect_list(F.col("score") / F.pow("size", F.lit(p))), False).alias(f"x{i}") for i, p in enumerate(POWERS)]
-    best = words.groupBy("id").agg(*ranked, (F.sum("score") / F.sum("size")).alias("mean"), F.log1p(F.count("*").cast("double")).alias("words"))
+        return source.mapInArrow(_features(shared), ", ".join([f"id {kind}, of long", *(f"{f} double" for f in FEATURES)]))
+    scores = _word_scores(source, model, scratch)
+    # equal texts have equal features: rows of one text are one until the end
+    words = scratch.table(source.select("of", "text").mapInArrow(_row_words, "row long, word long"), "row-words")
+    scores = scratch.table(scores.join(words.groupBy("word").agg(F.count("*").alias("n")), "word"), "scores")
+    scored = lookup(words, scores, "word", ["row"], "inner")
+    best = scored.groupBy("row").agg(F.collect_set(F.struct("word", "score", "size")).alias("w"))
+    w = F.col("w")
+    ranked = [F.sort_array(F.transform(w, lambda x, p=p: x["score"] / F.pow(x["size"], F.lit(p))), False).alias(f"x{i}") for i, p in enumerate(POWERS)]
+    total = lambda c: F.aggregate(w, F.lit(0.0), lambda acc, x: acc + x[c])
+    best = best.select("row", *ranked, (total("score") / total("size")).alias("mean"), F.log1p(F.size(w).cast("double")).alias("words"))
     tops = [F.coalesce(F.get(f"x{i}", k), F.lit(0.0)).alias(f"top{i}_{k}") for i in range(len(POWERS)) for k in range(TOP)]
-    return source.select("id").join(best.select("id", *tops, "mean", "words"), "id", "left").na.fill(0.0, FEATURES)
+    best = best.select(F.col("row").alias("of"), *tops, "mean", "words")
+    ids = source.select("id", "of")
+    best = scratch.table(best.join(ids.groupBy("of").agg(F.count("*").alias("n")), "of"), "best")
+    return lookup(ids, best, "of", ["id"]).select("id", "of", *FEATURES).na.fill(0.0, FEATURES)
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
@@ -238,7 +278,7 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", folds: int = 5, held_out: int = 0, calibration: int = 1) -> DataFrame:
-    """One row per row of ``docs``: the id, held_out, score, predicted.
+    """One row per row of ``docs``: the id, held_out, score, predicted, of (the xxhash64 of its text), and the features.
 
     Rows fall into ``folds`` by crc32 of the id as text. Labels of fold ``held_out`` are never used; those of fold
     ``calibration`` only calibrate, at most CALIBRATION_ROWS of them (those of smallest hashed id).
@@ -254,9 +294,10 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     picked = marked.where(F.col("fold") == calibration).orderBy(sample, "id").limit(CALIBRATION_ROWS).select("id")
     model = fit(trained, "text", "y", scratch)
     entries = model.count()
-    known = scratch.table(features(docs.select(id_col, text_col), id_col, text_col, model, entries), "features")
+    known = scratch.table(features(docs.select(id_col, text_col), id_col, text_col, model, entries, scratch), "features")
     scratch.keep_only(known)
-    fitted = known.join(marked.join(picked, "id", "left_semi").select("id", "y"), "id").select(*FEATURES, "y").toPandas()
+    one = known.join(picked, "id", "left_semi").groupBy("id").agg(F.min(F.struct("of", *FEATURES)).alias("f")).select("id", "f.*")
+    fitted = one.join(marked.select("id", "y"), "id").orderBy("id").select(*FEATURES, "y").toPandas()
     y = fitted["y"].to_numpy(float)
     if len(y) and 0 < y.sum() < len(y):
         *w, bias = (float(v) for v in _logistic(fitted[FEATURES].to_numpy(float), y))
@@ -264,5 +305,5 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
         w, bias = [0.0] * len(FEATURES), float(np.log((y.sum() + 1e-9) / (len(y) - y.sum() + 1e-9))) if len(y) else -30.0
     logit = sum((F.col(f) * v for f, v in zip(FEATURES, w, strict=True)), F.lit(bias))
     scored = known.withColumn("score", 1 / (1 + F.exp(-F.least(F.greatest(logit, F.lit(-30.0)), F.lit(30.0)))))
-    out = scored.select("id", F.coalesce(fold == held_out, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), *FEATURES)
+    out = scored.select("id", F.coalesce(fold == held_out, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "of", *FEATURES)
     return out.withColumnRenamed("id", id_col)

@@ -10,7 +10,7 @@ prefix sums are offsets of partitions plus sums within, so that a source of any
 
 Defined cases: null text has size 0; a null source is a source of its own, ordered last; a source without words
 has target 0; null, non-positive or NaN quality counts as the least weight; rows that repeat an id are ordered by
-size and otherwise alike.
+size and otherwise alike, also in what is taken of them. Targets are found over one row per source, in one task.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from reeltide.llm.scratch import Scratch
+from reeltide.llm.scratch import Scratch, free_name
 
 WORD = r"[^\x20\x09-\x0D]+"
 _LEAST_QUALITY = 1e-3
@@ -47,16 +47,16 @@ def plan_mix(
     digest = F.md5(F.concat_ws("-", F.coalesce(F.col(id_col).cast("string"), F.lit("null")), F.lit(str(seed))).cast("binary"))
     u = (F.conv(F.substring(digest, 1, 12), 16, 10).cast("long") + 0.5) / float(1 << 48)
     rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long").alias("size"), (-F.log(u) / q).alias("key"))
-    rows = scratch.table(rows, "sizes")
+    rows = scratch.table(rows.withColumn("row", F.monotonically_increasing_id()), "sizes")  # rows that are alike are told apart by their number
 
     targets = scratch.table(_targets(rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("rows")), weights, share, most), "targets")
     parts = max(1, -(-(targets.agg(F.sum("rows")).first()[0] or 0) // _RANGE_ROWS))
-    order = [F.col("source").asc_nulls_last(), "key", "id", "size"]
+    order = [F.col("source").asc_nulls_last(), "key", "id", "size", "row"]
     ranged = scratch.table(rows.repartitionByRange(parts, *order).withColumn("part", F.spark_partition_id()), "ranged")
     scratch.keep_only(targets, ranged)
     before = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = ranged.groupBy("source", "part").agg(F.sum("size").alias("s")).select("source", "part", F.coalesce(F.sum("s").over(before), F.lit(0)).alias("offset"))
-    within = Window.partitionBy("part", "source").orderBy("key", "id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy("part", "source").orderBy("key", "id", "size", "row").rowsBetween(Window.unboundedPreceding, -1)
     ranged = ranged.withColumn("prior", F.coalesce(F.sum("size").over(within), F.lit(0)))
     # one row per source and partition: small against the rows, and joined by both
     small = offsets.join(targets.withColumnRenamed("source", "s2"), F.col("source").eqNullSafe(F.col("s2"))).select(F.col("source").alias("s1"), F.col("part").alias("p1"), "offset", "source_size", "target", "epochs", "rest")
@@ -87,12 +87,16 @@ def _targets(sources: DataFrame, weights: tuple[float, ...], share: float, most:
 
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """``docs`` as the mix has them: a row for each time a document is taken, the last one cut if it is taken in part."""
-    plan = plan_mix(docs, id_col, text_col, **how).groupBy(F.col("id").alias("__mix_id")).agg(F.max(F.struct("taken", "epochs", "extra", "size")).alias("__mix"))
-    joined = docs.join(plan, F.col(id_col).eqNullSafe(F.col("__mix_id")))
-    x = F.col("__mix")
+    """``docs`` as the mix has them: a row for each time a document is taken; one that is taken in part ends after its last word that is.
+
+    Rows that repeat an id are taken alike, as the one of them that is taken most.
+    """
+    key, mix, part = (free_name(n, docs.columns) for n in ("mix_id", "mix", "mix_part"))
+    plan = plan_mix(docs, id_col, text_col, **how).groupBy(F.col("id").alias(key)).agg(F.max(F.struct("taken", "epochs", "extra", "size")).alias(mix))
+    joined = docs.join(plan, F.col(id_col).eqNullSafe(F.col(key)))
+    x = F.col(mix)
     whole = F.array_repeat(F.lit(-1).cast("long"), x["epochs"].cast("int"))
-    part = F.when(x["extra"] > 0, F.array(F.when(x["extra"] == x["size"], F.lit(-1)).otherwise(x["extra"]).cast("long"))).otherwise(F.array().cast("array<long>"))
-    taken = joined.withColumn("__mix_part", F.explode(F.concat(whole, part)))
-    words = F.slice(F.regexp_extract_all(F.col(text_col), F.lit(f"({WORD})"), F.lit(1)), 1, F.col("__mix_part").cast("int"))
-    return taken.withColumn(text_col, F.when(F.col("__mix_part") < 0, F.col(text_col)).otherwise(F.array_join(words, " "))).select(docs.columns)
+    rest = F.when(x["extra"] > 0, F.array(F.when(x["extra"] == x["size"], F.lit(-1)).otherwise(x["extra"]).cast("long"))).otherwise(F.array().cast("array<long>"))
+    taken = joined.withColumn(part, F.explode(F.concat(whole, rest)))
+    words = F.slice(F.regexp_extract_all(F.col(text_col), F.lit(rf"([\x20\x09-\x0D]*{WORD})"), F.lit(1)), 1, F.col(part).cast("int"))
+    return taken.withColumn(text_col, F.when(F.col(part) < 0, F.col(text_col)).otherwise(F.array_join(words, ""))).select(docs.columns)

@@ -23,7 +23,7 @@ How it runs:
    from above; pairs that the bound leaves are verified token by token. No link between different sets that connects anything is lost, while no group
    ever becomes rows for all its pairs.
 
-A token is 48 bits and a bucket number wide (54 bits or more).
+A token is 40 bits and a bucket number wide (44 bits or more, and more with every doubling of the corpus).
 
 Defined cases: null or wordless text is an empty set, linked with nothing and its own component; a text of
 fewer words than the shingle has one token; rows that share an id are one node; ids may not be null (such
@@ -50,11 +50,11 @@ _SLOT_ROWS = 64
 #: Document frequency up to which a token is rare, and so indexed alone.
 RARE = 32
 #: Tokens that one bucket counts at once.
-BUCKET_TOKENS = 2_000_000
+BUCKET_TOKENS = 1_000_000
 #: Rows of one block at most: their numbers fit 16 bits.
 _BLOCK_ROWS = 60_000
 #: Bits of a parity bitmap; members of a list that meet as one block; rows of lists that one task compares, and pairs that it looks at together.
-BITMAP_BITS, LIST_BLOCK, LIST_ROWS, _PAIRS = 1024, 2048, 30_000, 1 << 20
+BITMAP_BITS, LIST_BLOCK, LIST_ROWS, _PAIRS = 1024, 1024, 5_000, 1 << 20
 #: Sketches that are summed in one task.
 _SKETCHES = 1000
 _HOT_LEVEL = 255
@@ -105,8 +105,8 @@ def _sum_counts(table: pa.Table) -> pa.Table:
 
 
 def _token_parts(h: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """A token is known by its bucket, the 32 bits that it is counted by, and 16 further bits."""
-    return ((h & np.uint64(0xFFFF)) % np.uint64(buckets) if buckets <= 1 << 10 else (h & np.uint64(0xFFFFFFFF)) % np.uint64(buckets)).astype(np.int32), (h >> np.uint64(32)).astype(np.uint32), ((h >> np.uint64(16)) & np.uint64(0xFFFF)).astype(np.uint16)
+    """A token is known by its bucket, the 32 bits that it is counted by, and 8 further bits."""
+    return ((h & np.uint64(0xFFFFFF)) % np.uint64(buckets)).astype(np.int32), (h >> np.uint64(32)).astype(np.uint32), (h >> np.uint64(24)).astype(np.uint8)
 
 
 def _ask(k: int, buckets: int, hot: bytes):
@@ -167,7 +167,7 @@ def _count(table: pa.Table) -> pa.Table:
         keep = level[own] >= 2
         if keep.any():
             at = np.frombuffer(table.column("at")[i].as_py(), np.uint16)
-            more = np.frombuffer(table.column("more")[i].as_py(), np.uint16)
+            more = np.frombuffer(table.column("more")[i].as_py(), np.uint8)
             rows.append((table.column("block")[i].as_py(), table.column("bucket")[i].as_py(), at[keep].tobytes(), bits[own][keep].tobytes(), more[keep].tobytes(), level[own][keep].tobytes(), None))
     kinds = [pa.int64(), pa.int32(), *[pa.binary()] * 5]
     return pa.Table.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], ["block", "bucket", "at", "bits", "more", "extra", "docs"])
@@ -185,7 +185,7 @@ def _index(num: int, den: int):
     def run(table: pa.Table) -> pa.Table:
         rows, token, level, n, node = [], [], [], np.zeros(0, np.int32), np.zeros(0, _I64)
         for r in table.to_pylist():
-            at, bits = np.frombuffer(r["at"], np.uint16), (np.frombuffer(r["bits"], np.uint32).astype(np.uint64) << np.uint64(16)) | np.frombuffer(r["more"], np.uint16)
+            at, bits = np.frombuffer(r["at"], np.uint16), (np.frombuffer(r["bits"], np.uint32).astype(np.uint64) << np.uint64(8)) | np.frombuffer(r["more"], np.uint8)
             if r["docs"] is not None:
                 m = len(r["docs"]) // 12
                 n, node = np.frombuffer(r["docs"], np.int32, m), np.frombuffer(r["docs"], _I64, m, 4 * m) if m % 2 == 0 else np.frombuffer(r["docs"][4 * m :], _I64)
@@ -193,7 +193,7 @@ def _index(num: int, den: int):
             else:
                 bucket, lev = np.uint64(r["bucket"]), np.frombuffer(r["extra"], np.uint8)
             rows.append(at)
-            token.append((bucket << np.uint64(48)) | bits)
+            token.append((bucket << np.uint64(40)) | bits)
             level.append(lev)
         row, token, level = np.concatenate(rows).astype(_I64), np.concatenate(token), np.concatenate(level)
         order = np.lexsort((W.mix(token), level, row))
@@ -330,7 +330,7 @@ def _similar(docs: DataFrame, id_col: str, text_col: str, words: int, num: int,
     seen = scratch.table(source.mapInArrow(_profile(words), "doc_id long, n long, node long, slots int, counts binary"), "profile")
     members = seen.where("slots is null").select("doc_id", "n", "node")
     size = seen.agg(F.count_if(F.col("slots").isNull()), F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("slots") == 0)).first()
-    buckets = max(64, -(-size[1] // BUCKET_TOKENS))
+    buckets = min(max(16, -(-size[1] // BUCKET_TOKENS)), 1 << 23)
     sketches = seen.where("slots is not null").select("slots", "counts")
     if size[2] > _SKETCHES:  # one for each task: first sums of some, then of all
         some = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(-(-size[2] // _SKETCHES)))

@@ -21,7 +21,7 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_bit_sliced_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bit_sliced.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+    return bit_sliced.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0).drop("query_row")
 
 
 def op4_bin_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,9 +79,9 @@ SELECT page_id, payload_bytes,
     array_to_string(list_transform(range(0, 32), lambda k: substring('{_BASE32}', CAST(1 + list_sum(list_transform(range(0, 5), lambda j: (h[CAST((5 * k + j) // 4 + 1 AS INT)] // CAST(power(2, 3 - (5 * k + j) % 4) AS BIGINT) % 2) * CAST(power(2, 4 - j) AS BIGINT))) AS INT), 1)), '') AS payload_digest,
     CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id < last THEN last END AS refers_to FROM g""",
     "op2_bit_sliced_topk": """
-WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
-s AS (SELECT a.vec_id AS query_id, b.vec_id, CAST(list_sum(list_transform(list_zip(a.q, b.q), lambda z: z[1] * z[2])) AS BIGINT) AS score FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
-r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+WITH v AS (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.r AS query_row, a.vec_id AS query_id, b.vec_id, CAST(list_sum(list_transform(list_zip(a.q, b.q), lambda z: z[1] * z[2])) AS BIGINT) AS score FROM v a JOIN v b ON a.r <> b.r WHERE a.vec_id % 50 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_row ORDER BY score DESC, vec_id) AS rank FROM s)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5""",
     "op5_pivot_index": """
 WITH RECURSIVE nodes AS (SELECT vec_id AS id FROM embeddings),

@@ -265,6 +265,71 @@ def test_toxicity_held_out(spark, tmp_path, monkeypatch):
     assert all(abs(joined[i] - r.score) < 1e-6 for i, r in scored.items())
 
 
+def test_toxicity_of_repeated_and_null_ids(spark, monkeypatch):
+    """Each row is scored by its own text, whichever way the model goes to the documents."""
+    rows = [(i, f"mild words number{i % 7} here" + (" grotzen" if i % 4 == 0 else "")) for i in range(400)]
+    odd = [(5000, "grotzen grotzen"), (5000, "mild words"), (5000, "mild words"), (None, "grotzen now"), (None, "mild here"), (5000, None), (None, None)]
+    docs = spark.createDataFrame(rows + odd, "doc_id long, text string")
+    marks = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(400)], "doc_id long, toxic int")
+
+    def run():
+        return sorted(((r.doc_id or -1, r.of or 0, r.predicted), round(r.score, 6)) for r in kneser_ney.toxicity(docs, marks).collect() if r.doc_id is None or r.doc_id == 5000)
+
+    sent = run()
+    assert len(sent) == len(odd) and sum(p for (_, _, p), _ in sent) == 2
+    monkeypatch.setattr(kneser_ney, "BROADCAST_ENTRIES", 0)
+    assert run() == sent
+
+
+def test_model_against_plain_kneser_ney(spark):
+    """Ratios of a few n-grams by the definition, over sets of words of documents."""
+    from collections import Counter
+
+    rng = np.random.default_rng(4)
+    words = ["".join(rng.choice(list("abcd"), 5)) for _ in range(30)]
+    rows = [(i, " ".join(rng.choice(words, 6)), int(i % 3 == 0)) for i in range(60)]
+    n = kneser_ney.ORDER
+    counts = [Counter(), Counter()]
+    for _, text, toxic in rows:
+        for w in set(text.split()):
+            padded = " " * (n - 1) + w + " "
+            counts[toxic].update(padded[k : k + n] for k in range(len(w) + 1))
+    discount = lambda c: min(0.95, max(0.1, (o := sum(x == 1 for x in c.values())) / (o + 2 * sum(x == 2 for x in c.values())))) if any(x == 1 for x in c.values()) else 0.5
+    grams = set(counts[0]) | set(counts[1])
+    levels = {}
+    above = grams
+    for k in range(n - 1, 0, -1):
+        levels[k] = Counter(g[1:] for g in above)
+        above = set(levels[k])
+
+    def low(g):
+        if not g:
+            return 1 / 256
+        c, d = levels[len(g)], discount(levels[len(g)])
+        around = [x for h, x in c.items() if h[:-1] == g[:-1]]
+        return (max(c[g] - d, 0) + d * len(around) * low(g[1:])) / sum(around)
+
+    def p(g, c):
+        d, around = discount(c), [x for h, x in c.items() if h[:-1] == g[:-1]]
+        s = sum(around)
+        return (max(c[g] - d, 0) / s if s else 0) + (d * len(around) / s if s else 1) * low(g[1:])
+
+    scratch = Scratch(spark, "test")
+    model = {r.key: r.llr for r in kneser_ney.fit(spark.createDataFrame(rows, "id long, text string, y int"), "text", "y", scratch).collect()}
+    for g in sorted(grams):
+        key = int.from_bytes(g.encode(), "big")
+        assert abs(model[key] - np.log(p(g, counts[1]) / p(g, counts[0]))) < 1e-4, g
+
+
+def test_mixed_documents_keep_their_white_space(spark):
+    rows = [(i, f"a{i}  b\n\nc\td e f g h", "s", i, f"m{i}", 0) for i in range(5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, mix_part int, mix string, mix_id int")
+    out = mixing.mixed_documents(df, share=0.5).collect()
+    assert sum(len(r.text.split()) for r in out) == 20 and all(rows[r.doc_id][1].startswith(r.text) and r.mix == f"m{r.doc_id}" for r in out)
+    again = spark.createDataFrame([(1, "x y z", "s")] * 40, "doc_id long, text string, source string")
+    assert mixing.plan_mix(again).agg(F.sum("taken")).first()[0] == 180
+
+
 def test_toxicity_without_labels(spark):
     docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     r = kneser_ney.toxicity(docs, spark.createDataFrame([], "doc_id long, toxic int")).first()

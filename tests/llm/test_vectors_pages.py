@@ -49,6 +49,14 @@ def test_top_k_is_exact(vectors, blocks, monkeypatch):
     assert got == sorted(want)
 
 
+def test_top_k_of_repeated_ids(spark):
+    rows = [(0, [1.0, 0.0]), (0, [1.0, 0.0]), (0, [0.0, 1.0]), (8, [0.75, 0.25]), (7, [0.5, 0.5]), (6, [0.25, 0.5]), (5, [0.25, 0.25]), (4, [0.0, 0.0])]
+    got = bit_sliced.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 50 == 0).collect()
+    lists = sorted([(r.rank, r.vec_id, r.score) for r in sorted(got, key=lambda r: r["rank"]) if r.query_row == q] for q in {r.query_row for r in got})
+    east, north = [(0, 1, 65536), (8, 1, 49152), (7, 1, 32768), (5, 1, 16384), (6, 1, 16384)], [(6, 1, 32768), (7, 1, 32768), (5, 1, 16384), (8, 1, 16384), (0, 1, 0)]
+    assert [[(v, 1, s) for _, v, s in x] for x in lists] == sorted([east, east, north], key=lambda x: x[0])
+
+
 def test_top_k_of_wide_numbers_and_few_rows(spark):
     rows = [(0, [1e12, -3.0]), (1, [1e12, 2.0]), (2, [-1e12, 5.0]), (50, [1.0, 1.0])]
     got = {(r.query_id, r.rank): (r.vec_id, r.score) for r in bit_sliced.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 50 == 0).collect()}
