@@ -252,7 +252,11 @@ def features(docs: DataFrame, id_col: str, text_col: str, model: DataFrame, entr
     scored = lookup(words, scores, "word", ["row"], "inner")
     best = scored.groupBy("row").agg(F.collect_set(F.struct("word", "score", "size")).alias("w"))
     w = F.col("w")
-    ranked = [F.sort_array(F.transform(w, lambda x, p=p: x["score"] / F.pow(x["size"], F.lit(p))), False).alias(f"x{i}") for i, p in enumerate(POWERS)]
+
+    def normalised(power: float) -> Column:
+        return F.sort_array(F.transform(w, lambda x: x["score"] / F.pow(x["size"], F.lit(power))), False)
+
+    ranked = [normalised(p).alias(f"x{i}") for i, p in enumerate(POWERS)]
     total = lambda c: F.aggregate(w, F.lit(0.0), lambda acc, x: acc + x[c])
     best = best.select("row", *ranked, (total("score") / total("size")).alias("mean"), F.log1p(F.size(w).cast("double")).alias("words"))
     tops = [F.coalesce(F.get(f"x{i}", k), F.lit(0.0)).alias(f"top{i}_{k}") for i in range(len(POWERS)) for k in range(TOP)]
