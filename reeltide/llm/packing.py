@@ -16,6 +16,7 @@ columns are ignored.
 from __future__ import annotations
 
 import gc
+import json
 import re
 from functools import lru_cache
 
@@ -36,19 +37,31 @@ WIDTH, DIMENSIONS, BITS = 256, 4, 15
 
 #: For texts of these characters, composing changes nothing, folding goes letter by letter and white space is ASCII's.
 _PLAIN = re.compile("[\t\n\r\x20-\x7e¡-įı-ɏ]*")
-#: Fixed value: the word pattern of the tokenizer file.
-_PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+# The word pattern of word-level tokenizer files, and what else such a file says of texts and words. Texts are taken word by word for these only.
+_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_NORMAL = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+_SPLIT = {"type": "Split", "pattern": {"Regex": _PATTERN}, "behavior": "Removed", "invert": True}
+_BYTES = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+_PIECE = regex.compile(_PATTERN)
 #: Pieces of words that a worker remembers in each of two generations, and bytes of text tokenised at once.
 _REMEMBERED, _CHUNK_BYTES = 300_000, 3 << 20
 
 
 class WordTokenizer:
-    """The ids of a word-level BPE tokenizer file. No token spans white space, so texts are tokenised by their distinct words, and these by pieces that are remembered."""
+    """The ids of a tokenizer file.
+
+    In a word-level BPE file of known settings no token spans white space, so texts are tokenised by their distinct words, and these
+    by pieces that are remembered. Of any other file every text is encoded whole.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.whole = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as f:
+            text = f.read()
+        self.whole = Tokenizer.from_str(text)
+        said = json.loads(text)
+        self.by_words = said["normalizer"] == _NORMAL and said["pre_tokenizer"] == {"type": "Sequence", "pretokenizers": [_SPLIT, _BYTES]} and said["model"]["type"] == "BPE" and not said["model"].get("dropout") and not said["truncation"] and all(not a["normalized"] and "<|" in a["content"] for a in said["added_tokens"])
         self.kind = np.dtype("<u2") if self.whole.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
@@ -100,7 +113,7 @@ class WordTokenizer:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
-        plain = [_PLAIN.fullmatch(t) is not None and "<|" not in t for t in texts]
+        plain = [self.by_words and _PLAIN.fullmatch(t) is not None and "<|" not in t for t in texts]
         data, rows = W.text_bytes(pa.array([t.lower() if p else "" for t, p in zip(texts, plain, strict=True)], pa.string()))
         start, end, row = W.word_spans(data, rows)
         _, first, which = np.unique(W.span_hashes(data, start, end), return_index=True, return_inverse=True)
@@ -176,8 +189,10 @@ def _tokenise(path: str, end: int, seed: int):
             for a, b in W.chunks(text, _CHUNK_BYTES):
                 texts = text[a:b].to_pylist()
                 gc.disable()  # millions of strings and no cycles
-                coded = [np.append(c, last) for c in tokens.encode(texts)]
-                gc.enable()
+                try:
+                    coded = [np.append(c, last) for c in tokens.encode(texts)]
+                finally:
+                    gc.enable()
                 n = np.array([len(c) for c in coded])
                 flat = np.concatenate(coded)
                 key = curve_places(flat, np.repeat(np.arange(len(n)), n), len(n), seed)

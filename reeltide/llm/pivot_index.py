@@ -8,9 +8,10 @@ Equal vectors of a label are one class from the start and count by their number.
 pairs of bounded blocks, and a pair of vectors is looked at only in the list of the first pivot they share, so
 that links are counted once and leave a task as sums per vector and a spanning forest, never as pairs.
 
-The pivots are chosen from a bounded sample of each label (SAMPLED vectors of smallest hash, of which PIVOTS that aren't
-close to each other); every vector is indexed. Measured
-recall against brute force is in the README and in the tests.
+A label has twice the square root of its number of vectors as pivots (PIVOTS says at least and at most), so that lists grow more slowly than the
+table and the share of all pairs that they hold falls. Pivots are chosen from a bounded sample of the label (SAMPLED
+vectors of smallest hash for each pivot), apart from each other; every vector is indexed. Measured recall against brute force is in
+the README and in the tests.
 
 Defined cases: vectors that are null, zero, or hold null or non-finite components, and vectors without a
 label, link with nothing; vectors of different width never compare; rows that repeat an id are separate
@@ -27,10 +28,10 @@ from pyspark.sql import functions as F
 from reeltide.llm.graph import connected_components
 from reeltide.llm.scratch import Scratch, salted_lookup
 
-#: Pivots of a label at most, pivots that describe a vector, and how many of them candidates share.
-PIVOTS, NEAREST, SHARED = 64, 8, 2
-#: Vectors that a label's pivots are chosen from, and the cosine that pivots have to each other at most.
-SAMPLED, APART = 512, 0.7
+#: Pivots of a label at least and at most, pivots that describe a vector, and how many of them candidates share.
+PIVOTS, NEAREST, SHARED = (64, 1024), 8, 2
+#: Vectors for each pivot that a label's pivots are chosen from, and the cosine that pivots have to each other at most.
+SAMPLED, APART = 8, 0.7
 #: Vectors of one block of a list, and of one that is described at once.
 BLOCK, DESCRIBED = 1024, 16_384
 
@@ -58,8 +59,9 @@ def _verify(least: float):
         v = table.column("v").combine_chunks().flatten().to_numpy().astype(float).reshape(-1, width)
         v = v / np.linalg.norm(v, axis=1, keepdims=True)
         near = table.column("near").combine_chunks()
-        marks = np.zeros((len(table), PIVOTS), np.float32)
-        marks[np.repeat(np.arange(len(table)), np.diff(near.offsets.to_numpy())), near.flatten().to_numpy()] = 1
+        held = near.flatten().to_numpy()
+        marks = np.zeros((len(table), int(held.max()) + 1), np.float32)
+        marks[np.repeat(np.arange(len(table)), np.diff(near.offsets.to_numpy())), held] = 1
         node, n = table.column("node").to_numpy(), table.column("n").to_numpy()
         x, y = rows
         shared = marks[x] @ marks[y].T
@@ -110,34 +112,37 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     return _linked(rows, classed, classes, least, scratch, id_col)
 
 
-def _pivots(classes: DataFrame) -> DataFrame:
-    """(part, pivots): the unit vectors of up to PIVOTS of SAMPLED classes of each part, packed as doubles."""
+def _pivots(classes: DataFrame, counts: DataFrame) -> DataFrame:
+    """(part, pivots): the unit vectors of a sample of each part's classes that lie apart, packed as doubles. ``counts``: (part, pivots), how many."""
     # the few smallest hashes of each part: first within 32 slices, then of those
     slices = Window.partitionBy("part", "slice").orderBy("h", "node")
     some = classes.select("part", "node", "v", F.xxhash64("node", F.lit(7)).alias("h")).withColumn("slice", F.pmod("h", F.lit(32)))
-    some = some.withColumn("r", F.row_number().over(slices)).where(F.col("r") <= SAMPLED)
-    some = some.withColumn("r", F.row_number().over(Window.partitionBy("part").orderBy("h", "node"))).where(F.col("r") <= SAMPLED)
+    some = some.withColumn("r", F.row_number().over(slices)).where(F.col("r") <= SAMPLED * PIVOTS[1] // 16)
+    some = some.withColumn("r", F.row_number().over(Window.partitionBy("part").orderBy("h", "node")))
+    some = some.join(counts, "part").where(F.col("r") <= SAMPLED * F.col("pivots"))
 
     def gather(table):
         table = table.sort_by("r")
+        most = table.column("pivots")[0].as_py()
         p = np.array([np.asarray(x.as_py(), float) for x in table.column("v")])
         p /= np.linalg.norm(p, axis=1, keepdims=True)
-        chosen: list[int] = []  # apart from each other, so that a large group of near copies isn't described by its own members
-        close = p @ p.T > APART
-        for i in range(len(p)):
-            if len(chosen) < PIVOTS and not close[i, chosen].any():
-                chosen.append(i)
-        p = p[chosen]
-        return pa.Table.from_arrays([table.column("part")[:1], pa.array([p.tobytes()], pa.binary())], names=["part", "pivots"])
+        chosen = np.empty((most, p.shape[1]))  # apart from each other, so that a large group of near copies isn't described by its own members
+        n = 0
+        for x in p:
+            if n < most and not (chosen[:n] @ x > APART).any():
+                chosen[n] = x
+                n += 1
+        return pa.Table.from_arrays([table.column("part")[:1], pa.array([chosen[:n].tobytes()], pa.binary())], names=["part", "pivots"])
 
-    return some.select("part", "r", "v").groupBy("part").applyInArrow(gather, f"part {classes.schema['part'].dataType.simpleString()}, pivots binary")
+    return some.select("part", "r", "v", "pivots").groupBy("part").applyInArrow(gather, f"part {classes.schema['part'].dataType.simpleString()}, pivots binary")
 
 
 def _linked(rows: DataFrame, classed: DataFrame, classes: DataFrame, least: float, scratch: Scratch, id_col: str) -> DataFrame:
     kind = classes.schema["part"].dataType.simpleString()
-    blocks = scratch.table(classes.groupBy("part").agg(F.ceil(F.count("*") / DESCRIBED).cast("int").alias("blocks")), "blocks")
-    dealt = salted_lookup(classes, blocks, "part", ["node"], "inner").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    pivots = _pivots(classes).join(blocks, "part").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    wanted = F.least(F.greatest(F.ceil(2 * F.sqrt(F.count("*"))), F.lit(PIVOTS[0])), F.lit(PIVOTS[1])).cast("int")
+    blocks = scratch.table(classes.groupBy("part").agg(F.ceil(F.count("*") / DESCRIBED).cast("int").alias("blocks"), wanted.alias("pivots")), "blocks")
+    dealt = salted_lookup(classes, blocks.drop("pivots"), "part", ["node"], "inner").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    pivots = _pivots(classes, blocks.drop("blocks")).join(blocks.drop("pivots"), "part").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     described = dealt.select("part", "block", "node", "n", "v").groupBy("part", "block").cogroup(pivots.select("part", "block", "pivots").groupBy("part", "block"))
     described = scratch.table(described.applyInArrow(_describe, f"part {kind}, node long, n long, v array<double>, near array<int>"), "described")
     posts = described.withColumn("pivot", F.explode("near"))

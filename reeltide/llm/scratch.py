@@ -36,7 +36,7 @@ class Scratch:
     def table(self, df: DataFrame, name: str = "t") -> DataFrame:
         """Write ``df`` and return it as read back, with its lineage cut."""
         path = self.folder(name)
-        df.write.parquet(path)
+        df.write.option("compression", "zstd").parquet(path)
         self._tables[path] = self.spark.read.schema(df.schema).parquet(path)
         return self._tables[path]
 

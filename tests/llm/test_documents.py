@@ -236,6 +236,23 @@ def test_sharding_keeps_groups_that_fit_whole(spark):
     assert len(size) == 8 and max(size.values()) - min(size.values()) < 0.01 * sum(size.values()) / 8
 
 
+def test_sharding_is_greedy_by_the_dot_product(spark):
+    """Few large groups go, largest first, where their size and the room left agree most, so that no shard ends far above the others."""
+    rows = [(i, f"t{i} " + "word " * (40 + 7 * i)) for i in range(64)]
+    placed = bin_packing.shard(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    size = {r.doc_id: r.size for r in placed}
+    used = [0] * 8
+    for r in placed:
+        used[r.shard] += r.size
+    assert all(size[i] == len(t.encode()) + 1 for i, t in rows) and max(used) - min(used) <= max(size.values())
+    alike = spark.createDataFrame(rows + [(1000 + i, rows[i % 4][1]) for i in range(40)], "doc_id long, text string")
+    shards = defaultdict(set)
+    text = dict(rows + [(1000 + i, rows[i % 4][1]) for i in range(40)])
+    for r in bin_packing.shard(alike).collect():
+        shards[text[r.doc_id]].add(r.shard)
+    assert sum(len(s) > 1 for s in shards.values()) <= 4
+
+
 def test_toxicity_held_out(spark, tmp_path, monkeypatch):
     import random
 
@@ -336,6 +353,42 @@ def test_toxicity_without_labels(spark):
     assert r.predicted == 0 and r.score < 0.01
 
 
+def test_tokenizers_of_other_settings(tmp_path):
+    """A file that says otherwise of its texts is taken at its word."""
+    import json
+
+    said = json.loads(open(PATH, encoding="utf-8").read())
+    assert packing.WordTokenizer(PATH).by_words
+    said["normalizer"]["normalizers"].pop()  # no lower case
+    other = tmp_path / "other.json"
+    other.write_text(json.dumps(said), encoding="utf-8")
+    texts = ["Some Words, and MORE", "", "it's  9"]
+    tokens = packing.WordTokenizer(str(other))
+    assert not tokens.by_words and [c.tolist() for c in tokens.encode(texts)] == [Tokenizer.from_file(str(other)).encode(x, add_special_tokens=False).ids for x in texts]
+
+
+def test_order_along_the_curve():
+    """Each step of the curve goes to a neighbouring cell, in any number of dimensions, and every cell is met once."""
+    for dims, bits in ((2, 4), (3, 3), (4, 2)):
+        cells = np.array(np.meshgrid(*[np.arange(1 << bits)] * dims, indexing="ij")).reshape(dims, -1).T
+        keys = packing.hilbert_keys(cells, bits)
+        assert sorted(keys.tolist()) == list(range(len(cells)))
+        assert (np.abs(np.diff(cells[np.argsort(keys)], axis=0)).sum(1) == 1).all()
+
+
+def test_packing_lays_documents_in_order(documents):
+    """Sequences hold the documents along the curve, as a plain sort by place lays them."""
+    pieces = packing.pack(documents, PATH).collect()
+    whole = {r.doc_id: b"".join(x.ids for x in sorted((x for x in pieces if x.doc_id == r.doc_id), key=lambda x: x.start)) for r in pieces}
+    places = {}
+    for i, ids in whole.items():
+        flat = np.frombuffer(ids, "<u4").astype(np.int64)
+        places[i] = int(packing.curve_places(flat, np.zeros(len(flat), np.int64), 1, 0)[0])
+    order = [r.doc_id for r in sorted(pieces, key=lambda r: (r.sequence_id, r.offset))]
+    order = list(dict.fromkeys(order))
+    assert [places[i] for i in order] == sorted(places.values())
+
+
 def test_empty_tables(spark, documents):
     none = documents.limit(0)
     assert ngram_join.ngram_components(none).isEmpty()
