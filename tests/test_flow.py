@@ -7,7 +7,7 @@ from reeltide import cli
 from reeltide.plans.config import Config
 from reeltide.plans.manifest import Manifest, latest
 from reeltide.plans.pipeline import Ended, Stages
-from reeltide.sources import tools
+from reeltide.sources import parsers, tools
 from reeltide.streaming import signals
 
 
@@ -124,5 +124,11 @@ def test_streams_agree_with_batch(spark, small, tmp_path):
     got = {(r.window_start, r.event_type): r.n for r in counted.collect()}
     assert got and all(late[k] == n for k, n in got.items())
     paired = run(signals.paired_silences(signals.read_events(spark, str(tmp_path / "in"))), "paired")
-    assert paired.count() > 0 and paired.where("end_us < start_us").isEmpty()
+    marks = events.where("event_type in ('click', 'purchase')").select(F.col("user_id").alias("video_id"), F.unix_micros(t).alias("us"), (F.col("event_type") == "click").alias("is_start"))
+    batch = parsers.pair_silences(marks.select("video_id", F.struct("us", "is_start").alias("ord"), "is_start", F.col("us").alias("at_sec")))
+    over = events.agg(F.unix_micros(F.max(t))).first()[0] - 600_000_000
+    every = {(r.video_id, r.start_sec, r.end_sec) for r in batch.collect()}
+    want = {p for p in every if p[2] < over and p[2] - p[1] < 1000 * signals.WAITS_MS}
+    got = {(r.user_id, r.start_us, r.end_us) for r in paired.collect()}
+    assert want and want <= got <= every and len(got) == paired.count()
     spark.conf.set("spark.sql.shuffle.partitions", "4")
