@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reeltide.llm import bin_packing, bit_sliced, kneser_ney, mixing, ngram_join, packing, pivot_index, span_dedup, tag_paths, warc
+from reeltide.llm import bin_packing, bit_sliced, kneser_ney, mixing, ngram_join, packing, pivot_index, span_dedup, spelling, tag_paths, warc
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -61,7 +61,11 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_components(_table(spark, sf_dir, "documents"), words=4, num=85)
 
 
-QUERIES = {f.__name__: f for f in (op1_warc, op2_bit_sliced_topk, op3_curve_packing, op4_bin_packing, op5_pivot_index, op6_span_dedup, op7_tag_paths, op8_source_mixing, op9_kneser_ney, op10_ngram_join)}
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_warc, op2_bit_sliced_topk, op3_curve_packing, op4_bin_packing, op5_pivot_index, op6_span_dedup, op7_tag_paths, op8_source_mixing, op9_kneser_ney, op10_ngram_join, op13_spelling_variants)}
 # Where SQL can express an operator; the others are tested against plain versions.
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
@@ -70,6 +74,10 @@ reach AS (SELECT id AS a, id AS b FROM nodes UNION SELECT r.a, l.v FROM reach r
 parts AS (SELECT a AS id, min(b) AS component_id FROM reach GROUP BY a)
 """
 
+#: The letters beyond ASCII, and a byte for each, as edit distances are counted in bytes here.
+_WIDE = "".join(map(chr, range(0xC0, 0x100)))
+_BYTES = "".join(c for c in map(chr, range(33, 127)) if not c.islower() and c != "'")[: len(_WIDE)]
+
 ORACLE_SQL: dict[str, str] = {
     "op1_warc": f"""
 WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
@@ -117,4 +125,16 @@ links AS (SELECT u, v FROM both_ JOIN n a ON a.doc_id = u JOIN n b ON b.doc_id =
     + _LINKED
     + """
 SELECT p.id AS doc_id, coalesce(n.n, 0) AS n_shingles, p.component_id FROM parts p LEFT JOIN n ON n.doc_id = p.id""",
+    "op13_spelling_variants": rf"""
+WITH RECURSIVE crcs AS (SELECT list_transform(range(0, 256), lambda i: list_reduce(list_prepend(CAST(i AS BIGINT), range(0, 8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+runs AS (SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{{C0}}-\x{{FF}}]{{7,}}')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS r FROM documents),
+d AS (SELECT r, hex(coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || r) AS b, count(*) AS n FROM runs GROUP BY ALL),
+h AS (SELECT r, n, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, 1 + length(b) // 2), lambda i: CAST(CAST('0x' || substring(b, CAST(2 * i - 1 AS INT), 2) AS INT) AS BIGINT))), lambda c, x: xor(c >> 8, t[CAST(xor(c & 255, x) + 1 AS INT)])), 4294967295) AS h FROM d, crcs),
+w AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (SELECT n, CASE WHEN h % 31 = 0 THEN substring(r, 1, h % length(r)) || substring(r, h % length(r) + 2) ELSE r END AS word FROM h) q WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+v AS (SELECT word, n, word AS v FROM w UNION SELECT word, n, substring(word, 1, i - 1) || substring(word, i + 1) FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM w) q),
+near AS (SELECT DISTINCT a.word, a.n, b.word AS near, b.n AS near_n FROM v a JOIN v b ON a.v = b.v AND a.word <> b.word WHERE levenshtein(translate(a.word, '{_WIDE}', '{_BYTES}'), translate(b.word, '{_WIDE}', '{_BYTES}')) = 1),
+best AS (SELECT *, row_number() OVER (PARTITION BY word ORDER BY near_n DESC, near) AS r, count(*) OVER (PARTITION BY word) AS n_near FROM near),
+f AS (SELECT w.word, w.n, coalesce(b.n_near, 0) AS n_near, CASE WHEN b.near_n >= 10 * w.n THEN b.near END AS form, CASE WHEN b.near_n >= 10 * w.n THEN b.near_n END AS form_n FROM w LEFT JOIN best b ON b.word = w.word AND b.r = 1),
+up AS (SELECT word, word AS at FROM f UNION ALL SELECT up.word, f.form FROM up JOIN f ON f.word = up.at WHERE f.form IS NOT NULL)
+SELECT f.word, f.n, f.n_near, f.form, f.form_n, up.at AS root FROM f JOIN up ON up.word = f.word JOIN f AS last ON last.word = up.at WHERE last.form IS NULL""",
 }
