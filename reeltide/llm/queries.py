@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reeltide.llm import bin_packing, bit_sliced, kneser_ney, mixing, ngram_join, packing, pivot_index, span_dedup, spelling, tag_paths, warc
+from reeltide.llm import bin_packing, bit_sliced, collocations, kneser_ney, mixing, ngram_join, packing, pivot_index, span_dedup, spelling, tag_paths, warc
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -61,11 +61,15 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_components(_table(spark, sf_dir, "documents"), words=4, num=85)
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_variants(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_warc, op2_bit_sliced_topk, op3_curve_packing, op4_bin_packing, op5_pivot_index, op6_span_dedup, op7_tag_paths, op8_source_mixing, op9_kneser_ney, op10_ngram_join, op13_spelling_variants)}
+QUERIES = {f.__name__: f for f in (op1_warc, op2_bit_sliced_topk, op3_curve_packing, op4_bin_packing, op5_pivot_index, op6_span_dedup, op7_tag_paths, op8_source_mixing, op9_kneser_ney, op10_ngram_join, op11_collocations, op13_spelling_variants)}
 # Where SQL can express an operator; the others are tested against plain versions.
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
@@ -125,6 +129,21 @@ links AS (SELECT u, v FROM both_ JOIN n a ON a.doc_id = u JOIN n b ON b.doc_id =
     + _LINKED
     + """
 SELECT p.id AS doc_id, coalesce(n.n, 0) AS n_shingles, p.component_id FROM parts p LEFT JOIN n ON n.doc_id = p.id""",
+    "op11_collocations": r"""
+WITH t AS (SELECT row_number() OVER () AS d, coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+p AS (SELECT lang, regexp_extract_all(unnest(regexp_extract_all(text, '[^.,;:!?\x0A-\x0D]+')), '[^\x20\x09]+') AS w FROM t),
+g AS (SELECT lang, array_to_string(w[i : i + k - 1], ' ') AS phrase, k FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM p, (SELECT unnest([1, 2, 3, 4]) AS k) q) q),
+f AS MATERIALIZED (SELECT lang, phrase, k, count(*) AS f FROM g GROUP BY lang, phrase, k HAVING k = 1 OR count(*) >= 30),
+n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS MATERIALIZED (SELECT lang, phrase, string_split(phrase, ' ') AS w, k, f FROM f WHERE k > 1),
+x AS MATERIALIZED (SELECT lang, phrase, f AS a, cut, array_to_string(w[1 : cut], ' ') AS first_, array_to_string(w[cut + 1 : k], ' ') AS rest FROM (SELECT *, unnest(range(1, k)) AS cut FROM c) q),
+s AS (SELECT x.*, l.f AS l, r.f AS r, (2000000 * CAST(x.a AS HUGEINT)) // (CAST(l.f AS HUGEINT) + r.f) AS score FROM x JOIN f l ON l.lang = x.lang AND l.phrase = x.first_ JOIN f r ON r.lang = x.lang AND r.phrase = x.rest),
+b AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) AS q FROM s),
+inner_ AS (SELECT lang, array_to_string(w[i : i + m - 1], ' ') AS phrase, f FROM (SELECT lang, w, k, f, m, unnest(range(1, k - m + 2)) AS i FROM c, (SELECT unnest([2, 3]) AS m) q WHERE m < k) q),
+longer AS (SELECT lang, phrase, max(f) AS f FROM inner_ GROUP BY lang, phrase),
+kept AS (SELECT b.* FROM b LEFT JOIN longer x ON x.lang = b.lang AND x.phrase = b.phrase WHERE b.q = 1 AND (x.f IS NULL OR 100 * CAST(x.f AS HUGEINT) < 80 * CAST(b.a AS HUGEINT))),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT r.lang, r.rank, r.phrase, r.a, r.l, r.r, n.n, CAST(r.score AS BIGINT) AS score FROM ranked r JOIN n ON n.lang = r.lang WHERE r.rank <= 2000""",
     "op13_spelling_variants": rf"""
 WITH RECURSIVE crcs AS (SELECT list_transform(range(0, 256), lambda i: list_reduce(list_prepend(CAST(i AS BIGINT), range(0, 8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
 runs AS (SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{{C0}}-\x{{FF}}]{{7,}}')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS r FROM documents),
