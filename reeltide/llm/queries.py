@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reeltide.llm import bin_packing, bit_sliced, collocations, kneser_ney, mixing, ngram_join, packing, pivot_index, span_dedup, spelling, tag_paths, warc
+from reeltide.llm import bin_packing, bit_sliced, collocations, kneser_ney, mixing, ngram_join, packing, pii, pivot_index, span_dedup, spelling, tag_paths, warc
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -65,11 +65,15 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(_table(spark, sf_dir, "documents"))
 
 
+def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.personal_data(_table(spark, sf_dir, "documents")))
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_variants(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_warc, op2_bit_sliced_topk, op3_curve_packing, op4_bin_packing, op5_pivot_index, op6_span_dedup, op7_tag_paths, op8_source_mixing, op9_kneser_ney, op10_ngram_join, op11_collocations, op13_spelling_variants)}
+QUERIES = {f.__name__: f for f in (op1_warc, op2_bit_sliced_topk, op3_curve_packing, op4_bin_packing, op5_pivot_index, op6_span_dedup, op7_tag_paths, op8_source_mixing, op9_kneser_ney, op10_ngram_join, op11_collocations, op12_pii, op13_spelling_variants)}
 # Where SQL can express an operator; the others are tested against plain versions.
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
