@@ -22,16 +22,18 @@ def validate(spark: SparkSession, path: str) -> tuple[int, int]:
     return row[0], row[1]
 
 
-def process(spark: SparkSession, source: str, out: str, config: Config, resume: bool = False, first: str | None = None, last: str | None = None, commands: tools.Tools | None = None, speech: adapters.SpeechAdapter | None = None, ocr: adapters.OcrAdapter | None = None, model: adapters.LanguageModel | None = None, pattern: str = "*.mp4") -> None:
+def process(spark: SparkSession, source: str, out: str, config: Config, resume: bool = False, first: str | None = None, last: str | None = None, commands: tools.Tools | None = None, speech: adapters.SpeechAdapter | None = None, ocr: adapters.OcrAdapter | None = None, captions: adapters.CaptionAdapter | None = None, model: adapters.LanguageModel | None = None, pattern: str = "*.mp4") -> None:
     """All media of a folder (or, if it holds them, of its tables) to chunks, Markdown and index below ``out``."""
     from reeltide.operators import assemble, frames, images
     from reeltide.plans import catalogue, ingest, pipeline
 
     annotate = (lambda chunks: adapters.annotate_with(chunks, model)) if model else None
+    split = (lambda coarse: adapters.semantic_with(coarse, model)) if model and config.semantic.by_model else None
+    commands = commands or tools.Tools.of(config.frames.scene_change_threshold, config.silence.noise_db, config.silence.min_duration_sec)
     if sinks.exists(spark, f"{source}/conversations.parquet"):
         given = catalogue.Facts(spark, source)
         media = given.media
-        annotated, seen = pipeline.build(media, given.transcript, given.silences, given.scenes, config=config, folder=out, resume=resume, annotate=annotate, first=first, last=last)
+        annotated, seen = pipeline.build(media, given.transcript, given.silences, given.scenes, config=config, folder=out, resume=resume, annotate=annotate, split=split, first=first, last=last)
         sources = media.select("video_id", F.concat(F.lit("media/"), F.col("video_id").cast("string")).alias("source_path"), F.lit(None).cast("string").alias("source_hash"), F.lit(True).alias("has_audio"))
     else:
         facts = ingest.facts(spark, source, out, speech, commands, pattern)
@@ -39,15 +41,16 @@ def process(spark: SparkSession, source: str, out: str, config: Config, resume:
 
         def enrich(shots: DataFrame, chunks: DataFrame) -> DataFrame:
             """Pictures of media that have any, near-duplicates dropped, with their texts."""
-            kept = sinks.Kept(spark, f"{out}/facts")
+            kept = sinks.Kept(spark, f"{out}/pictures")
             taken = kept.table(ingest.take_frames(shots.drop("path"), media.where("has_video"), out, commands), "frames").where("frame_error is null").drop("frame_error")
             taken = taken.join(images.file_hashes(spark, f"{out}/images"), "path", "left")
             unique = frames.dedupe_frames(taken, "video_id", "frame_idx", "hash", config.frames.dhash_distance_threshold)
             taken = kept.table(taken.join(unique, ["video_id", "frame_idx"]).drop("hash"), "unique")
-            chosen = frames.caption_frames(taken, chunks, config.vision.captions_per_chunk)
-            return kept.table(ingest.read_pictures(taken, ocr, adapters.StubCaption(), chosen, config.vision.languages), "read")
+            choose = frames.caption_evenly if config.vision.caption_choice == "even" else frames.caption_frames
+            chosen = choose(taken, chunks, config.vision.captions_per_chunk) if captions else None
+            return kept.table(ingest.read_pictures(taken, ocr, captions, chosen, config.vision.languages), "read")
 
-        annotated, seen = pipeline.build(media, facts.transcript, facts.silences, facts.scenes, config=config, folder=out, resume=resume, enrich=enrich, annotate=annotate, first=first, last=last)
+        annotated, seen = pipeline.build(media, facts.transcript, facts.silences, facts.scenes, config=config, folder=out, resume=resume, enrich=enrich, annotate=annotate, split=split, first=first, last=last)
         sources = media.select("video_id", F.col("path").alias("source_path"), "source_hash", "has_audio")
         facts.errors.write.mode("overwrite").json(f"{out}/errors.jsonl")
     sinks.write_chunks(assemble.build_chunks(annotated, seen, sources, config.speech.adapter, config.vision.caption_adapter), out)
@@ -82,10 +85,10 @@ def main(argv: list[str] | None = None) -> int:
         from reeltide.plans.pipeline import Ended
 
         config = Config.load(args.config)
-        speech = adapters.CommandSpeech(*config.speech.command) if config.speech.command else None
-        ocr = adapters.TesseractOcr() if adapters.tool_available("tesseract") else None
+        speech = adapters.speech_of(config.speech.command, config.speech.model, config.speech.language)
+        ocr, captions = adapters.ocr_of(config.vision.ocr_adapter), adapters.captions_of(config.vision.caption_adapter)
         try:
-            process(spark, args.source, args.out, config, args.resume and not args.force, args.first, args.last, speech=speech, ocr=ocr, model=adapters.model_from_environment(), pattern=args.pattern)
+            process(spark, args.source, args.out, config, args.resume and not args.force, args.first, args.last, speech=speech, ocr=ocr, captions=captions, model=adapters.model_from_environment(), pattern=args.pattern)
         except Ended as e:
             print(f"ended before stage {e}")
     elif args.command == "validate":

@@ -23,6 +23,8 @@ class Semantic:
     target_max_sec: float = 90.0
     hard_min_sec: float = 15.0
     hard_max_sec: float = 120.0
+    #: Whether a language model, where there is one, cuts coarse segments.
+    by_model: bool = False
 
 
 @dataclass(frozen=True)
@@ -33,12 +35,21 @@ class Frames:
     dhash_distance_threshold: int = 10
 
 
+@dataclass(frozen=True)
+class Silence:
+    noise_db: float = -35.0
+    min_duration_sec: float = 0.5
+
+
 @dataclass(frozen=True)
 class Vision:
     ocr_adapter: str = "tesseract"
     languages: tuple[str, ...] = ("jpn", "eng")
-    caption_adapter: str = "stub"
+    #: ``none``, ``stub`` (names the file) or ``http`` (a model behind REELTIDE_CAPTION_URL).
+    caption_adapter: str = "none"
     captions_per_chunk: int = 3
+    #: Which frames of a chunk get captions: ``priority`` (scene changes first) or ``even``.
+    caption_choice: str = "priority"
 
 
 @dataclass(frozen=True)
@@ -46,7 +57,7 @@ class Speech:
     adapter: str = "whisper_cpp"
     model: str = "large-v3"
     language: str = "auto"
-    #: The recogniser's command line, to which a file's path is added; it prints JSON.
+    #: The recogniser's command line, in which {model} and {language} stand for those settings and to which a file's path is added; it prints JSON.
     command: tuple[str, ...] = ()
 
 
@@ -55,6 +66,7 @@ class Config:
     coarse: Coarse = field(default_factory=Coarse)
     semantic: Semantic = field(default_factory=Semantic)
     frames: Frames = field(default_factory=Frames)
+    silence: Silence = field(default_factory=Silence)
     vision: Vision = field(default_factory=Vision)
     speech: Speech = field(default_factory=Speech)
 

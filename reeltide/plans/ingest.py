@@ -7,6 +7,7 @@ what is left.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -14,8 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reeltide.functions.text import trim_ws
+from reeltide.plans.facts import FactStore
 from reeltide.sources import adapters, parsers, tools
-from reeltide.sources.sinks import Kept
 
 
 @dataclass
@@ -29,41 +30,45 @@ class Facts:
     errors: DataFrame
 
 
-def facts_of(media: DataFrame, kept: Kept, speech: adapters.SpeechAdapter | None, commands: tools.Tools, work: str, errors: list[DataFrame]) -> Facts:
-    """The facts of probed media. Each tool runs once a file: what it says is written before it is used."""
-
-    def said(rows: DataFrame, step: str, name: str) -> DataFrame:
-        rows = kept.table(rows, step)
-        errors.append(rows.where(F.col(f"{name}_error").isNotNull()).select("video_id", F.lit(step).alias("step"), F.col(f"{name}_error").alias("error")))
-        return rows
+def facts(spark: SparkSession, folder: str, work: str, speech: adapters.SpeechAdapter | None = None, commands: tools.Tools | None = None, pattern: str = "*.mp4") -> Facts:
+    """The facts of all files of ``folder``; ``work`` takes what the tools write, and what they said of each content.
 
-    spoken, shown = media.where("has_audio").select("video_id", "path"), media.where("has_video").select("video_id", "path")
-    wav = spoken.withColumn("wav_path", F.concat(F.lit(f"{work}/audio/"), "video_id", F.lit(".wav")))
-    wav = said(tools.run_tool(wav, commands.audio, "done", out_col="wav_path"), "audio", "done").where("done is not null").select("video_id", "wav_path")
-    none = F.lit(None).cast("string")
-    heard = said(adapters.transcribe(wav, speech), "asr", "asr_json") if speech else wav.withColumn("asr_json", none)
-    transcript = parsers.speech_segments(heard.select("video_id", "asr_json"), "asr_json").withColumnRenamed("pos", "seg_idx")
-    quiet = said(tools.run_tool(spoken, commands.silence, "log", from_log=True), "silence", "log")
-    lines = quiet.select("video_id", F.posexplode(F.split("log", "\n")).alias("ord", "line"))
+    Tools run only for contents that ``work`` doesn't know yet from the same command (see FactStore).
+    """
+    commands = commands or tools.Tools()
+    store = FactStore(spark, f"{work}/facts")
+    errors: list[DataFrame] = []
+
+    def said(rows: DataFrame, step: str, command: object, run: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        found = store.of(rows, step, command, run)
+        errors.append(found.where("error is not null").select("video_id", F.lit(step).alias("step"), "error"))
+        return found.drop("error")
+
+    def tool(command: tuple[str, ...], **how) -> Callable[[DataFrame], DataFrame]:
+        return lambda rows: tools.run_tool(rows, command, "output", **how)
+
+    files = store.hashed(tools.media_files(spark, folder, pattern), tools.with_source_hash)
+    errors.append(files.where("source_hash_error is not null").select("video_id", F.lit("hash").alias("step"), F.col("source_hash_error").alias("error")))
+    probed = said(files.drop("source_hash_error", "modified"), "probe", commands.probe, tool(commands.probe))
+    media = parsers.probe(probed, "output").drop("output")
+    spoken, shown = media.where("has_audio").select("video_id", "path", "source_hash"), media.where("has_video").select("video_id", "path", "source_hash")
+    wav_path = F.concat(F.lit(f"{work}/audio/"), F.regexp_replace("source_hash", "^.*:", ""), F.lit(".wav"))
+    wav = said(spoken.withColumn("wav_path", wav_path), "audio", commands.audio, tool(commands.audio, out_col="wav_path")).where("output is not null").select("video_id", "source_hash", "wav_path")
+    if speech:
+        heard = said(wav, "asr", speech, lambda rows: adapters.transcribe(rows, speech).withColumnsRenamed({"asr_json": "output", "asr_json_error": "output_error"}))
+    else:
+        heard = wav.withColumn("output", F.lit(None).cast("string"))
+    transcript = parsers.speech_segments(heard.select("video_id", "output"), "output").withColumnRenamed("pos", "seg_idx")
+    quiet = said(spoken, "silence", commands.silence, tool(commands.silence, from_log=True))
+    lines = quiet.select("video_id", F.posexplode(F.split("output", "\n")).alias("ord", "line"))
     start, end = parsers.silence_line(F.col("line"))
     marks = lines.select("video_id", "ord", start.alias("a"), end.alias("b")).where("a is not null or b is not null")
     silences = parsers.pair_silences(marks.select("video_id", "ord", F.col("a").isNotNull().alias("is_start"), F.coalesce("a", "b").alias("at_sec")))
-    cuts = said(tools.run_tool(shown, commands.scenes, "log", from_log=True), "scene", "log")
-    scenes = cuts.select("video_id", F.explode(parsers.scene_times(F.col("log"))).alias("at_sec"))
+    cuts = said(shown, "scene", commands.scenes, tool(commands.scenes, from_log=True))
+    scenes = cuts.select("video_id", F.explode(parsers.scene_times(F.col("output"))).alias("at_sec"))
     return Facts(media, transcript, silences, scenes, reduce(DataFrame.unionByName, errors))
 
 
-def facts(spark: SparkSession, folder: str, work: str, speech: adapters.SpeechAdapter | None = None, commands: tools.Tools | None = None, pattern: str = "*.mp4") -> Facts:
-    """The facts of all files of ``folder``; ``work`` takes what the tools write."""
-    commands = commands or tools.Tools()
-    kept = Kept(spark, f"{work}/facts")
-    files = tools.with_source_hash(tools.media_files(spark, folder, pattern))
-    files = kept.table(tools.run_tool(files, commands.probe, "probe_json"), "probe")
-    wrong = [files.where(F.col(f"{c}_error").isNotNull()).select("video_id", F.lit(step).alias("step"), F.col(f"{c}_error").alias("error")) for c, step in (("source_hash", "hash"), ("probe_json", "probe"))]
-    media = parsers.probe(files.drop("source_hash_error", "probe_json_error"), "probe_json").drop("probe_json")
-    return facts_of(media, kept, speech, commands, work, wrong)
-
-
 def take_frames(frames: DataFrame, media: DataFrame, work: str, commands: tools.Tools | None = None, quality: int = 85) -> DataFrame:
     """``frames`` (video_id, frame_idx, at_sec) with path, the picture taken at that time, and frame_error where none was."""
     commands = commands or tools.Tools()

@@ -6,10 +6,12 @@ says where it stands.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reeltide.sources.sinks import exists
+from reeltide.plans.commits import Batches
 
 #: The stages of the pipeline in order, and the states of a record.
 STAGES = ("probe", "audio", "asr", "silence", "scene", "frames", "coarse", "semantic", "normalize", "annotate")
@@ -33,15 +35,32 @@ def latest(records: DataFrame) -> DataFrame:
     return records.groupBy("video_id", "stage").agg(F.max_by(F.struct(*rest), "version").alias("r")).select("video_id", "stage", "r.*")
 
 
-def transition(records: DataFrame, stages: DataFrame, status: str, output_path: str | None = None) -> DataFrame:
-    """The next record, in ``status``, of each of ``stages`` (video_id, stage, input_hash); a run in progress has no output yet."""
+def _next(stages: DataFrame, status: str, output_path: str | None, *more: Column) -> DataFrame:
     if status not in STATES:
         raise ValueError(f"no such state: {status}")
     done = status == "done"
+    at = F.current_timestamp() if done else F.lit(None).cast("timestamp")
+    return stages.select("video_id", "stage", "input_hash", F.lit(status).alias("status"), F.lit(output_path if done else None).cast("string").alias("output_path"), at.alias("completed_at"), *more)
+
+
+def rows_hash(*tables: DataFrame) -> DataFrame:
+    """(video_id, source_hash): a digest of the rows that each medium has in the tables, whatever their order.
+
+    Each table gives its number of rows, and the sum and the exclusive or of two hashes of them, so that a medium's rows are never gathered.
+    """
+    parts = []
+    for k, t in enumerate(tables):
+        columns = sorted(t.columns)
+        row = lambda seed, c=columns: F.xxhash64(F.lit(seed), *[F.struct(F.col(x).isNull(), F.col(x)) for x in c])
+        parts.append(t.groupBy(F.col("video_id").cast("string").alias("video_id")).agg(F.count("*").alias("n"), F.sum(row(1).cast("decimal(38,0)")).alias("s"), F.bit_xor(row(2)).alias("x")).withColumn("k", F.lit(k)))
+    whole = reduce(DataFrame.unionByName, parts).groupBy("video_id").agg(F.array_sort(F.collect_list(F.struct("k", "n", "s", "x"))).alias("l"))
+    return whole.select("video_id", cache_key("l").alias("source_hash"))
+
+
+def transition(records: DataFrame, stages: DataFrame, status: str, output_path: str | None = None) -> DataFrame:
+    """The next record, in ``status``, of each of ``stages`` (video_id, stage, input_hash); a run in progress has no output yet."""
     before = records.groupBy("video_id", "stage").agg(F.max("version").alias("v"))
-    return stages.join(before, ["video_id", "stage"], "left").select(
-        "video_id", "stage", "input_hash", F.lit(status).alias("status"), F.lit(output_path if done else None).cast("string").alias("output_path"), (F.current_timestamp() if done else F.lit(None).cast("timestamp")).alias("completed_at"), (F.coalesce("v", F.lit(-1)) + 1).alias("version")
-    )
+    return _next(stages.join(before, ["video_id", "stage"], "left"), status, output_path, (F.coalesce("v", F.lit(-1)) + 1).alias("version"))
 
 
 def mark(records: DataFrame, stages: DataFrame, status: str, output_path: str | None = None) -> DataFrame:
@@ -62,15 +81,13 @@ def pending(wanted: DataFrame, records: DataFrame) -> DataFrame:
 
 
 class Manifest:
-    """The records of one output folder, below ``folder/manifest``."""
+    """The records of one output folder, below ``folder/manifest``: each batch of them is committed under a version of its own."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.path = spark, f"{folder}/manifest"
+        self.table = Batches(spark, f"{folder}/manifest", RECORD.removesuffix(", version bigint"))
 
     def records(self) -> DataFrame:
-        if not exists(self.spark, self.path):
-            return self.spark.createDataFrame([], RECORD)
-        return self.spark.read.schema(RECORD).parquet(self.path)
+        return self.table.read()
 
     def add(self, stages: DataFrame, status: str, output_path: str | None = None) -> None:
-        transition(self.records(), stages, status, output_path).write.mode("append").parquet(self.path)
+        self.table.append(_next(stages, status, output_path))

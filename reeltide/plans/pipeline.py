@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from reeltide.operators import assemble, frames, segment
 from reeltide.plans.config import Config
-from reeltide.plans.manifest import Manifest, finished, input_hash
+from reeltide.plans.manifest import Manifest, finished, input_hash, rows_hash
 
 
 class Ended(Exception):
@@ -74,7 +74,10 @@ def build(
     chunks' own words give; split: makes semantic chunks of coarse segments with their text, instead of equal pieces.
     """
     config = config or Config()
-    stages = Stages(media, config, folder, resume, first, last)
+    known = media
+    if folder and "source_hash" not in media.columns:  # what isn't read from files is known by its rows
+        known = media.select("video_id").join(rows_hash(media, transcript, silences, scenes, *([hashes] if hashes is not None else [])).withColumnRenamed("video_id", "_id"), F.col("video_id").cast("string") == F.col("_id"), "left").drop("_id")
+    stages = Stages(known, config, folder, resume, first, last)
     c, s, f = config.coarse, config.semantic, config.frames
     starts, ends = silences.select("video_id", F.col("start_sec").alias("at_sec")), silences.select("video_id", F.col("end_sec").alias("at_sec"))
     candidates = starts.unionByName(ends).unionByName(scenes.select("video_id", "at_sec"))

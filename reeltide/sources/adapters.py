@@ -6,6 +6,7 @@ a missing tool doesn't pass for media without content.
 
 from __future__ import annotations
 
+import base64
 import json
 import os
 import shutil
@@ -71,6 +72,20 @@ class StubCaption:
         return STUB_CAPTION + path.rsplit("/", 1)[-1]
 
 
+@dataclass(frozen=True)
+class HttpCaption:
+    """A model behind an HTTP endpoint that takes {model, image} (base64) as JSON and answers {text}."""
+
+    url: str
+    model: str
+    key: str = field(default="", repr=False)
+    timeout: float = MODEL_TIMEOUT
+
+    def caption(self, path: str) -> str:
+        with open(path, "rb") as f:
+            return _post(self.url, {"model": self.model, "image": base64.b64encode(f.read()).decode()}, self.key, self.timeout)
+
+
 class FixedModel:
     """Answers every prompt with the same JSON."""
 
@@ -91,10 +106,13 @@ class HttpModel:
     timeout: float = MODEL_TIMEOUT
 
     def complete_json(self, prompt: str) -> str:
-        body = json.dumps({"model": self.model, "prompt": prompt}).encode()
-        request = urllib.request.Request(self.url, body, {"content-type": "application/json", **({"authorization": f"Bearer {self.key}"} if self.key else {})})
-        with urllib.request.urlopen(request, timeout=self.timeout) as answer:
-            return json.load(answer)["text"]
+        return _post(self.url, {"model": self.model, "prompt": prompt}, self.key, self.timeout)
+
+
+def _post(url: str, body: dict[str, str], key: str, timeout: float) -> str:
+    request = urllib.request.Request(url, json.dumps(body).encode(), {"content-type": "application/json", **({"authorization": f"Bearer {key}"} if key else {})})
+    with urllib.request.urlopen(request, timeout=timeout) as answer:
+        return json.load(answer)["text"]
 
 
 def model_from_environment(environment: dict[str, str] | None = None) -> LanguageModel | None:
@@ -104,6 +122,25 @@ def model_from_environment(environment: dict[str, str] | None = None) -> Languag
     return HttpModel(url, env.get("REELTIDE_MODEL", "default"), env.get("REELTIDE_MODEL_KEY", "")) if url else None
 
 
+def captions_of(kind: str, environment: dict[str, str] | None = None) -> CaptionAdapter | None:
+    """What makes captions: nothing, the stub, or the model that REELTIDE_CAPTION_URL names (nothing without an address)."""
+    env = os.environ if environment is None else environment
+    if kind == "stub":
+        return StubCaption()
+    url = env.get("REELTIDE_CAPTION_URL") if kind == "http" else None
+    return HttpCaption(url, env.get("REELTIDE_CAPTION_MODEL", "default"), env.get("REELTIDE_MODEL_KEY", "")) if url else None
+
+
+def speech_of(command: tuple[str, ...], model: str, language: str) -> SpeechAdapter | None:
+    """The recogniser with that command line, whose {model} and {language} are filled in; None without one."""
+    return CommandSpeech(*[c.replace("{model}", model).replace("{language}", language) for c in command]) if command else None
+
+
+def ocr_of(kind: str) -> OcrAdapter | None:
+    """The named reader of pictures, where it is installed."""
+    return TesseractOcr(kind) if kind == "tesseract" and tool_available(kind) else None
+
+
 def with_retries(call: Callable[[], str], attempts: int = 3, first_wait: float = 0.1, most_wait: float = 10.0, sleep: Callable[[float], None] = time.sleep) -> str:
     """Calls until one attempt succeeds and its answer is JSON; waits double in between."""
     for i in range(attempts):

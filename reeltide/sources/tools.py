@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 import subprocess
 from dataclasses import dataclass
 
@@ -14,8 +15,8 @@ from reeltide.sources.adapters import TOOL_TIMEOUT, map_text
 
 # The commands; {path} is the row's file, {out} the file to be written.
 PROBE = ("ffprobe", "-v", "error", "-print_format", "json", "-show_format", "-show_streams", "{path}")
-SILENCE = ("ffmpeg", "-i", "{path}", "-af", "silencedetect=noise=-35dB:d=0.5", "-f", "null", "-")
-SCENES = ("ffmpeg", "-i", "{path}", "-vf", "select='gt(scene,0.4)',showinfo", "-f", "null", "-")
+SILENCE = ("ffmpeg", "-i", "{path}", "-af", "silencedetect=noise=%gdB:d=%g", "-f", "null", "-")
+SCENES = ("ffmpeg", "-i", "{path}", "-vf", "select='gt(scene,%g)',showinfo", "-f", "null", "-")
 AUDIO = ("ffmpeg", "-y", "-i", "{path}", "-vn", "-ac", "1", "-ar", "16000", "{out}")
 FRAME = ("ffmpeg", "-y", "-ss", "{at_sec}", "-i", "{path}", "-frames:v", "1", "-q:v", "{quality}", "{out}")
 
@@ -25,17 +26,31 @@ class Tools:
     """The commands that media files are worked on with."""
 
     probe: tuple[str, ...] = PROBE
-    silence: tuple[str, ...] = SILENCE
-    scenes: tuple[str, ...] = SCENES
+    silence: tuple[str, ...] = tuple(p % (-35.0, 0.5) if "%g" in p else p for p in SILENCE)
+    scenes: tuple[str, ...] = tuple(p % 0.4 if "%g" in p else p for p in SCENES)
     audio: tuple[str, ...] = AUDIO
     frame: tuple[str, ...] = FRAME
 
+    @classmethod
+    def of(cls, scene_threshold: float, noise_db: float, least_silence: float) -> Tools:
+        """The usual commands with these settings."""
+        return cls(silence=tuple(p % (noise_db, least_silence) if "%g" in p else p for p in SILENCE), scenes=tuple(p % scene_threshold if "%g" in p else p for p in SCENES))
+
 
 def media_files(spark: SparkSession, folder: str, pattern: str = "*.mp4") -> DataFrame:
-    """(video_id, path, bytes) of the files of a folder; their contents aren't read."""
+    """(video_id, path, bytes, modified) of the files of a folder; their contents aren't read."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(folder)
     path = F.url_decode(F.regexp_replace(F.regexp_replace("path", "^file:/*", "/"), r"\+", "%2B"))
-    return files.select(path.alias("path"), F.col("length").alias("bytes")).select(video_id(F.col("path")).alias("video_id"), "path", "bytes")
+    return with_media_ids(files.select(path.alias("path"), F.col("length").alias("bytes"), F.col("modificationTime").alias("modified")), folder)
+
+
+def with_media_ids(files: DataFrame, folder: str) -> DataFrame:
+    """Adds video_id: a file's stem where no other file has it, else the stem and a digest of the path below ``folder``."""
+    below = F.regexp_replace("path", "^" + re.escape(re.sub("^file:/*", "/", folder).rstrip("/")) + "/+", "")
+    named = files.withColumn("video_id", video_id(F.col("path")))
+    clashes = named.groupBy("video_id").agg(F.count("*").alias("_n")).where("_n > 1").select("video_id", F.lit(True).alias("_clash"))
+    own = F.concat("video_id", F.lit("~"), F.substring(F.sha2(below.cast("binary"), 256), 1, 12))
+    return named.join(clashes, "video_id", "left").select(F.when(F.col("_clash"), own).otherwise(F.col("video_id")).alias("video_id"), *files.columns)
 
 
 def with_source_hash(files: DataFrame) -> DataFrame:

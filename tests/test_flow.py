@@ -1,13 +1,16 @@
+import dataclasses
 import json
 
 import pytest
 from pyspark.sql import functions as F
 
 from reeltide import cli
+from reeltide.plans import ingest
 from reeltide.plans.config import Config
-from reeltide.plans.manifest import Manifest, latest
-from reeltide.plans.pipeline import Ended, Stages
-from reeltide.sources import parsers, tools
+from reeltide.plans.commits import Batches, put_if_absent
+from reeltide.plans.manifest import Manifest, latest, rows_hash
+from reeltide.plans.pipeline import Ended, Stages, build
+from reeltide.sources import adapters, parsers, tools
 from reeltide.streaming import signals
 
 
@@ -23,6 +26,44 @@ def test_process_validate(spark, small, tmp_path):
     assert runs() == 2
 
 
+def test_rows_hash_follows_rows_not_their_order(spark):
+    names = "video_id long, text string"
+    a = spark.createDataFrame([(1, "x"), (1, "y"), (2, None), (2, "z")], names)
+    of = lambda *t: {r.video_id: r.source_hash for r in rows_hash(*t).collect()}
+    first = of(a, a.limit(0))
+    assert of(spark.createDataFrame([(2, "z"), (1, "y"), (2, None), (1, "x")], names), a.limit(0)) == first
+    changed = of(spark.createDataFrame([(1, "x"), (1, "y"), (2, ""), (2, "z")], names), a.limit(0))
+    assert changed["1"] == first["1"] and changed["2"] != first["2"]
+    twice = of(spark.createDataFrame([(1, "x"), (1, "x"), (1, "y"), (2, None), (2, "z")], names), a.limit(0))
+    assert twice["1"] != first["1"] and of(a.limit(0), a)["1"] != first["1"]
+
+
+def test_changed_rows_are_made_anew(spark, tmp_path):
+    media = spark.createDataFrame([(1, 100.0), (2, 100.0)], "video_id long, duration_sec double")
+    none = spark.createDataFrame([], "video_id long, start_sec double, end_sec double")
+    scenes = spark.createDataFrame([], "video_id long, at_sec double")
+    said = lambda second: spark.createDataFrame([(1, 0, 0.0, 50.0, "first words"), (2, 0, 0.0, 50.0, second)], "video_id long, seg_idx int, start_sec double, end_sec double, text string")
+    run = lambda second: {r.video_id: r.transcript_text for r in build(media, said(second), none, scenes, folder=str(tmp_path), resume=True)[0].where("start_sec = 0").collect()}
+    assert run("same") == {1: "first words", 2: "same"}
+    assert run("other") == {1: "first words", 2: "other"}
+    assert len(list((tmp_path / "stages/semantic").iterdir())) == 2
+
+
+def test_commits_of_several_writers(spark, tmp_path):
+    """Of writers that begin at the same version each gets its own, and what isn't committed isn't read."""
+    path = f"file://{tmp_path}/commits/1.json"
+    assert put_if_absent(spark, path, "one") and not put_if_absent(spark, path, "two")
+    assert (tmp_path / "commits/1.json").read_text() == "one" and [x.name for x in (tmp_path / "commits").iterdir() if x.suffix == ".draft"] == []
+    writers = [Batches(spark, str(tmp_path / "t"), "v int") for _ in range(3)]
+    rows = spark.range(1).select(F.lit(7).alias("v"))
+    for w in writers:
+        w._newest = lambda: 0  # as if all had looked before any committed
+    assert [w.append(rows) for w in writers] == [1, 2, 3]
+    rows.write.parquet(str(tmp_path / "t/rows/batch=bbroken"))
+    assert sorted(r.version for r in Batches(spark, str(tmp_path / "t"), "v int").read().collect()) == [1, 2, 3]
+    assert Batches(spark, str(tmp_path / "none"), "v int").read().isEmpty()
+
+
 class Counted:
     """Stages over a tiny table, with a record of which were made."""
 
@@ -105,6 +146,92 @@ def test_process_media_files(spark, tmp_path):
     assert annotated.count() == len(lines) and "title" in annotated.columns
 
 
+class Calls:
+    """A folder of files that stand for media, and tools that note each call in a log."""
+
+    def __init__(self, folder):
+        self.media, self.log = folder / "media", folder / "log"
+        noted = lambda step, then: ("sh", "-c", f"echo {step} $(cat '{{path}}') >> {self.log}; {then}")
+        streams = '{"format":{"duration":"100.0"},"streams":[{"codec_type":"video"},{"codec_type":"audio"}]}'
+        self.commands = tools.Tools(probe=noted("probe", f"echo '{streams}'".replace("{", "{{").replace("}", "}}")), silence=noted("silence", "echo silence_start: 45.5 >&2; echo silence_end: 50.0 >&2"), scenes=noted("scene", "echo pts_time:20.5 >&2"), audio=noted("audio", "cp '{path}' '{out}'"), frame=("true",))
+
+    def put(self, name, text):
+        path = self.media / name
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_text(text)
+
+    def made(self):
+        lines = sorted(self.log.read_text().split("\n")[:-1]) if self.log.exists() else []
+        self.log.unlink(missing_ok=True)
+        return lines
+
+    def transcribe(self, path):
+        text = open(path).read()
+        with open(self.log, "a") as f:
+            f.write(f"asr {text}\n")
+        return '{"result":[{"start":1.0,"end":30.0,"text":"of %s"}]}' % text
+
+    def facts(self, spark, commands=None):
+        found = ingest.facts(spark, str(self.media), str(self.media.parent / "out"), Speech(self), commands or self.commands)
+        return {r.video_id: r.text for r in found.transcript.collect()}, found
+
+
+class Speech:
+    def __init__(self, calls):
+        self.transcribe = calls.transcribe
+
+
+def test_facts_are_kept_by_contents(spark, tmp_path):
+    calls = Calls(tmp_path)
+    calls.put("a/one.mp4", "first")
+    calls.put("b/two.mp4", "second")
+    steps = ("asr", "audio", "probe", "scene", "silence")
+    of = lambda *texts: sorted(f"{s} {t}" for s in steps for t in texts)
+    assert calls.facts(spark)[0] == {"one": "of first", "two": "of second"} and calls.made() == of("first", "second")
+    assert calls.facts(spark)[0] == {"one": "of first", "two": "of second"} and calls.made() == []  # nothing changed
+    calls.put("b/two.mp4", "third!")
+    assert calls.facts(spark)[0] == {"one": "of first", "two": "of third!"} and calls.made() == of("third!")  # only its own calls
+    (calls.media / "a/one.mp4").rename(calls.media / "a/moved.mp4")
+    calls.put("c/copy.mp4", "third!")
+    assert calls.facts(spark)[0] == {"moved": "of first", "two": "of third!", "copy": "of third!"} and calls.made() == []  # known contents elsewhere
+    other = dataclasses.replace(calls.commands, scenes=(*calls.commands.scenes, "again"))
+    found = calls.facts(spark, other)[1]
+    assert calls.made() == ["scene first", "scene third!"] and {r.at_sec for r in found.scenes.collect()} == {20.5}  # only the changed step
+    calls.put("d/bad.mp4", "bad")
+    broken = dataclasses.replace(calls.commands, silence=("sh", "-c", "grep -qv bad '{path}' && echo silence_start: 1 >&2"))
+    calls.facts(spark, broken)
+    calls.made()
+    errors = calls.facts(spark, broken)[1].errors.collect()
+    assert [(r.video_id, r.step) for r in errors] == [("bad", "silence")] and calls.made() == []  # what failed is tried again, without a note in the log
+    assert {r.video_id for r in calls.facts(spark)[1].silences.collect()} == {"moved", "two", "copy", "bad"} and calls.made() == ["silence bad"]
+
+
+def test_equal_names_are_different_media(spark, tmp_path):
+    calls = Calls(tmp_path)
+    for name, text in {"a/one.mp4": "first", "b/one.mp4": "second", "two.mp4": "third", "c/one.mp4": "first"}.items():
+        calls.put(name, text)
+    out = str(tmp_path / "out")
+    commands = dataclasses.replace(calls.commands, frame=("sh", "-c", "printf 'P5 1 1 255 x' > '{out}'"))
+    cli.process(spark, str(calls.media), out, Config(), commands=commands, speech=Speech(calls))
+    lines = [json.loads(r.value) for r in spark.read.text(f"{out}/chunks.jsonl").collect()]
+    assert len({x["chunk_id"] for x in lines}) == len(lines)
+    said = {x["source_path"].rsplit("/media/")[1]: (x["video_id"], x["transcript"]) for x in lines if x["start_sec"] == 0}
+    assert {k: t for k, (_, t) in said.items()} == {"a/one.mp4": "of first", "b/one.mp4": "of second", "c/one.mp4": "of first", "two.mp4": "of third"}
+    assert said["two.mp4"][0] == "two" and len({i for i, _ in said.values()}) == 4 and all(i.startswith("one~") for i, _ in said.values() if i != "two")
+    assert all(x["visual_caption"] in (None, "") for x in lines)  # no captions without what makes them
+    assert tools.with_media_ids(spark.createDataFrame([("/m/a/one.mp4",)], "path string"), "file:/m").first().video_id == "one"
+
+
+def test_settings_choose_tools_and_adapters():
+    t = tools.Tools.of(0.3, -40, 1)
+    assert "select='gt(scene,0.3)',showinfo" in t.scenes and "silencedetect=noise=-40dB:d=1" in t.silence
+    assert tools.Tools() == tools.Tools.of(0.4, -35.0, 0.5) and "silencedetect=noise=-35dB:d=0.5" in tools.Tools().silence
+    assert adapters.captions_of("none", {}) is None and adapters.captions_of("http", {}) is None and isinstance(adapters.captions_of("stub", {}), adapters.StubCaption)
+    assert adapters.captions_of("http", {"REELTIDE_CAPTION_URL": "http://x"}).url == "http://x"
+    assert adapters.speech_of((), "m", "ja") is None and adapters.speech_of(("r", "-m", "{model}", "-l{language}"), "m", "ja").command == ["r", "-m", "m", "-lja"]
+    assert adapters.ocr_of("none") is None
+
+
 def test_streams_agree_with_batch(spark, small, tmp_path):
     events = spark.read.parquet(f"{small}/events.parquet")
     spark.conf.set("spark.sql.shuffle.partitions", "2")

@@ -1,3 +1,5 @@
+import random
+
 from pyspark.sql import functions as F
 
 from reeltide.operators import assemble, frames, segment
@@ -196,8 +198,37 @@ def test_dedupe_over_several_ranges(spark, monkeypatch):
     hashes = rng.integers(0, 1 << 20, 400) * (1 << 40)
     df = spark.createDataFrame([(int(i % 7 > 1), i, int(h)) for i, h in enumerate(hashes)], "g long, seq long, h long")
     whole = sorted((r.g, r.seq) for r in frames.dedupe_frames(df, "g", "seq", "h", 5).collect())
-    monkeypatch.setattr(frames, "DEDUPE_ROWS", 40)
-    assert sorted((r.g, r.seq) for r in frames.dedupe_frames(df, "g", "seq", "h", 5).collect()) == whole and 10 < len(whole) < 300
+    assert sorted((r.g, r.seq) for r in frames.dedupe_frames(df, "g", "seq", "h", 5, fold_hashes=0).collect()) == whole and 10 < len(whole) < 300
+
+
+def test_dedupe_by_bands_is_the_fold(spark, monkeypatch):
+    """Chains, clusters, repeats, null groups and hashes, and buckets of several blocks."""
+    monkeypatch.setattr(frames, "BUCKET_ROWS", 16)
+    rng = random.Random(3)
+    flip = lambda h, n: h ^ sum(1 << b for b in rng.sample(range(64), n))
+    rows, h = [], rng.getrandbits(64)
+    for i in range(60):  # each near the one before it, seldom near the one before that
+        rows.append(("chain", i, h))
+        h = flip(h, 3)
+    centre = rng.getrandbits(64)
+    rows += [("cluster", i, flip(centre, rng.randint(0, 4))) for i in range(150)]
+    rows += [(None, i, flip(centre, rng.randint(0, 6))) for i in range(80)] + [(None, 80, None), ("chain", 60, None)]
+    rows += [("cluster", 150 + i, rows[60 + i][2]) for i in range(10)]
+    rng.shuffle(rows)
+    signed = [(g, o, None if x is None else x - (1 << 64) if x >> 63 else x) for g, o, x in rows]
+    kept, want = {}, []
+    for g, o, x in sorted(rows, key=lambda r: r[1]):
+        if x is None or all((x ^ y).bit_count() > 4 for y in kept.get(g, [])):
+            want.append((g, o))
+            if x is not None:
+                kept.setdefault(g, []).append(x)
+    df = spark.createDataFrame(signed, "g string, o int, h bigint")
+    key = lambda r: (r[0] or "", r[1])
+    for most in (0, 100, 1000):
+        assert sorted(map(tuple, frames.dedupe_frames(df, "g", "o", "h", 4, fold_hashes=most).collect()), key=key) == sorted(want, key=key), most
+    assert frames.dedupe_frames(df.limit(0), "g", "o", "h", fold_hashes=0).isEmpty()
+    far = spark.createDataFrame([("a", 0, 5), ("a", 1, 4)], "g string, o int, h bigint")
+    assert [r.o for r in frames.dedupe_frames(far, "g", "o", "h", 0, fold_hashes=0).orderBy("o").collect()] == [0, 1]
 
 
 def test_texts_meet_over_stretches_of_time(spark):
