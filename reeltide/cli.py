@@ -54,7 +54,7 @@ def process(spark: SparkSession, source: str, out: str, config: Config, resume:
         sources = media.select("video_id", F.col("path").alias("source_path"), "source_hash", "has_audio")
         facts.errors.write.mode("overwrite").json(f"{out}/errors.jsonl")
     sinks.write_chunks(assemble.build_chunks(annotated, seen, sources, config.speech.adapter, config.vision.caption_adapter), out)
-    sinks.write_annotated(annotated, out)
+    sinks.write_annotated(annotated.drop("annotation_error"), out)
     sinks.write_markdown(assemble.markdown(annotated), out)
     sinks.write_index(assemble.output_index(annotated, media), out)
 

@@ -7,9 +7,10 @@ meet spans by video and stretch of time, so that a long medium is joined in many
 from __future__ import annotations
 
 from bisect import bisect_right
+from collections.abc import Callable
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from reeltide.functions.text import trim_ws
@@ -156,8 +157,27 @@ def assign_ids(chunks: DataFrame) -> DataFrame:
     return rows.select("video_id", "idx", F.concat(F.col("video_id").cast("string"), F.lit("_chunk_"), F.format_string("%04d", "idx")).alias("chunk_id"), F.lit("").alias("parent_segment_id"), "start_sec", "end_sec", "transcript_text")
 
 
-def normalize(chunks: DataFrame, hard_min: float = 15.0, hard_max: float = 120.0) -> DataFrame:
-    return assign_ids(split_long(merge_short(chunks, hard_min), hard_max))
+def normalize(chunks: DataFrame, hard_min: float = 15.0, hard_max: float = 120.0, merge: Callable[[DataFrame, float], DataFrame] = merge_short) -> DataFrame:
+    return assign_ids(split_long(merge(chunks, hard_min), hard_max))
+
+
+def watched(segments: DataFrame, media: DataFrame) -> tuple[DataFrame, Callable[[], None]]:
+    """``segments`` and what to call once they are written: raises where they don't lead from 0 to each medium's duration without gap or overlap.
+
+    Each end but the last is the next begin, so that hashes of ends and begins, summed while the rows pass by, differ by those of
+    0 and the durations; no other pass over the rows is needed.
+    """
+    seen = Observation()
+    key = lambda at: F.xxhash64(F.col("video_id").cast("string"), at.cast("double")).cast("decimal(38,0)")
+    zero = F.lit(0).cast("decimal(38,0)")
+    rows = segments.observe(seen, (F.coalesce(F.sum(key(F.col("end_sec"))), zero) - F.coalesce(F.sum(key(F.col("start_sec"))), zero)).alias("sum"), F.count_if(F.col("end_sec") <= F.col("start_sec")).alias("empty"))
+
+    def check() -> None:
+        want = media.where("duration_sec > 0").agg(F.coalesce(F.sum(key(F.col("duration_sec"))), zero) - F.coalesce(F.sum(key(F.lit(0.0))), zero)).first()[0]
+        if seen.get["empty"] or seen.get["sum"] != want:
+            raise ValueError(f"segments leave gaps or overlap, or don't reach from 0 to the duration ({seen.get['empty']} are empty)")
+
+    return rows, check
 
 
 def check_segments(segments: DataFrame, media: DataFrame, tolerance: float = 0.01) -> DataFrame:

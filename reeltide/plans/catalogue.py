@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import json
 import re
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from reeltide.functions import text as X
-from reeltide.operators import assemble, frames, segment
+from reeltide.operators import assemble, chains, frames, segment
+from reeltide.plans.facts import FactStore
 from reeltide.plans.manifest import STAGES, cache_key, pending
 from reeltide.plans.oracles import ORACLE_SQL  # noqa: F401
 from reeltide.sources import adapters, parsers, sinks, timeline, tools
@@ -163,6 +165,13 @@ def coarse_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Facts(spark, sf_dir).coarse
 
 
+def coarse_segments_chained(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same segments by successors, for media of any length."""
+    facts = Facts(spark, sf_dir)
+    s = facts.silences.select("video_id", F.explode(F.array("start_sec", "end_sec")).alias("at_sec"))
+    return chains.coarse_segments(facts.media, s.union(facts.scenes))
+
+
 def _coarse_text(facts: Facts) -> DataFrame:
     return segment.overlap_text(facts.coarse, facts.transcript, ["video_id", "seg_index"], trimmed=False)
 
@@ -201,13 +210,18 @@ class HalvesModel:
 
 def model_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Coarse segments as a model cuts them: some at once, some when asked again, the others into equal pieces."""
-    return adapters.semantic_with(_coarse_text(Facts(spark, sf_dir)), HalvesModel(), at_once=1)
+    return adapters.semantic_with(_coarse_text(Facts(spark, sf_dir)), HalvesModel(), at_once=8)
 
 
 def merged_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return segment.merge_short(semantic_chunks(spark, sf_dir))
 
 
+def merged_chunks_chained(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same merged chunks by successors, for media of any length."""
+    return chains.merge_short(semantic_chunks(spark, sf_dir))
+
+
 def split_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Splitting is applied to coarse segments, as merged chunks are never long enough here."""
     rows = coarse_transcript(spark, sf_dir).select("video_id", F.col("seg_index").alias("ord"), "start_sec", "end_sec", "transcript_text", F.lit("coarse").alias("rationale"))
@@ -343,6 +357,23 @@ def stage_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
     return facts.media.select("video_id", key(F.col("dur_ms")).alias("cache_key"), (key(F.col("dur_ms")) != key(F.col("dur_ms") + 1)).alias("changes"))
 
 
+def stored_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs over a store of outputs: of two thirds of the pages, some of which fail, then of all pages, some of which changed.
+
+    The output, its length, comes from the run that first made it without failing.
+    """
+    store = FactStore(spark, f"{sinks.shared_folder(spark)}/outputs-{uuid.uuid4().hex}")
+    p = table(spark, sf_dir, "pages").select("page_id", F.coalesce("html", F.lit("")).alias("html"))
+    hashed = lambda html: p.select("page_id", html.alias("html"), X.source_hash(html.cast("binary")).alias("source_hash"))
+    fails = F.col("source_hash").endswith("0")
+    size = lambda rows, broken: rows.withColumns({"output": F.when(~broken, F.char_length("html").cast("string")), "output_error": F.when(broken, "broken")})
+    store.of(hashed(F.col("html")).where("page_id % 3 <> 0"), "size", ("count",), lambda rows: size(rows, fails))
+    now = hashed(F.when(F.col("page_id") % 5 == 0, F.concat("html", F.lit("x"))).otherwise(F.col("html")))
+    found = store.of(now, "size", ("count",), lambda rows: size(rows, F.lit(False)))
+    runs = store.said("size", ("count",)).select("source_hash", F.col("version").alias("run"))
+    return found.join(runs, "source_hash").select("page_id", "source_hash", "output", "error", "run")
+
+
 def estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents").select("doc_id", (F.col("n_chars") * 100000).alias("bytes"))
     return d.select("doc_id", *[c.alias(k) for k, c in X.estimate(F.col("bytes")).items()])
@@ -370,8 +401,8 @@ def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        fx_transcript, fx_signals, silence_intervals, silence_log_parse, scene_log_parse, timecode_parse, probe_parse, fraction_parse, asr_json_parse, jsonl_validate, coarse_segments, coarse_transcript, segment_invariants, semantic_chunks, equal_division, model_chunks,
-        merged_chunks, split_chunks, normalized_chunks, frame_timestamps, frame_kinds, dhash_pack, dhash_hamming, frame_dedupe, alt_frame_timeline, caption_topk, even_k_of_n, chunk_visual, chunk_image_refs, summarize, keywords, fallback_titles, embedding_text,
-        timecodes, source_hashes, llm_reply_validate, annotated_chunks, markdown_doc, chunk_jsonl, output_index, manifest_pending, stage_cache, estimate, media_names, chunks,
+        fx_transcript, fx_signals, silence_intervals, silence_log_parse, scene_log_parse, timecode_parse, probe_parse, fraction_parse, asr_json_parse, jsonl_validate, coarse_segments, coarse_segments_chained, coarse_transcript, segment_invariants, semantic_chunks, equal_division, model_chunks,
+        merged_chunks, merged_chunks_chained, split_chunks, normalized_chunks, frame_timestamps, frame_kinds, dhash_pack, dhash_hamming, frame_dedupe, alt_frame_timeline, caption_topk, even_k_of_n, chunk_visual, chunk_image_refs, summarize, keywords, fallback_titles, embedding_text,
+        timecodes, source_hashes, llm_reply_validate, annotated_chunks, markdown_doc, chunk_jsonl, output_index, manifest_pending, stage_cache, stored_outputs, estimate, media_names, chunks,
     )
 }

@@ -15,6 +15,8 @@ class Coarse:
     max_duration_sec: float = 300.0
     snap_window_sec: float = 30.0
     symmetric_snap: bool = False
+    #: Whether segments and merged chunks are found by successors, for media whose signals or texts don't fit one task.
+    by_successors: bool = False
 
 
 @dataclass(frozen=True)

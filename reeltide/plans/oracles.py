@@ -306,3 +306,9 @@ SELECT page_id, video_id, video_id || '/' || printf('frame_%03d.jpg', page_id) A
         sha256({_embedding(["a.title", "a.summary", "a.transcript_text", "v.ocr_text", "v.visual_caption"])}) AS embedding_hash, CAST(coalesce(i.n, 0) AS INTEGER) AS n_images, 'local' AS jump_type, {_trim("a.transcript_text")} <> '' AS has_speech, v.ocr_text IS NOT NULL AS has_ocr, coalesce(i.n, 0) > 0 AS has_visual,
         'coarse+time-based semantic segmentation' AS segmentation_rationale FROM annotated a JOIN media m ON m.video_id = a.video_id LEFT JOIN visual v ON v.video_id = a.video_id AND v.idx = a.idx LEFT JOIN images i ON i.video_id = a.video_id AND i.idx = a.idx""",
 }
+ORACLE_SQL["coarse_segments_chained"], ORACLE_SQL["merged_chunks_chained"] = ORACLE_SQL["coarse_segments"], ORACLE_SQL["merged_chunks"]
+ORACLE_SQL["stored_outputs"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+one AS (SELECT DISTINCT sha256(html) AS h FROM p WHERE page_id % 3 <> 0 AND sha256(html) NOT LIKE '%0'),
+two AS (SELECT page_id, CASE WHEN page_id % 5 = 0 THEN html || 'x' ELSE html END AS html FROM p)
+SELECT page_id, 'sha256:' || sha256(html) AS source_hash, CAST(length(html) AS VARCHAR) AS output, CAST(NULL AS VARCHAR) AS error, CASE WHEN h IS NULL THEN CAST(2 AS BIGINT) ELSE 1 END AS run FROM two LEFT JOIN one ON h = sha256(html)"""

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reeltide.operators import assemble, frames, segment
+from reeltide.operators import assemble, chains, frames, segment
 from reeltide.plans.config import Config
 from reeltide.plans.manifest import Manifest, finished, input_hash, rows_hash
 
@@ -33,8 +33,8 @@ class Stages:
         self.begun, self.over = first is None, False
         self.manifest = Manifest(self.spark, folder) if folder else None
 
-    def run(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
-        """The stage's rows, all of them keyed by video_id."""
+    def run(self, name: str, make: Callable[[], DataFrame], watch: Callable[[DataFrame, DataFrame], tuple[DataFrame, Callable[[], None]]] | None = None) -> DataFrame:
+        """The stage's rows, all of them keyed by video_id. ``watch`` gets them and the ids (_id) of their media, and gives what checks them once they are written."""
         if not self.manifest:
             return make()
         if self.over:
@@ -51,8 +51,11 @@ class Stages:
             path = f"{self.folder}/stages/{name}/{uuid.uuid4().hex}"
             self.manifest.add(todo, "running")
             try:
-                made = make()
-                (of(made, todo) if paths else made).write.parquet(path)
+                made = of(make(), todo) if paths else make()
+                made, check = watch(made, todo.select(F.col("video_id").alias("_id"))) if watch else (made, None)
+                made.write.parquet(path)
+                if check:
+                    check()
             except Exception:
                 self.manifest.add(todo, "failed")
                 raise
@@ -95,10 +98,16 @@ def build(
             return segment.semantic_chunks(coarse, transcript, s.target_min_sec, s.target_max_sec)
         return split(segment.overlap_text(coarse, transcript, ["video_id", "seg_index"], trimmed=False))
 
+    def watch(rows: DataFrame, ids: DataFrame) -> tuple[DataFrame, Callable[[], None]]:
+        return segment.watched(rows, media.join(ids, F.col("video_id").cast("string") == F.col("_id"), "left_semi"))
+
+    if c.by_successors and c.symmetric_snap:
+        raise ValueError("segments by successors aren't symmetric")
+    exact = watch if split is None else None  # a model's chunks may leave small gaps
     seen = stages.run("frames", shots)
-    coarse = stages.run("coarse", lambda: segment.coarse_segments(media, candidates, c.max_duration_sec, c.snap_window_sec, c.symmetric_snap))
-    chunks = stages.run("semantic", semantic)
-    normal = stages.run("normalize", lambda: segment.normalize(chunks, s.hard_min_sec, s.hard_max_sec))
+    coarse = stages.run("coarse", lambda: chains.coarse_segments(media, candidates, c.max_duration_sec, c.snap_window_sec) if c.by_successors else segment.coarse_segments(media, candidates, c.max_duration_sec, c.snap_window_sec, c.symmetric_snap), watch)
+    chunks = stages.run("semantic", semantic, exact)
+    normal = stages.run("normalize", lambda: segment.normalize(chunks, s.hard_min_sec, s.hard_max_sec, chains.merge_short if c.by_successors else segment.merge_short), exact)
     annotated = stages.run("annotate", lambda: (annotate or assemble.annotate)(normal))
     none = F.lit(None).cast("string")
     return annotated, enrich(seen, normal) if enrich else seen.withColumns({"ocr_text": none, "visual_caption": none})

@@ -12,9 +12,9 @@ import os
 import shutil
 import subprocess
 import time
+import urllib.error
 import urllib.request
 from collections.abc import Callable, Iterator
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from typing import Protocol
 
@@ -22,6 +22,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Statuses of a server that is busy or was slow. Seconds that it may ask to wait at most.
+WAIT_STATUS, MOST_ASKED_WAIT = (408, 425, 429), 60.0
 #: Seconds that an external tool and a model's answer may take.
 TOOL_TIMEOUT, MODEL_TIMEOUT = 3600.0, 30.0
 
@@ -142,24 +144,26 @@ def ocr_of(kind: str) -> OcrAdapter | None:
 
 
 def with_retries(call: Callable[[], str], attempts: int = 3, first_wait: float = 0.1, most_wait: float = 10.0, sleep: Callable[[float], None] = time.sleep) -> str:
-    """Calls until one attempt succeeds and its answer is JSON; waits double in between."""
+    """Calls until one attempt succeeds and its answer is JSON; waits double in between, or are as long as a busy server asks for.
+
+    What a server refuses for good (a status of 400 to 499, but for those that say wait) isn't asked again.
+    """
     for i in range(attempts):
         try:
             answer = call()
             json.loads(answer)
             return answer
-        except Exception:
-            if i + 1 == attempts:
+        except Exception as e:
+            status = e.code if isinstance(e, urllib.error.HTTPError) else 0
+            if i + 1 == attempts or 400 <= status < 500 and status not in WAIT_STATUS:
                 raise
-            sleep(min(first_wait * 2**i, most_wait))
+            asked = e.headers.get("Retry-After", "") if status else ""
+            sleep(min(float(asked), MOST_ASKED_WAIT) if asked.isdigit() else min(first_wait * 2**i, most_wait))
     raise ValueError("no attempts")
 
 
-def map_text(df: DataFrame, inputs: list[str], output: str, call: Callable[..., str | None], at_once: int = 1) -> DataFrame:
-    """Adds a string column made by ``call`` of the inputs and, where it fails, null and the reason in ``<output>_error``.
-
-    ``at_once``: calls of one task that may wait at the same time, for those that wait on others.
-    """
+def map_text(df: DataFrame, inputs: list[str], output: str, call: Callable[..., str | None]) -> DataFrame:
+    """Adds a string column made by ``call`` of the inputs and, where it fails, null and the reason in ``<output>_error``."""
 
     def safe(args: tuple) -> tuple[str | None, str | None]:
         try:
@@ -168,17 +172,33 @@ def map_text(df: DataFrame, inputs: list[str], output: str, call: Callable[...,
             return None, f"{type(e).__name__}: {e}"[:500]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        with ThreadPoolExecutor(at_once) as pool:
-            for batch in batches:
-                rows = list(batch[inputs].itertuples(index=False, name=None))
-                done = list(pool.map(safe, rows) if at_once > 1 else map(safe, rows))
-                batch[output] = pd.Series([d[0] for d in done], batch.index, object)
-                batch[f"{output}_error"] = pd.Series([d[1] for d in done], batch.index, object)
-                yield batch
+        for batch in batches:
+            done = [safe(row) for row in batch[inputs].itertuples(index=False, name=None)]
+            batch[output] = pd.Series([d[0] for d in done], batch.index, object)
+            batch[f"{output}_error"] = pd.Series([d[1] for d in done], batch.index, object)
+            yield batch
 
     return df.mapInPandas(run, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields), f"`{output}` string", f"`{output}_error` string"]))
 
 
+def admitted(df: DataFrame, inputs: list[str], output: str, call: Callable[..., str | None], at_once: int, per_sec: float | None = None) -> DataFrame:
+    """``map_text`` for calls that others answer: at most ``at_once`` of the whole job wait at a time, ``per_sec`` begin in a second.
+
+    Rows are dealt by their inputs to as many partitions as calls are admitted, whose calls follow each other; each has its share
+    of the rate. However many tasks a cluster could run, the job asks no more.
+    """
+    apart = at_once / per_sec if per_sec else 0.0
+
+    def paced(*args: object) -> str | None:
+        began = time.monotonic()
+        try:
+            return call(*args)
+        finally:
+            time.sleep(max(0.0, apart - (time.monotonic() - began)))
+
+    return map_text(df.repartition(at_once, *inputs), inputs, output, paced)
+
+
 def transcribe(audio: DataFrame, adapter: SpeechAdapter, path_col: str = "wav_path") -> DataFrame:
     """Adds asr_json; files that can't be recognised have none, and so an empty transcript, with the reason in asr_json_error."""
     return map_text(audio, [path_col], "asr_json", adapter.transcribe)
@@ -210,17 +230,17 @@ def chunks_prompt(duration: Column, least: float, most: float, text: Column) ->
     return F.format_string(CHUNKS_PROMPT, duration.cast("string"), F.lit(str(least)), F.lit(str(most)), text)
 
 
-def _asked(df: DataFrame, model: LanguageModel, prompt: str, reply: str, at_once: int) -> DataFrame:
-    return map_text(df, [prompt], reply, lambda p: with_retries(lambda: model.complete_json(p)), at_once)
+def _asked(df: DataFrame, model: LanguageModel, prompt: str, reply: str, at_once: int, per_sec: float | None) -> DataFrame:
+    return admitted(df, [prompt], reply, lambda p: with_retries(lambda: model.complete_json(p)), at_once, per_sec)
 
 
-def annotate_with(chunks: DataFrame, model: LanguageModel, at_once: int = 4) -> DataFrame:
-    """Adds title, summary and keywords from a model's replies; where one lacks a field, those a chunk can give itself."""
+def annotate_with(chunks: DataFrame, model: LanguageModel, at_once: int = 4, per_sec: float | None = None) -> DataFrame:
+    """Adds title, summary and keywords from a model's replies; where one lacks a field, those a chunk can give itself, with the reason in annotation_error."""
     from reeltide.functions.text import short_title
     from reeltide.functions.text import timecode as tc
 
     asked = chunks.withColumn("prompt", annotation_prompt(tc(F.col("start_sec")), tc(F.col("end_sec")), F.col("transcript_text")))
-    asked = _asked(asked, model, "prompt", "reply", at_once)
+    asked = _asked(asked, model, "prompt", "reply", at_once, per_sec)
     r = F.from_json("reply", ANNOTATION)
     whole = r["title"].isNotNull() & r["summary"].isNotNull() & r["keywords"].isNotNull()
     return asked.withColumns(
@@ -228,6 +248,7 @@ def annotate_with(chunks: DataFrame, model: LanguageModel, at_once: int = 4) ->
             "title": F.when(whole, r["title"]).otherwise(short_title(F.col("transcript_text"), F.col("chunk_id"))),
             "summary": F.when(whole, r["summary"]).otherwise(NO_SUMMARY),
             "keywords": F.when(whole, r["keywords"]).otherwise(F.array(F.lit("content"))),
+            "annotation_error": F.when(~F.coalesce(whole, F.lit(False)), F.coalesce("reply_error", F.lit("the reply lacks a field"))),
         }
     ).drop("prompt", "reply", "reply_error")
 
@@ -257,7 +278,7 @@ def placeholder(start: Column, end: Column) -> Column:
     return F.concat(F.lit("Segment from "), tenth(start), F.lit("s to "), tenth(end), F.lit("s"))
 
 
-def semantic_with(coarse_text: DataFrame, model: LanguageModel, target_min: float = 30.0, target_max: float = 90.0, at_once: int = 4) -> DataFrame:
+def semantic_with(coarse_text: DataFrame, model: LanguageModel, target_min: float = 30.0, target_max: float = 90.0, at_once: int = 4, per_sec: float | None = None) -> DataFrame:
     """Chunks of coarse segments (video_id, seg_index, start_sec, end_sec, transcript_text) as a model cuts them.
 
     A reply that isn't valid is asked for once more; where that isn't valid either, or the model can't be reached, the
@@ -273,7 +294,7 @@ def semantic_with(coarse_text: DataFrame, model: LanguageModel, target_min: floa
         answer = with_retries(lambda: model.complete_json(prompt))
         return answer if _fits(answer, end_sec) else with_retries(lambda: model.complete_json(prompt))
 
-    asked = keep(map_text(asked, ["prompt", "end_sec"], "reply", ask, at_once), "replies")  # both branches below read them
+    asked = keep(admitted(asked, ["prompt", "end_sec"], "reply", ask, at_once, per_sec), "replies")  # both branches below read them
     asked = asked.withColumn("chunks", F.from_json("reply", CHUNKS)["chunks"]).withColumn("cut", reply_is_valid(F.col("chunks"), end))
     ord_ = F.col("seg_index") * 1000000
     cut = asked.where("cut").select("video_id", "seg_index", F.posexplode("chunks").alias("part", "c"))

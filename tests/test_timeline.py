@@ -1,8 +1,10 @@
 import random
+import urllib.error
 
+import pytest
 from pyspark.sql import functions as F
 
-from reeltide.operators import assemble, frames, segment
+from reeltide.operators import assemble, chains, frames, segment
 from reeltide.plans import manifest
 from reeltide.plans.config import Config
 from reeltide.sources import adapters, parsers
@@ -303,3 +305,89 @@ def test_image_files(spark, tmp_path):
     (tmp_path / "broken.jpg").write_bytes(b"no image")
     got = {r.path.rsplit("/", 1)[-1]: r.hash for r in file_hashes(spark, str(tmp_path)).collect()}
     assert got["a.png"] == hash_of(ramp) == -1 and got["c.png"] == -1 and bin(got["b.jpg"] & (1 << 64) - 1).count("1") > 55 and got.get("broken.jpg") is None
+
+
+def test_segments_by_successors_are_the_fold(spark):
+    """Long gaps, dense signals, signals at the begin, at the end and beyond, media without any, and times that are rounded."""
+    rng = random.Random(9)
+    durations = [5000.3, 1234.567, 900.0, 299.9, 330.0, 0.0, 86_400.1, 3000.0]
+    marks = [(0, rng.uniform(0, 5000)) for _ in range(200)] + [(1, t) for t in (0.0, 1.0, 310.1, 330.0, 1234.567, 2000.0, -3.0)] + [(2, 300.0), (2, 600.0), (4, 330.0)]
+    marks += [(6, rng.uniform(0, 4000)) for _ in range(40)] + [(6, 80_000 + i * 0.1) for i in range(30)] + [(7, 100.0 + k) for k in (0, 199.5, 200.5)]
+    m, c = media(spark, *durations), times(spark, *marks, *marks[:20])
+    for most, snap in ((300.0, 30.0), (7.1, 0.7)):
+        want = sorted(map(tuple, segment.coarse_segments(m, c, most, snap).collect()))
+        assert sorted(map(tuple, chains.coarse_segments(m, c, most, snap).collect())) == want and len(want) > 300, most
+    assert chains.coarse_segments(m, c.limit(0)).where("video_id = 6").count() == 289 and chains.coarse_segments(m.limit(0), c).isEmpty()
+
+
+def test_merging_by_successors_is_the_fold(spark):
+    rng = random.Random(4)
+    rows = []
+    for v in range(12):
+        at = 0.0
+        for k in range(rng.choice((1, 2, 40))):
+            to = at + rng.choice((0.3, 4.0, 7.5, 15.0, 15.1, 80.0))
+            rows.append((v, k, at, to, rng.choice(("a b", " c", "")), f"r{k}"))
+            at = to
+    rows += [(20, 0, 0.0, 5.0, "only", "r"), (21, 0, 0.0, 15.0, "x ", "r"), (21, 1, 15.0, 20.0, "", "s")]
+    df = spark.createDataFrame(rows, "video_id long, ord long, start_sec double, end_sec double, transcript_text string, rationale string")
+    want = sorted(map(tuple, segment.merge_short(df).collect()))
+    assert sorted(map(tuple, chains.merge_short(df).collect())) == want and len(want) > 20
+    assert chains.merge_short(df.limit(0)).isEmpty()
+
+
+def test_watched_segments_fail_on_gaps(spark, tmp_path):
+    m = media(spark, 100.0, 50.0)
+    names = "video_id long, start_sec double, end_sec double"
+
+    def run(name, *rows):
+        out, check = segment.watched(spark.createDataFrame(rows, names), m)
+        out.write.parquet(str(tmp_path / name))
+        check()
+
+    run("fits", (0, 0.0, 60.0), (0, 60.0, 100.0), (1, 0.0, 50.0))
+    for k, rows in enumerate((((0, 0.0, 60.0), (0, 61.0, 100.0), (1, 0.0, 50.0)), ((0, 0.0, 60.0), (0, 59.0, 100.0), (1, 0.0, 50.0)), ((0, 0.0, 100.0),), ((0, 0.0, 99.0), (1, 0.0, 50.0)), ((0, 0.0, 0.0), (0, 0.0, 100.0), (1, 0.0, 50.0)))):
+        with pytest.raises(ValueError):
+            run(f"bad{k}", *rows)
+
+
+def test_calls_are_admitted_for_the_whole_job(spark, tmp_path):
+    """However many partitions ask, no more than two calls overlap, and each says when it began."""
+    log = str(tmp_path)
+
+    def call(x):
+        import time
+        import uuid
+
+        began = time.time()
+        time.sleep(0.15)
+        with open(f"{log}/{uuid.uuid4().hex}", "w") as f:
+            f.write(f"{began} {time.time()}")
+        return "{}"
+
+    df = spark.range(12).selectExpr("cast(id as string) as x").repartition(4)
+    assert adapters.admitted(df, ["x"], "y", call, at_once=2).where("y = '{}'").count() == 12
+    spans = sorted(tuple(map(float, p.read_text().split())) for p in tmp_path.iterdir())
+    assert max(sum(a <= at < b for a, b in spans) for at, _ in spans) <= 2
+    import time
+
+    began = time.monotonic()
+    adapters.admitted(df, ["x"], "y", lambda x: "{}", at_once=1, per_sec=10.0).collect()
+    assert time.monotonic() - began >= 1.1
+
+
+def test_servers_that_ask_to_wait_or_refuse():
+    waits, calls = [], []
+
+    def fails(status, **headers):
+        def call():
+            calls.append(status)
+            raise urllib.error.HTTPError("http://x", status, "no", headers, None)
+
+        return call
+
+    for status, headers, tries, wait in ((429, {"Retry-After": "7"}, 3, [7.0, 7.0]), (429, {"Retry-After": "9999"}, 3, [60.0, 60.0]), (503, {}, 3, [0.1, 0.2]), (401, {}, 1, []), (400, {"Retry-After": "7"}, 1, [])):
+        waits.clear(), calls.clear()
+        with pytest.raises(urllib.error.HTTPError):
+            adapters.with_retries(fails(status, **headers), sleep=waits.append)
+        assert len(calls) == tries and waits == wait, status
