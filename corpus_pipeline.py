@@ -59,8 +59,8 @@ def cut_repeated_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each source's documents as often as its target weight wants them.
 
-    Null sources are one source; documents without words aren't taken; rows that repeat an id are taken alike. A document that
-    is taken twice has two rows, and ``n_chars`` follows the text of one that is taken in part.
+    Null sources are one source; documents without words aren't taken; rows that repeat an id, or have none, are taken each by
+    itself. A document that is taken twice has two rows, and ``n_chars`` follows the text of one that is taken in part.
     """
     mixed = mixing.mixed_documents(docs)
     return mixed.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)

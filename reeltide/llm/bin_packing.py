@@ -2,7 +2,7 @@
 
 Documents go to a fixed number of shards so that bytes, tokens and rows are balanced jointly; the law that holds is
 ``bytes`` (sizes near equal). Equal texts are one group and go to one shard; only a group of more than 16 rows and
-1/512 of all bytes, tokens or rows that no shard can take and still be levelled is split, by a hash of the ids, into fragments
+1/512 of all bytes, tokens or rows that no shard can take and still be levelled is split, by a hash of the rows' numbers, into fragments
 of about 1/512.
 
 Groups are aggregated and fall into classes by the power of two of their largest share of all bytes, tokens or rows.
@@ -13,7 +13,7 @@ placed alike; it begins at its own fraction of a group, so that what packs miss
 more than 20,000 groups be that large, they are dealt to fewer packs in the same way, and so on.
 
 Defined cases: null text has size 1 (no bytes, plus 1), like empty text, but is a group of its own; ids may be null
-or repeated; with fewer documents than shards some shards stay empty.
+or repeated, each row counts for itself; with fewer documents than shards some shards stay empty.
 """
 
 from __future__ import annotations
@@ -115,7 +115,7 @@ def _place_top(rows: DataFrame, groups: DataFrame, total: np.ndarray, shards: in
     fragments = []
     if pieces:
         cut = rows.join(F.broadcast(rows.sparkSession.createDataFrame(list(pieces.items()), "group long, pieces int")), "group")
-        counted = cut.groupBy("group", F.pmod(F.xxhash64("id"), F.col("pieces")).cast("int").alias("frag")).agg(F.count("*").alias("n"))
+        counted = cut.groupBy("group", F.pmod(F.xxhash64("row"), F.col("pieces")).cast("int").alias("frag")).agg(F.count("*").alias("n"))
         fragments = sorted((r.group, r.frag, r.n) for r in counted.collect())
     parts = np.array([share[at[g]] * n / found[at[g], 3] for g, _, n in fragments]).reshape(-1, 3)
     where = _place(room, np.concatenate([share[rest], parts]), np.concatenate([names[rest], np.array([g for g, _, _ in fragments], np.int64)]))
@@ -138,7 +138,7 @@ def shard(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col: st
         F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long").alias("tokens"),
         F.xxhash64(text, F.octet_length(text)).alias("group"),
     )
-    rows = scratch.table(rows, "sizes")
+    rows = scratch.table(rows.withColumn("row", F.monotonically_increasing_id()), "sizes")
     groups = scratch.table(rows.groupBy("group").agg(F.sum("size").alias("bytes"), F.sum("tokens").alias("tokens"), F.count("*").alias("rows")), "groups")
     total = np.maximum(np.array(groups.agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in _SIZES)).first(), float), 1)
     largest = F.greatest(*(F.col(c) / float(n) for c, n in zip(_SIZES, total, strict=True)))
@@ -155,7 +155,7 @@ def shard(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col: st
     least = above[-1][0] if above else 1
     top, room = _place_top(rows, classed.where(F.col("class") >= least), total, shards)
     rows = rows.join(F.broadcast(top), "group", "left")
-    known = rows.where("shards is not null").withColumn("shard", F.get("shards", F.pmod(F.xxhash64("id"), F.size("shards")).cast("int"))).drop("shards")
+    known = rows.where("shards is not null").withColumn("shard", F.get("shards", F.pmod(F.xxhash64("row"), F.size("shards")).cast("int"))).drop("shards")
     if levels:
         rest = np.maximum(room, 0)
         left = np.where(rest.sum(0) > 0, rest / np.maximum(rest.sum(0), 1e-300), 1 / shards).tolist()
@@ -163,12 +163,12 @@ def shard(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col: st
         packed = classed.where(F.col("class") < least).withColumn("of", level).select("group", *_SIZES, "of.level", F.pmod(F.xxhash64("group"), F.col("of.packs")).cast("int").alias("pack"))
         placed = scratch.table(packed.groupBy("level", "pack").applyInArrow(_place_pack(left), "group long, shard int"), "placed")
         known = known.unionByName(rows.where("shards is null").drop("shards").join(placed, "group"))
-    bucket = F.pmod(F.xxhash64("id", "group"), F.lit(max(1, -(-int(total[2]) // SLOT_ROWS)))).cast("int")
+    bucket = F.pmod(F.xxhash64("row"), F.lit(max(1, -(-int(total[2]) // SLOT_ROWS)))).cast("int")
     rows = scratch.table(known.withColumn("bucket", bucket), "sharded")
     scratch.keep_only(rows)
     before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = rows.groupBy("shard", "bucket").agg(F.count("*").alias("n")).select(F.struct("shard", "bucket").alias("k"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    within = Window.partitionBy("shard", "bucket").orderBy("id", "group")
+    within = Window.partitionBy("shard", "bucket").orderBy("id", "group", "row")
     rows = rows.withColumn("r", F.row_number().over(within) - 1).withColumn("k", F.struct("shard", "bucket"))
-    out = salted_lookup(rows, offsets, "k", ["id"], "inner", 1)
+    out = salted_lookup(rows, offsets, "k", ["row"], "inner", 1)
     return out.select(F.col("id").alias(id_col), "size", "text_crc32", "tokens", F.lit("bytes").alias("law"), "shard", (F.col("offset") + F.col("r")).alias("slot"), F.lit(None).cast("int").alias("grown_shard"))

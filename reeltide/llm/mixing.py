@@ -10,7 +10,8 @@ prefix sums are offsets of partitions plus sums within, so that a source of any
 
 Defined cases: null text has size 0; a null source is a source of its own, ordered last; a source without words
 has target 0; null, non-positive or NaN quality counts as the least weight; rows that repeat an id are ordered by
-size and otherwise alike, also in what is taken of them. Targets are found over one row per source, in one task.
+size and then by their place in the table, each taken by itself; a document without words isn't taken. Targets are found over one
+row per source, in one task.
 """
 
 from __future__ import annotations
@@ -33,12 +34,13 @@ def cleanness(text: Column) -> Column:
 
 
 def plan_mix(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, most: float = 2.0, quality: Column | None = None, seed: int = 0
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, most: float = 2.0, quality: Column | None = None, seed: int = 0, row_col: str | None = None
 ) -> DataFrame:
-    """One row per document: id, source, size, source_size, target (its source's), epochs, extra, taken.
+    """One row per document: row, id, source, size, source_size, target (its source's), epochs, extra, taken.
 
     ``weights`` repeat over the sources in code point order; together they get ``share`` of all words, each at most
-    ``most`` times its own, with any excess dealt again by weight. ``taken = epochs * size + extra``.
+    ``most`` times its own, with any excess dealt again by weight. ``taken = epochs * size + extra``. ``row_col``: a column of
+    written numbers that tell rows apart, where the caller has one.
     """
     scratch = Scratch(docs.sparkSession, "mixing")
     text = F.col(text_col).cast("string")
@@ -46,8 +48,8 @@ def plan_mix(
     q = F.when(q > _LEAST_QUALITY, q).otherwise(_LEAST_QUALITY)
     digest = F.md5(F.concat_ws("-", F.coalesce(F.col(id_col).cast("string"), F.lit("null")), F.lit(str(seed))).cast("binary"))
     u = (F.conv(F.substring(digest, 1, 12), 16, 10).cast("long") + 0.5) / float(1 << 48)
-    rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long").alias("size"), (-F.log(u) / q).alias("key"))
-    rows = scratch.table(rows.withColumn("row", F.monotonically_increasing_id()), "sizes")  # rows that are alike are told apart by their number
+    rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long").alias("size"), (-F.log(u) / q).alias("key"), (F.col(row_col) if row_col else F.monotonically_increasing_id()).alias("row"))
+    rows = scratch.table(rows, "sizes")  # rows that are alike are told apart by their number
 
     targets = scratch.table(_targets(rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("rows")), weights, share, most), "targets")
     parts = max(1, -(-(targets.agg(F.sum("rows")).first()[0] or 0) // _RANGE_ROWS))
@@ -62,7 +64,7 @@ def plan_mix(
     small = offsets.join(targets.withColumnRenamed("source", "s2"), F.col("source").eqNullSafe(F.col("s2"))).select(F.col("source").alias("s1"), F.col("part").alias("p1"), "offset", "source_size", "target", "epochs", "rest")
     out = ranged.join(small, (F.col("part") == F.col("p1")) & F.col("source").eqNullSafe(F.col("s1")))
     extra = F.least(F.greatest(F.col("rest") - F.col("offset") - F.col("prior"), F.lit(0)), F.col("size"))
-    return out.select("id", "source", "size", "source_size", "target", "epochs", extra.alias("extra"), (F.col("epochs") * F.col("size") + extra).alias("taken"))
+    return out.select("row", "id", "source", "size", "source_size", "target", "epochs", extra.alias("extra"), (F.col("epochs") * F.col("size") + extra).alias("taken"))
 
 
 def _targets(sources: DataFrame, weights: tuple[float, ...], share: float, most: float) -> DataFrame:
@@ -89,11 +91,13 @@ def _targets(sources: DataFrame, weights: tuple[float, ...], share: float, most:
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """``docs`` as the mix has them: a row for each time a document is taken; one that is taken in part ends after its last word that is.
 
-    Rows that repeat an id are taken alike, as the one of them that is taken most.
+    Rows are numbered as they are written once, and meet the plan by that number.
     """
-    key, mix, part = (free_name(n, docs.columns) for n in ("mix_id", "mix", "mix_part"))
-    plan = plan_mix(docs, id_col, text_col, **how).groupBy(F.col("id").alias(key)).agg(F.max(F.struct("taken", "epochs", "extra", "size")).alias(mix))
-    joined = docs.join(plan, F.col(id_col).eqNullSafe(F.col(key)))
+    scratch = Scratch(docs.sparkSession, "mixed")
+    number, key, mix, part = (free_name(n, docs.columns) for n in ("mix_number", "mix_row", "mix", "mix_part"))
+    numbered = scratch.table(docs.withColumn(number, F.monotonically_increasing_id()), "numbered")
+    plan = plan_mix(numbered, id_col, text_col, row_col=number, **how).where("taken > 0").select(F.col("row").alias(key), F.struct("epochs", "extra", "size").alias(mix))
+    joined = numbered.join(plan, F.col(number) == F.col(key))
     x = F.col(mix)
     whole = F.array_repeat(F.lit(-1).cast("long"), x["epochs"].cast("int"))
     rest = F.when(x["extra"] > 0, F.array(F.when(x["extra"] == x["size"], F.lit(-1)).otherwise(x["extra"]).cast("long"))).otherwise(F.array().cast("array<long>"))

@@ -250,7 +250,7 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     scratch = Scratch(docs.sparkSession, "packing")
     kind = docs.schema[id_col].dataType.simpleString()
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    coded = scratch.table(source.mapInArrow(_tokenise(tokenizer, end_id, seed), f"id {kind}, n long, key long, packed binary").withColumn("tie", F.xxhash64("id", "packed")), "tokens")
+    coded = scratch.table(source.mapInArrow(_tokenise(tokenizer, end_id, seed), f"id {kind}, n long, key long, packed binary").withColumn("tie", F.xxhash64(F.monotonically_increasing_id())), "tokens")  # rows that are alike have places of their own
     total = coded.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     parts = max(1, -(-total // RANGE_TOKENS))
     # one row per range of RANGE_TOKENS: its least place, as any range partitioner keeps, and its tokens
