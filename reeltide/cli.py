@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from reeltide.functions.text import estimate, trim_ws
 from reeltide.plans.config import Config
+from reeltide.plans.facts import command_hash
 from reeltide.plans.manifest import Manifest, latest
 from reeltide.sources import adapters, sinks, tools
 from reeltide.sources.parsers import valid_json
@@ -28,12 +29,13 @@ def process(spark: SparkSession, source: str, out: str, config: Config, resume:
     from reeltide.plans import catalogue, ingest, pipeline
 
     annotate = (lambda chunks: adapters.annotate_with(chunks, model)) if model else None
+    models = command_hash(model) if model else ""
     split = (lambda coarse: adapters.semantic_with(coarse, model)) if model and config.semantic.by_model else None
     commands = commands or tools.Tools.of(config.frames.scene_change_threshold, config.silence.noise_db, config.silence.min_duration_sec)
     if sinks.exists(spark, f"{source}/conversations.parquet"):
         given = catalogue.Facts(spark, source)
         media = given.media
-        annotated, seen = pipeline.build(media, given.transcript, given.silences, given.scenes, config=config, folder=out, resume=resume, annotate=annotate, split=split, first=first, last=last)
+        annotated, seen = pipeline.build(media, given.transcript, given.silences, given.scenes, config=config, folder=out, resume=resume, annotate=annotate, split=split, first=first, last=last, models=models)
         sources = media.select("video_id", F.concat(F.lit("media/"), F.col("video_id").cast("string")).alias("source_path"), F.lit(None).cast("string").alias("source_hash"), F.lit(True).alias("has_audio"))
     else:
         facts = ingest.facts(spark, source, out, speech, commands, pattern)
@@ -50,7 +52,7 @@ def process(spark: SparkSession, source: str, out: str, config: Config, resume:
             chosen = choose(taken, chunks, config.vision.captions_per_chunk) if captions else None
             return kept.table(ingest.read_pictures(taken, ocr, captions, chosen, config.vision.languages), "read")
 
-        annotated, seen = pipeline.build(media, facts.transcript, facts.silences, facts.scenes, config=config, folder=out, resume=resume, enrich=enrich, annotate=annotate, split=split, first=first, last=last)
+        annotated, seen = pipeline.build(media, facts.transcript, facts.silences, facts.scenes, config=config, folder=out, resume=resume, enrich=enrich, annotate=annotate, split=split, first=first, last=last, models=models)
         sources = media.select("video_id", F.col("path").alias("source_path"), "source_hash", "has_audio")
         facts.errors.write.mode("overwrite").json(f"{out}/errors.jsonl")
     sinks.write_chunks(assemble.build_chunks(annotated, seen, sources, config.speech.adapter, config.vision.caption_adapter), out)

@@ -63,11 +63,15 @@ def tokens(text: Column) -> Column:
     return F.transform(F.regexp_extract_all(text, F.lit(r"([\p{IsAlphabetic}\p{N}_]+)"), F.lit(1)), lambda t: F.lower(t))
 
 
+#: Fixed value: the keyword of what has none.
+NO_KEYWORD = "video"
+
+
 def keywords(title_text: Column, text: Column) -> Column:
     """The alphabetically first distinct tokens of title and text that may be keywords; ``video`` where there are none."""
     kept = F.filter(F.concat(tokens(title_text), tokens(text)), lambda t: (F.octet_length(t) >= KEYWORD_BYTES) & ~t.isin(*STOP_WORDS))
     best = F.slice(F.array_sort(F.array_distinct(kept)), 1, KEYWORDS)
-    return once(best, lambda b: F.when(F.size(b) > 0, b).otherwise(F.array(F.lit("video"))))
+    return once(best, lambda b: F.when(F.size(b) > 0, b).otherwise(F.array(F.lit(NO_KEYWORD))))
 
 
 def timecode(seconds: Column) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from reeltide.functions import text as X
 from reeltide.operators.frames import frames_in_chunks
 
+#: Fixed value: the text of chunks without any.
 NO_TEXT = "No transcript available. Chunk generated from timing and visual boundaries."
 #: The columns of a finished chunk that are the same for all.
 SCHEMA_VERSION, SOURCE_TYPE, CONTENT_TYPE, RATIONALE = "1.0", "local_mp4", "screen_recording", "coarse+time-based semantic segmentation"

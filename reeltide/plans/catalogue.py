@@ -21,18 +21,24 @@ from reeltide.sources.timeline import table
 
 
 class Facts:
-    """The timeline of one folder of tables. Media and signals, which most of a query's branches read, are written once; the rest is plans over them."""
+    """The timeline of one folder of tables. What many of a query's branches read is written once; the rest is plans.
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir, self.kept = spark, sf_dir, sinks.Kept(spark)
+    ``once``: the query reads media and signals in one or two branches, whose exchanges Spark shares, so that they aren't written.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, once: bool = False):
+        self.spark, self.sf_dir, self.kept, self.once = spark, sf_dir, sinks.Kept(spark), once
+
+    def _shared(self, rows: DataFrame, name: str) -> DataFrame:
+        return rows if self.once else self.kept.table(rows, name)
 
     @cached_property
     def media(self) -> DataFrame:
-        return self.kept.table(timeline.media(self.spark, self.sf_dir), "media")
+        return self._shared(timeline.media(self.spark, self.sf_dir), "media")
 
     @cached_property
     def signals(self) -> DataFrame:
-        return self.kept.table(timeline.signals(self.spark, self.sf_dir, self.media), "signals")
+        return self._shared(timeline.signals(self.spark, self.sf_dir, self.media), "signals")
 
     @cached_property
     def transcript(self) -> DataFrame:
@@ -53,7 +59,7 @@ class Facts:
 
     @property
     def semantic(self) -> DataFrame:
-        return segment.semantic_chunks(self.coarse, self.transcript)
+        return segment.semantic_chunks(self.kept.table(self.coarse, "coarse"), self.transcript)
 
     @property
     def normalized(self) -> DataFrame:
@@ -162,7 +168,7 @@ def jsonl_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def coarse_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Facts(spark, sf_dir).coarse
+    return Facts(spark, sf_dir, once=True).coarse
 
 
 def coarse_segments_chained(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -173,20 +179,20 @@ def coarse_segments_chained(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _coarse_text(facts: Facts) -> DataFrame:
-    return segment.overlap_text(facts.coarse, facts.transcript, ["video_id", "seg_index"], trimmed=False)
+    return segment.overlap_text(facts.kept.table(facts.coarse, "coarse"), facts.transcript, ["video_id", "seg_index"], trimmed=False)
 
 
 def coarse_transcript(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _coarse_text(Facts(spark, sf_dir))
+    return _coarse_text(Facts(spark, sf_dir, once=True))
 
 
 def segment_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    facts = Facts(spark, sf_dir)
+    facts = Facts(spark, sf_dir, once=True)
     return segment.check_segments(facts.coarse, facts.media)
 
 
 def semantic_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Facts(spark, sf_dir).semantic
+    return Facts(spark, sf_dir, once=True).semantic
 
 
 def equal_division(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -210,7 +216,7 @@ class HalvesModel:
 
 def model_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Coarse segments as a model cuts them: some at once, some when asked again, the others into equal pieces."""
-    return adapters.semantic_with(_coarse_text(Facts(spark, sf_dir)), HalvesModel(), at_once=8)
+    return adapters.semantic_with(_coarse_text(Facts(spark, sf_dir, once=True)), HalvesModel(), at_once=8)
 
 
 def merged_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -229,11 +235,11 @@ def split_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def normalized_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Facts(spark, sf_dir).normalized
+    return Facts(spark, sf_dir, once=True).normalized
 
 
 def frame_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Facts(spark, sf_dir).stamps
+    return Facts(spark, sf_dir, once=True).stamps
 
 
 def frame_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -256,7 +262,7 @@ def frame_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def alt_frame_timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    facts = Facts(spark, sf_dir)
+    facts = Facts(spark, sf_dir, once=True)
     return frames.alternative_timestamps(facts.media, facts.scenes)
 
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 import hashlib
 import json
 from collections.abc import Callable
+from dataclasses import is_dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +23,12 @@ FILE = "path string, bytes bigint, modified timestamp, source_hash string, sourc
 
 def command_hash(command: object) -> str:
     """A digest of a command line, or of an adapter's kind and settings."""
-    said = list(command) if isinstance(command, tuple | list) else [type(command).__qualname__, {k: repr(v) for k, v in sorted(getattr(command, "__dict__", {}).items())}]
+    if isinstance(command, tuple | list):
+        said = list(command)
+    elif is_dataclass(command):  # whose secrets aren't shown
+        said = [repr(command)]
+    else:
+        said = [type(command).__qualname__, {k: repr(v) for k, v in sorted(getattr(command, "__dict__", {}).items())}]
     return hashlib.sha256(json.dumps(said).encode()).hexdigest()[:32]
 
 

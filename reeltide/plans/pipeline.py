@@ -10,8 +10,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reeltide.operators import assemble, chains, frames, segment
+from reeltide.plans import contracts
 from reeltide.plans.config import Config
-from reeltide.plans.manifest import Manifest, finished, input_hash, rows_hash
+from reeltide.plans.manifest import Manifest, finished, input_hash
+from reeltide.sources.sinks import Kept
 
 
 class Ended(Exception):
@@ -26,21 +28,26 @@ class Stages:
     there; the one after ``last`` raises Ended.
     """
 
-    def __init__(self, media: DataFrame, config: Config, folder: str | None = None, resume: bool = False, first: str | None = None, last: str | None = None):
+    def __init__(self, media: DataFrame, config: Config, folder: str | None = None, resume: bool = False, first: str | None = None, last: str | None = None, keys: DataFrame | None = None, typed: bool = False):
+        for stage in (first, last):
+            if stage is not None and stage not in contracts.STAGES:
+                raise ValueError(f"no such stage: {stage}; there are {', '.join(contracts.ordered())}")
         self.spark, self.folder, self.resume, self.first, self.last = media.sparkSession, folder, resume, first, last
         source = F.col("source_hash") if "source_hash" in media.columns else F.lit("").cast("string")
         self.media = media.select(F.col("video_id").cast("string").alias("video_id"), input_hash(source, config.hash()).alias("input_hash"))
+        self.keys, self.typed = keys, typed  # keys of each stage, where what it reads is known; else all depend on source and settings alike
         self.begun, self.over = first is None, False
         self.manifest = Manifest(self.spark, folder) if folder else None
 
     def run(self, name: str, make: Callable[[], DataFrame], watch: Callable[[DataFrame, DataFrame], tuple[DataFrame, Callable[[], None]]] | None = None) -> DataFrame:
         """The stage's rows, all of them keyed by video_id. ``watch`` gets them and the ids (_id) of their media, and gives what checks them once they are written."""
+        checked = lambda rows: contracts.check(name, rows, contracts.STAGES[name].gives) if self.typed else rows
         if not self.manifest:
-            return make()
+            return checked(make())
         if self.over:
             raise Ended(name)
         self.begun, self.over = self.begun or name == self.first, name == self.last
-        wanted = self.media.withColumn("stage", F.lit(name))
+        wanted = (self.media if self.keys is None else self.keys.select("video_id", F.col(name).alias("input_hash"))).withColumn("stage", F.lit(name))
         done = finished(wanted, self.manifest.records()).select("video_id", "output_path") if self.resume or not self.begun else None
         # one path for each run that wrote this stage
         paths = sorted(r.output_path for r in done.select("output_path").distinct().collect()) if done is not None else []
@@ -51,7 +58,8 @@ class Stages:
             path = f"{self.folder}/stages/{name}/{uuid.uuid4().hex}"
             self.manifest.add(todo, "running")
             try:
-                made = of(make(), todo) if paths else make()
+                made = checked(make())
+                made = of(made, todo) if paths else made
                 made, check = watch(made, todo.select(F.col("video_id").alias("_id"))) if watch else (made, None)
                 made.write.parquet(path)
                 if check:
@@ -67,20 +75,21 @@ class Stages:
 
 
 def build(
-    media: DataFrame, transcript: DataFrame, silences: DataFrame, scenes: DataFrame, hashes: DataFrame | None = None, config: Config | None = None, folder: str | None = None, resume: bool = False, enrich: Callable[[DataFrame, DataFrame], DataFrame] | None = None, annotate: Callable[[DataFrame], DataFrame] | None = None, split: Callable[[DataFrame], DataFrame] | None = None, first: str | None = None, last: str | None = None,
+    media: DataFrame, transcript: DataFrame, silences: DataFrame, scenes: DataFrame, hashes: DataFrame | None = None, config: Config | None = None, folder: str | None = None, resume: bool = False, enrich: Callable[[DataFrame, DataFrame], DataFrame] | None = None, annotate: Callable[[DataFrame], DataFrame] | None = None, split: Callable[[DataFrame], DataFrame] | None = None, first: str | None = None, last: str | None = None, models: str = "",
 ) -> tuple[DataFrame, DataFrame]:
     """(annotated chunks, frames with kind and texts).
 
     media: (video_id, duration_sec and, if known, source_hash); transcript: (video_id, seg_idx, start_sec, end_sec, text); silences:
     (video_id, start_sec, end_sec); scenes: (video_id, at_sec); hashes: (video_id, frame_idx, hash); enrich: adds ocr_text and
-    visual_caption to frames; annotate: adds title, summary and keywords to chunks, as a model would, instead of what the
+    visual_caption to frames; models: what names those that split and annotate use; annotate: adds title, summary and keywords to chunks, as a model would, instead of what the
     chunks' own words give; split: makes semantic chunks of coarse segments with their text, instead of equal pieces.
     """
     config = config or Config()
-    known = media
-    if folder and "source_hash" not in media.columns:  # what isn't read from files is known by its rows
-        known = media.select("video_id").join(rows_hash(media, transcript, silences, scenes, *([hashes] if hashes is not None else [])).withColumnRenamed("video_id", "_id"), F.col("video_id").cast("string") == F.col("_id"), "left").drop("_id")
-    stages = Stages(known, config, folder, resume, first, last)
+    given = {"media": media, "transcript": transcript, "silences": silences, "scenes": scenes} | ({"hashes": hashes} if hashes is not None else {})
+    for name, rows in given.items():
+        contracts.check(name, rows, contracts.GIVEN[name])
+    known = Kept(media.sparkSession).table(contracts.stage_keys(given, config, more=models), "keys") if folder else None
+    stages = Stages(media, config, folder, resume, first, last, known, typed=True)
     c, s, f = config.coarse, config.semantic, config.frames
     starts, ends = silences.select("video_id", F.col("start_sec").alias("at_sec")), silences.select("video_id", F.col("end_sec").alias("at_sec"))
     candidates = starts.unionByName(ends).unionByName(scenes.select("video_id", "at_sec"))

@@ -219,7 +219,7 @@ ANNOTATION = "title string, summary string, keywords array<string>"
 CHUNKS_PROMPT = "Split this transcript of %s seconds into parts of %s to %s seconds that follow each other from 0 to the end, as JSON with chunks of start_sec, end_sec and rationale:\n%s"
 CHUNKS = "chunks array<struct<start_sec:double,end_sec:double,rationale:string>>"
 # Texts of results.
-NO_SUMMARY, DIVIDED, STUB_CAPTION = "Failed to generate summary from LLM", "Fallback equal division", "Visual caption for "
+NO_SUMMARY, DIVIDED, STUB_CAPTION, NO_REPLY_KEYWORD = "Failed to generate summary from LLM", "Fallback equal division", "Visual caption for ", "content"
 
 
 def annotation_prompt(start: Column, end: Column, text: Column) -> Column:
@@ -247,7 +247,7 @@ def annotate_with(chunks: DataFrame, model: LanguageModel, at_once: int = 4, per
         {
             "title": F.when(whole, r["title"]).otherwise(short_title(F.col("transcript_text"), F.col("chunk_id"))),
             "summary": F.when(whole, r["summary"]).otherwise(NO_SUMMARY),
-            "keywords": F.when(whole, r["keywords"]).otherwise(F.array(F.lit("content"))),
+            "keywords": F.when(whole, r["keywords"]).otherwise(F.array(F.lit(NO_REPLY_KEYWORD))),
             "annotation_error": F.when(~F.coalesce(whole, F.lit(False)), F.coalesce("reply_error", F.lit("the reply lacks a field"))),
         }
     ).drop("prompt", "reply", "reply_error")

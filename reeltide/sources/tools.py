@@ -56,11 +56,20 @@ def with_media_ids(files: DataFrame, folder: str) -> DataFrame:
 def with_source_hash(files: DataFrame) -> DataFrame:
     """Adds source_hash, a digest of each file's contents, read piece by piece."""
 
-    def digest(path: str) -> str:
-        with open(path, "rb") as f:
-            return "sha256:" + hashlib.file_digest(f, "sha256").hexdigest()
+    return map_text(files, ["path"], "source_hash", file_hash)
 
-    return map_text(files, ["path"], "source_hash", digest)
+
+def file_hash(path: str) -> str:
+    with open(path, "rb") as f:
+        return "sha256:" + hashlib.file_digest(f, "sha256").hexdigest()
+
+
+def said(command: tuple[str, ...], given: dict[str, object], from_log: bool, must_succeed: bool = True, timeout: float = TOOL_TIMEOUT) -> str:
+    """What a command prints (or logs), whose braces stand for what is given."""
+    done = subprocess.run([part.format(**given) for part in command], capture_output=True, text=True, timeout=timeout)
+    if must_succeed and done.returncode:
+        raise OSError(done.stderr[-200:])
+    return done.stderr if from_log else done.stdout
 
 
 def run_tool(files: DataFrame, command: tuple[str, ...], output: str, path_col: str = "path", from_log: bool = False, must_succeed: bool = True, values: tuple[str, ...] = (), out_col: str | None = None, timeout: float = TOOL_TIMEOUT) -> DataFrame:
@@ -75,11 +84,7 @@ def run_tool(files: DataFrame, command: tuple[str, ...], output: str, path_col:
         out = given[out_col] if out_col else f"{path}.wav"
         if out_col:
             os.makedirs(os.path.dirname(out), exist_ok=True)
-        given |= {"path": path, "out": out}
-        done = subprocess.run([part.format(**given) for part in command], capture_output=True, text=True, timeout=timeout)
-        if must_succeed and done.returncode:
-            raise OSError(done.stderr[-200:])
-        return done.stderr if from_log else done.stdout
+        return said(command, given | {"path": path, "out": out}, from_log, must_succeed, timeout)
 
     return map_text(files, columns, output, call)
 

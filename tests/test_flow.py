@@ -1,16 +1,18 @@
 import dataclasses
+import hashlib
 import json
+from graphlib import CycleError
 
 import pytest
 from pyspark.sql import functions as F
 
 from reeltide import cli
-from reeltide.plans import ingest
-from reeltide.plans.config import Config
+from reeltide.plans import contracts, ingest
 from reeltide.plans.commits import Batches, put_if_absent
+from reeltide.plans.config import Config
 from reeltide.plans.manifest import Manifest, latest, rows_hash
 from reeltide.plans.pipeline import Ended, Stages, build
-from reeltide.sources import adapters, parsers, tools
+from reeltide.sources import adapters, mediasource, parsers, tools
 from reeltide.streaming import signals
 
 
@@ -46,7 +48,32 @@ def test_changed_rows_are_made_anew(spark, tmp_path):
     run = lambda second: {r.video_id: r.transcript_text for r in build(media, said(second), none, scenes, folder=str(tmp_path), resume=True)[0].where("start_sec = 0").collect()}
     assert run("same") == {1: "first words", 2: "same"}
     assert run("other") == {1: "first words", 2: "other"}
-    assert len(list((tmp_path / "stages/semantic").iterdir())) == 2
+    made = lambda: {s: len(list((tmp_path / f"stages/{s}").iterdir())) for s in contracts.STAGES}
+    assert made() == {"frames": 1, "coarse": 1, "semantic": 2, "normalize": 2, "annotate": 2}  # what doesn't read the transcript stays
+    changed = Config.parse("[frames]\nmax_analyzed = 9\n")
+    build(media, said("other"), none, scenes, config=changed, folder=str(tmp_path), resume=True)
+    assert made() == {"frames": 2, "coarse": 1, "semantic": 2, "normalize": 2, "annotate": 2}
+
+
+def test_contracts_give_order_and_fail_before_jobs(spark, tmp_path):
+    assert contracts.ordered()[-1] == "annotate" and contracts.ordered().index("coarse") < contracts.ordered().index("semantic")
+    with pytest.raises(contracts.ContractError, match="nothing gives"):
+        contracts.ordered({"a": contracts.Contract(("b",), (), "x int")})
+    with pytest.raises(CycleError):
+        contracts.ordered({"a": contracts.Contract(("b",), (), "x int"), "b": contracts.Contract(("a",), (), "x int")})
+    media = spark.createDataFrame([(1, 100.0)], "video_id long, duration_sec double")
+    none = spark.createDataFrame([], "video_id long, start_sec double, end_sec double")
+    scenes = spark.createDataFrame([], "video_id long, at_sec double")
+    words = spark.createDataFrame([], "video_id long, seg_idx int, start_sec double, end_sec double, text string")
+    with pytest.raises(contracts.ContractError, match="transcript lacks text string"):
+        build(media, words.drop("text"), none, scenes)
+    with pytest.raises(contracts.ContractError, match="scenes lacks at_sec double"):
+        build(media, words, none, scenes.withColumn("at_sec", F.col("at_sec").cast("string")))
+    with pytest.raises(contracts.ContractError, match="annotate lacks"):
+        build(media, words, none, scenes, annotate=lambda chunks: chunks)
+    with pytest.raises(ValueError, match="no such stage"):
+        build(media, words, none, scenes, folder=str(tmp_path), last="cuts")
+    assert build(media, words, none, scenes)[0].count() > 0
 
 
 def test_commits_of_several_writers(spark, tmp_path):
@@ -123,8 +150,8 @@ def test_process_media_files(spark, tmp_path):
     for name, x in streams.items():
         (media / f"{name}.mp4").write_bytes(name.encode())
         (media / f"{name}.mp4.probe").write_text('{"format":{"duration":"100.0"},"streams":[%s]}' % x)
-        (media / f"{name}.mp4.silence").write_text("x silence_start: 45.5\nx silence_end: 50.0 | silence_duration: 4.5\n")
-        (media / f"{name}.mp4.scenes").write_text("n:0 pts_time:20.5\n")
+        (media / f"{name}.mp4.silence").write_text("x silence_start: 44.25\nx silence_end: 52.75 | silence_duration: 8.5\n")
+        (media / f"{name}.mp4.scenes").write_text("n:0 pts_time:31.75\n")
     (media / "broken.mp4").write_bytes(b"?")
     show = lambda kind: ("sh", "-c", "cat '{path}." + kind + "' >&2")
     commands = tools.Tools(probe=("cat", "{path}.probe"), silence=show("silence"), scenes=show("scenes"), audio=("cp", "{path}", "{out}"), frame=("sh", "-c", "printf 'P5 1 1 255 x' > '{out}'"))
@@ -153,7 +180,7 @@ class Calls:
         self.media, self.log = folder / "media", folder / "log"
         noted = lambda step, then: ("sh", "-c", f"echo {step} $(cat '{{path}}') >> {self.log}; {then}")
         streams = '{"format":{"duration":"100.0"},"streams":[{"codec_type":"video"},{"codec_type":"audio"}]}'
-        self.commands = tools.Tools(probe=noted("probe", f"echo '{streams}'".replace("{", "{{").replace("}", "}}")), silence=noted("silence", "echo silence_start: 45.5 >&2; echo silence_end: 50.0 >&2"), scenes=noted("scene", "echo pts_time:20.5 >&2"), audio=noted("audio", "cp '{path}' '{out}'"), frame=("true",))
+        self.commands = tools.Tools(probe=noted("probe", f"echo '{streams}'".replace("{", "{{").replace("}", "}}")), silence=noted("silence", "echo silence_start: 44.25 >&2; echo silence_end: 52.75 >&2"), scenes=noted("scene", "echo pts_time:31.75 >&2"), audio=noted("audio", "cp '{path}' '{out}'"), frame=("true",))
 
     def put(self, name, text):
         path = self.media / name
@@ -165,20 +192,21 @@ class Calls:
         self.log.unlink(missing_ok=True)
         return lines
 
-    def transcribe(self, path):
-        text = open(path).read()
-        with open(self.log, "a") as f:
-            f.write(f"asr {text}\n")
-        return '{"result":[{"start":1.0,"end":30.0,"text":"of %s"}]}' % text
+    def speech(self):
+        log = str(self.log)
 
-    def facts(self, spark, commands=None):
-        found = ingest.facts(spark, str(self.media), str(self.media.parent / "out"), Speech(self), commands or self.commands)
-        return {r.video_id: r.text for r in found.transcript.collect()}, found
+        class Speech:  # of a function, so that workers needn't import this module
+            def transcribe(self, path):
+                text = open(path).read()
+                with open(log, "a") as f:
+                    f.write(f"asr {text}\n")
+                return '{"result":[{"start":1.0,"end":30.0,"text":"of %s"}]}' % text
 
+        return Speech()
 
-class Speech:
-    def __init__(self, calls):
-        self.transcribe = calls.transcribe
+    def facts(self, spark, commands=None):
+        found = ingest.facts(spark, str(self.media), str(self.media.parent / "out"), self.speech(), commands or self.commands)
+        return {r.video_id: r.text for r in found.transcript.collect()}, found
 
 
 def test_facts_are_kept_by_contents(spark, tmp_path):
@@ -196,7 +224,7 @@ def test_facts_are_kept_by_contents(spark, tmp_path):
     assert calls.facts(spark)[0] == {"moved": "of first", "two": "of third!", "copy": "of third!"} and calls.made() == []  # known contents elsewhere
     other = dataclasses.replace(calls.commands, scenes=(*calls.commands.scenes, "again"))
     found = calls.facts(spark, other)[1]
-    assert calls.made() == ["scene first", "scene third!"] and {r.at_sec for r in found.scenes.collect()} == {20.5}  # only the changed step
+    assert calls.made() == ["scene first", "scene third!"] and {r.at_sec for r in found.scenes.collect()} == {31.75}  # only the changed step
     calls.put("d/bad.mp4", "bad")
     broken = dataclasses.replace(calls.commands, silence=("sh", "-c", "grep -qv bad '{path}' && echo silence_start: 1 >&2"))
     calls.facts(spark, broken)
@@ -212,7 +240,7 @@ def test_equal_names_are_different_media(spark, tmp_path):
         calls.put(name, text)
     out = str(tmp_path / "out")
     commands = dataclasses.replace(calls.commands, frame=("sh", "-c", "printf 'P5 1 1 255 x' > '{out}'"))
-    cli.process(spark, str(calls.media), out, Config(), commands=commands, speech=Speech(calls))
+    cli.process(spark, str(calls.media), out, Config(), commands=commands, speech=calls.speech())
     lines = [json.loads(r.value) for r in spark.read.text(f"{out}/chunks.jsonl").collect()]
     assert len({x["chunk_id"] for x in lines}) == len(lines)
     said = {x["source_path"].rsplit("/media/")[1]: (x["video_id"], x["transcript"]) for x in lines if x["start_sec"] == 0}
@@ -232,6 +260,40 @@ def test_settings_choose_tools_and_adapters():
     assert adapters.ocr_of("none") is None
 
 
+def test_media_as_a_data_source(spark, tmp_path):
+    """Tools run for the columns asked for and the files that filters leave; a stream reads what arrives."""
+    calls = Calls(tmp_path)
+    calls.put("a/one.mp4", "first")
+    calls.put("b/two.mp4", "second one")
+    calls.put("b/bad.mp4", "bad")
+    calls.put("b/notes.txt", "no medium")
+    mediasource.register(spark)
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    scenes = ("sh", "-c", f"grep -qv bad '{{path}}' && echo scene $(cat '{{path}}') >> {calls.log} && echo pts_time:31.75 >&2")
+    commands = {"probe": json.dumps(calls.commands.probe), "scenes": json.dumps(scenes), "silence": json.dumps(calls.commands.silence)}
+    read = lambda schema: spark.read.format("media").options(**commands).schema(schema).load(str(calls.media))
+    files = read("path string, bytes bigint").collect()
+    assert sorted((r.path.rsplit("/", 1)[1], r.bytes) for r in files) == [("bad.mp4", 3), ("one.mp4", 5), ("two.mp4", 10)] and calls.made() == []
+    rows = {r.path.rsplit("/", 1)[1]: r for r in read("path string, scene_log string, error string").collect()}
+    assert rows["one.mp4"].scene_log == "pts_time:31.75\n" and rows["one.mp4"].error is None
+    assert rows["bad.mp4"].scene_log is None and rows["bad.mp4"].error.startswith("scene_log: OSError") and calls.made() == ["scene first", "scene second one"]
+    large = read("path string, bytes bigint, source_hash string, probe_json string").where("bytes > 5").collect()
+    assert [r.source_hash for r in large] == ["sha256:" + hashlib.sha256(b"second one").hexdigest()] and calls.made() == ["probe second one"]
+    assert set(spark.read.format("media").options(**commands).load(str(calls.media)).columns) == {"path", "bytes", "modified", "source_hash", "probe_json", "silence_log", "scene_log", "error"}
+    assert spark.read.format("media").load(str(tmp_path / "none")).isEmpty()
+
+    def arrived():
+        q = spark.readStream.format("media").options(**commands).schema("path string, probe_json string").load(str(calls.media))
+        q = q.writeStream.format("parquet").option("path", str(tmp_path / "seen")).option("checkpointLocation", str(tmp_path / "at")).trigger(availableNow=True).start()
+        q.awaitTermination(120)
+        return sorted(r.path.rsplit("/", 1)[1] for r in spark.read.parquet(str(tmp_path / "seen")).collect())
+
+    calls.made()
+    assert arrived() == ["bad.mp4", "one.mp4", "two.mp4"] and calls.made() == ["probe bad", "probe first", "probe second one"]
+    calls.put("c/late.mp4", "late")
+    assert arrived() == ["bad.mp4", "late.mp4", "one.mp4", "two.mp4"] and calls.made() == ["probe late"]
+
+
 def test_streams_agree_with_batch(spark, small, tmp_path):
     events = spark.read.parquet(f"{small}/events.parquet")
     spark.conf.set("spark.sql.shuffle.partitions", "2")

@@ -109,9 +109,9 @@ def test_probe_and_scene_log(spark):
     a, b, c = parsers.probe(df, "j").collect()
     assert (a.duration_sec, a.width, a.height, a.has_video, a.has_audio) == (75.25, 704, 396, True, True) and abs(a.fps - 23.976) < 0.01
     assert (b.duration_sec, b.fps, b.has_video, b.has_audio) == (0.0, 0.0, False, False) and c.duration_sec == 0.0
-    log = "x pts_time:1.234\npts_time:5 time=00:00:06.000\ntime=bad pts_time:2\ntime=7 pts_time:3\nnone\ntime=00:00:20.5"
+    log = "x pts_time:3.071\npts_time:8 time=00:00:09.250\ntime=bad pts_time:4\ntime=7 pts_time:11\nnone\ntime=00:01:02.75"
     row = spark.createDataFrame([(log,)], "l string").select(parsers.scene_times(F.col("l")).alias("t")).first()
-    assert row.t == [1.234, 6.0, 2.0, 20.5]
+    assert row.t == [3.071, 9.25, 4.0, 62.75]
 
 
 def test_speech_layouts(spark):
