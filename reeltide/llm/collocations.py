@@ -88,6 +88,8 @@ class Trie:
         first, second = np.array(self.waiting, np.int64)
         self.waiting = [], []
         first, second = first[first > 0], second[first > 0]
+        if not len(first):
+            return
         order = np.argsort(first, kind="stable")
         first, second = first[order], second[order].tolist()
         cuts = np.flatnonzero(np.diff(first, prepend=-1))
