@@ -61,6 +61,6 @@ def test_stages_on_odd_rows(spark, small):
 
 def test_run_and_queries(spark, small):
     assert corpus_pipeline.run(spark, small).columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
     for name in ("op1_warc", "op2_bit_sliced_topk", "op4_bin_packing", "op5_pivot_index", "op7_tag_paths"):
         assert not queries.QUERIES[name](spark, small).isEmpty()
