@@ -42,39 +42,63 @@ def similar_groups(rows, k, num, den=100):
     return {i: union.find(i) for i in sets}
 
 
-def without_repeats(rows, bounds, least=10, length=50):
-    """{id: (text, sentences gone)} for distinct ids; ``bounds``: the first word of each sentence of a text."""
+def sentence_starts(text, rank, long=16, near=3, most=20):
+    """Numbers of the first words of a text's sentences; ``rank``: the hash by which long ones are cut."""
+    found = list(WORD.finditer(text))
+    plain, current = [], []
+    for k, m in enumerate(found):
+        current.append(k)
+        after = text[m.end() : found[k + 1].start()] if k + 1 < len(found) else "\n"
+        if m.group()[-1] in ".!?" or "\n" in after:
+            plain.append(current)
+            current = []
+    starts = []
+    for sentence in plain:
+        h = [rank(found[k].group().translate(FOLD)) for k in sentence]
+        pieces = [[]]
+        for j, k in enumerate(sentence):
+            pieces[-1].append(k)
+            beside = h[max(0, j - near) : j] + h[j + 1 : j + 1 + near]
+            if len(sentence) > long and all(h[j] < x for x in beside):
+                pieces.append([])
+        starts += [k for piece in pieces for k in piece[::most]]
+    return starts
+
+
+def without_repeats(rows, rank, sentences=3, least=20, pair_words=10, length=50):
+    """{id: (text, sentences gone)} for distinct ids: of equal spans all but the first go, of exact copies all spans but the first copy's."""
     rows = sorted((i, t or "") for i, t in rows)
     words = {i: [m.group().translate(FOLD) for m in WORD.finditer(t)] for i, t in rows}
-    starts = {i: [*bounds(t), len(words[i])] for i, t in rows}
+    starts = {i: [*sentence_starts(t, rank), len(words[i])] for i, t in rows}
     first_of = {}
     for i, t in rows:
         first_of.setdefault(t, i)
-    runs, owners = defaultdict(list), defaultdict(list)
+    pairs, owners = defaultdict(list), defaultdict(list)
     for i, t in rows:
         for a, b in zip(starts[i], starts[i][2:]):
-            if b - a >= least:
-                runs[i].append((a, b))
+            if b - a >= pair_words:
+                pairs[i].append((a, b))
                 owners[tuple(words[i][a:b])].append(t)
-    shared = {k for k, own in owners.items() if len(set(own)) > 1 or any(runs_of > 1 for runs_of in _within(own, first_of, rows))}
+    shared = {k for k, own in owners.items() if len(set(own)) > 1 or any(often > 1 for often in _within(own, first_of, rows))}
 
-    def stretches(i, some):
-        return sorted({s for a, b in some for s in range(max(0, b - length), min(a, len(words[i]) - length) + 1)})
+    def spans(i, some):
+        found = {(s, s + length) for a, b in some for s in range(max(0, b - length), min(a, len(words[i]) - length) + 1)}
+        return found | {(a, b) for a, b in zip(starts[i], starts[i][sentences:]) if b - a >= least}
 
     seen, cut = defaultdict(list), {}
     for i, t in rows:
         if first_of[t] == i:
-            for s in stretches(i, [r for r in runs[i] if tuple(words[i][slice(*r)]) in shared]):
-                seen[tuple(words[i][s : s + length])].append((i, s))
+            for a, b in spans(i, [r for r in pairs[i] if tuple(words[i][slice(*r)]) in shared]):
+                seen[tuple(words[i][a:b])].append((i, a, b))
             cut[i] = set()
         else:
-            cut[i] = set(stretches(i, runs[i]))
+            cut[i] = spans(i, pairs[i])
     for places in seen.values():
-        for i, s in sorted(places)[1:]:
-            cut[i].add(s)
+        for i, a, b in sorted(places)[1:]:
+            cut[i].add((a, b))
     out = {}
     for i, t in rows:
-        covered = {w for s in cut[i] for w in range(s, s + length)}
+        covered = {w for span in cut[i] for w in range(*span)}
         gone = [set(range(a, b)) <= covered for a, b in zip(starts[i], starts[i][1:])] if words[i] else []
         at = [m.start() for m in WORD.finditer(t)]
         edges = [0, *(at[a] for a in starts[i][1:-1]), len(t)]

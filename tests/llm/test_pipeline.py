@@ -1,11 +1,11 @@
 """The stages of the corpus pipeline, each against what it decides."""
 
 import corpus_pipeline
-import pyarrow as pa
 from pyspark.sql import functions as F
 from tests.llm.brute import WORD, similar_groups, without_repeats
+from tests.llm.test_documents import _rank
 
-from reeltide.llm import kneser_ney, queries, span_dedup
+from reeltide.llm import kneser_ney, queries
 
 
 def test_stages(spark, small):
@@ -23,7 +23,7 @@ def test_stages(spark, small):
     assert {r.doc_id for r in unique.collect()} == set(groups.values()) and unique.columns == columns
 
     cut = stages["substring dedup"](spark, unique, small).persist()
-    assert {r.doc_id: r.text for r in cut.collect()} == {i: t for i, (t, _) in without_repeats([(r.doc_id, r.text) for r in unique.collect()], lambda x: span_dedup.Words(pa.array([x])).first.tolist()).items()}
+    assert {r.doc_id: r.text for r in cut.collect()} == {i: t for i, (t, _) in without_repeats([(r.doc_id, r.text) for r in unique.collect()], _rank).items()}
     assert cut.columns == columns and cut.where(F.length("text") != F.col("n_chars")).isEmpty()
 
     mixed = stages["mixing sources to target weights"](spark, cut, small).persist()
