@@ -5,8 +5,9 @@ them; vectors of one label that share enough pivots of their descriptions are ca
 cosine in double precision.
 
 Equal vectors of a label are one class from the start and count by their number. Each pivot's list is dealt to
-pairs of bounded blocks, and a pair of vectors is looked at only in the list of the first pivot they share, so
-that links are counted once and leave a task as sums per vector and a spanning forest, never as pairs.
+pairs of bounded blocks. There the other pivots' lists, cut down to the blocks, are walked to count what pairs share; a pair
+belongs to the list of the first pivot that it shares, and only pairs that share enough are compared by cosine. So
+links are counted once and leave a task as sums per vector and a spanning forest, never as pairs.
 
 A label has twice the square root of its number of vectors as pivots (PIVOTS says at least and at most), so that lists grow more slowly than the
 table and the share of all pairs that they hold falls. Pivots are chosen from a bounded sample of the label (SAMPLED
@@ -29,11 +30,11 @@ from reeltide.llm.graph import connected_components
 from reeltide.llm.scratch import Scratch, salted_lookup
 
 #: Pivots of a label at least and at most, pivots that describe a vector, and how many of them candidates share.
-PIVOTS, NEAREST, SHARED = (64, 1024), 8, 2
+PIVOTS, NEAREST, SHARED = (64, 16_384), 8, 2
 #: Vectors for each pivot that a label's pivots are chosen from, and the cosine that pivots have to each other at most.
 SAMPLED, APART = 8, 0.7
-#: Vectors of one block of a list, and of one that is described at once.
-BLOCK, DESCRIBED = 1024, 16_384
+#: Vectors of one block of a list, and of one that is described by one task; cosines to pivots, and of candidates, that are held at once.
+BLOCK, DESCRIBED, HELD = 2048, 16_384, 1 << 22
 
 
 def _describe(vectors, pivots):
@@ -43,33 +44,57 @@ def _describe(vectors, pivots):
     v = np.concatenate([np.zeros(0), *(c.flatten().to_numpy() for c in vectors.column("v").chunks)]).reshape(n, -1)
     p = p.reshape(-1, v.shape[1])
     v = v / np.linalg.norm(v, axis=1, keepdims=True)
-    near = np.argsort(-(v @ p.T), axis=1, kind="stable")[:, :NEAREST].astype(np.int32)
+    near = np.empty((n, min(NEAREST, len(p))), np.int32)
+    step = max(1, HELD // len(p))
+    for a in range(0, n, step):
+        far = -(v[a : a + step] @ p.T)
+        some = np.sort(np.argpartition(far, near.shape[1] - 1, axis=1)[:, : near.shape[1]], axis=1)
+        order = np.argsort(np.take_along_axis(far, some, 1), axis=1, kind="stable")
+        near[a : a + step] = np.take_along_axis(some, order, 1)
     lists = pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * near.shape[1], pa.int32()), pa.array(near.ravel()))
     return pa.Table.from_arrays([*(vectors.column(c) for c in ("part", "node", "n", "v")), lists], names=["part", "node", "n", "v", "near"])
 
 
+def _posts(near: np.ndarray) -> dict[int, np.ndarray]:
+    """The rows that each pivot describes."""
+    row = np.repeat(np.arange(len(near)), near.shape[1])
+    order = np.argsort(near.ravel(), kind="stable")
+    held, begin = np.unique(near.ravel()[order], return_index=True)
+    return dict(zip(held.tolist(), np.split(row[order], begin[1:]), strict=True))
+
+
+def candidates(pivot: int, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of rows of two blocks of the list of ``pivot`` that share SHARED pivots and none of a smaller number (``x``, ``y``: their pivots)."""
+    shared = np.ones((len(x), len(y)), np.uint8)
+    a, b = _posts(x), _posts(y)
+    both = sorted(set(a) & set(b), reverse=True)  # those before the list's own come last
+    for p in both:
+        if p > pivot:
+            shared[np.ix_(a[p], b[p])] += 1
+        elif p < pivot:
+            shared[np.ix_(a[p], b[p])] = 0
+    return np.nonzero(shared >= min(SHARED, x.shape[1]))
+
+
 def _verify(least: float):
     def run(table):
         table = table.combine_chunks()
         pivot = table.column("pivot")[0].as_py()
-        side = table.column("side").to_numpy()
-        rows = [np.flatnonzero(side == k) for k in (0, 1)]
         same = table.column("i")[0].as_py() == table.column("j")[0].as_py()
-        width = len(table.column("v")[0])
-        v = table.column("v").combine_chunks().flatten().to_numpy().astype(float).reshape(-1, width)
+        side = table.column("side").to_numpy()
+        x, y = (np.flatnonzero(side == k) for k in (0, 0 if same else 1))
+        v, near = (table.column(c).combine_chunks().flatten().to_numpy().reshape(len(table), -1) for c in ("v", "near"))
         v = v / np.linalg.norm(v, axis=1, keepdims=True)
-        near = table.column("near").combine_chunks()
-        held = near.flatten().to_numpy()
-        marks = np.zeros((len(table), int(held.max()) + 1), np.float32)
-        marks[np.repeat(np.arange(len(table)), np.diff(near.offsets.to_numpy())), held] = 1
         node, n = table.column("node").to_numpy(), table.column("n").to_numpy()
-        x, y = rows
-        shared = marks[x] @ marks[y].T
-        earlier = marks[x][:, :pivot] @ marks[y][:, :pivot].T
-        few = np.minimum(SHARED, np.minimum(marks[x].sum(1)[:, None], marks[y].sum(1)[None, :]))
-        linked = (shared >= few) & (earlier == 0) & (v[x] @ v[y].T >= least)
+        a, b = candidates(pivot, near[x], near[y])
         if same:
-            linked &= node[x][:, None] < node[y][None, :]
+            once = node[x[a]] < node[y[b]]
+            a, b = a[once], b[once]
+        linked = np.zeros((len(x), len(y)), bool)
+        step = max(1, HELD // v.shape[1])
+        for k in range(0, len(a), step):
+            i, j = a[k : k + step], b[k : k + step]
+            linked[i, j] = np.einsum("ij,ij->i", v[x[i]], v[y[j]]) >= least
         degree: dict[int, int] = {}
         for at, other, axis in ((x, y, 1), (y, x, 0)):
             total = (linked * (n[other][None, :] if axis else n[other][:, None])).sum(axis)
@@ -114,12 +139,11 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
 
 def _pivots(classes: DataFrame, counts: DataFrame) -> DataFrame:
     """(part, pivots): the unit vectors of a sample of each part's classes that lie apart, packed as doubles. ``counts``: (part, pivots), how many."""
-    # the few smallest hashes of each part: first within 32 slices, then of those
+    # the few smallest hashes of each part: first within 32 slices, twice what each should give, then of those
     slices = Window.partitionBy("part", "slice").orderBy("h", "node")
-    some = classes.select("part", "node", "v", F.xxhash64("node", F.lit(7)).alias("h")).withColumn("slice", F.pmod("h", F.lit(32)))
-    some = some.withColumn("r", F.row_number().over(slices)).where(F.col("r") <= SAMPLED * PIVOTS[1] // 16)
-    some = some.withColumn("r", F.row_number().over(Window.partitionBy("part").orderBy("h", "node")))
-    some = some.join(counts, "part").where(F.col("r") <= SAMPLED * F.col("pivots"))
+    some = salted_lookup(classes.select("part", "node", "v"), counts, "part", ["node"], "inner").withColumn("h", F.xxhash64("node", F.lit(7))).withColumn("slice", F.pmod("h", F.lit(32)))
+    some = some.withColumn("r", F.row_number().over(slices)).where(F.col("r") <= SAMPLED * F.col("pivots") / 16)
+    some = some.withColumn("r", F.row_number().over(Window.partitionBy("part").orderBy("h", "node"))).where(F.col("r") <= SAMPLED * F.col("pivots"))
 
     def gather(table):
         table = table.sort_by("r")
@@ -149,7 +173,7 @@ def _linked(rows: DataFrame, classed: DataFrame, classes: DataFrame, least: floa
     plan = posts.groupBy("part", "pivot").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")).select(F.struct("part", "pivot").alias("k"), "blocks")
     posts = salted_lookup(posts.withColumn("k", F.struct("part", "pivot")), plan, "k", ["node"], "inner")
     posts = posts.withColumn("b", F.pmod(F.xxhash64("node", F.lit(3)), F.col("blocks")).cast("int"))
-    meet = F.expr("concat(transform(sequence(b, blocks - 1), x -> struct(b as i, x as j, 0 as side)), transform(sequence(0, b), x -> struct(x as i, b as j, 1 as side)))")
+    meet = F.expr("concat(transform(sequence(b, blocks - 1), x -> struct(b as i, x as j, 0 as side)), if(b > 0, transform(sequence(0, b - 1), x -> struct(x as i, b as j, 1 as side)), array()))")  # a block meets itself once
     sent = posts.withColumn("m", F.explode(meet)).select("part", "pivot", "m.i", "m.j", "m.side", "node", "n", "v", "near")
     found = scratch.table(sent.groupBy("part", "pivot", "i", "j").applyInArrow(_verify(least), "u long, v long, links long"), "found")
     degrees = found.where("v is null").groupBy("u").agg(F.sum("links").alias("links"))

@@ -9,6 +9,7 @@ from collections import defaultdict
 from html import unescape
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tests.llm.brute import Union
@@ -105,6 +106,35 @@ def test_near_duplicates_in_blocks(vectors, monkeypatch):
     assert pivot_index.near_duplicates(df.limit(0)).isEmpty()
 
 
+def test_candidates_by_posts():
+    """Counts by the pivots' lists equal those by sets."""
+    rng = np.random.default_rng(5)
+    x, y = (np.array([[7, *rng.choice([k for k in range(20) if k != 7], 4, replace=False)] for _ in range(n)], np.int32) for n in (40, 31))
+    got = set(zip(*(k.tolist() for k in pivot_index.candidates(7, x, y)), strict=True))
+    assert got == {(i, j) for i, a in enumerate(x.tolist()) for j, b in enumerate(y.tolist()) if len({*a} & {*b}) >= 2 and min({*a} & {*b}) == 7}
+
+
+def test_few_cosines_for_one_large_label(spark, monkeypatch):
+    """20,000 vectors of one label: all planted links found, and no more than a twentieth of all pairs may be compared."""
+    rng = np.random.default_rng(9)
+    v = rng.normal(size=(20_000, 64))
+    twin = rng.permutation(20_000)
+    v[twin[:2000]] = v[twin[2000:4000]] + 0.02 * rng.normal(size=(2000, 64))
+    frame = pa.table({"vec_id": pa.array(np.arange(20_000)), "embedding": pa.FixedSizeListArray.from_arrays(pa.array(v.ravel()), 64).cast(pa.list_(pa.float64())), "label": pa.array(["one"] * 20_000)})
+    compared = spark.sparkContext.accumulator(0)
+    found, count = pivot_index.candidates, lambda a: compared.add(len(a))
+
+    def counted(*given):
+        a, b = found(*given)
+        count(a)
+        return a, b
+
+    monkeypatch.setattr(pivot_index, "candidates", counted)
+    links = pivot_index.near_duplicates(spark.createDataFrame(frame)).where("n_links = 1").count()
+    assert links == 4000
+    assert compared.value <= 0.05 * 20_000**2 / 2 * 2  # a block that meets itself holds each pair twice
+
+
 def test_warc_round_trip(spark, monkeypatch):
     monkeypatch.setattr(warc, "ARCHIVE_BYTES", 20_000)
     pages = [(i, f"http://x.example/{i}", f"<p>Page {i % 40} é {'word ' * (i % 40)}</p>") for i in range(200)]
