@@ -7,9 +7,9 @@ of both classes. An n-gram that neither class knows after a context gets the sam
 from both, so a rare expression is only as suspicious as the parts of it that were seen; inflected forms of
 a toxic stem are caught by the stem.
 
-Counts are taken over all labelled training rows but those that calibrate: a document counts a word once. A
-logistic regression turns a document's highest expression scores and its mean into a probability; it is
-fitted on CALIBRATION_ROWS labelled rows of one fold at most, which the counts leave out.
+Counts are taken over all labelled training rows: a document counts a word once. A logistic regression turns a
+document's highest expression scores and its mean into a probability. It is fitted on CALIBRATION_ROWS labelled rows of
+one fold at most, scored by a second model whose counts leave out just these rows; both models are made in the same passes.
 
 A model of up to BROADCAST_ENTRIES entries is sent to all tasks; with a larger one each distinct word of the corpus is scored once, by
 joins, and joined back to the documents that have it. Scores are the same either way.
@@ -77,77 +77,98 @@ def _distinct_words(text: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray,
 def _merge(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
     gram = np.concatenate([p[0] for p in parts])
     key, back = np.unique(gram, return_inverse=True)
-    return key, *(np.bincount(back, np.concatenate([p[i] for p in parts]), len(key)).astype(np.int64) for i in (1, 2))
+    return key, *(np.bincount(back, np.concatenate([p[i] for p in parts]), len(key)).astype(np.int64) for i in range(1, 5))
 
 
 def _count(batches):
-    """(text, toxic) -> (gram, t, o): in how many toxic and ordinary documents' words each n-gram occurs."""
-    held = [(np.zeros(0, np.int64),) * 3]
-    names = ["gram", "t", "o"]
+    """(text, toxic, apart) -> (gram, t0, o0, t1, o1): in how many toxic and ordinary documents' words each n-gram occurs, and without those apart."""
+    held = [(np.zeros(0, np.int64),) * 5]
+    names = ["gram", "t0", "o0", "t1", "o1"]
     for batch in batches:
-        text, toxic = W.as_strings(batch.column(0)), batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
+        text = W.as_strings(batch.column(0))
+        toxic, apart = (batch.column(i).to_numpy(zero_copy_only=False).astype(bool) for i in (1, 2))
         for a, b in W.chunks(text):
             data, start, end, row, h = _distinct_words(text[a:b])
             if not len(h):
                 continue
             _, first, back = np.unique(h, return_index=True, return_inverse=True)
-            bad = toxic[a:b][row]
-            t, o = np.bincount(back, bad, len(first)), np.bincount(back, ~bad, len(first))
+            bad, kept = toxic[a:b][row], ~apart[a:b][row]
+            often = [np.bincount(back, which, len(first)) for which in (bad, ~bad, bad & kept, ~bad & kept)]
             gram, word = _grams(data, start[first], end[first])
-            held.append(_merge([(gram, t[word], o[word])]))
+            held.append(_merge([(gram, *(x[word] for x in often))]))
         if sum(len(x[0]) for x in held) > _HELD:
             held = [_merge(held)]
             if len(held[0][0]) > _HELD:
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in held.pop()], names)
-                held = [(np.zeros(0, np.int64),) * 3]
+                held = [(np.zeros(0, np.int64),) * 5]
     yield pa.RecordBatch.from_arrays([pa.array(x) for x in _merge(held)], names)
 
 
+#: The two models: of all counts, and of those without the rows apart.
+_MODELS = (0, 1)
+
+
 def _shared_backoff(grams: DataFrame, scratch: Scratch) -> DataFrame:
-    """(gram of ORDER - 1 bytes, p): interpolated Kneser-Ney over the continuation counts of both classes."""
+    """(gram of ORDER - 1 bytes, p0, p1): interpolated Kneser-Ney over the continuation counts of both classes, for each model."""
     levels = []
-    counts = grams.select("gram")
+    seen = lambda c: (c > 0).cast("int")
+    counts = grams.select("gram", *(seen(F.col(f"t{m}") + F.col(f"o{m}")).alias(f"k{m}") for m in _MODELS))
     for k in range(ORDER - 1, 0, -1):
-        counts = scratch.table(counts.groupBy(F.col("gram").bitwiseAND((1 << 8 * k) - 1).alias("gram")).agg(F.count("*").alias("c")), f"continuations{k}")
+        longer = counts.groupBy(F.col("gram").bitwiseAND((1 << 8 * k) - 1).alias("gram"))
+        counts = scratch.table(longer.agg(*(F.sum(f"k{m}").alias(f"c{m}") for m in _MODELS)), f"continuations{k}")
         levels.append(counts)
-        counts = counts.select("gram")
+        counts = counts.select("gram", *(seen(F.col(f"c{m}")).alias(f"k{m}") for m in _MODELS))
     lower: DataFrame | None = None
     for k, counts in zip(range(1, ORDER), reversed(levels), strict=True):
-        d = _discount(counts, "c")
+        d = _discounts(counts, "c")
         context = F.shiftright("gram", 8)
-        around = counts.groupBy(context.alias("context")).agg(F.sum("c").alias("s"), F.count("*").alias("n"))
+        around = counts.groupBy(context.alias("context")).agg(*[f for m in _MODELS for f in (F.sum(f"c{m}").alias(f"s{m}"), F.count_if(F.col(f"c{m}") > 0).alias(f"n{m}"))])
         both = counts.withColumn("context", context).join(around, "context")
         if lower is None:
-            both = both.withColumn("p_low", F.lit(1 / 256))
+            both = both.select("*", *(F.lit(1 / 256).alias(f"low{m}") for m in _MODELS))
         else:
-            both = both.withColumn("low", F.col("gram").bitwiseAND((1 << 8 * (k - 1)) - 1)).join(lower.select(F.col("gram").alias("low"), F.col("p").alias("p_low")), "low")
-        lower = scratch.table(both.select("gram", ((F.greatest(F.col("c") - d, F.lit(0.0)) + d * F.col("n") * F.col("p_low")) / F.col("s")).alias("p")), f"shared{k}")
+            both = both.withColumn("low", F.col("gram").bitwiseAND((1 << 8 * (k - 1)) - 1)).join(lower.select(F.col("gram").alias("low"), *(F.col(f"p{m}").alias(f"low{m}") for m in _MODELS)), "low")
+
+        def p(m: int, d: float) -> Column:  # null where the model doesn't know the context
+            return F.when(F.col(f"s{m}") > 0, (F.greatest(F.col(f"c{m}") - d, F.lit(0.0)) + d * F.col(f"n{m}") * F.col(f"low{m}")) / F.col(f"s{m}"))
+
+        lower = scratch.table(both.select("gram", *(p(m, d[m]).alias(f"p{m}") for m in _MODELS)), f"shared{k}")
     return lower
 
 
-def _discount(counts: DataFrame, c: str) -> float:
-    """The usual estimate from how many counts are one and two."""
-    one, two = counts.agg(F.count_if(F.col(c) == 1), F.count_if(F.col(c) == 2)).first()
-    return min(0.95, max(0.1, one / (one + 2 * two))) if one else 0.5
+def _discounts(counts: DataFrame, c: str) -> list[float]:
+    """The usual estimate from how many counts are one and two, for each model."""
+    found = counts.agg(*[F.count_if(F.col(f"{c}{m}") == k) for m in _MODELS for k in (1, 2)]).first()
+    return [min(0.95, max(0.1, found[2 * m] / (found[2 * m] + 2 * found[2 * m + 1]))) if found[2 * m] else 0.5 for m in _MODELS]
+
 
+def fit(train: DataFrame, text: str, toxic: str, scratch: Scratch, apart: str | None = None) -> DataFrame:
+    """(key, llr, llr_apart): the log-likelihood ratio of every known n-gram, and of an unknown one after every known context.
 
-def fit(train: DataFrame, text: str, toxic: str, scratch: Scratch) -> DataFrame:
-    """(key, llr): the log-likelihood ratio of every known n-gram, and of an unknown one after every known context."""
-    parts = train.select(F.col(text), F.col(toxic).cast("boolean")).mapInArrow(_count, "gram long, t long, o long")
-    grams = scratch.table(parts.groupBy("gram").agg(F.sum("t").alias("t"), F.sum("o").alias("o")), "grams")
-    dt, do = _discount(grams, "t"), _discount(grams, "o")
-    around = scratch.table(grams.groupBy(F.shiftright("gram", 8).alias("context")).agg(*[f for x in "to" for f in (F.sum(x).alias(f"s{x}"), F.count_if(F.col(x) > 0).alias(f"n{x}"))]), "contexts")
+    ``apart``: a column that marks the rows that the second ratio is without; it is null where the n-gram or context isn't known without them.
+    """
+    kept = F.coalesce(F.col(apart).cast("boolean"), F.lit(False)) if apart else F.lit(False)
+    parts = train.select(F.col(text), F.col(toxic).cast("boolean"), kept.alias("apart")).mapInArrow(_count, "gram long, t0 long, o0 long, t1 long, o1 long")
+    grams = scratch.table(parts.groupBy("gram").agg(*(F.sum(x).alias(x) for x in ("t0", "o0", "t1", "o1"))), "grams")
+    d = {x: _discounts(grams, x) for x in "to"}
+    sums = [f for x in ("t0", "o0", "t1", "o1") for f in (F.sum(x).alias(f"s{x}"), F.count_if(F.col(x) > 0).alias(f"n{x}"))]
+    around = scratch.table(grams.groupBy(F.shiftright("gram", 8).alias("context")).agg(*sums), "contexts")
+
+    def rest(x: str, m: int) -> Column:  # what a context leaves to the shared distribution
+        return F.when(F.col(f"s{x}{m}") > 0, d[x][m] * F.col(f"n{x}{m}") / F.col(f"s{x}{m}")).otherwise(1.0)
 
-    def rest(x: str, d: float) -> Column:  # what a context leaves to the shared distribution
-        return F.when(F.col(f"s{x}") > 0, d * F.col(f"n{x}") / F.col(f"s{x}")).otherwise(1.0)
+    def p(x: str, m: int) -> Column:
+        own = F.when(F.col(f"s{x}{m}") > 0, F.greatest(F.col(f"{x}{m}") - d[x][m], F.lit(0.0)) / F.col(f"s{x}{m}")).otherwise(0.0)
+        return own + rest(x, m) * F.col(f"p{m}")
 
-    def p(x: str, d: float) -> Column:
-        return F.when(F.col(f"s{x}") > 0, F.greatest(F.col(x) - d, F.lit(0.0)) / F.col(f"s{x}")).otherwise(0.0) + rest(x, d) * F.col("p")
+    def ratio(of, t: str, o: str, m: int) -> Column:
+        known = F.col(f"{t}{m}") + F.col(f"{o}{m}") > 0
+        return F.when(known, F.log(of("t", m) / of("o", m))).cast("float").alias("llr_apart" if m else "llr")
 
     low = F.col("gram").bitwiseAND((1 << 8 * (ORDER - 1)) - 1)
     known = grams.withColumn("low", low).withColumn("context", F.shiftright("gram", 8)).join(_shared_backoff(grams, scratch).withColumnRenamed("gram", "low"), "low").join(around, "context")
-    known = known.select(F.col("gram").alias("key"), F.log(p("t", dt) / p("o", do)).cast("float").alias("llr"))
-    unknown = around.select((F.col("context") + F.lit(_CONTEXT)).alias("key"), F.log(rest("t", dt) / rest("o", do)).cast("float").alias("llr"))
+    known = known.select(F.col("gram").alias("key"), *(ratio(p, "t", "o", m) for m in _MODELS))
+    unknown = around.select((F.col("context") + F.lit(_CONTEXT)).alias("key"), *(ratio(rest, "st", "so", m) for m in _MODELS))
     return scratch.table(known.unionByName(unknown), "model")
 
 
@@ -229,10 +250,16 @@ def _word_grams(batches):
 def _word_scores(source: DataFrame, model: DataFrame, scratch: Scratch) -> DataFrame:
     """(word, score, size, n): each distinct word's log-likelihood ratio and number of n-grams, and how many rows have it, at least."""
     words = source.select("text").mapInArrow(_word_bytes, "word long, bytes binary").groupBy("word").agg(F.first("bytes").alias("bytes"))
-    grams = scratch.table(words, "words").mapInArrow(_word_grams, "word long, gram long").withColumn("context", F.shiftright("gram", 8))
-    # hot n-grams are few: the words are distinct
-    known = grams.join(model.select(F.col("key").alias("gram"), "llr"), "gram", "left")
-    known = known.join(model.select((F.col("key") - F.lit(_CONTEXT)).alias("context"), F.col("llr").alias("other")), "context", "left")
+    grams = scratch.table(scratch.table(words, "words").mapInArrow(_word_grams, "word long, gram long"), "word-grams").withColumn("context", F.shiftright("gram", 8))
+    # the first n-gram of a word says no more than its first byte: a few n-grams and contexts come with a large share of all words
+    total = grams.count()
+
+    def often(of: str, key: Column, llr: str) -> DataFrame:
+        found = model.select(key.alias(of), F.col("llr").alias(llr))
+        return scratch.table(found.join(grams.groupBy(of).agg(F.count("*").alias("n")), of), f"found-{of}")
+
+    known = lookup(grams, often("gram", F.col("key"), "llr"), "gram", ["word"], total=total)
+    known = lookup(known, often("context", F.col("key") - F.lit(_CONTEXT), "other"), "context", ["word", "gram"], total=total)
     return known.groupBy("word").agg(F.sum(F.coalesce("llr", "other", F.lit(0.0)).cast("double")).alias("score"), F.count("*").alias("size"))
 
 
@@ -284,23 +311,26 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", folds: int = 5, held_out: int = 0, calibration: int = 1) -> DataFrame:
     """One row per row of ``docs``: the id, held_out, score, predicted, of (the xxhash64 of its text), and the features.
 
-    Rows fall into ``folds`` by crc32 of the id as text. Labels of fold ``held_out`` are never used; those of fold
-    ``calibration`` only calibrate, at most CALIBRATION_ROWS of them (those of smallest hashed id).
+    Rows fall into ``folds`` by crc32 of the id as text. Labels of fold ``held_out`` are never used; of those of fold
+    ``calibration`` CALIBRATION_ROWS at most (those of smallest hashed id) calibrate as well as count.
     """
     scratch = Scratch(docs.sparkSession, "toxicity")
     fold = F.pmod(F.crc32(F.col("id").cast("string").cast("binary")), F.lit(folds))
     marked = labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("y")).where("id is not null and y is not null").groupBy("id").agg(F.max(F.col("y").cast("int")).alias("y"))
     marked = marked.withColumn("fold", fold).where(F.col("fold") != held_out)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    # texts of the training folds only meet their labels, by a shuffle at every size
-    trained = rows.where(~fold.isin(held_out, calibration)).join(marked.hint("merge"), "id")
     sample = F.xxhash64("id")
-    picked = marked.where(F.col("fold") == calibration).orderBy(sample, "id").limit(CALIBRATION_ROWS).select("id")
-    model = fit(trained, "text", "y", scratch)
-    entries = model.count()
-    known = scratch.table(features(docs.select(id_col, text_col), id_col, text_col, model, entries, scratch), "features")
-    scratch.keep_only(known)
-    one = known.join(picked, "id", "left_semi").groupBy("id").agg(F.min(F.struct("of", *FEATURES)).alias("f")).select("id", "f.*")
+    picked = scratch.table(marked.where(F.col("fold") == calibration).orderBy(sample, "id").limit(CALIBRATION_ROWS).select("id", F.lit(True).alias("apart")), "picked")
+    # texts of the training folds only meet their labels, by a shuffle at every size
+    trained = rows.where(fold != held_out).join(marked.join(picked, "id", "left").hint("merge"), "id")
+    model = fit(trained, "text", "y", scratch, "apart")
+    docs = docs.select(id_col, text_col)
+    held = docs.join(picked.select(F.col("id").alias(id_col)), id_col, "left_semi")
+    without = model.where("llr_apart is not null").select("key", F.col("llr_apart").alias("llr"))
+    tried = scratch.table(features(held, id_col, text_col, without, without.count(), scratch), "tried")
+    known = scratch.table(features(docs, id_col, text_col, model.select("key", "llr"), model.count(), scratch), "features")
+    scratch.keep_only(known, tried)
+    one = tried.groupBy("id").agg(F.min(F.struct("of", *FEATURES)).alias("f")).select("id", "f.*")
     fitted = one.join(marked.select("id", "y"), "id").orderBy("id").select(*FEATURES, "y").toPandas()
     y = fitted["y"].to_numpy(float)
     if len(y) and 0 < y.sum() < len(y):

@@ -366,6 +366,21 @@ def test_mixed_documents_keep_their_white_space(spark):
     assert mixing.plan_mix(again).agg(F.sum("taken")).first()[0] == 180
 
 
+def test_two_models_in_one_pass(spark):
+    """The second ratio is that of a model which never saw the rows apart."""
+    rng = np.random.default_rng(6)
+    words = ["".join(rng.choice(list("abcdef"), 4)) for _ in range(60)]
+    rows = [(" ".join(rng.choice(words, 5)), int(i % 3 == 0), i % 4 == 1) for i in range(80)]
+    scratch = Scratch(spark, "test")
+    whole = kneser_ney.fit(spark.createDataFrame(rows, "text string, y int, apart boolean"), "text", "y", scratch, "apart").collect()
+    for mark, column in ((True, "llr"), (False, "llr_apart")):
+        alone = kneser_ney.fit(spark.createDataFrame([r[:2] for r in rows if mark or not r[2]], "text string, y int"), "text", "y", scratch)
+        want = {r.key: r.llr for r in alone.collect()}
+        got = {r.key: r[column] for r in whole if r[column] is not None}
+        assert got.keys() == want.keys() and all(abs(got[k] - x) < 1e-5 for k, x in want.items())
+    assert any(r.llr_apart is None for r in whole)
+
+
 def test_toxicity_without_labels(spark):
     docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     r = kneser_ney.toxicity(docs, spark.createDataFrame([], "doc_id long, toxic int")).first()
