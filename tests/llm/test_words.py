@@ -9,9 +9,11 @@ from zlib import crc32
 
 import pyarrow as pa
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 from reeltide.llm import bin_packing, collocations, mixing, pii, spelling
+from reeltide.llm.scratch import Scratch
 
 FOLD = {x: x + 32 for x in range(65, 91)}
 
@@ -252,6 +254,45 @@ def test_trees_add_disguised_spans_and_leave_clean_texts(spark):
         assert not any(a.start < b.end and b.start < a.end for a in added for b in spans if a is not b)
 
 
+def test_every_match_of_every_pattern_is_proposed(spark):
+    """Loose addresses too where a text has no digit, no at sign and no dot as a word; hosts of many labels as a whole."""
+    rng = random.Random(5)
+    parts = ["ann", "bob.k", " ", " ", ".", ".", "x", "org", " at ", " AT ", "[at]", " (at) ", "{ At }", " [dot] ", " DOT ", "<dot>", "@", "4111", "1", "-", "+", "é", "😀", "\n", "_" * 70]
+    rows = [(i, "".join(rng.choice(parts[: rng.choice((13, 20, len(parts)))]) for _ in range(rng.randint(1, 30)))) for i in range(400)]
+    rows += [(500, "write to ann [at] example.org"), (501, "ann(at)example.org"), (502, "bob at example.org"), (503, "ann [at] " + ".".join("abcdefghijk")), (504, "AT home. Then"), (505, None), (506, "")]
+    scratch = Scratch(spark, "proposed")
+    ids, matches = pii.proposed(spark.createDataFrame(rows, "doc_id long, text string"), scratch, "doc_id", "text")
+    got = Counter((r.id, r.gen, r.start, r.end, r.m) for r in matches.join(ids, "row").collect())
+    patterns = [regex.compile(p) for p in pii._FIXED + pii._LOOSE]
+    assert got == Counter((i, g, m.start(), m.end(), m.group()) for i, t in rows for g, p in enumerate(patterns) for m in p.finditer(t or ""))
+    assert {(500, 4, 9, 29, "ann [at] example.org"), (501, 4, 0, 18, "ann(at)example.org"), (503, 4, 0, 30, "ann [at] a.b.c.d.e.f.g.h.i.j.k")} <= set(got)
+
+
+def test_trees_add_disguised_spans_of_texts_without_digits(spark):
+    rng = random.Random(3)
+    words = "the of and house river stone over under seven with from light paper".split()
+    prose = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    user = lambda: rng.choice(("ann", "bob.k", "c_d")) + rng.choice("abc")
+    host = lambda: rng.choice(("mail", "post", "web")) + rng.choice("uvw") + ".example." + rng.choice(("com", "org"))
+    plain = [(i, f"{prose(8)} {user()}@{host()} {prose(6)}") for i in range(400)]
+    hidden = [(1000 + i, f"{prose(5)} {user()}{rng.choice(('[at]', ' [at] ', '(at)'))}{host()} {prose(5)}") for i in range(30)]
+    clean = [(2000 + i, f"{prose(5)} at {prose(1)}. The {prose(5)}") for i in range(100)]
+    found = {r.doc_id: r.spans for r in pii.personal_data(spark.createDataFrame(plain + hidden + clean, "doc_id long, text string")).collect()}
+    assert sum(any(not s.fixed and s.kind == 0 for s in found[i]) for i, _ in hidden) >= 27
+    assert not any(found[i] for i, _ in clean)
+
+
+def test_kinds_that_the_trees_tell_apart_have_a_threshold(spark):
+    """One held example of low score among hundreds must not take its kind's additions away."""
+    rng = random.Random(4)
+    octets = lambda least: "[.]".join(str(rng.randint(least, least + 200)) for _ in range(4))
+    rows = [(1, octets(0), "to ", " and", 1, i % 2 == 0) for i in range(400)] + [(1, octets(300), "to ", " and", 0, i < 1) for i in range(200)]
+    model, thresholds = pii.fit(spark.createDataFrame(rows, "kind int, m string, before string, after string, label int, held boolean"))
+    assert set(thresholds) == {1} and thresholds[1] >= 0.5
+    scored = pii._scored(model, spark.createDataFrame([(1, "9[.]9[.]9[.]9", "to ", " and"), (1, "999[.]9[.]9[.]9", "to ", " and")], "kind int, m string, before string, after string")).collect()
+    assert [r.score >= thresholds[1] for r in scored] == [True, False]
+
+
 # rows without an id, or with one of many
 
 
