@@ -212,35 +212,38 @@ def tail_cuts(rest: int) -> list[int]:
 
 
 def _lay(offsets: np.ndarray, total: int, length: int, itemsize: int):
-    """The pieces of one range's documents, in curve order."""
+    """The pieces of documents that come range by range, each in curve order; what is held is one batch, whatever a range has."""
     full = total // length
     tail = full * length + np.array([0, *tail_cuts(total - full * length)])
 
-    def run(key, table):
-        table = table.sort_by([("key", "ascending"), ("tie", "ascending"), ("id", "ascending"), ("n", "ascending")])
-        n = table.column("n").to_numpy()
-        begin = offsets[key[0].as_py()] + np.cumsum(n) - n
+    def run(batches):
         unpacker = zstandard.ZstdDecompressor()
-        doc, start, size, sequence, offset, ids = [], [], [], [], [], []
-        for i, (s, m) in enumerate(zip(begin.tolist(), n.tolist(), strict=True)):
-            tokens = np.frombuffer(unpacker.decompress(table.column("packed")[i].as_py()), f"<u{itemsize}").astype("<u4")
-            at = s
-            while at < s + m:
-                if at < tail[0]:
-                    k, first, stop = at // length, at - at % length, at - at % length + length
-                else:
-                    j = int(np.searchsorted(tail, at, "right"))
-                    k, first, stop = full + j - 1, int(tail[j - 1]), int(tail[j])
-                to = min(stop, s + m)
-                doc.append(i)
-                start.append(at - s)
-                size.append(to - at)
-                sequence.append(k)
-                offset.append(at - first)
-                ids.append(tokens[at - s : to - s].tobytes())
-                at = to
-        long = lambda x: pa.array(x, pa.int64())
-        return pa.Table.from_arrays([table.column("id").combine_chunks().take(pa.array(doc, pa.int64())), long(start), long(size), pa.array(ids, pa.binary()), long(n[doc] if doc else []), long(sequence), long(offset)], ["id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"])
+        part, at = -1, 0  # the range being laid, and the place in the line that its next document takes
+        for batch in batches:
+            doc, start, size, sequence, offset, ids = [], [], [], [], [], []
+            n = batch.column("n").to_numpy()
+            packed = batch.column("packed")
+            for i, (p, m) in enumerate(zip(batch.column("part").to_pylist(), n.tolist(), strict=True)):
+                if p != part:
+                    part, at = p, int(offsets[p])
+                tokens = np.frombuffer(unpacker.decompress(packed[i].as_py()), f"<u{itemsize}").astype("<u4")
+                s, end = at, at + m
+                while at < end:
+                    if at < tail[0]:
+                        k, first, stop = at // length, at - at % length, at - at % length + length
+                    else:
+                        j = int(np.searchsorted(tail, at, "right"))
+                        k, first, stop = full + j - 1, int(tail[j - 1]), int(tail[j])
+                    to = min(stop, end)
+                    doc.append(i)
+                    start.append(at - s)
+                    size.append(to - at)
+                    sequence.append(k)
+                    offset.append(at - first)
+                    ids.append(tokens[at - s : to - s].tobytes())
+                    at = to
+            long = lambda x: pa.array(x, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("id").take(long(doc)), long(start), long(size), pa.array(ids, pa.binary()), long(n[doc] if doc else []), long(sequence), long(offset)], ["id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"])
 
     return run
 
@@ -269,7 +272,9 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
 
     dealt = coded.mapInArrow(deal, f"id {kind}, n long, key long, packed binary, tie long, part long")
     itemsize = 2 if _vocabulary(tokenizer) <= 1 << 16 else 4
-    out = dealt.groupBy("part").applyInArrow(_lay(offsets, total, length, itemsize), f"id {kind}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
+    # a range has as many documents as others, not as many tokens: Spark sorts it, spilling, and it is laid batch by batch
+    lines = dealt.repartition("part").sortWithinPartitions("part", "key", "tie", F.asc_nulls_last("id"), "n")
+    out = lines.mapInArrow(_lay(offsets, total, length, itemsize), f"id {kind}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
     return out.withColumnRenamed("id", id_col)
 
 

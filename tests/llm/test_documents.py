@@ -6,7 +6,9 @@ from functools import cache
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 from tests.llm.brute import WORD, Union, repeated_words, shingles, similar_groups, without_repeats
 from tokenizers import Tokenizer
@@ -444,3 +446,26 @@ def test_scratch_keeps_what_is_read(spark):
     assert b.count() == 5
     with pytest.raises((PySparkException, Py4JJavaError)):
         a.count()
+
+
+def test_ranges_are_laid_batch_by_batch(spark, documents, monkeypatch):
+    """A range of any size: pieces leave with the batch that they came in, and ranges that share a task follow one another."""
+    packer, read = zstandard.ZstdCompressor(level=1), []
+    parts = [5] * 30 + [2] * 10  # batches of two ranges, as they come to one task
+
+    def batches():
+        for k, part in enumerate(parts):
+            read.append(k)
+            tokens = [np.full(700, k, "<u2"), np.full(300, k, "<u2")]
+            yield pa.RecordBatch.from_arrays([pa.array([2 * k, 2 * k + 1]), pa.array([700, 300]), pa.array([packer.compress(t.tobytes()) for t in tokens]), pa.array([part, part])], ["id", "n", "packed", "part"])
+
+    out, line = packing._lay(np.array([0, 0, 30_000, 0, 0, 0]), 40_000, 256, 2)(batches()), []
+    for k, batch in enumerate(out):
+        assert len(read) == k + 1 and set(batch.column("id").to_pylist()) == {2 * k, 2 * k + 1}
+        line += [(r["sequence_id"], r["offset"], r["length"], np.frombuffer(r["ids"], "<u4").tolist() == [k] * r["length"]) for r in batch.to_pylist()]
+    assert len(read) == 40 and sum(r[2] for r in line) == 40_000 and all(r[3] for r in line)
+    for a, b in zip(line, line[1:], strict=False):
+        assert b[:2] == (a[0], a[1] + a[2]) or (b[:2] == (a[0] + 1, 0) and a[1] + a[2] in (256, 64))
+    whole = sorted(packing.pack(documents, PATH).collect(), key=str)
+    monkeypatch.setattr(packing, "RANGE_TOKENS", 3000)
+    assert sorted(packing.pack(documents, PATH).collect(), key=str) == whole
