@@ -18,11 +18,12 @@ from __future__ import annotations
 import gc
 import json
 import re
+import unicodedata
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import regex
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,21 +38,71 @@ WIDTH, DIMENSIONS, BITS = 256, 4, 15
 
 #: For texts of these characters, composing changes nothing, folding goes letter by letter and white space is ASCII's.
 _PLAIN = re.compile("[\t\n\r\x20-\x7e¡-įı-ɏ]*")
-# The word pattern of word-level tokenizer files, and what else such a file says of texts and words. Texts are taken word by word for these only.
+# The word pattern of word-level tokenizer files, and what else such a file says of texts and words. Texts are cut into pieces in bulk for these only.
 _PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _NORMAL = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
 _SPLIT = {"type": "Split", "pattern": {"Regex": _PATTERN}, "behavior": "Removed", "invert": True}
 _BYTES = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
-_PIECE = regex.compile(_PATTERN)
-#: Pieces of words that a worker remembers in each of two generations, and bytes of text tokenised at once.
-_REMEMBERED, _CHUNK_BYTES = 300_000, 3 << 20
+#: Pieces that a worker remembers and bytes of them, and bytes of text tokenised at once.
+_REMEMBERED, _REMEMBERED_BYTES, _CHUNK_BYTES = 1_000_000, 64 << 20, 3 << 20
+
+
+def _byte_letters() -> str:
+    """The letter that byte-level files write for each byte."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = iter(range(256, 512))
+    return "".join(chr(b if b in shown else next(others)) for b in range(256))
+
+
+_LETTERS = _byte_letters()
+#: What a character of up to two bytes is: white space, a letter, a number (a piece by itself), or anything else.
+_BLANK, _LETTER, _NUMBER, _OTHER = range(4)
+_KINDS = np.array([_BLANK if chr(c).isspace() else {"L": _LETTER, "N": _NUMBER}.get(unicodedata.category(chr(c))[0], _OTHER) for c in range(0x800)], np.uint8)
+_OF_BYTE = np.concatenate([_KINDS[:0x80], np.full(0x80, _LETTER, np.uint8)])  # lower case of three bytes is letters only
+
+
+def piece_starts(data: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the pieces of ``_PATTERN`` begin in lower-cased plain texts, and which bytes are no white space."""
+    kind = _OF_BYTE[data]
+    two = np.flatnonzero((data >= 0xC0) & (data < 0xE0))
+    kind[two] = kind[two + 1] = _KINDS[(data[two] & 0x1F).astype(np.int64) << 6 | data[two + 1] & 0x3F]
+    opens = np.zeros(len(data) + 1, bool)
+    opens[rows] = True
+    first = opens[:-1].copy()
+    first[1:] |= kind[1:] != kind[:-1]
+    first |= (kind == _NUMBER) & ((data & 0xC0) != 0x80)
+    ink = kind != _BLANK
+    first &= ink
+    # 's and the like begin with an apostrophe by itself that a letter follows
+    mark = np.flatnonzero((data[:-1] == 0x27) & first[:-1] & (kind[1:] == _LETTER) & ~opens[1:-1])
+    if len(mark):
+        a = data[mark + 1]
+        within = (mark + 2 < len(data)) & ~opens[mark + 2]
+        b = np.where(within, data[np.minimum(mark + 2, len(data) - 1)], 0)
+        n = np.where(np.isin(a, list(b"stmd")), 1, np.where(((a == 0x72) | (a == 0x76)) & (b == 0x65) | (a == 0x6C) & (b == 0x6C), 2, 0))
+        mark, n = mark[n > 0], n[n > 0]
+        first[mark + 1] = False
+        after = mark + 1 + n
+        after = after[after < len(data)]
+        first[after] = ink[after]
+    return np.flatnonzero(first), ink
+
+
+#: What is remembered of a piece: where its bytes and its ids begin, how many these are, and the chunk of texts that had it last.
+_PIECE = np.dtype([("text", "i8"), ("length", "i4"), ("ids", "i8"), ("size", "i4"), ("used", "i4")])
+
+
+def _ranges(start: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The places in ranges of ``n`` from ``start`` on, range after range."""
+    end = np.cumsum(n)
+    return np.repeat(start - (end - n), n) + np.arange(end[-1] if len(end) else 0)
 
 
 class WordTokenizer:
     """The ids of a tokenizer file.
 
-    In a word-level BPE file of known settings no token spans white space, so texts are tokenised by their distinct words, and these
-    by pieces that are remembered. Of any other file every text is encoded whole.
+    In a word-level BPE file of known settings no token spans two pieces of a text, so plain texts are cut into pieces in bulk, and each
+    piece goes through the file's model once and is remembered. Of any other file every text is encoded whole.
     """
 
     def __init__(self, path: str):
@@ -60,72 +111,79 @@ class WordTokenizer:
         with open(path, encoding="utf-8") as f:
             text = f.read()
         self.whole = Tokenizer.from_str(text)
+        self.model = self.whole.model
         said = json.loads(text)
         self.by_words = said["normalizer"] == _NORMAL and said["pre_tokenizer"] == {"type": "Sequence", "pretokenizers": [_SPLIT, _BYTES]} and said["model"]["type"] == "BPE" and not said["model"].get("dropout") and not said["truncation"] and all(not a["normalized"] and "<|" in a["content"] for a in said["added_tokens"])
         self.kind = np.dtype("<u2") if self.whole.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-
-    def _remembered(self, keys: list[str]) -> tuple[list[bytes | None], list[str]]:
-        """What is known of each key, and the keys that aren't known."""
-        found = list(map(self.known.get, keys))
-        if None not in found:
-            return found, []
-        older = self.older.get
-        at = [i for i, x in enumerate(found) if x is None]
-        missing = []
-        for i in at:
-            k = keys[i]
-            x = older(k)
-            if x is None:
-                missing.append(k)
-            else:
-                self.known[k] = found[i] = x
-        return found, missing
-
-    def _encode_pieces(self, pieces: list[str]) -> None:
-        for i in range(0, len(pieces), 2000):
-            some = pieces[i : i + 2000]
-            coded = self.whole.encode(" ".join(some), add_special_tokens=False)
-            ids = np.array(coded.ids, self.kind).tobytes()
-            ends = np.cumsum(np.bincount(np.array(coded.word_ids, np.int64), minlength=len(some))) * self.kind.itemsize
-            at = 0
-            for p, end in zip(some, ends.tolist(), strict=True):
-                self.known[p] = ids[at:end]
-                at = end
-
-    def _words(self, words: list[str]) -> list[bytes]:
-        if len(self.known) > _REMEMBERED:
-            self.known, self.older = {}, self.known
-        found, missing = self._remembered(words)
-        if missing:
-            single = [w for w in missing if w.isalpha()]
-            compound = [w for w in missing if not w.isalpha()]
-            parts = [(w[:-1], w[-1]) if w[-1] in ".,!?" and w[:-1].isalpha() else _PIECE.findall(w) for w in compound]
-            pieces = {p for ps in parts for p in ps}
-            pieces.difference_update(single)
-            self._encode_pieces(self._remembered(list(pieces))[1] + single)
-            known = self.known
-            for w, ps in zip(compound, parts, strict=True):
-                known[w] = b"".join([known[p] for p in ps])
-            found = [known[w] if x is None else x for w, x in zip(words, found, strict=True)]
-        return found
+        # pieces by ascending hash, their bytes, and their ids
+        self.keys, self.pieces = np.zeros(0, np.uint64), np.zeros(0, _PIECE)
+        self.text, self.ids, self.chunk = np.zeros(0, np.uint8), np.zeros(0, self.kind), 0
+
+    def _forget(self, keep: np.ndarray) -> None:
+        """Of the remembered pieces only these stay."""
+        self.keys, p = self.keys[keep], self.pieces[keep]
+        self.text, self.ids = self.text[_ranges(p["text"], p["length"])], self.ids[_ranges(p["ids"], p["size"])]
+        p["text"], p["ids"] = np.cumsum(p["length"]) - p["length"], np.cumsum(p["size"]) - p["size"]
+        self.pieces = p
+
+    def _learn(self, texts: list[bytes]) -> np.ndarray:
+        """Keep the bytes and ids of pieces, and say where they are."""
+        model = self.model.tokenize
+        coded = [[t.id for t in model(x.decode() if x.isascii() else x.decode("latin-1").translate(_LETTERS))] for x in texts]
+        p = np.zeros(len(texts), _PIECE)
+        p["length"], p["size"] = list(map(len, texts)), list(map(len, coded))
+        p["text"], p["ids"] = len(self.text) + np.cumsum(p["length"]) - p["length"], len(self.ids) + np.cumsum(p["size"]) - p["size"]
+        self.text = np.concatenate([self.text, np.frombuffer(b"".join(texts), np.uint8)])
+        self.ids = np.concatenate([self.ids, np.array(list(chain.from_iterable(coded)), self.kind)])
+        return p
+
+    def _places(self, raw: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Where the different pieces of ``raw`` are remembered; those that weren't are learnt. A hash finds a piece, and its bytes decide."""
+        if len(self.keys) > _REMEMBERED or len(self.text) > _REMEMBERED_BYTES:  # at most half stay, those used last
+            self._forget(self.pieces["used"] > np.median(self.pieces["used"]))
+        length = np.diff(ends)
+        h = W.span_hashes(raw, ends[:-1], ends[1:])
+        order = np.argsort(h)
+        place = np.empty_like(order)
+        place[order] = np.searchsorted(self.keys, h[order])
+        found = np.zeros(len(h), bool)
+        seen = np.flatnonzero(place < len(self.keys))
+        seen = seen[(self.keys[place[seen]] == h[seen]) & (self.pieces["length"][place[seen]] == length[seen])]
+        if len(seen):
+            n = length[seen]
+            same = self.text[_ranges(self.pieces["text"][place[seen]], n)] == raw[_ranges(ends[seen], n)]
+            found[seen] = np.logical_and.reduceat(same, np.cumsum(n) - n)
+        new = order[~found[order]]
+        at = place
+        if len(new):
+            before, data = place[new], raw.tobytes()
+            learnt = self._learn([data[a:b] for a, b in zip(ends[new].tolist(), ends[new + 1].tolist(), strict=True)])
+            self.keys, self.pieces = np.insert(self.keys, before, h[new]), np.insert(self.pieces, before, learnt)
+            at = place + np.searchsorted(before, place, "right")
+            at[new] = before + np.arange(len(new))
+        self.chunk += 1
+        self.pieces["used"][at] = self.chunk
+        return at
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
         plain = [self.by_words and _PLAIN.fullmatch(t) is not None and "<|" not in t for t in texts]
         data, rows = W.text_bytes(pa.array([t.lower() if p else "" for t, p in zip(texts, plain, strict=True)], pa.string()))
-        start, end, row = W.word_spans(data, rows)
-        _, first, which = np.unique(W.span_hashes(data, start, end), return_index=True, return_inverse=True)
-        raw = data.tobytes()
-        coded = self._words([raw[a:b].decode() for a, b in zip(start[first].tolist(), end[first].tolist(), strict=True)])
-        size = np.array([len(c) for c in coded], np.int64) // self.kind.itemsize
-        ids = np.frombuffer(b"".join(coded), self.kind)
-        n = size[which] if len(which) else np.zeros(0, np.int64)
-        ends = np.cumsum(n)
-        at = np.arange(int(n.sum())) + np.repeat((np.cumsum(size) - size)[which] - (ends - n), n) if len(which) else np.zeros(0, np.int64)
-        cuts = np.concatenate([[0], np.cumsum(np.bincount(row, n, len(texts)).astype(np.int64))])
-        flat = ids[at]
+        start, ink = piece_starts(data, rows)
+        flat, cuts = np.zeros(0, self.kind), np.zeros(len(texts) + 1, np.int64)
+        if len(start):
+            before = np.zeros(len(data) + 1, np.int32)  # bytes before each place, without white space
+            np.cumsum(ink, out=before[1:])
+            pieces = pa.Array.from_buffers(pa.binary(), len(start), [None, pa.py_buffer(np.append(before[start], before[-1])), pa.py_buffer(data[ink])]).dictionary_encode()
+            _, ends, raw = pieces.dictionary.buffers()
+            ends = np.frombuffer(ends, np.int32)[: len(pieces.dictionary) + 1].astype(np.int64)
+            at = self._places(np.frombuffer(raw, np.uint8)[: ends[-1]], ends)
+            known = self.pieces[at]
+            which = pieces.indices.to_numpy()
+            n = known["size"][which]
+            end = np.cumsum(n)
+            flat = self.ids[_ranges(known["ids"][which], n)]
+            cuts = np.concatenate([[0], end])[np.searchsorted(start, rows)]
         return [flat[a:b] if p else np.array(self.whole.encode(t, add_special_tokens=False).ids, self.kind) for t, p, a, b in zip(texts, plain, cuts.tolist(), cuts[1:].tolist())]
 
 
@@ -188,7 +246,7 @@ def _tokenise(path: str, end: int, seed: int):
             text = W.as_strings(batch.column(1))
             for a, b in W.chunks(text, _CHUNK_BYTES):
                 texts = text[a:b].to_pylist()
-                gc.disable()  # millions of strings and no cycles
+                gc.disable()  # many lists and no cycles
                 try:
                     coded = [np.append(c, last) for c in tokens.encode(texts)]
                 finally:

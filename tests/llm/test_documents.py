@@ -1,5 +1,6 @@
 """The operators over documents against plain versions and in edge cases."""
 
+import random
 import zlib
 from collections import defaultdict
 from functools import cache
@@ -469,3 +470,39 @@ def test_ranges_are_laid_batch_by_batch(spark, documents, monkeypatch):
     whole = sorted(packing.pack(documents, PATH).collect(), key=str)
     monkeypatch.setattr(packing, "RANGE_TOKENS", 3000)
     assert sorted(packing.pack(documents, PATH).collect(), key=str) == whole
+
+
+def _plain_texts(rng, n):
+    """Texts of letters, numbers and signs of one and two bytes, many apostrophes among them."""
+    signs = "abcstredvmlSTREVLDM'''' \t\n\r.,!?-0129²½ªµº×÷éÉßÿĀŉžƁǅȺɎ¡¿­<|~"
+    return ["".join(rng.choice(signs) for _ in range(rng.randint(0, 25))) for _ in range(n)]
+
+
+@pytest.mark.parametrize("case", ["all kept", "few kept", "few bytes kept", "hashes collide"])
+def test_pieces_cut_in_bulk_are_the_tokenizers(monkeypatch, case):
+    if case == "few kept":
+        monkeypatch.setattr(packing, "_REMEMBERED", 300)
+    elif case == "few bytes kept":
+        monkeypatch.setattr(packing, "_REMEMBERED_BYTES", 2000)
+    elif case == "hashes collide":
+        hashes = W.span_hashes
+        monkeypatch.setattr(W, "span_hashes", lambda *a: hashes(*a) % np.uint64(50))
+    rng, whole, tokens = random.Random(5), Tokenizer.from_file(PATH), packing.WordTokenizer(PATH)
+    signs = [chr(c) for c in range(0x250) if packing._PLAIN.fullmatch(chr(c))]
+    odd = ["", " \t\n", "'", "'s", "'r", "'re", "'rex 'v've'll'l l'", "it's O'Dea's we'Re I'M '9 'st", "'ll'd't", "x' s", "r'e", "''s !'s 'É's"]
+    odd += [t for c in signs for t in (c, f"a{c}b", f"1{c}2", f".{c}.", f"'{c}", f"s'{c}x", f"{c}'s", c * 3)]
+    assert tokens.encode([]) == []
+    for texts in (odd, ["'", "s"], ["don'", "t"], ["'l", "l"], ["", "x", ""], *(_plain_texts(rng, 200) for _ in range(20))):
+        assert [c.tolist() for c in tokens.encode(texts)] == [whole.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_no_piece_is_tokenised_twice_while_memory_holds_them(monkeypatch):
+    """What is remembered is pieces, not the many words that they make up."""
+    monkeypatch.setattr(packing, "_REMEMBERED", 3100)
+    stems = [f"{a}{b}{c}" for a in ("ba", "ce", "di", "fo", "gu", "la") for b in "abcdefghijklmnopqrst" for c in "abcdefghijklmnopqrstuvwxy"]
+    chunks = [[" ".join(f"{s}{e}" for s in stems[i : i + 500]) for e in (",", ".", "!", "'s", "; ", "#", "") * 2] for i in range(0, 3000, 500)]
+    whole, tokens = Tokenizer.from_file(PATH), packing.WordTokenizer(PATH)
+    want = [[whole.encode(t, add_special_tokens=False).ids for t in c] for c in chunks]
+    assert [[x.tolist() for x in tokens.encode(c)] for c in chunks] == want
+    tokens.whole = tokens.model = None
+    assert [[x.tolist() for x in tokens.encode(c)] for c in chunks] == want
